@@ -10,15 +10,18 @@ from spendlens.functions.keys import broadcast_if_small
 LABEL = "account_name"
 
 
-def majority_by(df: DataFrame, key: str, label: str = LABEL, out: str | None = None) -> DataFrame:
-    """Majority label per key: highest count, ties -> smallest label.
+def majority_by(df: DataFrame, key: str, label: str = LABEL, out: str | None = None,
+                by: list[str] | None = None) -> DataFrame:
+    """Majority label per key (and per ``by`` group, e.g. split_id): highest count, ties ->
+    smallest label.
 
     Two hash aggregations with map-side combine; a hot key is pre-aggregated on every
     mapper, so no key's rows are ever gathered into one task.
     """
     out = out or f"{key}_label"
-    votes = df.groupBy(key, label).agg(F.count(F.lit(1)).alias("_n"))
-    return votes.groupBy(key).agg(
+    by = list(by or [])
+    votes = df.groupBy(*by, key, label).agg(F.count(F.lit(1)).alias("_n"))
+    return votes.groupBy(*by, key).agg(
         F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias(out),
         F.max("_n").alias(f"{out}_votes"),
         F.sum("_n").alias(f"{key}_rows"),
@@ -33,22 +36,44 @@ def global_majority(df: DataFrame, label: str = LABEL) -> str | None:
     return row["m"] if row else None
 
 
-def lookup_predict(train: DataFrame, test: DataFrame, label: str = LABEL) -> DataFrame:
+def global_majority_by(df: DataFrame, by: str, label: str = LABEL) -> dict:
+    """AGG-5 per group of ``by`` (a handful of splits): {group: (label, count, rows)}."""
+    counts = df.groupBy(by, label).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.groupBy(by).agg(
+        F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("m"),
+        F.max("_n").alias("votes"), F.sum("_n").alias("rows")).collect()
+    return {r[by]: (r["m"], r["votes"], r["rows"]) for r in rows}
+
+
+def _group_lookup(values: dict, by: str) -> F.Column:
+    pairs = []
+    for g, v in values.items():
+        pairs += [F.lit(g), F.lit(v)]
+    return F.element_at(F.create_map(*pairs), F.col(by)) if pairs else F.lit(None)
+
+
+def lookup_predict(train: DataFrame, test: DataFrame, label: str = LABEL,
+                   by: str | None = None) -> DataFrame:
     """JOI-1: item majority, else vendor majority, else global majority.
 
     Empty-string answers fall through like the reference's ``or`` chain. The vendor table
     is broadcast only when its row count is checked small; the item table (one row per
     distinct training item) is joined by a shuffle, skew split by AQE.
     """
-    items = majority_by(train, "item_key", label, out="item_label").select("item_key", "item_label")
-    vendors = majority_by(train, "vendor_id", label, out="vendor_label").select(
-        "vendor_id", "vendor_label")
-    fallback = global_majority(train, label)
+    grp = [by] if by else []
+    items = majority_by(train, "item_key", label, out="item_label", by=grp).select(
+        *grp, "item_key", "item_label")
+    vendors = majority_by(train, "vendor_id", label, out="vendor_label", by=grp).select(
+        *grp, "vendor_id", "vendor_label")
+    if by:
+        fallback = _group_lookup({g: v[0] for g, v in global_majority_by(train, by, label).items()}, by)
+    else:
+        fallback = F.lit(global_majority(train, label))
     pred = F.coalesce(F.nullif(F.col("item_label"), F.lit("")),
                       F.nullif(F.col("vendor_label"), F.lit("")),
-                      F.lit(fallback))
-    return (test.join(items, "item_key", "left")
-            .join(broadcast_if_small(vendors), "vendor_id", "left")
+                      fallback)
+    return (test.join(items, grp + ["item_key"], "left")
+            .join(broadcast_if_small(vendors), grp + ["vendor_id"], "left")
             .withColumn("predicted", pred)
             .drop("item_label", "vendor_label"))
 

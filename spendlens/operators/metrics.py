@@ -25,26 +25,28 @@ def _safe_div(a, b) -> F.Column:
 
 
 def classification_report(pred: DataFrame, label: str = LABEL,
-                          predicted: str = "predicted") -> DataFrame:
+                          predicted: str = "predicted", by: list[str] | None = None) -> DataFrame:
     """Per-label precision, recall, F1 and support over the union of true and predicted
-    labels; zero division -> 0. One aggregation of the confusion pairs, then marginals."""
-    pairs = pred.groupBy(F.col(label).alias("_t"), F.col(predicted).alias("_p")).agg(
+    labels; zero division -> 0. One aggregation of the confusion pairs, then marginals.
+    ``by`` computes one report per group (e.g. per split)."""
+    by = list(by or [])
+    pairs = pred.groupBy(*by, F.col(label).alias("_t"), F.col(predicted).alias("_p")).agg(
         F.count(F.lit(1)).alias("_n"))
     # Each pair contributes to its true label and, separately, to its predicted label.
-    contrib = pairs.select(
+    contrib = pairs.select(*by, 
         F.explode(F.array(
             F.struct(F.col("_t").alias("label"), F.col("_n").alias("support"),
                      F.lit(0).cast("bigint").alias("predicted_n"),
                      F.when(F.col("_t") == F.col("_p"), F.col("_n")).otherwise(0).alias("tp")),
             F.struct(F.col("_p").alias("label"), F.lit(0).cast("bigint").alias("support"),
                      F.col("_n").alias("predicted_n"), F.lit(0).cast("bigint").alias("tp")),
-        )).alias("c")).select("c.*")
-    per_label = contrib.groupBy("label").agg(
+        )).alias("c")).select(*by, "c.*")
+    per_label = contrib.groupBy(*by, "label").agg(
         F.sum("support").cast("bigint").alias("support"),
         F.sum("predicted_n").cast("bigint").alias("predicted_n"),
         F.sum("tp").cast("bigint").alias("tp"))
     return per_label.select(
-        "label",
+        *by, "label",
         _safe_div(F.col("tp"), F.col("predicted_n")).alias("precision"),
         _safe_div(F.col("tp"), F.col("support")).alias("recall"),
         _safe_div(2 * F.col("tp"), F.col("support") + F.col("predicted_n")).alias("f1"),
@@ -52,10 +54,10 @@ def classification_report(pred: DataFrame, label: str = LABEL,
     )
 
 
-def report_averages(report: DataFrame) -> DataFrame:
+def report_averages(report: DataFrame, by: list[str] | None = None) -> DataFrame:
     """AGG-8: macro and support-weighted averages of precision, recall and F1."""
     total = F.sum("support")
-    return report.agg(
+    return report.groupBy(*(by or [])).agg(
         F.avg("precision").alias("macro_precision"),
         F.avg("recall").alias("macro_recall"),
         F.avg("f1").alias("macro_f1"),

@@ -205,7 +205,7 @@ def learning_prefixes(train: DataFrame, fractions=LEARNING_FRACTIONS, seed: int
     sizes = {r[by]: r["n"] for r in keyed.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = []
     for frac in fractions:
-        ks = {g: int(frac * n + 1e-9) for g, n in sizes.items()}
+        ks = {g: int(frac * n) for g, n in sizes.items()}
         cuts = kth_smallest(keyed, "_h", ks, by=by)
         parts.append(keyed.where(F.col("_h") <= cut_column(cuts, by))
                      .withColumn("train_fraction", F.lit(float(frac))))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from spendlens.operators import clean as C
 from spendlens.operators import lookup as LK
 from spendlens.operators import metrics as M
+from spendlens.operators import profile as P
 from spendlens.operators import split as S
 from spendlens.plans import oracle as O
 from spendlens.sources.views import raw_view
@@ -125,6 +126,246 @@ def q_baseline_accuracy_l(spark, sf_dir):
     return LK.accuracy(pred).select(r6("accuracy").alias("accuracy"), "test_rows")
 
 
+# ---------------------------------------------------------------- profile (AGG-1..3, 14, 15, TOP-1/6)
+
+_PROFILE_SQL = f"""
+WITH c AS ({O.clean('D')}),
+pl AS (SELECT account_name, sum(n) AS n, count(*) AS items
+       FROM (SELECT account_name, item_key, count(*) AS n FROM c GROUP BY ALL) p GROUP BY 1)
+SELECT (SELECT count(*) FROM c) AS record_count,
+       (SELECT count(DISTINCT vendor_id) FROM c) AS unique_vendors,
+       (SELECT count(*) FILTER (WHERE {O.blank('item_description')}) FROM c) AS missing_item_descriptions,
+       (SELECT min(item_total_amount) FROM c) AS min_amount,
+       (SELECT max(item_total_amount) FROM c) AS max_amount,
+       (SELECT count(*) FROM pl) AS unique_account_names,
+       (SELECT count(*) FILTER (WHERE n < 10) FROM pl) AS labels_lt_10,
+       (SELECT count(*) FILTER (WHERE n < 5) FROM pl) AS labels_lt_5,
+       (SELECT count(*) FILTER (WHERE n < 3) FROM pl) AS labels_lt_3,
+       (SELECT count(*) FILTER (WHERE n = 1) FROM pl) AS singleton_labels,
+       (SELECT count(*) FILTER (WHERE items = 1) FROM pl) AS labels_with_one_unique_item,
+       (SELECT count(*) FILTER (WHERE items < 3) FROM pl) AS labels_with_lt_3_unique_items
+"""
+
+
+@register("dataset_profile", _PROFILE_SQL)
+def q_dataset_profile(spark, sf_dir):
+    return P.dataset_profile(expenses(spark, sf_dir))
+
+
+@register("dataset_profile_l", _PROFILE_SQL.replace(O.clean('D'), O.clean('L')))
+def q_dataset_profile_l(spark, sf_dir):
+    return P.dataset_profile(expenses(spark, sf_dir, "L"))
+
+
+@register("label_counts", f"SELECT account_name, count(*) AS n FROM ({O.clean('D')}) c GROUP BY 1")
+def q_label_counts(spark, sf_dir):
+    return P.value_counts(expenses(spark, sf_dir), "account_name")
+
+
+@register("vendor_counts", f"SELECT vendor_id, count(*) AS n FROM ({O.clean('L')}) c GROUP BY 1")
+def q_vendor_counts(spark, sf_dir):
+    return P.value_counts(expenses(spark, sf_dir, "L"), "vendor_id")
+
+
+def _top_sql(view_name, col, k):
+    return (f"SELECT {col}, n, row_number() OVER (ORDER BY n DESC, {col}) AS rank FROM "
+            f"(SELECT {col}, count(*) AS n FROM ({O.clean(view_name)}) c GROUP BY 1) v "
+            f"ORDER BY n DESC, {col} LIMIT {k}")
+
+
+def _top_spark(df, col, k):
+    return P.top_values(df, col, k).select(col, "n", F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("top_accounts", _top_sql("D", "account_name", 10))
+def q_top_accounts(spark, sf_dir):
+    return _top_spark(expenses(spark, sf_dir), "account_name", 10)
+
+
+@register("top_labels_20", _top_sql("L", "account_name", 20))
+def q_top_labels_20(spark, sf_dir):
+    return _top_spark(expenses(spark, sf_dir, "L"), "account_name", 20)
+
+
+@register("top_vendors", _top_sql("L", "vendor_id", 15))
+def q_top_vendors(spark, sf_dir):
+    return _top_spark(expenses(spark, sf_dir, "L"), "vendor_id", 15)
+
+
+@register("items_per_label", (
+    f"SELECT account_name, count(DISTINCT item_key) AS unique_items FROM ({O.clean('D')}) c GROUP BY 1"))
+def q_items_per_label(spark, sf_dir):
+    return P.items_per_label(expenses(spark, sf_dir))
+
+
+@register("label_freq_buckets", (
+    f"SELECT CASE WHEN n < 3 THEN '<3' WHEN n < 5 THEN '3-4' WHEN n < 10 THEN '5-9' ELSE '>=10' END "
+    f"AS bucket, count(*) AS labels, CAST(sum(n) AS BIGINT) AS rows FROM "
+    f"(SELECT account_name, count(*) AS n FROM ({O.clean('D')}) c GROUP BY 1) v GROUP BY 1"))
+def q_label_freq_buckets(spark, sf_dir):
+    return P.label_size_buckets(expenses(spark, sf_dir))
+
+
+def _hist_sql(col, series):
+    return (f"SELECT '{series}' AS series, b AS bin, round(lo + b * ((hi - lo) / 40), 6) AS lo, "
+            f"round(lo + (b + 1) * ((hi - lo) / 40), 6) AS hi, count(*) AS n FROM ("
+            f"SELECT CAST(least(floor(({col} - lo) / (hi - lo) * 40), 39) AS INTEGER) AS b, lo, hi "
+            f"FROM c, (SELECT min({col}) AS lo, max({col}) AS hi FROM c) s) t GROUP BY b, lo, hi")
+
+
+@register("amount_histogram", (
+    f"WITH c AS ({O.clean('L')}) {_hist_sql('item_total_amount', 'amount')} "
+    f"UNION ALL {_hist_sql('amount_log', 'amount_log')}"))
+def q_amount_histogram(spark, sf_dir):
+    df = expenses(spark, sf_dir, "L").select("item_total_amount", "amount_log").cache()
+    out = P.histogram(df, "item_total_amount", series="amount").unionByName(
+        P.histogram(df, "amount_log", series="amount_log"))
+    return out.select("series", "bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "n")
+
+
+_REQUIRED = ["row_id", "vendor_id", "item_name", "item_description", "account_name",
+             "item_total_amount"]
+
+
+@register("dataset_validation", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"count(*) AS row_count FROM ({O.view('L')}) v" for c in _REQUIRED))
+def q_dataset_validation(spark, sf_dir):
+    return P.validate_dataset(raw_view(spark, sf_dir, "L"), _REQUIRED)
+
+
+_FP_COLS = ["row_id", "vendor_id", "item_key", "account_name", "amount_cents"]
+
+
+@register("dataset_fingerprint", (
+    f"SELECT count(*) AS row_count, bit_xor(CAST(('0x' || substr(md5(concat_ws('|', "
+    f"CAST(row_id AS VARCHAR), vendor_id, item_key, account_name, "
+    f"CAST(CAST(round(item_total_amount * 100) AS BIGINT) AS VARCHAR))), 1, 15)) AS BIGINT)) "
+    f"AS digest FROM ({O.clean('D')}) c"))
+def q_dataset_fingerprint(spark, sf_dir):
+    df = expenses(spark, sf_dir).withColumn(
+        "amount_cents", F.round(F.col("item_total_amount") * 100).cast("bigint"))
+    return P.fingerprint(df, _FP_COLS)
+
+
+# ---------------------------------------------------------------- more splits (SPL-3..7)
+
+_GROUP_REPEATED_SQL = f"""
+WITH c AS ({O.clean('D')}),
+gs AS (SELECT CAST(s.i AS INTEGER) AS split_id, g.item_key,
+              md5(CAST(42 + s.i AS VARCHAR) || ':' || g.item_key) AS h
+       FROM (SELECT DISTINCT item_key FROM c) g, (SELECT unnest(range(5)) AS i) s),
+t AS (SELECT split_id, item_key, row_number() OVER (PARTITION BY split_id ORDER BY h)
+             <= ceil(0.2 * count(*) OVER (PARTITION BY split_id)) AS is_test FROM gs)
+"""
+
+
+@register("split_group_repeated", _GROUP_REPEATED_SQL + (
+    "SELECT t.split_id, c.row_id, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split "
+    "FROM c JOIN t USING (item_key)"))
+def q_split_group_repeated(spark, sf_dir):
+    return S.repeated_split(expenses(spark, sf_dir), n_splits=5).select("split_id", "row_id", "split")
+
+
+@register("split_stratified_group", f"""
+WITH c AS ({O.clean('D')}),
+v AS (SELECT item_key, account_name, count(*) AS n FROM c GROUP BY ALL),
+d AS (SELECT item_key, account_name AS dom FROM (SELECT *, row_number() OVER
+      (PARTITION BY item_key ORDER BY n DESC, account_name) AS rn FROM v) r WHERE rn = 1),
+f AS (SELECT item_key, CAST((row_number() OVER (PARTITION BY dom ORDER BY {O.md5_key(42, 'item_key')})
+      - 1) % 3 AS INTEGER) AS fold FROM d)
+SELECT c.row_id, f.fold FROM c JOIN f USING (item_key)""")
+def q_split_stratified_group(spark, sf_dir):
+    return S.stratified_group_folds(expenses(spark, sf_dir)).select("row_id", "fold")
+
+
+def balanced_sql(seed: int, k: int = 3, min_train: int = 5, src: str = "c") -> str:
+    """CTE chain ending in ``bs{seed}`` = (row_id, account_name, item_key, split)."""
+    s = seed
+    return f"""
+g{s} AS (SELECT account_name, item_key, count(*) AS sz,
+         md5('{s}:' || account_name || ':' || item_key) AS gh FROM {src} GROUP BY 1, 2),
+lab{s} AS (SELECT account_name, sum(sz) AS total, count(*) AS ngroups FROM g{s} GROUP BY 1),
+cum{s} AS (SELECT *, sum(sz) OVER (PARTITION BY account_name ORDER BY gh
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM g{s}),
+pre{s} AS (SELECT * FROM cum{s} WHERE cum - sz < {k}),
+tk{s} AS (SELECT account_name, count(*) AS nsel, max(cum) AS reach FROM pre{s} GROUP BY 1),
+el{s} AS (SELECT l.account_name FROM lab{s} l JOIN tk{s} t USING (account_name)
+          WHERE l.total - {k} >= {min_train} AND t.reach >= {k} AND t.nsel < l.ngroups),
+sel{s} AS (SELECT account_name, item_key FROM pre{s} WHERE account_name IN (SELECT account_name FROM el{s})),
+cand{s} AS (SELECT {src}.row_id, {src}.account_name, row_number() OVER (PARTITION BY {src}.account_name
+            ORDER BY md5('{s}:' || CAST({src}.row_id AS VARCHAR))) AS rn
+            FROM {src} JOIN sel{s} USING (account_name, item_key)),
+bs{s} AS (SELECT {src}.row_id, {src}.account_name, {src}.item_key,
+          CASE WHEN t.row_id IS NOT NULL THEN 'test' WHEN x.account_name IS NOT NULL THEN 'dropped'
+               ELSE 'train' END AS split
+          FROM {src} LEFT JOIN sel{s} x USING (account_name, item_key)
+          LEFT JOIN (SELECT row_id FROM cand{s} WHERE rn <= {k}) t ON t.row_id = {src}.row_id)"""
+
+
+@register("split_balanced_unseen", f"WITH c AS ({O.clean('D')}), {balanced_sql(42)} "
+          "SELECT row_id, account_name, split FROM bs42")
+def q_split_balanced_unseen(spark, sf_dir):
+    return S.balanced_unseen_split(expenses(spark, sf_dir)).select("row_id", "account_name", "split")
+
+
+@register("split_balanced_repeated", f"WITH c AS ({O.clean('D')}), "
+          + ", ".join(balanced_sql(42 + r) for r in range(5)) + " "
+          + " UNION ALL ".join(f"SELECT {r} AS repeat, row_id, split FROM bs{42 + r}" for r in range(5)))
+def q_split_balanced_repeated(spark, sf_dir):
+    return S.balanced_repeated_split(expenses(spark, sf_dir), repeats=5).select(
+        "repeat", "row_id", "split")
+
+
+@register("split_disjointness", f"""WITH c AS ({O.clean('D')}), {balanced_sql(42)},
+te AS (SELECT DISTINCT account_name, item_key FROM bs42 WHERE split = 'test'),
+tr AS (SELECT DISTINCT account_name, item_key FROM bs42 WHERE split = 'train'),
+sup AS (SELECT account_name, count(*) AS n FROM bs42 WHERE split = 'test' GROUP BY 1)
+SELECT (SELECT count(*) FROM te) AS test_pairs, (SELECT count(*) FROM tr) AS train_pairs,
+       (SELECT count(*) FROM (SELECT * FROM te INTERSECT SELECT * FROM tr) i) AS shared_pairs,
+       (SELECT count(*) FROM sup) AS eligible_labels,
+       (SELECT min(n) FROM sup) AS min_test_support, (SELECT max(n) FROM sup) AS max_test_support""")
+def q_split_disjointness(spark, sf_dir):
+    s = S.balanced_unseen_split(expenses(spark, sf_dir)).cache()
+    pairs = ["account_name", "item_key"]
+    te = s.where("split = 'test'").select(*pairs).distinct()
+    tr = s.where("split = 'train'").select(*pairs).distinct()
+    sup = s.where("split = 'test'").groupBy("account_name").agg(F.count(F.lit(1)).alias("n"))
+    stats = [te.count(), tr.count(), te.intersect(tr).count()]
+    return sup.agg(F.count(F.lit(1)).alias("eligible_labels"),
+                   F.min("n").alias("min_test_support"), F.max("n").alias("max_test_support")
+                   ).select(F.lit(stats[0]).cast("bigint").alias("test_pairs"),
+                            F.lit(stats[1]).cast("bigint").alias("train_pairs"),
+                            F.lit(stats[2]).cast("bigint").alias("shared_pairs"), "*")
+
+
+@register("oversample_minority", f"""WITH s AS ({O.with_group_split('D')}),
+tr AS (SELECT * FROM s WHERE split = 'train'),
+m AS (SELECT account_name, count(*) AS n FROM tr GROUP BY 1 HAVING count(*) < 10),
+rk AS (SELECT tr.row_id, tr.account_name, row_number() OVER (PARTITION BY tr.account_name
+       ORDER BY {O.md5_key(42, 'row_id')}, tr.row_id) AS r FROM tr JOIN m USING (account_name)),
+cp AS (SELECT account_name, CAST(i AS INTEGER) AS copy_no,
+       1 + {O.hex7("md5('42:' || account_name || ':' || CAST(i AS VARCHAR))")} % n AS r
+       FROM (SELECT account_name, n, unnest(generate_series(1, 10 - n)) AS i FROM m) e)
+SELECT row_id, account_name, 0 AS copy_no FROM tr
+UNION ALL SELECT rk.row_id, rk.account_name, cp.copy_no FROM cp JOIN rk USING (account_name, r)""")
+def q_oversample_minority(spark, sf_dir):
+    train = S.group_split(expenses(spark, sf_dir)).where("split = 'train'")
+    return S.oversample_minority(train, min_count=10).select("row_id", "account_name", "copy_no")
+
+
+@register("learning_curve_prefix", _GROUP_REPEATED_SQL.replace("range(5)", "range(3)") + """,
+tr AS (SELECT t.split_id, c.row_id, row_number() OVER (PARTITION BY t.split_id
+       ORDER BY md5('42:' || CAST(c.row_id AS VARCHAR))) AS rk,
+       count(*) OVER (PARTITION BY t.split_id) AS n FROM c JOIN t USING (item_key) WHERE NOT is_test)
+SELECT split_id, f AS train_fraction, row_id FROM tr,
+       (SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE, 0.6::DOUBLE, 0.8::DOUBLE, 1.0::DOUBLE]) AS f) fr
+WHERE rk <= floor(f * n)""")
+def q_learning_curve_prefix(spark, sf_dir):
+    splits = S.repeated_split(expenses(spark, sf_dir), n_splits=3).where("split = 'train'")
+    return S.learning_prefixes(splits).select("split_id", "train_fraction", "row_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
