@@ -16,6 +16,8 @@ from spendlens.operators import clean as C
 from spendlens.operators import lookup as LK
 from spendlens.operators import metrics as M
 from spendlens.operators import profile as P
+from spendlens.operators import tfidf as TF
+from spendlens.operators import features as FE
 from spendlens.operators import split as S
 from spendlens.plans import oracle as O
 from spendlens.sources.views import raw_view
@@ -366,6 +368,267 @@ def q_learning_curve_prefix(spark, sf_dir):
     return S.learning_prefixes(splits).select("split_id", "train_fraction", "row_id")
 
 
+# ---------------------------------------------------------------- metrics over lookup predictions
+
+def _group_baseline(spark, sf_dir):
+    pred, train = _baseline(spark, sf_dir, split="group")
+    return pred.cache(), train
+
+
+_GROUP_PRED = O.lookup_predictions(O.with_group_split("D"))
+
+
+@register("classification_report", _GROUP_PRED + ", " + O.report("p") + (
+    "SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+    "round(f1, 6) AS f1, support FROM rep"))
+def q_classification_report(spark, sf_dir):
+    pred, _ = _group_baseline(spark, sf_dir)
+    rep = M.classification_report(pred)
+    return rep.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"),
+                      r6("f1").alias("f1"), "support")
+
+
+_AVG_COLS = ["macro_precision", "macro_recall", "macro_f1", "weighted_precision",
+             "weighted_recall", "weighted_f1"]
+
+
+@register("report_averages", _GROUP_PRED + ", " + O.report("p") + (
+    "SELECT round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, "
+    "round(avg(f1), 6) AS macro_f1, "
+    "round(sum(precision * support) / sum(support), 6) AS weighted_precision, "
+    "round(sum(recall * support) / sum(support), 6) AS weighted_recall, "
+    "round(sum(f1 * support) / sum(support), 6) AS weighted_f1, count(*) AS n_labels FROM rep"))
+def q_report_averages(spark, sf_dir):
+    pred, _ = _group_baseline(spark, sf_dir)
+    avg = M.report_averages(M.classification_report(pred))
+    return avg.select(*[r6(c).alias(c) for c in _AVG_COLS], "n_labels")
+
+
+def _ranked_sql(best: bool) -> str:
+    order = "f1 DESC" if best else "f1 ASC"
+    return _GROUP_PRED + ", " + O.report("p") + (
+        f"SELECT label, round(f1, 6) AS f1, support, row_number() OVER (ORDER BY {order}, support DESC, "
+        f"label) AS rank FROM rep WHERE support >= 5 ORDER BY {order}, support DESC, label LIMIT 10")
+
+
+def _ranked_spark(spark, sf_dir, best: bool):
+    pred, _ = _group_baseline(spark, sf_dir)
+    top = M.ranked_labels(M.classification_report(pred), best=best)
+    order = [F.col("f1").desc() if best else F.col("f1").asc(), F.col("support").desc(),
+             F.col("label").asc()]
+    from pyspark.sql import Window
+    return top.select("label", r6("f1").alias("f1"), "support",
+                      F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"))
+
+
+@register("top_labels", _ranked_sql(True))
+def q_top_labels(spark, sf_dir):
+    return _ranked_spark(spark, sf_dir, True)
+
+
+@register("bottom_labels", _ranked_sql(False))
+def q_bottom_labels(spark, sf_dir):
+    return _ranked_spark(spark, sf_dir, False)
+
+
+@register("error_by_frequency", _GROUP_PRED + (
+    ", cnt AS (SELECT account_name, count(*) AS n FROM tr GROUP BY 1), "
+    "b AS (SELECT p.account_name, p.predicted, CASE WHEN coalesce(cnt.n, 0) = 1 THEN 'singleton (n=1)' "
+    "WHEN coalesce(cnt.n, 0) BETWEEN 2 AND 4 THEN 'very_rare (2-4)' "
+    "WHEN coalesce(cnt.n, 0) BETWEEN 5 AND 19 THEN 'rare (5-19)' "
+    "WHEN coalesce(cnt.n, 0) BETWEEN 20 AND 99 THEN 'medium (20-99)' "
+    "WHEN coalesce(cnt.n, 0) >= 100 THEN 'frequent (100+)' END AS bucket "
+    "FROM p LEFT JOIN cnt USING (account_name)) "
+    "SELECT bucket, CAST(sum(CAST(account_name = predicted AS INTEGER)) AS BIGINT) AS correct, "
+    "count(*) AS total, round(sum(CAST(account_name = predicted AS INTEGER)) / count(*), 4) AS accuracy "
+    "FROM b WHERE bucket IS NOT NULL GROUP BY 1"))
+def q_error_by_frequency(spark, sf_dir):
+    pred, train = _group_baseline(spark, sf_dir)
+    return M.error_by_frequency(pred, train)
+
+
+def _split_majority_sql(key: str, out: str) -> str:
+    return (f"SELECT split_id, {key}, {out} FROM (SELECT split_id, {key}, account_name AS {out}, "
+            f"row_number() OVER (PARTITION BY split_id, {key} ORDER BY n DESC, account_name) AS rn "
+            f"FROM (SELECT split_id, {key}, account_name, count(*) AS n FROM tr GROUP BY ALL) v) r "
+            f"WHERE rn = 1")
+
+
+@register("repeated_baseline_stats", _GROUP_REPEATED_SQL + f""",
+s AS (SELECT t.split_id, t.is_test, c.* FROM c JOIN t USING (item_key)),
+tr AS (SELECT * FROM s WHERE NOT is_test), te AS (SELECT * FROM s WHERE is_test),
+im AS ({_split_majority_sql('item_key', 'item_label')}),
+vm AS ({_split_majority_sql('vendor_id', 'vendor_label')}),
+gm AS (SELECT split_id, g FROM (SELECT split_id, account_name AS g, row_number() OVER
+       (PARTITION BY split_id ORDER BY count(*) DESC, account_name) AS rn FROM tr GROUP BY 1, 2) r WHERE rn = 1),
+p AS (SELECT te.split_id, te.account_name, coalesce(nullif(im.item_label, ''),
+      nullif(vm.vendor_label, ''), gm.g) AS predicted FROM te LEFT JOIN im USING (split_id, item_key)
+      LEFT JOIN vm USING (split_id, vendor_id) LEFT JOIN gm USING (split_id)),
+{O.report('p', 'split_id')},
+f AS (SELECT split_id, avg(f1) AS macro_f1 FROM rep GROUP BY 1),
+a AS (SELECT split_id, avg(CAST(account_name = predicted AS DOUBLE)) AS acc FROM p GROUP BY 1)
+SELECT round(avg(acc), 6) AS accuracy_mean, round(stddev_pop(acc), 6) AS accuracy_std,
+       round(avg(macro_f1), 6) AS macro_f1_mean, round(stddev_pop(macro_f1), 6) AS macro_f1_std,
+       count(*) AS n_splits FROM a JOIN f USING (split_id)""")
+def q_repeated_baseline_stats(spark, sf_dir):
+    s = S.repeated_split(expenses(spark, sf_dir), n_splits=5).cache()
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    pred = LK.lookup_predict(train, test, by="split_id").cache()
+    f1 = M.report_averages(M.classification_report(pred, by=["split_id"]), by=["split_id"])
+    acc = pred.groupBy("split_id").agg(
+        F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("acc"))
+    per_split = acc.join(f1.select("split_id", "macro_f1"), "split_id")
+    return per_split.agg(r6(F.avg("acc")).alias("accuracy_mean"),
+                         r6(F.stddev_pop("acc")).alias("accuracy_std"),
+                         r6(F.avg("macro_f1")).alias("macro_f1_mean"),
+                         r6(F.stddev_pop("macro_f1")).alias("macro_f1_std"),
+                         F.count(F.lit(1)).alias("n_splits"))
+
+
+# ---------------------------------------------------------------- text features (TXT-1..10)
+
+def _counts_spark(df, terms):
+    return (df.repartition("row_id").select("row_id", F.explode(terms).alias("term"))
+            .groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+@register("word_tokens", f"WITH c AS ({O.clean('D')}) "
+          + O.term_counts("c", O.word_terms("text", bigrams=False)))
+def q_word_tokens(spark, sf_dir):
+    from spendlens.functions.text import strip_accents, word_tokens
+    return _counts_spark(expenses(spark, sf_dir), word_tokens(strip_accents(F.col("text"))))
+
+
+@register("word_ngrams", f"WITH c AS ({O.clean('D')}) " + O.term_counts("c", O.word_terms("text")))
+def q_word_ngrams(spark, sf_dir):
+    return TF.term_counts(expenses(spark, sf_dir), TF.WORD)
+
+
+@register("char_wb_ngrams", f"WITH c AS ({O.clean('D')}) " + O.term_counts("c", O.char_terms("text")))
+def q_char_wb_ngrams(spark, sf_dir):
+    return TF.term_counts(expenses(spark, sf_dir), TF.CHAR)
+
+
+@register("doc_freq", f"WITH c AS ({O.clean('D')}), "
+          + O.tfidf("c", "c", O.word_terms("text"), 2)
+          + "SELECT term, df, round(idf, 6) AS idf FROM idf")
+def q_doc_freq(spark, sf_dir):
+    df = expenses(spark, sf_dir)
+    return TF.fit_vocabulary(df, TF.WORD).select("term", "df", r6("idf").alias("idf"))
+
+
+def _tfidf_sql(terms, min_df, train="c", apply="c", prefix=None):
+    head = prefix or f"WITH c AS ({O.clean('D')}), "
+    return (head + O.tfidf(train, apply, terms, min_df)
+            + "SELECT row_id, term, round(weight, 6) AS weight FROM tw")
+
+
+def _tfidf_spark(df, block, apply_to=None):
+    return TF.tfidf(df, block, apply_to).select("row_id", "term", r6("weight").alias("weight"))
+
+
+@register("tfidf_word", _tfidf_sql(O.word_terms("text"), 2))
+def q_tfidf_word(spark, sf_dir):
+    return _tfidf_spark(expenses(spark, sf_dir), TF.WORD)
+
+
+@register("tfidf_item", _tfidf_sql(O.word_terms("item_key"), 1))
+def q_tfidf_item(spark, sf_dir):
+    return _tfidf_spark(expenses(spark, sf_dir), TF.ITEM)
+
+
+@register("tfidf_char", _tfidf_sql(O.char_terms("text"), 1))
+def q_tfidf_char(spark, sf_dir):
+    return _tfidf_spark(expenses(spark, sf_dir), TF.CHAR)
+
+
+@register("tfidf_transform", _tfidf_sql(
+    O.word_terms("text"), 2, train="trn", apply="tst",
+    prefix=f"WITH s AS ({O.with_group_split('D')}), trn AS (SELECT * FROM s WHERE split = 'train'), "
+           f"tst AS (SELECT * FROM s WHERE split = 'test'), "))
+def q_tfidf_transform(spark, sf_dir):
+    s = S.group_split(expenses(spark, sf_dir)).cache()
+    return _tfidf_spark(s.where("split = 'train'"), TF.WORD, s.where("split = 'test'"))
+
+
+# ---------------------------------------------------------------- categorical / numeric (FEA-1..4)
+
+@register("vendor_onehot", f"SELECT vendor_id, row_number() OVER (ORDER BY vendor_id) - 1 AS vendor_index "
+          f"FROM (SELECT DISTINCT vendor_id FROM ({O.clean('L')}) c) v")
+def q_vendor_onehot(spark, sf_dir):
+    return FE.vendor_index(expenses(spark, sf_dir, "L"))
+
+
+@register("amount_maxabs", f"WITH c AS ({O.clean('L')}) SELECT row_id, round(amount_log / "
+          f"(SELECT CASE WHEN max(abs(amount_log)) = 0 THEN 1.0 ELSE max(abs(amount_log)) END FROM c), 6) "
+          f"AS amount_scaled FROM c")
+def q_amount_maxabs(spark, sf_dir):
+    df = expenses(spark, sf_dir, "L")
+    m = FE.max_abs(df)
+    return df.select("row_id", r6(FE.scale_max_abs("amount_log", m)).alias("amount_scaled"))
+
+
+_EDGES_SQL = (f"WITH c AS ({O.clean('D')}), q AS (SELECT list_sort(list_distinct(quantile_cont("
+              f"amount_log, {O.QUANTILE_LIST}))) AS edges FROM c) ")
+
+
+@register("amount_bin_edges", _EDGES_SQL + (
+    "SELECT CAST(idx - 1 AS INTEGER) AS edge_index, round(edges[idx], 6) AS edge FROM q, "
+    "(SELECT unnest(range(1, 12)) AS idx) r WHERE idx <= len(edges)"))
+def q_amount_bin_edges(spark, sf_dir):
+    edges = FE.bin_edges(expenses(spark, sf_dir))
+    # At most 11 values computed by the distributed percentile job, returned as a frame.
+    rows = [(i, round(e, 6)) for i, e in enumerate(edges)]
+    return spark.createDataFrame(rows, "edge_index int, edge double")
+
+
+@register("amount_bins", _EDGES_SQL + (
+    "SELECT row_id, CAST(least(len(list_filter(edges[2:len(edges) - 1], lambda e: e <= amount_log)), "
+    "greatest(len(edges) - 2, 0)) AS INTEGER) AS amount_bin FROM c, q"))
+def q_amount_bins(spark, sf_dir):
+    df = expenses(spark, sf_dir)
+    edges = FE.bin_edges(df)
+    return df.select("row_id", FE.bin_index("amount_log", edges).alias("amount_bin"))
+
+
+@register("class_weights", f"WITH c AS ({O.clean('D')}), n AS (SELECT account_name, count(*) AS n "
+          f"FROM c GROUP BY 1) SELECT account_name, n, round((SELECT sum(n) FROM n) / "
+          f"((SELECT count(*) FROM n) * n), 6) AS weight FROM n")
+def q_class_weights(spark, sf_dir):
+    from spendlens.operators.train import balanced_class_weights
+    return balanced_class_weights(expenses(spark, sf_dir)).select(
+        "account_name", "n", r6("weight").alias("weight"))
+
+
+# ---------------------------------------------------------------- confidence-gated fallback (JOI-2, MDL-5)
+
+@register("vendor_fallback", O.lookup_predictions(O.with_random_split("D")).split(", p AS (")[0] + f""",
+ic AS (SELECT item_key, max(n) / sum(n) AS conf FROM (SELECT item_key, account_name, count(*) AS n
+       FROM tr GROUP BY ALL) v GROUP BY 1),
+gc AS (SELECT max(n) / sum(n) AS conf FROM (SELECT account_name, count(*) AS n FROM tr GROUP BY 1) v),
+q AS (SELECT te.row_id, te.vendor_id, coalesce(im.item_label, (SELECT g FROM gm)) AS model_pred,
+      coalesce(ic.conf, (SELECT conf FROM gc)) AS max_prob
+      FROM te LEFT JOIN im USING (item_key) LEFT JOIN ic USING (item_key))
+SELECT row_id, CASE WHEN max_prob < 0.5 AND coalesce(vm.vendor_label, '') <> '' THEN vm.vendor_label
+       ELSE model_pred END AS predicted,
+       CASE WHEN max_prob < 0.5 AND coalesce(vm.vendor_label, '') <> '' THEN 'vendor_fallback'
+       ELSE 'model' END AS source, round(max_prob, 6) AS max_prob
+FROM q LEFT JOIN vm USING (vendor_id)""")
+def q_vendor_fallback(spark, sf_dir):
+    s = S.random_split(expenses(spark, sf_dir)).cache()
+    train, test = s.where("split = 'train'"), s.where("split = 'test'")
+    items = LK.majority_by(train, "item_key", out="item_label")
+    g_label, g_votes, g_rows = LK.global_majority_by(
+        train.withColumn("_all", F.lit(0)), "_all")[0]
+    scored = (test.join(items, "item_key", "left")
+              .select("row_id", "vendor_id",
+                      F.coalesce(F.col("item_label"), F.lit(g_label)).alias("predicted"),
+                      F.coalesce(F.col("item_label_votes") / F.col("item_key_rows"),
+                                 F.lit(g_votes / g_rows)).alias("max_prob")))
+    out = LK.apply_vendor_fallback(scored, LK.vendor_account_map(train), threshold=0.5)
+    return out.select("row_id", "predicted", "source", r6("max_prob").alias("max_prob"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -109,4 +109,54 @@ def lookup_predictions(split_cte: str) -> str:
     )
 
 
-WORD_TOKEN_SQL = WORD_TOKEN
+def report(pred: str, by: str = "") -> str:
+    """CTE text: per-label report ``rep`` over prediction relation ``pred``
+    (columns account_name, predicted [, by])."""
+    b = f"{by}, " if by else ""
+    return (
+        f"pairs AS (SELECT {b}account_name AS t, predicted AS p, count(*) AS n FROM {pred} GROUP BY ALL), "
+        f"lab AS (SELECT {b}label, CAST(sum(support) AS DOUBLE) AS support, "
+        f"CAST(sum(pn) AS DOUBLE) AS pn, CAST(sum(tp) AS DOUBLE) AS tp FROM ("
+        f"  SELECT {b}t AS label, n AS support, 0 AS pn, CASE WHEN t = p THEN n ELSE 0 END AS tp FROM pairs "
+        f"  UNION ALL SELECT {b}p AS label, 0 AS support, n AS pn, 0 AS tp FROM pairs) u GROUP BY ALL), "
+        f"rep AS (SELECT {b}label, CASE WHEN pn > 0 THEN tp / pn ELSE 0.0 END AS precision, "
+        f"CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, "
+        f"CASE WHEN support + pn > 0 THEN 2 * tp / (support + pn) ELSE 0.0 END AS f1, "
+        f"CAST(support AS BIGINT) AS support FROM lab) "
+    )
+
+
+def word_terms(col: str, bigrams: bool = True) -> str:
+    tok = f"regexp_extract_all(strip_accents({col}), '{WORD_TOKEN}')"
+    if not bigrams:
+        return tok
+    return (f"list_concat(tk, list_transform(range(1, len(tk)), lambda i: tk[i] || ' ' || tk[i + 1]))"
+            .replace("tk", f"({tok})"))
+
+
+def char_terms(col: str) -> str:
+    return (f"flatten(list_transform(list_filter(string_split({col}, ' '), lambda w: length(w) > 0), "
+            f"lambda w: flatten(list_transform(range(3, least(5, length(w) + 2) + 1), "
+            f"lambda n: list_transform(range(1, length(w) + 2 - n + 2), "
+            f"lambda i: substr(' ' || w || ' ', i, n))))))")
+
+
+def term_counts(src: str, terms_expr: str) -> str:
+    return (f"SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest({terms_expr}) AS term "
+            f"FROM {src}) x GROUP BY ALL")
+
+
+def tfidf(train_src: str, apply_src: str, terms_expr: str, min_df: int) -> str:
+    """CTE text ending in ``tw`` = (row_id, term, weight)."""
+    return (
+        f"tctr AS ({term_counts(train_src, terms_expr)}), "
+        f"tcap AS ({term_counts(apply_src, terms_expr)}), "
+        f"voc AS (SELECT term, count(*) AS df FROM tctr GROUP BY 1 HAVING count(*) >= {min_df}), "
+        f"idf AS (SELECT term, df, ln((nd + 1) / (df + 1)) + 1 AS idf FROM voc, "
+        f"        (SELECT CAST(count(*) AS DOUBLE) AS nd FROM {train_src}) n), "
+        f"raw AS (SELECT row_id, term, (1 + ln(tf)) * idf AS w FROM tcap JOIN idf USING (term)), "
+        f"tw AS (SELECT row_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY row_id)) AS weight FROM raw) "
+    )
+
+
+QUANTILE_LIST = "[" + ", ".join(f"{i / 10}::DOUBLE" for i in range(11)) + "]"
