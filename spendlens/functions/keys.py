@@ -114,6 +114,10 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx") -> Data
     """
     sorted_df = df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
     sorted_df = sorted_df.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+    # The ids depend on the physical partitioning of this one execution: write it once to
+    # the shared checkpoint folder (survives executor loss, never recomputed differently).
+    from spendlens.session import materialize
+    sorted_df = materialize(sorted_df)
     counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, running = {}, 0
     for row in sorted(counts, key=lambda r: r["_pid"]):

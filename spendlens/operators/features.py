@@ -15,7 +15,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendlens.functions.keys import broadcast_if_small, dense_index
@@ -28,9 +28,19 @@ MAX_BROADCAST_VENDORS = 5_000_000
 
 # ---------------------------------------------------------------- FEA-1 vendor one-hot
 
+SMALL_TABLE_ROWS = 1_000_000
+
+
 def vendor_index(train: DataFrame, col: str = "vendor_id") -> DataFrame:
-    """Alphabetical 0-based index of the distinct training vendors (one-hot categories)."""
-    return dense_index(train.select(col).distinct(), [col], "vendor_index")
+    """Alphabetical 0-based index of the distinct training vendors (one-hot categories).
+
+    Up to SMALL_TABLE_ROWS distinct vendors a single ordered window over the distinct
+    values is cheapest; beyond it the distributed ``dense_index`` is used."""
+    vendors = train.select(col).distinct()
+    if vendors.count() <= SMALL_TABLE_ROWS:
+        return vendors.select(col, (F.row_number().over(Window.orderBy(col)) - 1)
+                              .cast("bigint").alias("vendor_index"))
+    return dense_index(vendors, [col], "vendor_index")
 
 
 # ---------------------------------------------------------------- FEA-2 max-abs scaling
@@ -59,6 +69,10 @@ def exact_quantiles(df: DataFrame, col: str, qs=QUANTILES) -> list[float]:
         pos = q * (n - 1)
         lo, hi = math.floor(pos), math.ceil(pos)
         wanted[q] = (lo, hi, pos - lo)
+    if n <= SMALL_TABLE_ROWS:
+        # Bounded input: Spark's exact ``percentile`` (same linear interpolation) in one job.
+        row = df.agg(F.percentile(F.col(col), F.array(*[F.lit(q) for q in qs])).alias("p")).first()
+        return [float(v) for v in row["p"]]
     ranks = sorted({r for lo, hi, _ in wanted.values() for r in (lo, hi)})
     indexed = dense_index(df.select(F.col(col).alias("x")), ["x"], "pos")
     got = {r["pos"]: r["x"] for r in indexed.where(F.col("pos").isin(ranks)).collect()}
@@ -169,12 +183,20 @@ def feature_entries(ff: FittedFeatures, df: DataFrame) -> DataFrame:
     return out
 
 
-def transform(ff: FittedFeatures, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One ``features`` vector per row of ``df`` (columns in ``keep`` carried along)."""
-    size = ff.offsets()["size"]
+def transform_arrays(ff: FittedFeatures, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One sparse row per input row as two aligned arrays ``idx`` (int, ascending) and
+    ``val`` (double); colliding hashed slots are summed. Pure SQL functions, no UDF."""
     entries = (feature_entries(ff, df).groupBy("row_id", "idx").agg(F.sum("val").alias("val"))
                .groupBy("row_id")
-               .agg(F.array_sort(F.collect_list(F.struct("idx", "val"))).alias("entries")))
-    vectors = entries.select("row_id", _to_vector(F.lit(size), F.col("entries")).alias("features"))
+               .agg(F.array_sort(F.collect_list(F.struct("idx", "val"))).alias("e")))
+    arrays = entries.select("row_id", F.col("e.idx").alias("idx"), F.col("e.val").alias("val"))
     keep = keep if keep is not None else [c for c in df.columns if c not in ("text",)]
-    return df.select(*keep).join(vectors, "row_id")
+    return df.select(*keep).join(arrays, "row_id")
+
+
+def transform(ff: FittedFeatures, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One ``features`` ML vector per row of ``df`` (for ``pyspark.ml`` estimators)."""
+    size = ff.offsets()["size"]
+    arr = transform_arrays(ff, df, keep)
+    return arr.withColumn("features", _to_vector(F.lit(size), F.arrays_zip("idx", "val"))).drop(
+        "idx", "val")

@@ -19,6 +19,7 @@ from spendlens.operators import profile as P
 from spendlens.operators import tfidf as TF
 from spendlens.operators import features as FE
 from spendlens.operators import split as S
+from spendlens.plans import evaluate as EV
 from spendlens.plans import oracle as O
 from spendlens.sources.views import raw_view
 
@@ -629,6 +630,123 @@ def q_vendor_fallback(spark, sf_dir):
     return out.select("row_id", "predicted", "source", r6("max_prob").alias("max_prob"))
 
 
+# ---------------------------------------------------------------- models (MDL, EVA, TUN): rows-only
+
+_MEMO: dict = {}
+
+
+def _memo(key, fn):
+    """Reuse an expensive result (e.g. the tuning grid) between queries of one process."""
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+@register("feature_union")
+def q_feature_union(spark, sf_dir):
+    s = S.group_split(expenses(spark, sf_dir)).cache()
+    ff = FE.fit_features(s.where("split = 'train'"))
+    arr = FE.transform_arrays(ff, s.where("split = 'test'"), keep=["row_id"])
+    return arr.select("row_id", F.size("idx").alias("nnz"),
+                      F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x).alias("sum_sq"))
+
+
+@register("train_score")
+def q_train_score(spark, sf_dir):
+    return EV.evaluate_holdout(expenses(spark, sf_dir), "group_item")["eval"]
+
+
+@register("model_label_report")
+def q_model_label_report(spark, sf_dir):
+    return EV.evaluate_holdout(expenses(spark, sf_dir), "group_item")["report"]
+
+
+@register("model_error_by_frequency")
+def q_model_error_by_frequency(spark, sf_dir):
+    return EV.evaluate_holdout(expenses(spark, sf_dir), "group_item")["errors"]
+
+
+@register("eval_holdout")
+def q_eval_holdout(spark, sf_dir):
+    df = expenses(spark, sf_dir)
+    return EV.evaluate_holdout(df, "random")["eval"].unionByName(
+        EV.evaluate_holdout(df, "group_item")["eval"])
+
+
+@register("eval_repeated")
+def q_eval_repeated(spark, sf_dir):
+    return EV.evaluate_repeated(expenses(spark, sf_dir), "group_item", n_splits=5)
+
+
+@register("eval_balanced")
+def q_eval_balanced(spark, sf_dir):
+    return EV.evaluate_balanced(expenses(spark, sf_dir))
+
+
+@register("eval_balanced_repeated")
+def q_eval_balanced_repeated(spark, sf_dir):
+    return EV.evaluate_balanced_repeated(expenses(spark, sf_dir), repeats=5)
+
+
+@register("calibrated_predict")
+def q_calibrated_predict(spark, sf_dir):
+    pred = EV.evaluate_calibrated(expenses(spark, sf_dir), "group_item")["pred"]
+    return pred.select("row_id", "account_name", "predicted", "source", "max_prob")
+
+
+@register("eval_calibrated")
+def q_eval_calibrated(spark, sf_dir):
+    df = expenses(spark, sf_dir)
+    return EV.evaluate_calibrated(df, "group_item")["eval"].unionByName(
+        EV.evaluate_calibrated(df, "balanced")["eval"])
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    return EV.learning_curve(expenses(spark, sf_dir))
+
+
+@register("validation_curve")
+def q_validation_curve(spark, sf_dir):
+    return EV.validation_curve(expenses(spark, sf_dir))
+
+
+@register("diagnostics")
+def q_diagnostics(spark, sf_dir):
+    df = expenses(spark, sf_dir)
+    fit = EV.fit_assessment(EV.evaluate_holdout(df, "group_item")["eval"])
+    strat = EV.stratified_group_cv(df).first()
+    counts = P.value_counts(df, "account_name").agg(
+        F.count_if(F.col("n") < 3).alias("labels_lt_3_samples"),
+        F.count_if(F.col("n") == 1).alias("singleton_labels")).first()
+    extra = {"stratified_group_kfold_accuracy_mean": strat["accuracy_mean"],
+             "stratified_group_kfold_accuracy_std": strat["accuracy_std"],
+             "labels_lt_3_samples": counts[0], "singleton_labels": counts[1]}
+    return fit.select("*", *[F.lit(v).alias(k) for k, v in extra.items()])
+
+
+def _grid(spark, sf_dir):
+    def build():
+        g = EV.tune_grid(expenses(spark, sf_dir))
+        return spark.createDataFrame(g.collect(), g.schema)  # 50 rows, kept for reuse
+    return _memo(("grid", sf_dir), build)
+
+
+@register("tune_grid")
+def q_tune_grid(spark, sf_dir):
+    return _grid(spark, sf_dir)
+
+
+@register("tune_select")
+def q_tune_select(spark, sf_dir):
+    return EV.select_best(_grid(spark, sf_dir), "val_macro_f1_mean")
+
+
+@register("tune_two_stage")
+def q_tune_two_stage(spark, sf_dir):
+    return EV.tune_two_stage(expenses(spark, sf_dir), grid=_grid(spark, sf_dir))["best"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
