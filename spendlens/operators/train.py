@@ -120,7 +120,7 @@ def score(tm: TrainedModel, df: DataFrame | None = None, keep: list[str] | None
 # ---------------------------------------------------------------- MDL-4 calibration
 
 def fit_calibration(tm: TrainedModel, scored: DataFrame, label: str = LABEL,
-                    iterations: int = 25) -> dict:
+                    iterations: int = 12, tol: float = 1e-6) -> dict:
     """Per-class sigmoid p = 1 / (1 + exp(A m + B)) fitted on (margin, is_class) with
     Platt's smoothed targets, by damped Newton steps (one aggregation per step)."""
     k_of = {lab: i for i, lab in enumerate(tm.labels)}
@@ -175,7 +175,11 @@ def fit_calibration(tm: TrainedModel, scored: DataFrame, label: str = LABEL,
             db = (-hab * r["ga"] + haa * r["gb"]) / det
             a0, b0 = params[k]
             new[k] = (a0 - step[k] * da, b0 - step[k] * db)
+        moved = max((abs(new[k][0] - params[k][0]) + abs(new[k][1] - params[k][1]) for k in new),
+                    default=0.0)
         params = new
+        if moved < tol:
+            break
     long.unpersist()
     return prev
 
