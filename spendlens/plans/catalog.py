@@ -19,6 +19,8 @@ from spendlens.operators import profile as P
 from spendlens.operators import tfidf as TF
 from spendlens.operators import features as FE
 from spendlens.operators import split as S
+from spendlens.operators import tracking as TK
+from spendlens.operators import train as TR
 from spendlens.plans import evaluate as EV
 from spendlens.plans import oracle as O
 from spendlens.sources.views import raw_view
@@ -299,7 +301,7 @@ sel{s} AS (SELECT account_name, item_key FROM pre{s} WHERE account_name IN (SELE
 cand{s} AS (SELECT {src}.row_id, {src}.account_name, row_number() OVER (PARTITION BY {src}.account_name
             ORDER BY md5('{s}:' || CAST({src}.row_id AS VARCHAR))) AS rn
             FROM {src} JOIN sel{s} USING (account_name, item_key)),
-bs{s} AS (SELECT {src}.row_id, {src}.account_name, {src}.item_key,
+bs{s} AS (SELECT {src}.*,
           CASE WHEN t.row_id IS NOT NULL THEN 'test' WHEN x.account_name IS NOT NULL THEN 'dropped'
                ELSE 'train' END AS split
           FROM {src} LEFT JOIN sel{s} x USING (account_name, item_key)
@@ -747,6 +749,135 @@ def q_tune_two_stage(spark, sf_dir):
     return EV.tune_two_stage(expenses(spark, sf_dir), grid=_grid(spark, sf_dir))["best"]
 
 
+# ---------------------------------------------------------------- tracking tables (TRK-2/3/6/8/9)
+
+def lookup_evals(spark, sf_dir) -> DataFrame:
+    """EVAL table of the lookup model on the random, group and balanced splits."""
+    df = expenses(spark, sf_dir).cache()
+    splits = {"random": S.random_split(df), "group_item": S.group_split(df),
+              "balanced_holdout": S.balanced_unseen_split(df)}
+    parts = []
+    for key, s in splits.items():
+        s = s.cache()
+        pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'")).cache()
+        acc = pred.agg(F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("accuracy"))
+        f1 = M.report_averages(M.classification_report(pred)).select("macro_f1")
+        row = acc.select("accuracy", F.lit(f1.first()["macro_f1"]).alias("macro_f1"))
+        parts.append(row.select(F.lit(key).alias("key"), "accuracy", "macro_f1"))
+        if key == "random":
+            parts.append(row.select(F.lit("baseline").alias("key"), "accuracy", "macro_f1"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _lookup_evals_sql() -> str:
+    chains = [O.lookup_eval(O.with_random_split("D"), "r_", "random"),
+              O.lookup_eval(O.with_group_split("D"), "g_", "group_item"),
+              O.lookup_eval(f"WITH c AS ({O.clean('D')}), {balanced_sql(42)} SELECT * FROM bs42",
+                            "b_", "balanced_holdout")]
+    # the balanced split's own CTEs are nested inside its split CTE
+    chains[2] = chains[2].replace("b_s AS (WITH", "b_s AS (WITH", 1)
+    return ("WITH " + ", ".join(chains) + ", evals AS (SELECT * FROM r_ev UNION ALL SELECT * FROM g_ev "
+            "UNION ALL SELECT * FROM b_ev UNION ALL SELECT 'baseline' AS key, accuracy, macro_f1 FROM r_ev) ")
+
+
+@register("metric_card", _lookup_evals_sql() + (
+    "SELECT position, benchmark, round(accuracy, 6) AS accuracy, round(CASE WHEN key = 'baseline' "
+    "THEN NULL ELSE macro_f1 END, 6) AS macro_f1 FROM (SELECT * FROM (VALUES "
+    + ", ".join(f"({i}, '{n}', '{k}')" for i, (n, k) in enumerate(TK.METRIC_CARD))
+    + ") v(position, benchmark, key)) card LEFT JOIN evals USING (key)"))
+def q_metric_card(spark, sf_dir):
+    card = TK.metric_card(lookup_evals(spark, sf_dir))
+    return card.select(F.col("position").cast("int").alias("position"), "benchmark",
+                       r6("accuracy").alias("accuracy"), r6("macro_f1").alias("macro_f1"))
+
+
+@register("flat_metrics", _lookup_evals_sql() + (
+    "SELECT key || '_accuracy' AS metric, round(accuracy, 6) AS value FROM evals WHERE accuracy IS NOT NULL "
+    "UNION ALL SELECT key || '_macro_f1', round(macro_f1, 6) FROM evals WHERE macro_f1 IS NOT NULL"))
+def q_flat_metrics(spark, sf_dir):
+    flat = TK.flat_metrics(lookup_evals(spark, sf_dir))
+    return flat.select("metric", r6("value").alias("value"))
+
+
+@register("champion_metrics")
+def q_champion_metrics(spark, sf_dir):
+    """Each of 5 repeated group splits is a run of the lookup model, logged and registered
+    as a new version; the champion (latest version) and its run's metrics are returned."""
+    from spendlens.session import scratch_path
+    import uuid
+    base = scratch_path(spark, f"registry-{uuid.uuid4().hex}")
+    s = S.repeated_split(expenses(spark, sf_dir), n_splits=5).cache()
+    pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'"), by="split_id")
+    acc = pred.groupBy("split_id").agg(
+        F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("accuracy"))
+    for r in acc.orderBy("split_id").collect():
+        run = f"run-{r['split_id']}"
+        TK.log_metrics(spark.createDataFrame([("accuracy", r["accuracy"])], "metric string, value double"),
+                       run, f"{base}/run_metrics")
+        TK.register_version(spark, f"{base}/model_versions", "lookup", run, f"{base}/models/{run}")
+    return TK.champion_metrics(spark.read.parquet(f"{base}/model_versions"),
+                               spark.read.parquet(f"{base}/run_metrics"))
+
+
+@register("comparison_tables")
+def q_comparison_tables(spark, sf_dir):
+    """Before/after: lookup model on the random vs the group split (leakage effect)."""
+    ev = lookup_evals(spark, sf_dir).cache()
+    before = ev.where("key = 'random'").withColumn("key", F.lit("holdout"))
+    after = ev.where("key = 'group_item'").withColumn("key", F.lit("holdout"))
+    return TK.comparison(before, after)
+
+
+# ---------------------------------------------------------------- sinks and stream (SNK, STR): rows-only
+
+@register("export_splits")
+def q_export_splits(spark, sf_dir):
+    from spendlens.session import scratch_path
+    import uuid
+    from spendlens.sources import sinks as SK
+    path = scratch_path(spark, f"exports-{uuid.uuid4().hex}")
+    df = expenses(spark, sf_dir)
+    SK.export_csv(df.drop("text"), f"{path}/dataset")
+    SK.export_splits(S.group_split(df).drop("text"), f"{path}/splits", "run-1", "group_item")
+    back = spark.read.option("header", True).csv(f"{path}/splits")
+    return back.groupBy("run_id", "split_name", "split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("fit_full_model")
+def q_fit_full_model(spark, sf_dir):
+    from spendlens.session import scratch_path
+    import uuid
+    from spendlens.sources import sinks as SK
+    df = expenses(spark, sf_dir).cache()
+    tm = TR.fit_model(df)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    SK.save_model(tm, path)
+    loaded = SK.load_model(spark, path)
+    return TR.score(loaded, df, keep=["row_id", "account_name"]).select("row_id", "account_name", "predicted")
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    from spendlens.session import scratch_path
+    import uuid
+    from spendlens.sources.raw import to_raw_json_rows
+    from spendlens.streaming.score import start_scoring_stream
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    s = S.group_split(expenses(spark, sf_dir)).cache()
+    train = s.where("split = 'train'")
+    tm = TR.fit_model(train)
+    cal = TR.fit_calibration(tm, TR.score(tm))
+    raw = raw_view(spark, sf_dir).join(s.where("split = 'test'").select("row_id"), "row_id")
+    to_raw_json_rows(raw).repartition(4).write.mode("overwrite").json(f"{base}/incoming")
+    q = start_scoring_stream(spark, tm, f"{base}/incoming", f"{base}/scored", f"{base}/checkpoint",
+                             LK.vendor_account_map(train), cal)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/scored")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

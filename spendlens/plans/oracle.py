@@ -109,23 +109,36 @@ def lookup_predictions(split_cte: str) -> str:
     )
 
 
-def report(pred: str, by: str = "") -> str:
-    """CTE text: per-label report ``rep`` over prediction relation ``pred``
+def report(pred: str, by: str = "", pfx: str = "") -> str:
+    """CTE text: per-label report ``{pfx}rep`` over prediction relation ``pred``
     (columns account_name, predicted [, by])."""
     b = f"{by}, " if by else ""
     return (
-        f"pairs AS (SELECT {b}account_name AS t, predicted AS p, count(*) AS n FROM {pred} GROUP BY ALL), "
-        f"lab AS (SELECT {b}label, CAST(sum(support) AS DOUBLE) AS support, "
+        f"{pfx}pairs AS (SELECT {b}account_name AS t, predicted AS p, count(*) AS n FROM {pred} GROUP BY ALL), "
+        f"{pfx}lab AS (SELECT {b}label, CAST(sum(support) AS DOUBLE) AS support, "
         f"CAST(sum(pn) AS DOUBLE) AS pn, CAST(sum(tp) AS DOUBLE) AS tp FROM ("
-        f"  SELECT {b}t AS label, n AS support, 0 AS pn, CASE WHEN t = p THEN n ELSE 0 END AS tp FROM pairs "
-        f"  UNION ALL SELECT {b}p AS label, 0 AS support, n AS pn, 0 AS tp FROM pairs) u GROUP BY ALL), "
-        f"rep AS (SELECT {b}label, CASE WHEN pn > 0 THEN tp / pn ELSE 0.0 END AS precision, "
+        f"  SELECT {b}t AS label, n AS support, 0 AS pn, CASE WHEN t = p THEN n ELSE 0 END AS tp FROM {pfx}pairs "
+        f"  UNION ALL SELECT {b}p AS label, 0 AS support, n AS pn, 0 AS tp FROM {pfx}pairs) u GROUP BY ALL), "
+        f"{pfx}rep AS (SELECT {b}label, CASE WHEN pn > 0 THEN tp / pn ELSE 0.0 END AS precision, "
         f"CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, "
         f"CASE WHEN support + pn > 0 THEN 2 * tp / (support + pn) ELSE 0.0 END AS f1, "
-        f"CAST(support AS BIGINT) AS support FROM lab) "
+        f"CAST(support AS BIGINT) AS support FROM {pfx}lab) "
     )
 
 
+def lookup_eval(split_cte: str, pfx: str, key: str) -> str:
+    """CTE chain ending in ``{pfx}ev`` = (key, accuracy, macro_f1) of the lookup baseline."""
+    body = lookup_predictions(split_cte)[len("WITH "):]
+    for name in ["s", "tr", "te", "im", "vm", "gm", "p"]:
+        body = body.replace(f"{name} AS (", f"{pfx}{name} AS (")
+        for tok in [f" FROM {name} ", f" FROM {name})", f"JOIN {name} ", f"{name}.", f"FROM {name} WHERE"]:
+            body = body.replace(tok, tok.replace(name, pfx + name, 1))
+    body = body.rstrip()
+    return (body + ", " + report(f"{pfx}p", pfx=pfx)
+            + f", {pfx}ev AS (SELECT '{key}' AS key, (SELECT avg(CAST(account_name = predicted AS DOUBLE)) "
+              f"FROM {pfx}p) AS accuracy, (SELECT avg(f1) FROM {pfx}rep) AS macro_f1)")
+
+
 def word_terms(col: str, bigrams: bool = True) -> str:
     tok = f"regexp_extract_all(strip_accents({col}), '{WORD_TOKEN}')"
     if not bigrams:
