@@ -80,10 +80,10 @@ def word_ngrams(tokens, n_max: int = 2) -> Column:
         return tok
     if n_max != 2:
         raise ValueError("only 1- and 2-grams are supported")
-    pairs = F.transform(
-        tok,
-        lambda x, i: F.when(i + 1 < F.size(tok), F.concat_ws(" ", x, F.get(tok, i + 1))),
-    )
+    # adjacent pairs: zip the tokens with themselves shifted by one (pass a column, not a
+    # tokeniser expression, so nothing is recomputed per element)
+    shifted = F.slice(F.concat(tok, F.array(F.lit(None).cast("string"))), 2, F.size(tok) + 1)
+    pairs = F.zip_with(tok, shifted, lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
     return F.concat(tok, F.filter(pairs, lambda s: s.isNotNull()))
 
 

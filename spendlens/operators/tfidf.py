@@ -55,11 +55,25 @@ def block_terms(block: TextBlock, col=None) -> F.Column:
     return char_wb_ngrams(c, block.char_min, block.char_max)
 
 
+def with_terms(df: DataFrame, block: TextBlock, name: str = "terms") -> DataFrame:
+    """Add the term array as a column. Word tokens are projected first so the n-gram
+    expression refers to a column instead of repeating the regex tokenisation (Catalyst
+    keeps the two projections apart because the tokeniser is not cheap)."""
+    if block.analyzer != "word":
+        return df.withColumn(name, block_terms(block))
+    c = F.col(block.column)
+    if block.strip_accents:
+        c = strip_accents(c)
+    tok = df.withColumn("_tok", word_tokens(c))
+    return tok.withColumn(name, word_ngrams(F.col("_tok"), block.ngram_max)).drop("_tok")
+
+
 def term_counts(df: DataFrame, block: TextBlock, prepartitioned: bool = False) -> DataFrame:
     """(row_id, term, tf). With ``prepartitioned`` the input is already hash-partitioned
     by row_id, and the aggregation runs without another exchange."""
     src = df if prepartitioned else df.repartition("row_id")
-    exploded = src.select("row_id", F.explode(block_terms(block)).alias("term"))
+    exploded = with_terms(src.select("row_id", block.column), block).select(
+        "row_id", F.explode("terms").alias("term"))
     return exploded.groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
