@@ -19,7 +19,9 @@ partition count (and the parallelism) grows with the data.
 
 from __future__ import annotations
 
+import logging
 import math
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +32,11 @@ from pyspark.sql import functions as F
 from spendlens.session import materialize
 
 ROWS_PER_PARTITION = 50_000
+_LOG = logging.getLogger("spendlens.linear")
+
+
+def _log(msg: str) -> None:
+    _LOG.info(msg)
 STATE_SCHEMA = ("kind string, row_id string, y int, idx array<int>, val array<double>, "
                 "alpha array<double>, feature int, dw array<double>")
 
@@ -55,36 +62,56 @@ def _round_fn(dim: int, n_classes: int, cp: np.ndarray, cn: np.ndarray, sigma: f
         W = w_bc.value                       # (dim + 1, n_cfg, K); row ``dim`` is the bias
         n_cfg = W.shape[1]
         local = W.astype(np.float32)         # W + sigma * (this partition's change)
+        flat = local.reshape(W.shape[0], -1)  # (dim + 1, n_cfg * K) view: one gemv per row
         n = len(pdf)
         alphas = np.zeros((n, n_cfg, n_classes))
         for i, a in enumerate(pdf["alpha"].values):
             if a is not None and len(a):
                 alphas[i] = np.asarray(a).reshape(n_cfg, n_classes)
         idxs = [np.append(np.asarray(ix, dtype=np.int64), dim) for ix in pdf["idx"].values]
-        vals = [np.append(np.asarray(v, dtype=np.float64), 1.0) for v in pdf["val"].values]
+        vals = [np.append(np.asarray(v, dtype=np.float32), np.float32(1.0)) for v in pdf["val"].values]
         ys = pdf["y"].to_numpy()
         signs = -np.ones((n, n_classes))
         signs[np.arange(n), ys] = 1.0
         # per-row, per-config, per-class C: positives use the class-weighted C
         c_row = np.where(signs[:, None, :] > 0, cp[None, :, :], cn[None, :, None])
         d_ii = 0.5 / c_row
-        sq = np.array([v @ v for v in vals])
+        sq = np.array([float(v @ v) for v in vals])
         rng = np.random.default_rng(seed)
+        # Shrinking (as in liblinear): a row whose dual variables are all 0 and whose
+        # gradients exceed the previous pass's largest projected gradient is skipped until
+        # the active rows converge; then one full pass re-checks every row.
+        active = np.arange(n)
+        bound = np.inf
         for _ in range(epochs):
             pg_max, pg_min = -np.inf, np.inf
-            for i in rng.permutation(n):
+            keep = np.ones(len(active), dtype=bool)
+            for pos in rng.permutation(len(active)):
+                i = active[pos]
                 ii, xi = idxs[i], vals[i]
-                m = np.einsum("nck,n->ck", local[ii], xi)
+                sub = flat[ii]
+                m = (xi @ sub).reshape(n_cfg, n_classes)
                 a = alphas[i]
                 g = signs[i] * m - 1.0 + d_ii[i] * a
+                if not a.any() and g.min() > bound:
+                    keep[pos] = False
+                    continue
                 pg = np.where(a > 0, g, np.minimum(g, 0.0))
                 pg_max, pg_min = max(pg_max, pg.max()), min(pg_min, pg.min())
                 new = np.maximum(a - g / (sigma * sq[i] + d_ii[i]), 0.0)
                 d = (new - a) * signs[i]
                 alphas[i] = new
-                local[ii] += (sigma * xi[:, None, None] * d[None, :, :]).astype(np.float32)
-            if pg_max - pg_min <= tol:
+                if d.any():
+                    sub += np.outer(xi * np.float32(sigma), d.ravel().astype(np.float32))
+                    flat[ii] = sub
+            converged = pg_max - pg_min <= tol
+            if converged and len(active) == n:
                 break
+            if converged:
+                active, bound = np.arange(n), np.inf      # verify every row next pass
+            else:
+                active = active[keep]
+                bound = max(pg_max, 0.0) if np.isfinite(pg_max) else np.inf
         touched = np.unique(np.concatenate(idxs))
         change = (local[touched].astype(np.float64) - W[touched]) / sigma
         yield pd.DataFrame({
@@ -134,6 +161,10 @@ def fit_ovr_svm(data: DataFrame, dim: int, n_classes: int, configs: list[dict],
         fn = _round_fn(dim, n_classes, cp, cn, sigma, local_epochs, cfg.seed + r, cfg.tol, w_bc)
         out = state.mapInPandas(fn, STATE_SCHEMA)
         out = materialize(out) if rounds > 1 else out.cache()
+        _t0 = time.time()
+        out.count()
+        _log(f"round {r}: dual pass {time.time() - _t0:.1f}s on {parts} partition(s)")
+        _t0 = time.time()
         delta = (out.where(F.col("kind") == "w")
                  .groupBy("feature")
                  .agg(F.aggregate(F.collect_list("dw"), F.array_repeat(F.lit(0.0), n_cfg * n_classes),
@@ -142,6 +173,7 @@ def fit_ovr_svm(data: DataFrame, dim: int, n_classes: int, configs: list[dict],
         if len(pdf):
             feats = pdf["feature"].to_numpy(dtype=np.int64)
             W[feats] += np.stack(pdf["dw"].to_numpy()).reshape(len(feats), n_cfg, n_classes)
+        _log(f"round {r}: weight sum {time.time() - _t0:.1f}s")
         w_bc.unpersist()
         state = out.where(F.col("kind") == "row").select("row_id", "y", "idx", "val", "alpha")
     return W
