@@ -136,7 +136,10 @@ def fit_ovr_svm(data: DataFrame, dim: int, n_classes: int, configs: list[dict],
     cfg = cfg or LinearConfig()
     spark = data.sparkSession
     n = data.count()
-    parts = max(1, math.ceil(n / cfg.rows_per_partition))
+    # More partitions = more parallel dual passes but weaker (sigma'-damped) local steps, so
+    # the count grows with the data and is capped by the cluster's parallelism.
+    parts = max(1, min(math.ceil(n / cfg.rows_per_partition),
+                       spark.sparkContext.defaultParallelism))
     n_cfg = len(configs)
     cp = np.zeros((n_cfg, n_classes))
     cn = np.zeros(n_cfg)
@@ -157,7 +160,7 @@ def fit_ovr_svm(data: DataFrame, dim: int, n_classes: int, configs: list[dict],
              .repartition(parts, "row_id"))
     sc = spark.sparkContext
     for r in range(rounds):
-        w_bc = sc.broadcast(W)
+        w_bc = sc.broadcast(W.astype(np.float32))
         fn = _round_fn(dim, n_classes, cp, cn, sigma, local_epochs, cfg.seed + r, cfg.tol, w_bc)
         out = state.mapInPandas(fn, STATE_SCHEMA)
         out = materialize(out) if rounds > 1 else out.cache()
@@ -186,8 +189,8 @@ def margins_fn(dim: int, w_bc):
             out = []
             for ix, v in zip(pdf["idx"].values, pdf["val"].values):
                 ii = np.append(np.asarray(ix, dtype=np.int64), dim)
-                xi = np.append(np.asarray(v, dtype=np.float64), 1.0)
-                out.append(np.einsum("nck,n->ck", W[ii], xi))
+                xi = np.append(np.asarray(v, dtype=np.float32), np.float32(1.0))
+                out.append((xi @ W[ii].reshape(len(ii), -1)).astype(np.float64))
             res = pdf.drop(columns=["idx", "val"])
             res["margins"] = [m.ravel() for m in out]
             yield res
@@ -198,7 +201,8 @@ def decision_function(rows: DataFrame, W: np.ndarray) -> DataFrame:
     """Per-row margins of every stacked config, flattened config-major (n_cfg * K).
     W is broadcast once per job (the model, bounded by configs x features x classes)."""
     dim = W.shape[0] - 1
-    w_bc = rows.sparkSession.sparkContext.broadcast(W)
+    # W is the model itself (hashed features x configs x classes), sent once per job.
+    w_bc = rows.sparkSession.sparkContext.broadcast(W.astype(np.float32))
     keep = [f for f in rows.schema.fields if f.name not in ("idx", "val")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
     schema = (schema + ", " if schema else "") + "margins array<double>"

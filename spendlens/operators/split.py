@@ -142,14 +142,17 @@ def balanced_unseen_split(df: DataFrame, seed: int = DEFAULT_SEED,
     selected = prefix.join(eligible, label, "left_semi").select(label, group)
     selected = broadcast_if_small(selected, max_rows=MAX_BROADCAST_LABELS * k)
     marked = df.join(selected.withColumn("_sel", F.lit(True)), [label, group], "left")
-    cand = marked.where(F.col("_sel").isNotNull()).withColumn("_rh", order_key(seed, "row_id"))
-    test_ids = top_per_group(cand, [label], ["_rh"], k, rank_name="_tr").select(
-        "row_id", F.lit(True).alias("_test"))
-    out = marked.join(test_ids, "row_id", "left")
-    split = (F.when(F.col("_test").isNotNull(), F.lit("test"))
-             .when(F.col("_sel").isNotNull(), F.lit("dropped"))
-             .otherwise(F.lit("train")))
-    out = out.withColumn("split", split).drop("_sel", "_test")
+    cand = marked.where(F.col("_sel").isNotNull()).drop("_sel")
+    test_ids = top_per_group(cand.withColumn("_rh", order_key(seed, "row_id")), [label], ["_rh"],
+                             k, rank_name="_tr").select("row_id", F.lit(True).alias("_test"))
+    test_ids = broadcast_if_small(test_ids, max_rows=MAX_BROADCAST_LABELS * k)
+    # Only rows of the selected groups are matched against the (bounded) test ids; all
+    # other rows are training rows without any further join.
+    held = (cand.join(test_ids, "row_id", "left")
+            .withColumn("split", F.when(F.col("_test").isNotNull(), F.lit("test"))
+                        .otherwise(F.lit("dropped"))).drop("_test"))
+    kept = marked.where(F.col("_sel").isNull()).drop("_sel").withColumn("split", F.lit("train"))
+    out = kept.unionByName(held.select(*kept.columns))
     if strict:
         test_items = out.where(F.col("split") == "test").select(group).distinct()
         out = (out.join(test_items.withColumn("_seen", F.lit(True)), group, "left")

@@ -744,6 +744,12 @@ def q_tune_select(spark, sf_dir):
     return EV.select_best(_grid(spark, sf_dir), "val_macro_f1_mean")
 
 
+@register("tune_grid_series")
+def q_tune_grid_series(spark, sf_dir):
+    """TOP-7: grid series per (class_weight, oversample), points ordered by C."""
+    return EV.grid_series(_grid(spark, sf_dir))
+
+
 @register("tune_two_stage")
 def q_tune_two_stage(spark, sf_dir):
     return EV.tune_two_stage(expenses(spark, sf_dir), grid=_grid(spark, sf_dir))["best"]
@@ -842,7 +848,7 @@ def q_export_splits(spark, sf_dir):
     df = expenses(spark, sf_dir)
     SK.export_csv(df.drop("text"), f"{path}/dataset")
     SK.export_splits(S.group_split(df).drop("text"), f"{path}/splits", "run-1", "group_item")
-    back = spark.read.option("header", True).csv(f"{path}/splits")
+    back = spark.read.option("header", True).option("multiLine", True).csv(f"{path}/splits")
     return back.groupBy("run_id", "split_name", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 

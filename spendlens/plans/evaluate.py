@@ -336,6 +336,15 @@ def select_best(grid: DataFrame, metric: str = "val_macro_f1_mean") -> DataFrame
     return grid.orderBy(F.col(metric).desc(), F.col("grid_pos").asc()).limit(1)
 
 
+def grid_series(grid: DataFrame) -> DataFrame:
+    """TOP-7: one series per (class_weight, oversample_min_count) with its points sorted by C
+    (each series has one point per C value: a bounded group)."""
+    point = F.struct("C", "val_accuracy_mean", "val_macro_f1_mean", "train_accuracy_mean")
+    return (grid.groupBy("class_weight", "oversample_min_count")
+            .agg(F.array_sort(F.collect_list(point)).alias("points"))
+            .orderBy("oversample_min_count", "class_weight"))
+
+
 def viable_configs(grid: DataFrame, floor: float = MIN_GROUPED_ACCURACY) -> DataFrame:
     """PRJ-11: configs with val_accuracy_mean >= floor, or all of them when none passes."""
     best = grid.agg(F.max("val_accuracy_mean")).first()[0]
