@@ -80,8 +80,10 @@ def _fit_eval(train: DataFrame, test: DataFrame, configs: list[dict], omc: int,
               split_id: int = 0) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
     tm = TR.fit_models(train, configs, omc)
     pred = TR.score(tm, test).cache()
-    rows = evaluation_rows(tm, pred, strategy, split_id).cache()
-    rows.count()
+    rows = evaluation_rows(tm, pred, strategy, split_id)
+    # One row per config: keep the values, drop the (deep) lineage before results of many
+    # fits are unioned.
+    rows = train.sparkSession.createDataFrame(rows.collect(), rows.schema)
     return tm, pred, rows
 
 
