@@ -51,7 +51,7 @@ class LinearConfig:
 
 
 def _round_fn(dim: int, n_classes: int, cp: np.ndarray, cn: np.ndarray, sigma: float,
-              epochs: int, seed: int, tol: float, w_bc):
+              epochs: int, seed: int, tol: float, w_bc, emit_state: bool = True):
     """Build the per-partition dual coordinate pass (runs inside tasks)."""
 
     def run(batches):
@@ -114,11 +114,12 @@ def _round_fn(dim: int, n_classes: int, cp: np.ndarray, cn: np.ndarray, sigma: f
                 bound = max(pg_max, 0.0) if np.isfinite(pg_max) else np.inf
         touched = np.unique(np.concatenate(idxs))
         change = (local[touched].astype(np.float64) - W[touched]) / sigma
-        yield pd.DataFrame({
-            "kind": "row", "row_id": pdf["row_id"].astype(str), "y": pdf["y"].astype("int32"),
-            "idx": pdf["idx"], "val": pdf["val"],
-            "alpha": [alphas[i].ravel() for i in range(n)],
-            "feature": pd.Series([None] * n, dtype="Int32"), "dw": [None] * n})
+        if emit_state:
+            yield pd.DataFrame({
+                "kind": "row", "row_id": pdf["row_id"].astype(str), "y": pdf["y"].astype("int32"),
+                "idx": pdf["idx"], "val": pdf["val"],
+                "alpha": [alphas[i].ravel() for i in range(n)],
+                "feature": pd.Series([None] * n, dtype="Int32"), "dw": [None] * n})
         k = len(touched)
         yield pd.DataFrame({
             "kind": "w", "row_id": [None] * k, "y": pd.Series([None] * k, dtype="Int32"),
@@ -161,27 +162,45 @@ def fit_ovr_svm(data: DataFrame, dim: int, n_classes: int, configs: list[dict],
     sc = spark.sparkContext
     for r in range(rounds):
         w_bc = sc.broadcast(W.astype(np.float32))
-        fn = _round_fn(dim, n_classes, cp, cn, sigma, local_epochs, cfg.seed + r, cfg.tol, w_bc)
+        last = r == rounds - 1
+        fn = _round_fn(dim, n_classes, cp, cn, sigma, local_epochs, cfg.seed + r, cfg.tol, w_bc,
+                       emit_state=not last)
         out = state.mapInPandas(fn, STATE_SCHEMA)
-        out = materialize(out) if rounds > 1 else out.cache()
+        out = out.cache() if last else materialize(out)
         _t0 = time.time()
         out.count()
         _log(f"round {r}: dual pass {time.time() - _t0:.1f}s on {parts} partition(s)")
         _t0 = time.time()
-        delta = (out.where(F.col("kind") == "w")
-                 .groupBy("feature")
-                 .agg(F.aggregate(F.collect_list("dw"), F.array_repeat(F.lit(0.0), n_cfg * n_classes),
-                                  lambda acc, x: F.zip_with(acc, x, lambda p, q: p + q)).alias("dw")))
-        pdf = delta.toPandas()
+        changes = out.where(F.col("kind") == "w").select("feature", "dw")
+        if parts > 1:
+            # a feature's change arrives from up to ``parts`` partitions: co-locate by
+            # feature and add the arrays with numpy (bounded groups of <= parts rows)
+            changes = changes.repartition(parts, "feature").mapInPandas(_sum_by_feature, "feature int, dw array<double>")
+        pdf = changes.toPandas()
         if len(pdf):
             feats = pdf["feature"].to_numpy(dtype=np.int64)
             W[feats] += np.stack(pdf["dw"].to_numpy()).reshape(len(feats), n_cfg, n_classes)
         _log(f"round {r}: weight sum {time.time() - _t0:.1f}s")
         w_bc.unpersist()
+        if last:
+            out.unpersist()
+            break
         state = out.where(F.col("kind") == "row").select("row_id", "y", "idx", "val", "alpha")
     return W
 
 
+def _sum_by_feature(batches):
+    frames = [b for b in batches if len(b)]
+    if not frames:
+        return
+    pdf = pd.concat(frames, ignore_index=True)
+    out_f, out_w = [], []
+    for feat, grp in pdf.groupby("feature", sort=False):
+        out_f.append(int(feat))
+        out_w.append(np.sum(np.stack(grp["dw"].to_numpy()), axis=0))
+    yield pd.DataFrame({"feature": pd.Series(out_f, dtype="int32"), "dw": out_w})
+
+
 def margins_fn(dim: int, w_bc):
     def run(batches):
         W = w_bc.value

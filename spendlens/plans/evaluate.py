@@ -29,7 +29,7 @@ MIN_GROUPED_ACCURACY = 0.85
 UNDERFIT_BELOW = 0.60
 OVERFIT_GAP_ABOVE = 0.05
 CONFIDENCE_THRESHOLD = 0.5
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 
 EVAL_SCHEMA = ("strategy string, split_id int, cfg int, C double, class_weight string, "
                "oversample_min_count int, train_accuracy double, accuracy double, "
