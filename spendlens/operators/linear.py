@@ -181,7 +181,7 @@ def fit_ovr_svm(data: DataFrame, dim: int, n_classes: int, configs: list[dict],
             feats = pdf["feature"].to_numpy(dtype=np.int64)
             W[feats] += np.stack(pdf["dw"].to_numpy()).reshape(len(feats), n_cfg, n_classes)
         _log(f"round {r}: weight sum {time.time() - _t0:.1f}s")
-        w_bc.unpersist()
+        w_bc.destroy()
         if last:
             out.unpersist()
             break
@@ -216,12 +216,13 @@ def margins_fn(dim: int, w_bc):
     return run
 
 
-def decision_function(rows: DataFrame, W: np.ndarray) -> DataFrame:
+def decision_function(rows: DataFrame, W: np.ndarray, w_bc=None) -> DataFrame:
     """Per-row margins of every stacked config, flattened config-major (n_cfg * K).
-    W is broadcast once per job (the model, bounded by configs x features x classes)."""
+    W is the model itself (hashed features x configs x classes); pass ``w_bc`` to reuse
+    one broadcast of it across jobs."""
     dim = W.shape[0] - 1
-    # W is the model itself (hashed features x configs x classes), sent once per job.
-    w_bc = rows.sparkSession.sparkContext.broadcast(W.astype(np.float32))
+    if w_bc is None:
+        w_bc = rows.sparkSession.sparkContext.broadcast(W.astype(np.float32))
     keep = [f for f in rows.schema.fields if f.name not in ("idx", "val")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
     schema = (schema + ", " if schema else "") + "margins array<double>"

@@ -53,10 +53,26 @@ class TrainedModel:
     oversample_min_count: int = 0
     train_rows: DataFrame | None = None        # cached training arrays (row_id, label, y, idx, val)
 
+    _w_bc: object = None
+
     @property
     def n_classes(self) -> int:
         return len(self.labels)
 
+    def weights_broadcast(self, spark):
+        """One broadcast of W per model, shared by every scoring job."""
+        if self._w_bc is None:
+            self._w_bc = spark.sparkContext.broadcast(self.W.astype(np.float32))
+        return self._w_bc
+
+    def release(self) -> None:
+        """Free the broadcast weights and cached training rows once scoring is done."""
+        if self._w_bc is not None:
+            self._w_bc.destroy()
+            self._w_bc = None
+        if self.train_rows is not None:
+            self.train_rows.unpersist()
+
     def labels_array(self) -> F.Column:
         return F.array(*[F.lit(x) for x in self.labels])
 
@@ -109,7 +125,7 @@ def score(tm: TrainedModel, df: DataFrame | None = None, keep: list[str] | None
         keep = keep or [c for c in df.columns if c not in ("text", "idx", "val")]
         arr = FE.transform_arrays(tm.features, df, keep=keep)
     k = tm.n_classes
-    m = LN.decision_function(arr, tm.W)
+    m = LN.decision_function(arr, tm.W, tm.weights_broadcast(arr.sparkSession))
     per_cfg = m.select(*keep, F.explode(F.sequence(F.lit(0), F.lit(len(tm.configs) - 1))).alias("cfg"),
                        "margins")
     per_cfg = per_cfg.withColumn("margins", F.slice("margins", F.col("cfg") * k + 1, k))

@@ -29,7 +29,7 @@ MIN_GROUPED_ACCURACY = 0.85
 UNDERFIT_BELOW = 0.60
 OVERFIT_GAP_ABOVE = 0.05
 CONFIDENCE_THRESHOLD = 0.5
-PARALLEL_FITS = 8
+PARALLEL_FITS = 4
 
 EVAL_SCHEMA = ("strategy string, split_id int, cfg int, C double, class_weight string, "
                "oversample_min_count int, train_accuracy double, accuracy double, "
@@ -77,13 +77,18 @@ def evaluation_rows(tm: TR.TrainedModel, test_pred: DataFrame, strategy: str,
 
 
 def _fit_eval(train: DataFrame, test: DataFrame, configs: list[dict], omc: int, strategy: str,
-              split_id: int = 0) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
+              split_id: int = 0, keep: bool = False) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
+    """Fit, score, evaluate. Unless ``keep`` (the caller still reads the predictions), the
+    model's broadcast weights and cached rows are freed as soon as the rows are computed."""
     tm = TR.fit_models(train, configs, omc)
     pred = TR.score(tm, test).cache()
     rows = evaluation_rows(tm, pred, strategy, split_id)
     # One row per config: keep the values, drop the (deep) lineage before results of many
     # fits are unioned.
     rows = train.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    if not keep:
+        pred.unpersist()
+        tm.release()
     return tm, pred, rows
 
 
@@ -103,7 +108,7 @@ def evaluate_holdout(df: DataFrame, strategy: str = "group_item", C: float = 1.0
     s = _split(df, strategy).cache()
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm, pred, rows = _fit_eval(train, test, [{"C": C, "class_weight": class_weight}],
-                               oversample_min_count, strategy)
+                               oversample_min_count, strategy, keep=True)
     report = M.classification_report(pred).cache()
     return {"eval": rows, "report": report, "errors": M.error_by_frequency(pred, train),
             "top": M.ranked_labels(report, best=True), "bottom": M.ranked_labels(report, best=False),
