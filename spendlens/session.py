@@ -18,6 +18,9 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "12g",
+    # Plan strings (built for every execution) of nested cached feature plans can reach
+    # gigabytes; keep them bounded.
+    "spark.sql.maxPlanStringLength": "1000000",
 }
 
 
@@ -36,6 +39,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+PLAN_STRING_LIMIT = "1000000"
+
+
+def bound_plan_strings(spark: SparkSession) -> None:
+    """Cap plan-string length when the session still has Spark's (unbounded) default."""
+    current = spark.conf.get("spark.sql.maxPlanStringLength", None)
+    try:
+        unbounded = current is None or int(str(current).rstrip("bB") or 0) > 100_000_000
+    except ValueError:
+        unbounded = False
+    if unbounded:
+        spark.conf.set("spark.sql.maxPlanStringLength", PLAN_STRING_LIMIT)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
