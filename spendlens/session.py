@@ -35,6 +35,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    share_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -53,6 +54,16 @@ def bound_plan_strings(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.maxPlanStringLength", PLAN_STRING_LIMIT)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is on a shared or local disk (a cluster
+    without one gets it with ``--py-files``)."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([here, *paths])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
