@@ -3,6 +3,7 @@
 Each learned language has a raw-content dictionary: a bounded sample of its labelled
 training texts. A text is compressed once per language against the dictionaries; the
 smallest output names the language, and the relative gap to the runner-up is the margin.
+Texts and dictionaries are lower-cased, so capitals are no language of their own.
 Prediction is a map over rows with no shuffle.
 """
 
@@ -18,6 +19,8 @@ from spendlens.llm.common import to_bytes
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
+#: Relative gap between the two smallest outputs under which a text is rejected.
+MIN_MARGIN = 0.002
 RESULT = "struct<lang:string,score:double,rejected:boolean>"
 
 
@@ -28,7 +31,7 @@ def held_out(id_col: Column) -> Column:
 
 def train_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        lang_col: str = "lang", sample_docs: int = 200, max_chars: int = 8192,
-                       dict_bytes: int = 1 << 17) -> dict[str, bytes]:
+                       dict_bytes: int = 1 << 16) -> dict[str, bytes]:
     """Raw dictionary content per language.
 
     The fitting sample is bounded by its parameters: per language at most ``sample_docs``
@@ -46,10 +49,10 @@ def train_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r["l"], -r["n"])):
         texts.setdefault(r["l"], []).append(r["t"])
-    return {lang: "\n".join(t).encode()[-dict_bytes:] for lang, t in texts.items()}
+    return {lang: "\n".join(t).lower().encode()[-dict_bytes:] for lang, t in texts.items()}
 
 
-def classifier(dictionaries: dict[str, bytes], level: int = 3, min_margin: float = 0.01):
+def classifier(dictionaries: dict[str, bytes], level: int = 6, min_margin: float = MIN_MARGIN):
     """Arrow function text -> (lang, score, rejected).
 
     ``score`` is the relative gap between the smallest and the second smallest output (1
@@ -70,10 +73,12 @@ def classifier(dictionaries: dict[str, bytes], level: int = 3, min_margin: float
                 dict_data=content, write_content_size=False).compress)
         out_l, out_s, out_r = [], [], []
         for raw in to_bytes(texts):
-            if not langs or raw is None or not LETTER.search(raw.decode("utf-8", "replace")):
+            text = raw.decode("utf-8", "replace") if raw else ""
+            if not langs or not LETTER.search(text):
                 lang, score, bad = UNKNOWN, 0.0, True
             else:
-                sizes = [len(c(raw)) for c in coders]
+                folded = text.lower().encode()
+                sizes = [len(c(folded)) for c in coders]
                 best = min(sizes)
                 lang = langs[sizes.index(best)]
                 rest = sorted(sizes)[1:]
@@ -89,7 +94,7 @@ def classifier(dictionaries: dict[str, bytes], level: int = 3, min_margin: float
 
 
 def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang", min_margin: float = 0.01) -> DataFrame:
+                      lang_col: str = "lang", min_margin: float = MIN_MARGIN) -> DataFrame:
     """One row per row of ``docs``: its columns as struct ``row``, held_out, lang_pred,
     score, rejected.
 
