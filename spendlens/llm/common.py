@@ -43,6 +43,26 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(spark.read.parquet(path).schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one computation below ``spark.checkpoint.dir`` that go together once
+    what was computed from them has itself been written."""
+
+    def __init__(self, spark, name: str):
+        self.spark, self.path, self.count = spark, scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}"), 0
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.path}/{self.count}-{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        del df
+        release_shuffles(self.spark)
+        return self.spark.read.schema(self.spark.read.parquet(path).schema).parquet(path)
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release_shuffles(spark) -> None:
     """Let Spark's cleaner see plans that nothing refers to, so that their shuffle files go."""
     gc.collect()

@@ -99,10 +99,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = write_table(
         base.withColumn("k", F.explode(keys_udf(min_chars)("t"))).select("id", "th", "k.h1", "k.h2"),
         "lines")
-    shared = (lines.groupBy("h1", "h2")
-              .agg((F.count_distinct("id") + F.max(F.col("id").isNull().cast("long"))).alias("n"),
-                   F.max("id").alias("last"))
-              .where(F.col("n") >= min_docs).select("h1", "h2", "last"))
+    # A written table: the join below is then between two exchanges, so a hot line is split.
+    shared = write_table(
+        lines.groupBy("h1", "h2")
+        .agg((F.count_distinct("id") + F.max(F.col("id").isNull().cast("long"))).alias("n"),
+             F.max("id").alias("last"))
+        .where(F.col("n") >= min_docs).select("h1", "h2", "last"),
+        "shared-lines")
     drops = (lines.join(shared, ["h1", "h2"])
              .where(F.col("id").isNull() | (F.col("id") < F.col("last")))
              .groupBy("id", "th").agg(F.collect_set(F.struct("h1", "h2")).alias("drops")))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlens.llm.common import list_array, merged_runs, mix64, text_hash, to_bytes, write_table
+from spendlens.llm.common import Scratch, list_array, merged_runs, mix64, text_hash, to_bytes, write_table
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 SEGMENTS = "array<struct<start:int,nwin:int,mini:bigint,sh:bigint>>"
@@ -182,14 +182,16 @@ def window_hashes_udf(units: Units):
 
 
 def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
-                     group_units: int) -> DataFrame:
+                     group_units: int, scratch: Scratch) -> DataFrame:
     """(id, th, dups): per document (id and text hash) the repeated windows as ranges [a, b)
     of start units. ``docs`` has the columns id, t, th. ``index(segments, is_query)`` gets
     the encoded segments of a shard and returns per query segment an array of repeated
     window offsets, as (segment number, offset) arrays."""
     read = docs.select("id", "th", "t")
+    write_table = scratch.write  # the joins below are between tables, so hot keys can be split
     twice = (read.select(F.explode(minimizers_udf(units)("t")).alias("mini"))
              .groupBy("mini").count().where("count >= 2").select("mini"))
+    twice = write_table(twice, "twice")
     found = (read.select("id", "th", F.explode(segments_udf(units)("t")).alias("s"))
              .select("id", "th", "s.*").join(twice, "mini"))
     found = write_table(found.select("id", "th", "start", "nwin", "mini", "sh"), "segments")
@@ -203,7 +205,7 @@ def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
     per = kinds.groupBy("mini").agg(
         F.count(F.lit(1)).alias("d"), F.sum(F.col("nwin") + (units.window - 1)).alias("u"),
         F.min("c").alias("fewest"))
-    per = per.where("fewest = 1")  # where all segments are repeated, nothing is open
+    per = write_table(per.where("fewest = 1"), "open")  # where all segments are repeated, nothing is open
     mixed = (kinds.join(per, "mini")
              .select("mini", "id", "th", "start", "nwin", (F.col("c") == 1).alias("query"),
                      (F.col("u") > group_units).alias("over")))
@@ -261,7 +263,9 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, units: Units, inde
     base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs[id_col].alias("id"), docs[text_col].alias("t"))
     base = base.withColumn("th", text_hash("t"))
-    dups = repeated_windows(base.select("id", "t", "th"), units, index, shard_units, group_units)
+    scratch = Scratch(docs.sparkSession, "repeats")
+    dups = repeated_windows(base.select("id", "t", "th"), units, index, shard_units, group_units, scratch)
     dups = write_table(dups.select(F.col("id").alias("did"), F.col("th").alias("dth"), "dups"), "dups")
+    scratch.remove()
     return (base.join(dups, F.col("id").eqNullSafe(F.col("did")) & (F.col("th") == F.col("dth")), "left")
             .select("row", "t", F.col("dups").cast(RANGES).alias("dups")))

@@ -179,8 +179,8 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 def near_links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     """Spanning links (a, b) between the distinct fingerprints of column ``fp``."""
     dealt = distinct.select("fp", F.explode(cells_udf()("fp")).alias("cell"))
-    big = (dealt.groupBy("cell").count().where(F.col("count") > BLOCK)
-           .select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    big = write_table(dealt.groupBy("cell").count().where(F.col("count") > BLOCK)
+                      .select("cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "large-cells")
     dealt = dealt.join(big, "cell", "left")
     # A fingerprint of block x of a large cell goes to the units (x, y) of every y.
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
@@ -210,7 +210,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = connected_components(near_links(distinct.select("fp"), max_bits))
     roots = roots.select(F.col("node").alias("fp"), "root")
     classes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = classes.join(least, "root").select("fp", "component_id")
+    classes = write_table(classes, "classes")
+    least = write_table(classes.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    member = write_table(classes.join(least, "root").select("fp", "component_id"), "members")
     return prints.join(member, "fp").select(
         F.col("id").alias(id_col), "fp", "component_id", *[c for c in prints.columns[2:]])

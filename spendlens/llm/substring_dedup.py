@@ -170,7 +170,7 @@ def keep_udf(window: int):
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     window: int = 35, shard_words: int = 1 << 20,
+                     window: int = 35, shard_words: int = 1 << 17,
                      group_words: int = 1 << 18) -> DataFrame:
     """One row per row of ``docs``: its columns as struct ``row``, and struct ``kept``
     (text, n_words, n_removed).
