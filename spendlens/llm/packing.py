@@ -137,12 +137,12 @@ def combinations_filling(window: int, present: np.ndarray) -> np.ndarray:
 
 
 def non_negative_least_squares(combos: np.ndarray, target: np.ndarray, rounds: int = 300) -> np.ndarray:
-    """x >= 0 that minimises |A x - target|^2, A counting the lengths of each combination,
-    by accelerated projected gradient. Rows are scaled by 1/sqrt(target), so rare lengths
-    count as much as frequent ones."""
+    """x >= 0 that minimises |A x - target|^2 (weighted), A counting the lengths of each combination,
+    by accelerated projected gradient. Squares are weighted by 1/sqrt(target), so rare
+    lengths are not lost beside frequent ones."""
     n = len(target)
     weight = np.zeros(n)
-    weight[1:] = 1 / np.maximum(target[1:], 1.0)
+    weight[1:] = 1 / np.sqrt(np.maximum(target[1:], 1.0))
 
     def forward(x):
         out = sum(np.bincount(combos[:, k], x, n) for k in range(3))
