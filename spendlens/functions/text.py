@@ -1,10 +1,14 @@
-"""Text normalisation and tokenisation as Spark Column expressions (JVM-side, codegen)."""
+"""Text normalisation and tokenisation.
+
+Normalisation and n-grams are Column expressions. Accent folding needs the whole of
+Unicode's decompositions, which no built-in function has, and runs over Arrow batches.
+"""
 
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +21,6 @@ from pyspark.sql import functions as F
 WHITESPACE_RUN = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\p{Z}]+"
 WHITESPACE_ONLY = r"^[\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\p{Z}]*$"
 WORD_TOKEN = r"[\p{L}\p{N}_]{2,}"
-COMBINING_MARK = r"\p{M}"
 
 
 def _col(c) -> Column:
@@ -44,28 +47,19 @@ def is_blank(c) -> Column:
     return F.coalesce(_col(c), F.lit("")).rlike(WHITESPACE_ONLY)
 
 
-@lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Single-character accent folds, derived by rule from Unicode NFKD.
-
-    For each code point of Latin-1 Supplement and Latin Extended-A/B whose NFKD form minus
-    combining marks is exactly one different character, map it to that character.
-    Multi-character expansions (ligatures) are left unchanged.
-    """
-    src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
-        ch = chr(cp)
-        folded = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if len(folded) == 1 and folded != ch:
-            src.append(ch)
-            dst.append(folded)
-    return "".join(src), "".join(dst)
+def fold_accents(text: str) -> str:
+    """NFKD without combining marks, over all of Unicode (ligatures and widths included)."""
+    if text.isascii():
+        return text
+    return "".join(x for x in unicodedata.normalize("NFKD", text) if not unicodedata.combining(x))
 
 
 def strip_accents(c) -> Column:
-    """Unicode accent stripping: fold precomposed letters, then drop combining marks."""
-    src, dst = _accent_table()
-    return F.regexp_replace(F.translate(_col(c), src, dst), COMBINING_MARK, "")
+    """``fold_accents`` on a column, vectorised over Arrow batches."""
+    @F.arrow_udf("string")
+    def fold(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else fold_accents(t) for t in texts.to_pylist()], pa.string())
+    return fold(_col(c))
 
 
 def word_tokens(c) -> Column:

@@ -53,5 +53,5 @@ def inference_rows(df: DataFrame) -> DataFrame:
         if src in df.columns and dst not in df.columns:
             df = df.withColumnRenamed(src, dst)
     if "row_id" not in df.columns:
-        df = df.withColumn("row_id", F.monotonically_increasing_id())
+        df = df.withColumn("row_id", F.lit(None).cast("string"))  # scored like any other row
     return clean_expenses(df, keep_null_labels=True)

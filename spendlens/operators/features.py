@@ -1,12 +1,12 @@
 """Categorical / numeric features and the six-block feature space (FEA-1..6).
 
-Fitted state lives in small tables (vendor index, vocabularies) and a few scalars
-(max-abs, bin edges); ``transform`` turns any expense rows into one sparse vector per row.
+Fitted state is a vocabulary table, a vendor table and a few scalars (max-abs, bin edges);
+``feature_arrays`` turns any expense rows into one sparse vector per row.
 
 Block order (fixed, as in the reference's feature union): word TF-IDF, item-name TF-IDF,
-char TF-IDF, vendor one-hot, max-abs scaled log amount, quantile-bin one-hot.
-Text blocks are hashed into a fixed number of slots per block so the model dimension stays
-bounded however large the vocabulary grows; the term weights themselves are exact.
+char TF-IDF, vendor one-hot, max-abs scaled log amount, quantile-bin one-hot. A feature is
+named by the 64-bit hash of its block and value, so the space is as large as the fitted
+vocabulary and nothing is folded together.
 """
 
 from __future__ import annotations
@@ -14,33 +14,26 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.keys import broadcast_if_small, dense_index
+from spendlens.functions.keys import dense_index
 from spendlens.operators import tfidf as T
+from spendlens.session import materialize, write_table
 
 N_BINS = 10
 QUANTILES = [i / N_BINS for i in range(N_BINS + 1)]
-MAX_BROADCAST_VENDORS = 5_000_000
 
 
 # ---------------------------------------------------------------- FEA-1 vendor one-hot
 
-SMALL_TABLE_ROWS = 1_000_000
-
-
 def vendor_index(train: DataFrame, col: str = "vendor_id") -> DataFrame:
-    """Alphabetical 0-based index of the distinct training vendors (one-hot categories).
-
-    Up to SMALL_TABLE_ROWS distinct vendors a single ordered window over the distinct
-    values is cheapest; beyond it the distributed ``dense_index`` is used."""
-    vendors = train.select(col).distinct()
-    if vendors.count() <= SMALL_TABLE_ROWS:
-        return vendors.select(col, (F.row_number().over(Window.orderBy(col)) - 1)
-                              .cast("bigint").alias("vendor_index"))
-    return dense_index(vendors, [col], "vendor_index")
+    """Alphabetical 0-based index of the distinct training vendors (one-hot categories):
+    a range sort of the distinct values, so no value is hot."""
+    return dense_index(train.select(col).distinct(), [col], "vendor_index")
 
 
 # ---------------------------------------------------------------- FEA-2 max-abs scaling
@@ -58,25 +51,36 @@ def scale_max_abs(col: str, m: float) -> F.Column:
 # ---------------------------------------------------------------- FEA-3/4 quantile bins
 
 def exact_quantiles(df: DataFrame, col: str, qs=QUANTILES) -> list[float]:
-    """Linear-interpolated percentiles without gathering all values in one task: a
-    distributed range sort + global position, then only the <= 2 * len(qs) needed ranks
-    are fetched."""
-    n = df.count()
+    """Linear-interpolated percentiles. Equal values are counted first (a hot value is one
+    row), the distinct values are range-sorted, and only partition totals and the at most
+    ``2 * len(qs)`` wanted values reach the driver."""
+    counted = df.groupBy(F.col(col).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    placed = materialize(counted.orderBy("x").withColumn("pid", F.spark_partition_id()))
+    totals = sorted((r["pid"], r["s"]) for r in placed.groupBy("pid").agg(F.sum("n").alias("s")).collect())
+    n = sum(s for _, s in totals)
     if n == 0:
         return []
-    wanted = {}
-    for q in qs:
-        pos = q * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        wanted[q] = (lo, hi, pos - lo)
-    if n <= SMALL_TABLE_ROWS:
-        # Bounded input: Spark's exact ``percentile`` (same linear interpolation) in one job.
-        row = df.agg(F.percentile(F.col(col), F.array(*[F.lit(q) for q in qs])).alias("p")).first()
-        return [float(v) for v in row["p"]]
-    ranks = sorted({r for lo, hi, _ in wanted.values() for r in (lo, hi)})
-    indexed = dense_index(df.select(F.col(col).alias("x")), ["x"], "pos")
-    got = {r["pos"]: r["x"] for r in indexed.where(F.col("pos").isin(ranks)).collect()}
-    return [got[lo] + (got[hi] - got[lo]) * t for lo, hi, t in wanted.values()]
+    before, running = {}, 0
+    for pid, s in totals:
+        before[pid] = running
+        running += s
+    wanted = [(math.floor(q * (n - 1)), math.ceil(q * (n - 1)), q * (n - 1) % 1) for q in qs]
+    ranks = sorted({r for lo, hi, _ in wanted for r in (lo, hi)})
+    by_part = {}
+    for r in ranks:
+        by_part.setdefault(max(p for p in before if before[p] <= r), []).append(r)
+    w = Window.partitionBy("pid").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.where(F.col("pid").isin(list(by_part))).withColumn("upto", F.sum("n").over(w))
+    hit = None
+    for pid, own in by_part.items():
+        for r in own:
+            at = r - before[pid]
+            c = (F.col("pid") == pid) & (F.col("upto") > at) & (F.col("upto") - F.col("n") <= at)
+            hit = c if hit is None else hit | c
+    found = [(before[r["pid"]] + r["upto"] - r["n"], before[r["pid"]] + r["upto"], r["x"])
+             for r in upto.where(hit).collect()]
+    value = {r: x for r in ranks for lo, hi, x in found if lo <= r < hi}
+    return [float(value[lo] + (value[hi] - value[lo]) * t) for lo, hi, t in wanted]
 
 
 def bin_edges(train: DataFrame, col: str = "amount_log") -> list[float]:
@@ -97,106 +101,154 @@ def bin_index(col: str, edges: list[float]) -> F.Column:
 
 # ---------------------------------------------------------------- FEA-5 feature space
 
-@dataclass
-class FeatureConfig:
-    word_slots: int = 1 << 15
-    item_slots: int = 1 << 13
-    char_slots: int = 1 << 15
+MIN_DF = [b.min_df for b in T.BLOCKS]
+VENDOR, AMOUNT, BIN = len(T.BLOCKS), len(T.BLOCKS) + 1, len(T.BLOCKS) + 2
+ROW_COLUMNS = ["row_id", "text", "item_key", "vendor_id", "amount_log"]
+TERMS = "array<struct<b:int,key:bigint,tf:int>>"
+VECTOR = "struct<idx:array<bigint>,val:array<double>>"
+MAX_HELD_TERMS = 4_000_000  # 64 MB of keys and weights
+
+
+def feature_key(block: int, value: bytes) -> int:
+    """Signed 64-bit name of a feature."""
+    h = xxhash.xxh64_intdigest(value, block)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def _counted(text: str | None, item: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(block, key, tf) of all three text blocks of a row."""
+    by_column = {"text": text, "item_key": item}
+    blocks, keys, tfs = [], [], []
+    for i, block in enumerate(T.BLOCKS):
+        own = T.counted_terms(by_column[block.column], block)
+        blocks.append(np.full(len(own), i, np.int32))
+        keys.append(np.fromiter((xxhash.xxh64_intdigest(t, i) for t in own), np.uint64, len(own)).view(np.int64))
+        tfs.append(np.fromiter(own.values(), np.int32, len(own)))
+    return np.concatenate(blocks), np.concatenate(keys), np.concatenate(tfs)
+
+
+def _terms_udf():
+    @F.arrow_udf(TERMS)
+    def terms(texts: pa.Array, items: pa.Array) -> pa.Array:
+        rows = [_counted(*r) for r in zip(texts.to_pylist(), items.to_pylist(), strict=True)]
+        offsets = np.zeros(len(rows) + 1, np.int32)
+        np.cumsum([len(r[0]) for r in rows], out=offsets[1:])
+        flat = [pa.array(np.concatenate([np.zeros(0, t), *[r[k] for r in rows]]))
+                for k, t in enumerate((np.int32, np.int64, np.int32))]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(flat, ["b", "key", "tf"]))
+    return terms
 
 
 @dataclass
 class FittedFeatures:
-    config: FeatureConfig
     n_docs: int
-    vocab: dict = field(default_factory=dict)        # block name -> (term, idf)
-    vocab_rows: dict = field(default_factory=dict)
-    vendors: DataFrame | None = None                   # (vendor_id, vendor_index)
-    n_vendors: int = 0
+    vocab: DataFrame | None = None                     # (b, key, idf)
+    vendors: DataFrame | None = None                   # (vendor_id)
     max_abs: float = 0.0
     edges: list = field(default_factory=list)
+    held: object = None                                # broadcast (keys, idf), if small
 
-    def offsets(self) -> dict:
-        c = self.config
-        o, out = 0, {}
-        for name, size in [("word", c.word_slots), ("item", c.item_slots), ("char", c.char_slots),
-                           ("vendor", self.n_vendors), ("amount", 1),
-                           ("bins", max(len(self.edges) - 1, 1))]:
-            out[name] = (o, size)
-            o += size
-        out["size"] = o
-        return out
+    def held_vocabulary(self):
+        """The vocabulary as a broadcast of two sorted arrays, only where its counted size is
+        within MAX_HELD_TERMS; None beyond that."""
+        if self.held is None and self.vocab.count() <= MAX_HELD_TERMS:
+            own = self.vocab.select("key", "idf").toArrow()
+            key, idf = (own.column(i).to_numpy() for i in (0, 1))
+            order = np.argsort(key)
+            self.held = self.vocab.sparkSession.sparkContext.broadcast((key[order], idf[order]))
+        return self.held
 
 
-def fit_features(train: DataFrame, config: FeatureConfig | None = None) -> FittedFeatures:
+def fit_features(train: DataFrame) -> FittedFeatures:
     """Fit every block on ``train`` (after any oversampling, as in the reference)."""
-    config = config or FeatureConfig()
-    base = train.select("row_id", "text", "item_key", "vendor_id", "amount_log").repartition("row_id")
-    base = base.cache()
-    n = base.count()
-    ff = FittedFeatures(config=config, n_docs=n)
-    for block in T.BLOCKS:
-        vocab = T.fit_vocabulary(base, block, n, T.term_counts(base, block, prepartitioned=True))
-        vocab = vocab.select("term", "idf").cache()
-        ff.vocab[block.name] = vocab
-        ff.vocab_rows[block.name] = vocab.count()
-    ff.vendors = vendor_index(base).cache()
-    ff.n_vendors = ff.vendors.count()
-    ff.max_abs = max_abs(base)
-    ff.edges = bin_edges(base)
-    base.unpersist()
-    return ff
-
-
-@F.udf(VectorUDT())
-def _to_vector(size, entries):
-    # Small per-row helper: the (index, value) pairs are already summed and sorted by Spark.
-    return SparseVector(size, [e[0] for e in entries], [e[1] for e in entries])
-
-
-def feature_entries(ff: FittedFeatures, df: DataFrame) -> DataFrame:
-    """Long table (row_id, idx, val) of every non-zero feature of ``df``'s rows."""
-    offs = ff.offsets()
-    base = df.select("row_id", "text", "item_key", "vendor_id", "amount_log").repartition("row_id")
-    parts = []
-    slots = {"word": ff.config.word_slots, "item": ff.config.item_slots, "char": ff.config.char_slots}
-    for block in T.BLOCKS:
-        w = T.weigh(T.term_counts(base, block, prepartitioned=True), ff.vocab[block.name],
-                    ff.vocab_rows[block.name])
-        off = offs[block.name][0]
-        parts.append(w.select("row_id",
-                              (F.lit(off) + F.pmod(F.xxhash64(F.col("term")), F.lit(slots[block.name])))
-                              .cast("int").alias("idx"),
-                              F.col("weight").alias("val")))
-    vend = broadcast_if_small(ff.vendors, MAX_BROADCAST_VENDORS, ff.n_vendors)
-    parts.append(base.join(vend, "vendor_id").select(
-        "row_id", (F.lit(offs["vendor"][0]) + F.col("vendor_index")).cast("int").alias("idx"),
-        F.lit(1.0).alias("val")))
-    parts.append(base.where(F.col("amount_log") != 0).select(
-        "row_id", F.lit(offs["amount"][0]).cast("int").alias("idx"),
-        scale_max_abs("amount_log", ff.max_abs).alias("val")))
-    parts.append(base.select(
-        "row_id", (F.lit(offs["bins"][0]) + bin_index("amount_log", ff.edges)).cast("int").alias("idx"),
-        F.lit(1.0).alias("val")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def transform_arrays(ff: FittedFeatures, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One sparse row per input row as two aligned arrays ``idx`` (int, ascending) and
-    ``val`` (double); colliding hashed slots are summed. Pure SQL functions, no UDF."""
-    entries = (feature_entries(ff, df).groupBy("row_id", "idx").agg(F.sum("val").alias("val"))
-               .groupBy("row_id")
-               .agg(F.array_sort(F.collect_list(F.struct("idx", "val"))).alias("e")))
-    arrays = entries.select("row_id", F.col("e.idx").alias("idx"), F.col("e.val").alias("val"))
-    keep = keep if keep is not None else [c for c in df.columns if c not in ("text",)]
-    return df.select(*keep).join(arrays, "row_id")
-
-
-def transform(ff: FittedFeatures, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One ``features`` ML vector per row of ``df`` (for ``pyspark.ml`` estimators)."""
-    size = ff.offsets()["size"]
-    arr = transform_arrays(ff, df, keep)
-    return arr.withColumn("features", _to_vector(F.lit(size), F.arrays_zip("idx", "val"))).drop(
-        "idx", "val")
+    rows = train.select(*ROW_COLUMNS)
+    n = rows.count()
+    counted = (rows.select(F.explode(_terms_udf()("text", "item_key")).alias("t"))
+               .groupBy("t.b", "t.key").agg(F.count(F.lit(1)).alias("df")))
+    least = F.element_at(F.array(*[F.lit(x) for x in MIN_DF]), F.col("b") + 1)
+    vocab = counted.where(F.col("df") >= least).select("b", "key", T.idf(n, F.col("df")).alias("idf"))
+    return FittedFeatures(n, write_table(vocab, "vocabulary"),
+                          write_table(rows.select("vendor_id").distinct(), "vendors"),
+                          max_abs(rows), bin_edges(rows))
+
+
+def _row_vector(b, key, w, vendor, amount, bin_):
+    """All six blocks of one row: text weights normalised per block, then the others."""
+    norm = np.sqrt(np.bincount(b, w * w, len(T.BLOCKS)))
+    more = [(feature_key(BIN, b"%d" % bin_), 1.0)]
+    if vendor is not None:
+        more.append((feature_key(VENDOR, vendor.encode()), 1.0))
+    if amount:
+        more.append((feature_key(AMOUNT, b""), amount))
+    i = np.concatenate((key, np.array([m[0] for m in more], np.int64)))
+    v = np.concatenate((w / norm[b], np.array([m[1] for m in more])))
+    order = np.argsort(i)
+    return i[order], v[order]
+
+
+def _vector_array(rows: list) -> pa.Array:
+    offsets = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(i) for i, _ in rows], out=offsets[1:])
+    lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(
+        [np.zeros(0, t), *[r[k] for r in rows]]))) for k, t in ((0, np.int64), (1, np.float64))]
+    return pa.StructArray.from_arrays(lists, ["idx", "val"])
+
+
+def _joined_udf():
+    """Row vectors from weights that were joined to the vocabulary table."""
+    @F.arrow_udf(VECTOR)
+    def vector(entries: pa.Array, vendors: pa.Array, amounts: pa.Array, bins: pa.Array) -> pa.Array:
+        lengths = entries.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        b, key, w = (entries.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        rows, at = [], 0
+        for n, *other in zip(lengths.tolist(), vendors.to_pylist(), amounts.to_pylist(), bins.to_pylist(), strict=True):
+            rows.append(_row_vector(b[at:at + n], key[at:at + n], w[at:at + n], *other))
+            at += n
+        return _vector_array(rows)
+    return vector
+
+
+def _held_udf(held):
+    """Row vectors straight from the texts, with the vocabulary as a broadcast."""
+    @F.arrow_udf(VECTOR)
+    def vector(texts: pa.Array, items: pa.Array, vendors: pa.Array, amounts: pa.Array, bins: pa.Array) -> pa.Array:
+        keys, idf = held.value
+        rows = []
+        for text, item, *other in zip(*(x.to_pylist() for x in (texts, items, vendors, amounts, bins)), strict=True):
+            b, key, tf = _counted(text, item)
+            at = np.searchsorted(keys, key)
+            at[at == len(keys)] = 0
+            hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+            w = (1 + np.log(tf[hit])) * idf[at[hit]]
+            rows.append(_row_vector(b[hit], key[hit], w, *other))
+        return _vector_array(rows)
+    return vector
+
+
+def feature_arrays(ff: FittedFeatures, df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and one sparse row as two aligned arrays ``idx`` (ascending) and ``val`` for
+    every row of ``df``: null, repeated and missing ids lose or merge nothing.
+
+    A vocabulary of counted bounded size is broadcast and the rows are mapped in place.
+    Beyond the bound terms meet the vocabulary by a join on their key and come back to rows
+    of the same content (a 128-bit hash); equal rows have equal entries, which a set
+    collapses. Both ways give the same vectors.
+    """
+    scaled, bin_ = scale_max_abs("amount_log", ff.max_abs), bin_index("amount_log", ff.edges)
+    known = ff.vendors.select(F.col("vendor_id").alias("known"))
+    if (held := ff.held_vocabulary()) is not None:
+        rows = df.select(F.struct(*keep).alias("keep"), *[F.col(c) for c in ROW_COLUMNS[1:]]).join(
+            known, F.col("vendor_id") == F.col("known"), "left")
+        vector = _held_udf(held)("text", "item_key", "known", scaled, bin_)
+        return rows.select("keep", vector.alias("v")).select("keep.*", "v.idx", "v.val")
+    content = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("text", "item_key", "vendor_id", "amount_log")]
+    base = df.select(F.struct(*keep).alias("keep"), *[F.col(c) for c in ROW_COLUMNS[1:]],
+                     F.xxhash64(*content).alias("h1"), F.xxhash64(F.lit(1), *content).alias("h2"))
+    terms = base.select("h1", "h2", F.explode(_terms_udf()("text", "item_key")).alias("t")).select("h1", "h2", "t.*")
+    entries = (terms.join(ff.vocab, ["b", "key"])
+               .select("h1", "h2", F.struct("b", "key", ((1 + F.log("tf")) * F.col("idf")).alias("w")).alias("e"))
+               .groupBy("h1", "h2").agg(F.collect_set("e").alias("e")))
+    rows = base.drop("text", "item_key").join(entries, ["h1", "h2"], "left").join(
+        known, F.col("vendor_id") == F.col("known"), "left")
+    vector = _joined_udf()(F.col("e").cast("array<struct<b:int,key:bigint,w:double>>"), "known", scaled, bin_)
+    return rows.select("keep", vector.alias("v")).select("keep.*", "v.idx", "v.val")

@@ -1,29 +1,33 @@
 """TF-IDF blocks as long tables (TXT-1..10).
 
-A block turns a text column into a term array (Column expressions, JVM-side), explodes it
-to ``(row_id, term, tf)``, fits ``(term, df, idf)`` on training rows and weights any rows
-with the frozen vocabulary. Fixed formulas (must equal the reference's vectoriser):
+A block turns a text into counted terms, fits ``(term, df, idf)`` on training rows and
+weighs any rows with the frozen vocabulary. Fixed formulas (must equal the reference's
+vectoriser):
 
     idf    = ln((N + 1) / (df + 1)) + 1          (smoothed, N = training documents)
     weight = (1 + ln(tf)) * idf                   (sublinear tf)
     row L2 normalisation inside each block; terms outside the vocabulary are ignored.
 
-Partitioning: rows are hash-partitioned by ``row_id`` once, before the explode; the
-per-row term counts and the per-row norm then reuse that partitioning (no further shuffle),
-and the vocabulary is broadcast when its size is checked small.
+Terms are counted inside their row, over Arrow batches: a whole text yields its distinct
+terms with their counts, so no exploded duplicates and no shuffle come before the document
+frequencies. Only the vocabulary join and the row norm shuffle; the optimiser picks the
+join by the vocabulary's size at run time.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from itertools import pairwise
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.functions.keys import broadcast_if_small
-from spendlens.functions.text import char_wb_ngrams, strip_accents, word_ngrams, word_tokens
+from spendlens.functions.text import WORD_TOKEN, fold_accents
 
-MAX_BROADCAST_TERMS = 5_000_000
+TOKEN = regex.compile(WORD_TOKEN)
 
 
 @dataclass(frozen=True)
@@ -45,36 +49,49 @@ CHAR = TextBlock("char", "text", "char_wb", min_df=1, strip_accents=False)
 BLOCKS = (WORD, ITEM, CHAR)
 
 
-def block_terms(block: TextBlock, col=None) -> F.Column:
-    """Term array of one document for ``block`` (duplicates kept: they are the tf)."""
-    c = F.col(block.column) if col is None else col
+def counted_terms(text: str | None, block: TextBlock) -> Counter:
+    """Terms of one text with their counts."""
+    if not text:
+        return Counter()
     if block.strip_accents:
-        c = strip_accents(c)
+        text = fold_accents(text)
     if block.analyzer == "word":
-        return word_ngrams(word_tokens(c), block.ngram_max)
-    return char_wb_ngrams(c, block.char_min, block.char_max)
-
-
-def with_terms(df: DataFrame, block: TextBlock, name: str = "terms") -> DataFrame:
-    """Add the term array as a column. Word tokens are projected first so the n-gram
-    expression refers to a column instead of repeating the regex tokenisation (Catalyst
-    keeps the two projections apart because the tokeniser is not cheap)."""
-    if block.analyzer != "word":
-        return df.withColumn(name, block_terms(block))
-    c = F.col(block.column)
-    if block.strip_accents:
-        c = strip_accents(c)
-    tok = df.withColumn("_tok", word_tokens(c))
-    return tok.withColumn(name, word_ngrams(F.col("_tok"), block.ngram_max)).drop("_tok")
-
-
-def term_counts(df: DataFrame, block: TextBlock, prepartitioned: bool = False) -> DataFrame:
-    """(row_id, term, tf). With ``prepartitioned`` the input is already hash-partitioned
-    by row_id, and the aggregation runs without another exchange."""
-    src = df if prepartitioned else df.repartition("row_id")
-    exploded = with_terms(src.select("row_id", block.column), block).select(
-        "row_id", F.explode("terms").alias("term"))
-    return exploded.groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        tokens = TOKEN.findall(text)
+        out = Counter(tokens)
+        if block.ngram_max > 1:
+            out.update(f"{a} {b}" for a, b in pairwise(tokens))
+        return out
+    out = Counter()
+    for word, n in Counter(w for w in text.split(" ") if w).items():
+        padded = f" {word} "
+        for size in range(block.char_min, max(block.char_min, min(block.char_max, len(padded))) + 1):
+            for i in range(max(1, len(padded) - size + 1)):
+                out[padded[i:i + size]] += n
+    return out
+
+
+def counts_udf(block: TextBlock):
+    @F.arrow_udf("array<struct<term:string,tf:bigint>>")
+    def counts(texts: pa.Array) -> pa.Array:
+        terms, tfs, offsets = [], [], [0]
+        for t in texts.to_pylist():
+            own = counted_terms(t, block)
+            terms.extend(own.keys())
+            tfs.extend(own.values())
+            offsets.append(len(terms))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(terms, pa.string()), pa.array(tfs, pa.int64())], ["term", "tf"]))
+    return counts
+
+
+def term_counts(df: DataFrame, block: TextBlock) -> DataFrame:
+    """(row_id, term, tf), counted inside each row."""
+    return (df.select("row_id", F.explode(counts_udf(block)(block.column)).alias("c"))
+            .select("row_id", "c.term", "c.tf"))
+
+
+def idf(n_docs: int, df: Column) -> Column:
+    return F.log((F.lit(n_docs) + 1) / (df + 1)) + 1
 
 
 def fit_vocabulary(train: DataFrame, block: TextBlock, n_docs: int | None = None,
@@ -84,14 +101,13 @@ def fit_vocabulary(train: DataFrame, block: TextBlock, n_docs: int | None = None
     tc = counts if counts is not None else term_counts(train, block)
     vocab = (tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
              .where(F.col("df") >= block.min_df))
-    return vocab.withColumn("idf", F.log((F.lit(n) + 1) / (F.col("df") + 1)) + 1)
+    return vocab.withColumn("idf", idf(n, F.col("df")))
 
 
-def weigh(counts: DataFrame, vocab: DataFrame, vocab_rows: int | None = None) -> DataFrame:
+def weigh(counts: DataFrame, vocab: DataFrame) -> DataFrame:
     """(row_id, term, weight): sublinear tf x idf over in-vocabulary terms, L2-normalised
-    per row. The frozen vocabulary is broadcast only below a checked size."""
-    v = broadcast_if_small(vocab.select("term", "idf"), MAX_BROADCAST_TERMS, vocab_rows)
-    raw = counts.join(v, "term").select(
+    per row."""
+    raw = counts.join(vocab.select("term", "idf"), "term").select(
         "row_id", "term", ((1 + F.log(F.col("tf"))) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("row_id")))
     return raw.select("row_id", "term", (F.col("w") / norm).alias("weight"))

@@ -1,31 +1,29 @@
 """Model training, scoring and calibration (MDL-1..7, AGG-12).
 
-The classifier is a one-vs-rest linear SVM (squared hinge, L2, cost C, ``balanced``
-class weights on the positive side of each binary problem) over the six-block features,
-trained by ``spendlens.operators.linear`` (distributed dual coordinate ascent). Several
-(C, class_weight) configs that share a training set are trained in the same passes.
-
-Calibration (MDL-4) fits one two-parameter sigmoid per class on the class margins by
-Newton steps; each step is one ``groupBy(class)`` aggregation, and only K x 6 numbers
-reach the driver per step.
+The classifier is a one-vs-rest linear SVM (squared hinge, L2, cost C, ``balanced`` class
+weights on the positive side of each binary problem) over the six-block features: see
+``spendlens.operators.svm``. Several (C, class_weight) configs that share a training set
+share its features and Gram matrix.
+
+Scoring is a map over rows: features, inner products with the bounded fit sample, margins
+and arg-max happen in one place, so no table of rows times classes exists and every input
+row comes out once.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.functions.keys import broadcast_if_small
 from spendlens.operators import features as FE
-from spendlens.operators import linear as LN
+from spendlens.operators import svm
 from spendlens.operators.split import oversample_minority
 
 LABEL = "account_name"
-MAX_BROADCAST_LABELS = 1_000_000
 
 
 def balanced_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -45,177 +43,140 @@ def unique_copies(df: DataFrame) -> DataFrame:
 
 @dataclass
 class TrainedModel:
-    """Fitted feature space + one-vs-rest weights of one or more stacked configs."""
+    """Fitted feature space, bounded fit sample and one-vs-rest coefficients per config."""
     features: FE.FittedFeatures
     labels: list
-    W: np.ndarray                              # (dim + 1, n_cfg, K)
+    sample: svm.Sample
+    coefficients: np.ndarray                   # (fit rows, configs, classes)
     configs: list = field(default_factory=list)
     oversample_min_count: int = 0
-    train_rows: DataFrame | None = None        # cached training arrays (row_id, label, y, idx, val)
-
-    _w_bc: object = None
+    gaps: list = field(default_factory=list)   # worst relative duality gap per config
+    train_rows: DataFrame | None = None
+    fit_margins: np.ndarray | None = None      # (fit rows, classes) of the first config
+    fit_labels: np.ndarray | None = None
 
     @property
-    def n_classes(self) -> int:
-        return len(self.labels)
-
-    def weights_broadcast(self, spark):
-        """One broadcast of W per model, shared by every scoring job."""
-        if self._w_bc is None:
-            self._w_bc = spark.sparkContext.broadcast(self.W.astype(np.float32))
-        return self._w_bc
-
-    def release(self) -> None:
-        """Free the broadcast weights and cached training rows once scoring is done."""
-        if self._w_bc is not None:
-            self._w_bc.destroy()
-            self._w_bc = None
-        if self.train_rows is not None:
-            self.train_rows.unpersist()
-
-    def labels_array(self) -> F.Column:
-        return F.array(*[F.lit(x) for x in self.labels])
-
-
-# Hashed slots of the model's text blocks (word, item name, char); the weights are exact
-# TF-IDF values, only their positions are hashed to bound the model size.
-MODEL_FEATURES = FE.FeatureConfig(word_slots=1 << 14, item_slots=1 << 12, char_slots=1 << 15)
+    def converged(self) -> list[bool]:
+        return [g <= svm.TOLERANCE for g in self.gaps]
 
 
 def fit_models(train: DataFrame, configs: list[dict], oversample_min_count: int = 0,
-               feature_config: FE.FeatureConfig | None = None,
-               linear_config: LN.LinearConfig | None = None, label: str = LABEL) -> TrainedModel:
-    """MDL-6/7: optional oversampling -> feature fit on the (oversampled) training rows ->
-    one-vs-rest SVMs for every config in ``configs`` (dicts with C and class_weight),
-    trained together in the same passes. Labels are indexed per training set, so a class
-    absent from a split never leaves a hole in the class index."""
+               label: str = LABEL) -> TrainedModel:
+    """MDL-6/7: optional oversampling -> feature fit on all (oversampled) training rows ->
+    bounded fit sample -> one-vs-rest SVMs for every config in ``configs`` (dicts with C and
+    class_weight). Labels and ``balanced`` weights come from all training rows."""
+    spark = train.sparkSession
     rows = train
     if oversample_min_count > 0:
         rows = oversample_minority(train, oversample_min_count, label=label)
-    rows = unique_copies(rows).cache()
-    ff = FE.fit_features(rows, feature_config or MODEL_FEATURES)
+    rows = unique_copies(rows)
+    ff = FE.fit_features(rows)
     counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     labels = sorted(counts)
     if len(labels) < 2:
         raise ValueError("training split needs at least two labels")
-    idx = rows.sparkSession.createDataFrame([(lab, i) for i, lab in enumerate(labels)],
-                                            f"{label} string, y int")
-    data = FE.transform_arrays(ff, rows, keep=["row_id", label]).join(
-        broadcast_if_small(idx, MAX_BROADCAST_LABELS, len(labels)), label)
-    data = data.cache()
-    W = LN.fit_ovr_svm(data, ff.offsets()["size"], len(labels), configs,
-                       {i: counts[lab] for i, lab in enumerate(labels)}, linear_config)
-    rows.unpersist()
-    return TrainedModel(ff, labels, W, list(configs), oversample_min_count, data)
+    fit = svm.fit_rows(rows.select(label, *FE.ROW_COLUMNS), label)
+    arrays = FE.write_table(FE.feature_arrays(ff, fit, ["row_id", label]), "fit-sample")
+    own = arrays.orderBy("row_id", label).toArrow()  # at most svm.MAX_FIT_ROWS rows
+    idx, val = ([np.asarray(x, t) for x in own.column(c).to_pylist()]
+                for c, t in (("idx", np.int64), ("val", np.float64)))
+    sample = svm.Sample.of(idx, val)
+    y = np.searchsorted(np.array(labels), np.array(own.column(label).to_pylist()))
+    held = spark.sparkContext.broadcast(sample)
+    gram_rows = svm.kernel_rows(arrays, held, ["row_id", label]).orderBy("row_id", label).toArrow()
+    held.destroy()
+    gram = np.array(gram_rows.column("k").to_pylist())
+    gram = (gram + gram.T) / 2
+    total = sum(counts.values())
+    weights = {"None": np.ones(len(labels)),
+               "balanced": np.array([total / (len(labels) * counts[x]) for x in labels])}
+    beta, gaps = svm.solve_all(spark, gram, y, configs, weights)
+    return TrainedModel(ff, labels, sample, beta, list(configs), oversample_min_count, gaps.tolist(),
+                        rows, gram @ beta[:, 0], y)
 
 
 def fit_model(train: DataFrame, C: float = 1.0, class_weight: str | None = None,
-              oversample_min_count: int = 0, **kwargs) -> TrainedModel:
+              oversample_min_count: int = 0) -> TrainedModel:
     """One config (the reference's ``build_classifier(C, class_weight)``)."""
-    return fit_models(train, [{"C": C, "class_weight": class_weight}], oversample_min_count, **kwargs)
-
-
-def score(tm: TrainedModel, df: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
-    """MDL-3: one row per (input row, config): ``cfg``, class ``margins`` and the argmax
-    label ``predicted`` (ties -> first class). ``df=None`` scores the training rows."""
-    if df is None:
-        arr = tm.train_rows.drop("y")
-        keep = [c for c in arr.columns if c not in ("idx", "val")]
-    else:
-        keep = keep or [c for c in df.columns if c not in ("text", "idx", "val")]
-        arr = FE.transform_arrays(tm.features, df, keep=keep)
-    k = tm.n_classes
-    m = LN.decision_function(arr, tm.W, tm.weights_broadcast(arr.sparkSession))
-    per_cfg = m.select(*keep, F.explode(F.sequence(F.lit(0), F.lit(len(tm.configs) - 1))).alias("cfg"),
-                       "margins")
-    per_cfg = per_cfg.withColumn("margins", F.slice("margins", F.col("cfg") * k + 1, k))
-    best = F.array_position(F.col("margins"), F.array_max("margins"))
-    return per_cfg.withColumn("predicted", F.element_at(tm.labels_array(), best.cast("int")))
+    return fit_models(train, [{"C": C, "class_weight": class_weight}], oversample_min_count)
+
+
+SCORED = "array<struct<cfg:int,predicted:string,max_prob:double>>"
+
+
+def _score_udf(model, calibration: dict | None):
+    """(config, predicted label, confidence) per row: margins, the sigmoids of the first
+    config if given, and the arg-max (ties take the first class)."""
+    @F.arrow_udf(SCORED)
+    def scores(idx: pa.Array, val: pa.Array) -> pa.Array:
+        sample, coefficients, labels = model.value
+        n, n_cfg, k = coefficients.shape
+        flat = coefficients.reshape(n, -1)
+        cfg, predicted, prob = [], [], []
+        for row in svm._each_kernel(sample, idx, val):
+            margins = (row @ flat).reshape(n_cfg, k)
+            for c in range(n_cfg):
+                m, p = margins[c], None
+                if calibration is not None and c == 0:
+                    m = 1.0 / (1.0 + np.exp(np.clip(calibration["a"] * m + calibration["b"], -700, 700)))
+                    total = m.sum()
+                    m = m / total if total > 0 else np.full(k, 1.0 / k)
+                    p = float(m.max())
+                cfg.append(c)
+                predicted.append(labels[int(m.argmax())])
+                prob.append(p)
+        offsets = np.arange(len(idx) + 1, dtype=np.int32) * n_cfg
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
+            [pa.array(cfg, pa.int32()), pa.array(predicted, pa.string()), pa.array(prob, pa.float64())],
+            ["cfg", "predicted", "max_prob"]))
+    return scores
+
+
+def score(tm: TrainedModel, df: DataFrame | None = None, keep: list[str] | None = None,
+          calibration: dict | None = None) -> DataFrame:
+    """MDL-3: one row per (input row, config) with ``cfg`` and ``predicted``; with a
+    calibration also ``max_prob``. ``df=None`` scores the training rows. The broadcast is
+    the fit sample and its coefficients, bounded by svm.MAX_FIT_ROWS."""
+    df = tm.train_rows if df is None else df
+    keep = keep or [c for c in df.columns if c not in ("text", "idx", "val", "cfg", "predicted")]
+    model = df.sparkSession.sparkContext.broadcast((tm.sample, tm.coefficients, tm.labels))
+    arrays = FE.feature_arrays(tm.features, df, keep)
+    out = arrays.select(*keep, F.explode(_score_udf(model, calibration)("idx", "val")).alias("s"))
+    cols = [*keep, "s.cfg", "s.predicted"] + (["s.max_prob"] if calibration is not None else [])
+    return out.select(*cols)
 
 
 # ---------------------------------------------------------------- MDL-4 calibration
 
-def fit_calibration(tm: TrainedModel, scored: DataFrame, label: str = LABEL,
-                    iterations: int = 12, tol: float = 1e-6) -> dict:
-    """Per-class sigmoid p = 1 / (1 + exp(A m + B)) fitted on (margin, is_class) with
-    Platt's smoothed targets, by damped Newton steps (one aggregation per step)."""
-    k_of = {lab: i for i, lab in enumerate(tm.labels)}
-    spark = scored.sparkSession
-    idx = spark.createDataFrame(list(k_of.items()), f"{label} string, _y int")
-    long = (scored.join(broadcast_if_small(idx, MAX_BROADCAST_LABELS, len(k_of)), label, "left")
-            .select(F.coalesce("_y", F.lit(-1)).alias("_y"),
-                    F.posexplode("margins").alias("k", "m"))
-            .select("k", "m", (F.col("_y") == F.col("k")).cast("double").alias("y"))).cache()
-    prior = {r["k"]: (r["pos"], r["neg"]) for r in long.groupBy("k").agg(
-        F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).collect()}
-    params = {k: (0.0, math.log((neg + 1.0) / (pos + 1.0))) for k, (pos, neg) in prior.items()}
-    best_loss = {k: float("inf") for k in params}
-    step = {k: 1.0 for k in params}
-    prev = dict(params)
+def fit_calibration(tm: TrainedModel, iterations: int = 100, tol: float = 1e-8) -> dict:
+    """Per-class sigmoid p = 1 / (1 + exp(a m + b)) on the fit sample's margins with Platt's
+    smoothed targets: damped Newton steps for all classes at once on fit rows x classes
+    numbers (bounded by svm.MAX_FIT_ROWS). ``converged`` tells per class."""
+    m, own = tm.fit_margins, tm.fit_labels[:, None] == np.arange(len(tm.labels))
+    pos, neg = own.sum(0), (~own).sum(0)
+    t = np.where(own, (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0))
+
+    def loss(a, b):
+        f = a * m + b
+        return (np.logaddexp(0, f) - (1 - t) * f).sum(0)
+
+    a, b = np.zeros(len(pos)), np.log((neg + 1.0) / (pos + 1.0))
+    moved = np.full(len(pos), np.inf)
     for _ in range(iterations):
-        ab = F.create_map(*[x for k, (a, b) in params.items()
-                            for x in (F.lit(k), F.array(F.lit(a), F.lit(b)))])
-        hi = F.create_map(*[x for k, (pos, _) in prior.items() for x in (F.lit(k), F.lit((pos + 1.0) / (pos + 2.0)))])
-        lo = F.create_map(*[x for k, (_, neg) in prior.items() for x in (F.lit(k), F.lit(1.0 / (neg + 2.0)))])
-        a, b = F.element_at(ab, F.col("k"))[0], F.element_at(ab, F.col("k"))[1]
-        f = a * F.col("m") + b
-        t = F.when(F.col("y") > 0, F.element_at(hi, F.col("k"))).otherwise(F.element_at(lo, F.col("k")))
-        p = 1.0 / (1.0 + F.exp(f))
-        # log(1 + e^f) computed stably
-        softplus = F.when(f > 0, f + F.log1p(F.exp(-f))).otherwise(F.log1p(F.exp(f)))
-        loss = t * softplus + (1 - t) * (softplus - f)
-        g = t - p
-        h = p * (1 - p)
-        stats = (long.select("k", F.col("m"), g.alias("g"), h.alias("h"), loss.alias("l"))
-                 .groupBy("k").agg(F.sum(F.col("g") * F.col("m")).alias("ga"), F.sum("g").alias("gb"),
-                                   F.sum(F.col("h") * F.col("m") * F.col("m")).alias("haa"),
-                                   F.sum(F.col("h") * F.col("m")).alias("hab"), F.sum("h").alias("hbb"),
-                                   F.sum("l").alias("loss")).collect())
-        new = {}
-        for r in stats:
-            k = r["k"]
-            if r["loss"] > best_loss[k] + 1e-12:   # overshoot: go back, halve the step
-                step[k] *= 0.5
-                base_a, base_b = prev[k]
-                cur_a, cur_b = params[k]
-                new[k] = (base_a + (cur_a - base_a) * 0.5, base_b + (cur_b - base_b) * 0.5)
-                continue
-            best_loss[k] = r["loss"]
-            prev[k] = params[k]
-            haa, hab, hbb = r["haa"] + 1e-12, r["hab"], r["hbb"] + 1e-12
-            det = haa * hbb - hab * hab
-            if abs(det) < 1e-18:
-                new[k] = params[k]
-                continue
-            da = (hbb * r["ga"] - hab * r["gb"]) / det
-            db = (-hab * r["ga"] + haa * r["gb"]) / det
-            a0, b0 = params[k]
-            new[k] = (a0 - step[k] * da, b0 - step[k] * db)
-        moved = max((abs(new[k][0] - params[k][0]) + abs(new[k][1] - params[k][1]) for k in new),
-                    default=0.0)
-        params = new
-        if moved < tol:
+        p = 1 / (1 + np.exp(np.clip(a * m + b, -700, 700)))
+        g, h = t - p, p * (1 - p)
+        ga, gb = (g * m).sum(0), g.sum(0)
+        haa, hab, hbb = (h * m * m).sum(0) + 1e-10, (h * m).sum(0), h.sum(0) + 1e-10
+        det = haa * hbb - hab * hab
+        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
+        step, now = np.ones(len(pos)), loss(a, b)
+        for _ in range(30):
+            worse = loss(a - step * da, b - step * db) > now + 1e-12
+            if not worse.any():
+                break
+            step[worse] /= 2
+        moved = np.abs(step * da) + np.abs(step * db)
+        a, b = a - step * da, b - step * db
+        if moved.max() < tol:
             break
-    long.unpersist()
-    return prev
-
-
-def calibrated_scores(tm: TrainedModel, scored: DataFrame, calibration: dict) -> DataFrame:
-    """Normalised calibrated probabilities -> (predicted, max_prob) per row; a row whose
-    probabilities sum to 0 gets 1/K everywhere."""
-    ab = F.create_map(*[x for k, (a, b) in calibration.items()
-                        for x in (F.lit(k), F.array(F.lit(a), F.lit(b)))])
-    k_count = len(tm.labels)
-
-    def prob(m, k):
-        pair = F.element_at(ab, k)
-        return 1.0 / (1.0 + F.exp(pair[0] * m + pair[1]))
-
-    probs = F.transform(F.col("margins"), lambda m, k: prob(m, k))
-    total = F.aggregate(probs, F.lit(0.0), lambda acc, x: acc + x)
-    best = F.array_max(F.transform(probs, lambda x, k: F.struct(x.alias("p"), (-k).alias("nk"))))
-    keep = [c for c in scored.columns if c not in ("predicted", "max_prob", "margins")]
-    return scored.select(
-        *keep,
-        F.element_at(F.array(*[F.lit(x) for x in tm.labels]), 1 - best["nk"]).alias("predicted"),
-        F.when(total > 0, best["p"] / total).otherwise(F.lit(1.0 / k_count)).alias("max_prob"))
+    return {"a": a, "b": b, "converged": moved < 1e-4}

@@ -42,6 +42,10 @@ def expenses(spark: SparkSession, sf_dir: str, view: str = "D") -> DataFrame:
     return C.clean_expenses(raw_view(spark, sf_dir, view))
 
 
+#: What splits and lookups read: whole texts stay where they are.
+KEYS = ["row_id", "vendor_id", "item_key", "account_name"]
+
+
 def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
@@ -98,9 +102,9 @@ def q_vendor_majority(spark, sf_dir):
 
 
 def _baseline(spark, sf_dir, view="D", split="random"):
-    df = expenses(spark, sf_dir, view)
+    df = expenses(spark, sf_dir, view).select(*KEYS)
     s = S.random_split(df) if split == "random" else S.group_split(df)
-    s = s.cache()
+    s = s
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     return LK.lookup_predict(train, test), train
 
@@ -222,7 +226,7 @@ def _hist_sql(col, series):
     f"WITH c AS ({O.clean('L')}) {_hist_sql('item_total_amount', 'amount')} "
     f"UNION ALL {_hist_sql('amount_log', 'amount_log')}"))
 def q_amount_histogram(spark, sf_dir):
-    df = expenses(spark, sf_dir, "L").select("item_total_amount", "amount_log").cache()
+    df = expenses(spark, sf_dir, "L").select("item_total_amount", "amount_log")
     out = P.histogram(df, "item_total_amount", series="amount").unionByName(
         P.histogram(df, "amount_log", series="amount_log"))
     return out.select("series", "bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "n")
@@ -269,7 +273,7 @@ t AS (SELECT split_id, item_key, row_number() OVER (PARTITION BY split_id ORDER
     "SELECT t.split_id, c.row_id, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split "
     "FROM c JOIN t USING (item_key)"))
 def q_split_group_repeated(spark, sf_dir):
-    return S.repeated_split(expenses(spark, sf_dir), n_splits=5).select("split_id", "row_id", "split")
+    return S.repeated_split(expenses(spark, sf_dir).select(*KEYS), n_splits=5).select("split_id", "row_id", "split")
 
 
 @register("split_stratified_group", f"""
@@ -281,7 +285,7 @@ f AS (SELECT item_key, CAST((row_number() OVER (PARTITION BY dom ORDER BY {O.md5
       - 1) % 3 AS INTEGER) AS fold FROM d)
 SELECT c.row_id, f.fold FROM c JOIN f USING (item_key)""")
 def q_split_stratified_group(spark, sf_dir):
-    return S.stratified_group_folds(expenses(spark, sf_dir)).select("row_id", "fold")
+    return S.stratified_group_folds(expenses(spark, sf_dir).select(*KEYS)).select("row_id", "fold")
 
 
 def balanced_sql(seed: int, k: int = 3, min_train: int = 5, src: str = "c") -> str:
@@ -311,14 +315,14 @@ bs{s} AS (SELECT {src}.*,
 @register("split_balanced_unseen", f"WITH c AS ({O.clean('D')}), {balanced_sql(42)} "
           "SELECT row_id, account_name, split FROM bs42")
 def q_split_balanced_unseen(spark, sf_dir):
-    return S.balanced_unseen_split(expenses(spark, sf_dir)).select("row_id", "account_name", "split")
+    return S.balanced_unseen_split(expenses(spark, sf_dir).select(*KEYS)).select("row_id", "account_name", "split")
 
 
 @register("split_balanced_repeated", f"WITH c AS ({O.clean('D')}), "
           + ", ".join(balanced_sql(42 + r) for r in range(5)) + " "
           + " UNION ALL ".join(f"SELECT {r} AS repeat, row_id, split FROM bs{42 + r}" for r in range(5)))
 def q_split_balanced_repeated(spark, sf_dir):
-    return S.balanced_repeated_split(expenses(spark, sf_dir), repeats=5).select(
+    return S.balanced_repeated_split(expenses(spark, sf_dir).select(*KEYS), repeats=5).select(
         "repeat", "row_id", "split")
 
 
@@ -331,7 +335,7 @@ SELECT (SELECT count(*) FROM te) AS test_pairs, (SELECT count(*) FROM tr) AS tra
        (SELECT count(*) FROM sup) AS eligible_labels,
        (SELECT min(n) FROM sup) AS min_test_support, (SELECT max(n) FROM sup) AS max_test_support""")
 def q_split_disjointness(spark, sf_dir):
-    s = S.balanced_unseen_split(expenses(spark, sf_dir)).cache()
+    s = S.balanced_unseen_split(expenses(spark, sf_dir).select(*KEYS))
     pairs = ["account_name", "item_key"]
     te = s.where("split = 'test'").select(*pairs).distinct()
     tr = s.where("split = 'train'").select(*pairs).distinct()
@@ -367,7 +371,7 @@ SELECT split_id, f AS train_fraction, row_id FROM tr,
        (SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE, 0.6::DOUBLE, 0.8::DOUBLE, 1.0::DOUBLE]) AS f) fr
 WHERE rk <= floor(f * n)""")
 def q_learning_curve_prefix(spark, sf_dir):
-    splits = S.repeated_split(expenses(spark, sf_dir), n_splits=3).where("split = 'train'")
+    splits = S.repeated_split(expenses(spark, sf_dir).select(*KEYS), n_splits=3).where("split = 'train'")
     return S.learning_prefixes(splits).select("split_id", "train_fraction", "row_id")
 
 
@@ -375,7 +379,7 @@ def q_learning_curve_prefix(spark, sf_dir):
 
 def _group_baseline(spark, sf_dir):
     pred, train = _baseline(spark, sf_dir, split="group")
-    return pred.cache(), train
+    return pred, train
 
 
 _GROUP_PRED = O.lookup_predictions(O.with_group_split("D"))
@@ -474,9 +478,9 @@ SELECT round(avg(acc), 6) AS accuracy_mean, round(stddev_pop(acc), 6) AS accurac
        round(avg(macro_f1), 6) AS macro_f1_mean, round(stddev_pop(macro_f1), 6) AS macro_f1_std,
        count(*) AS n_splits FROM a JOIN f USING (split_id)""")
 def q_repeated_baseline_stats(spark, sf_dir):
-    s = S.repeated_split(expenses(spark, sf_dir), n_splits=5).cache()
+    s = S.repeated_split(expenses(spark, sf_dir).select(*KEYS), n_splits=5)
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
-    pred = LK.lookup_predict(train, test, by="split_id").cache()
+    pred = LK.lookup_predict(train, test, by="split_id")
     f1 = M.report_averages(M.classification_report(pred, by=["split_id"]), by=["split_id"])
     acc = pred.groupBy("split_id").agg(
         F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("acc"))
@@ -490,16 +494,11 @@ def q_repeated_baseline_stats(spark, sf_dir):
 
 # ---------------------------------------------------------------- text features (TXT-1..10)
 
-def _counts_spark(df, terms):
-    return (df.repartition("row_id").select("row_id", F.explode(terms).alias("term"))
-            .groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("tf")))
-
-
 @register("word_tokens", f"WITH c AS ({O.clean('D')}) "
           + O.term_counts("c", O.word_terms("text", bigrams=False)))
 def q_word_tokens(spark, sf_dir):
-    from spendlens.functions.text import strip_accents, word_tokens
-    return _counts_spark(expenses(spark, sf_dir), word_tokens(strip_accents(F.col("text"))))
+    from dataclasses import replace
+    return TF.term_counts(expenses(spark, sf_dir), replace(TF.WORD, ngram_max=1))
 
 
 @register("word_ngrams", f"WITH c AS ({O.clean('D')}) " + O.term_counts("c", O.word_terms("text")))
@@ -550,7 +549,7 @@ def q_tfidf_char(spark, sf_dir):
     prefix=f"WITH s AS ({O.with_group_split('D')}), trn AS (SELECT * FROM s WHERE split = 'train'), "
            f"tst AS (SELECT * FROM s WHERE split = 'test'), "))
 def q_tfidf_transform(spark, sf_dir):
-    s = S.group_split(expenses(spark, sf_dir)).cache()
+    s = S.group_split(expenses(spark, sf_dir))
     return _tfidf_spark(s.where("split = 'train'"), TF.WORD, s.where("split = 'test'"))
 
 
@@ -618,7 +617,7 @@ SELECT row_id, CASE WHEN max_prob < 0.5 AND coalesce(vm.vendor_label, '') <> ''
        ELSE 'model' END AS source, round(max_prob, 6) AS max_prob
 FROM q LEFT JOIN vm USING (vendor_id)""")
 def q_vendor_fallback(spark, sf_dir):
-    s = S.random_split(expenses(spark, sf_dir)).cache()
+    s = S.random_split(expenses(spark, sf_dir))
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     items = LK.majority_by(train, "item_key", out="item_label")
     g_label, g_votes, g_rows = LK.global_majority_by(
@@ -634,23 +633,36 @@ def q_vendor_fallback(spark, sf_dir):
 
 # ---------------------------------------------------------------- models (MDL, EVA, TUN): rows-only
 
-_MEMO: dict = {}
-
-
-def _memo(key, fn):
-    """Reuse an expensive result (e.g. the tuning grid) between queries of one process."""
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
-
-
-@register("feature_union")
+def _union_sql() -> str:
+    """nnz and squared length of each test row's six blocks, vocabularies of the training rows."""
+    def block(name, terms, min_df):
+        x = O.tfidf("trn", "tst", terms, min_df)
+        for cte in ("tctr", "tcap", "voc", "idf", "raw", "tw"):
+            x = x.replace(f"{cte} AS (", f"{name}_{cte} AS (")
+        for ref in ("tctr GROUP", "voc, ", "tcap JOIN", "raw) "):
+            x = x.replace(f"FROM {ref}", f"FROM {name}_{ref}")
+        return x.replace("JOIN idf USING", f"JOIN {name}_idf USING").rstrip()
+    blocks = [block("w", O.word_terms("text"), 2), block("i", O.word_terms("item_key"), 1),
+              block("c", O.char_terms("text"), 1)]
+    tw = " UNION ALL ".join(f"SELECT row_id, weight FROM {n}_tw" for n in "wic")
+    return (f"WITH s AS ({O.with_group_split('D')}), trn AS (SELECT * FROM s WHERE split = 'train'), "
+            f"tst AS (SELECT * FROM s WHERE split = 'test'), " + ", ".join(blocks)
+            + f", tx AS (SELECT row_id, count(*) AS n, sum(weight * weight) AS q FROM ({tw}) u GROUP BY 1), "
+            "m AS (SELECT CASE WHEN max(abs(amount_log)) = 0 THEN 1.0 ELSE max(abs(amount_log)) END AS m FROM trn) "
+            "SELECT tst.row_id, coalesce(tx.n, 0) + 1 + CAST(v.vendor_id IS NOT NULL AS INTEGER) "
+            "+ CAST(amount_log <> 0 AS INTEGER) AS nnz, round(coalesce(tx.q, 0) + 1 "
+            "+ CAST(v.vendor_id IS NOT NULL AS INTEGER) + power(amount_log / m.m, 2), 6) AS sum_sq "
+            "FROM tst CROSS JOIN m LEFT JOIN tx USING (row_id) "
+            "LEFT JOIN (SELECT DISTINCT vendor_id FROM trn) v USING (vendor_id)")
+
+
+@register("feature_union", _union_sql())
 def q_feature_union(spark, sf_dir):
-    s = S.group_split(expenses(spark, sf_dir)).cache()
+    s = S.group_split(expenses(spark, sf_dir))
     ff = FE.fit_features(s.where("split = 'train'"))
-    arr = FE.transform_arrays(ff, s.where("split = 'test'"), keep=["row_id"])
-    return arr.select("row_id", F.size("idx").alias("nnz"),
-                      F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x).alias("sum_sq"))
+    arr = FE.feature_arrays(ff, s.where("split = 'test'"), ["row_id"])
+    return arr.select("row_id", F.size("idx").cast("bigint").alias("nnz"),
+                      r6(F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x)).alias("sum_sq"))
 
 
 @register("train_score")
@@ -728,10 +740,8 @@ def q_diagnostics(spark, sf_dir):
 
 
 def _grid(spark, sf_dir):
-    def build():
-        g = EV.tune_grid(expenses(spark, sf_dir))
-        return spark.createDataFrame(g.collect(), g.schema)  # 50 rows, kept for reuse
-    return _memo(("grid", sf_dir), build)
+    g = EV.tune_grid(expenses(spark, sf_dir))
+    return spark.createDataFrame(g.collect(), g.schema)  # 50 rows
 
 
 @register("tune_grid")
@@ -759,13 +769,13 @@ def q_tune_two_stage(spark, sf_dir):
 
 def lookup_evals(spark, sf_dir) -> DataFrame:
     """EVAL table of the lookup model on the random, group and balanced splits."""
-    df = expenses(spark, sf_dir).cache()
+    df = expenses(spark, sf_dir).select(*KEYS)
     splits = {"random": S.random_split(df), "group_item": S.group_split(df),
               "balanced_holdout": S.balanced_unseen_split(df)}
     parts = []
     for key, s in splits.items():
-        s = s.cache()
-        pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'")).cache()
+        s = s
+        pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'"))
         acc = pred.agg(F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("accuracy"))
         f1 = M.report_averages(M.classification_report(pred)).select("macro_f1")
         row = acc.select("accuracy", F.lit(f1.first()["macro_f1"]).alias("macro_f1"))
@@ -783,8 +793,6 @@ def _lookup_evals_sql() -> str:
               O.lookup_eval(O.with_group_split("D"), "g_", "group_item"),
               O.lookup_eval(f"WITH c AS ({O.clean('D')}), {balanced_sql(42)} SELECT * FROM bs42",
                             "b_", "balanced_holdout")]
-    # the balanced split's own CTEs are nested inside its split CTE
-    chains[2] = chains[2].replace("b_s AS (WITH", "b_s AS (WITH", 1)
     return ("WITH " + ", ".join(chains) + ", evals AS (SELECT * FROM r_ev UNION ALL SELECT * FROM g_ev "
             "UNION ALL SELECT * FROM b_ev UNION ALL SELECT 'baseline' AS key, accuracy, macro_f1 FROM r_ev) ")
 
@@ -815,7 +823,7 @@ def q_champion_metrics(spark, sf_dir):
     from spendlens.session import scratch_path
     import uuid
     base = scratch_path(spark, f"registry-{uuid.uuid4().hex}")
-    s = S.repeated_split(expenses(spark, sf_dir), n_splits=5).cache()
+    s = S.repeated_split(expenses(spark, sf_dir).select(*KEYS), n_splits=5)
     pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'"), by="split_id")
     acc = pred.groupBy("split_id").agg(
         F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("accuracy"))
@@ -831,7 +839,7 @@ def q_champion_metrics(spark, sf_dir):
 @register("comparison_tables")
 def q_comparison_tables(spark, sf_dir):
     """Before/after: lookup model on the random vs the group split (leakage effect)."""
-    ev = lookup_evals(spark, sf_dir).cache()
+    ev = lookup_evals(spark, sf_dir)
     before = ev.where("key = 'random'").withColumn("key", F.lit("holdout"))
     after = ev.where("key = 'group_item'").withColumn("key", F.lit("holdout"))
     return TK.comparison(before, after)
@@ -857,11 +865,11 @@ def q_fit_full_model(spark, sf_dir):
     from spendlens.session import scratch_path
     import uuid
     from spendlens.sources import sinks as SK
-    df = expenses(spark, sf_dir).cache()
+    df = expenses(spark, sf_dir)
     tm = TR.fit_model(df)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
-    SK.save_model(tm, path)
-    loaded = SK.load_model(spark, path)
+    SK.save_model(tm, path, TR.fit_calibration(tm), LK.vendor_account_map(df))
+    loaded = SK.load_model(spark, path)[0]
     return TR.score(loaded, df, keep=["row_id", "account_name"]).select("row_id", "account_name", "predicted")
 
 
@@ -872,10 +880,10 @@ def q_stream_score(spark, sf_dir):
     from spendlens.sources.raw import to_raw_json_rows
     from spendlens.streaming.score import start_scoring_stream
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    s = S.group_split(expenses(spark, sf_dir)).cache()
+    s = S.group_split(expenses(spark, sf_dir))
     train = s.where("split = 'train'")
     tm = TR.fit_model(train)
-    cal = TR.fit_calibration(tm, TR.score(tm))
+    cal = TR.fit_calibration(tm)
     raw = raw_view(spark, sf_dir).join(s.where("split = 'test'").select("row_id"), "row_id")
     to_raw_json_rows(raw).repartition(4).write.mode("overwrite").json(f"{base}/incoming")
     q = start_scoring_stream(spark, tm, f"{base}/incoming", f"{base}/scored", f"{base}/checkpoint",

@@ -17,6 +17,7 @@ from spendlens.operators import lookup as LK
 from spendlens.operators import metrics as M
 from spendlens.operators import split as S
 from spendlens.operators import train as TR
+from spendlens.session import write_table
 
 LABEL = "account_name"
 
@@ -29,7 +30,7 @@ MIN_GROUPED_ACCURACY = 0.85
 UNDERFIT_BELOW = 0.60
 OVERFIT_GAP_ABOVE = 0.05
 CONFIDENCE_THRESHOLD = 0.5
-PARALLEL_FITS = 4
+PARALLEL_FITS = 3
 
 EVAL_SCHEMA = ("strategy string, split_id int, cfg int, C double, class_weight string, "
                "oversample_min_count int, train_accuracy double, accuracy double, "
@@ -77,19 +78,14 @@ def evaluation_rows(tm: TR.TrainedModel, test_pred: DataFrame, strategy: str,
 
 
 def _fit_eval(train: DataFrame, test: DataFrame, configs: list[dict], omc: int, strategy: str,
-              split_id: int = 0, keep: bool = False) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
-    """Fit, score, evaluate. Unless ``keep`` (the caller still reads the predictions), the
-    model's broadcast weights and cached rows are freed as soon as the rows are computed."""
+              split_id: int = 0) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
+    """Fit, score, evaluate: model, written test predictions, one EVAL row per config."""
     tm = TR.fit_models(train, configs, omc)
-    pred = TR.score(tm, test).cache()
+    pred = write_table(TR.score(tm, test), "predictions")
     rows = evaluation_rows(tm, pred, strategy, split_id)
     # One row per config: keep the values, drop the (deep) lineage before results of many
     # fits are unioned.
-    rows = train.sparkSession.createDataFrame(rows.collect(), rows.schema)
-    if not keep:
-        pred.unpersist()
-        tm.release()
-    return tm, pred, rows
+    return tm, pred, train.sparkSession.createDataFrame(rows.collect(), rows.schema)
 
 
 def _split(df: DataFrame, strategy: str, seed: int = S.DEFAULT_SEED) -> DataFrame:
@@ -97,7 +93,7 @@ def _split(df: DataFrame, strategy: str, seed: int = S.DEFAULT_SEED) -> DataFram
         return S.random_split(df, seed=seed)
     if strategy == "group_item":
         return S.group_split(df, seed=seed)
-    raise ValueError(f"Unknown strategy: {strategy}")
+    raise ValueError(f"no split named {strategy!r}")
 
 
 # ---------------------------------------------------------------- EVA-1 single holdout
@@ -105,11 +101,11 @@ def _split(df: DataFrame, strategy: str, seed: int = S.DEFAULT_SEED) -> DataFram
 def evaluate_holdout(df: DataFrame, strategy: str = "group_item", C: float = 1.0,
                      class_weight: str | None = None, oversample_min_count: int = 0) -> dict:
     """EVA-1: holdout evaluation -> {'eval', 'report', 'errors', 'top', 'bottom', 'pred'}."""
-    s = _split(df, strategy).cache()
+    s = _split(df, strategy)
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm, pred, rows = _fit_eval(train, test, [{"C": C, "class_weight": class_weight}],
-                               oversample_min_count, strategy, keep=True)
-    report = M.classification_report(pred).cache()
+                               oversample_min_count, strategy)
+    report = M.classification_report(pred)
     return {"eval": rows, "report": report, "errors": M.error_by_frequency(pred, train),
             "top": M.ranked_labels(report, best=True), "bottom": M.ranked_labels(report, best=False),
             "pred": pred, "model": tm}
@@ -132,13 +128,12 @@ def repeated_rows(df: DataFrame, strategy: str = "group_item", n_splits: int = 5
                   configs: list[dict] | None = None, oversample_min_count: int = 0,
                   seed: int = S.DEFAULT_SEED) -> DataFrame:
     configs = configs or [{"C": 1.0, "class_weight": None}]
-    group = "item_key" if strategy == "group_item" else None
     if strategy not in ("group_item", "random"):
-        raise ValueError(f"Unknown strategy: {strategy}")
-    s = S.repeated_split(df, n_splits=n_splits, seed=seed, group=group).cache()
+        raise ValueError(f"no repeated split named {strategy!r}")
 
     def one(i):
-        part = s.where(F.col("split_id") == i).drop("split_id")
+        # Split i of SPL-3 is the single split with seed + i: rows are labelled, not multiplied.
+        part = _split(df, strategy, seed + i)
         return _fit_eval(part.where("split = 'train'"), part.where("split = 'test'"), configs,
                          oversample_min_count, strategy, i)[2]
 
@@ -166,7 +161,7 @@ def evaluate_balanced(df: DataFrame, C: float = 1.0, class_weight: str | None =
     """EVA-3: balanced unseen holdout; EVAL columns plus eligible labels and the min/max
     test support per label (class-balance check)."""
     configs = configs or [{"C": C, "class_weight": class_weight}]
-    s = S.balanced_unseen_split(df, seed=seed).cache()
+    s = write_table(S.balanced_unseen_split(df, seed=seed), "balanced")
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     _, _, rows = _fit_eval(train, test, configs, oversample_min_count, "balanced_unseen")
     support = test.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n")).agg(
@@ -198,14 +193,6 @@ def evaluate_balanced_repeated(df: DataFrame, repeats: int = 5, C: float = 1.0,
         "class_weight")
 
 
-# ---------------------------------------------------------------- EVA-4 lookup baseline
-
-def baseline_accuracy(df: DataFrame, strategy: str = "random") -> float:
-    s = _split(df, strategy).cache()
-    pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'"))
-    return LK.accuracy(pred).first()["accuracy"]
-
-
 # ---------------------------------------------------------------- EVA-5 calibrated fallback
 
 def evaluate_calibrated(df: DataFrame, split: str = "group_item", C: float = 1.0,
@@ -214,14 +201,14 @@ def evaluate_calibrated(df: DataFrame, split: str = "group_item", C: float = 1.0
     """EVA-5: fit on train (after oversampling), calibrate per-class sigmoids on the same
     (oversampled) training rows, vendor map from them too, then confidence-gated
     prediction on test. Returns {'eval': one row, 'pred': predictions}."""
-    s = (S.balanced_unseen_split(df) if split == "balanced" else S.group_split(df)).cache()
+    s = write_table(S.balanced_unseen_split(df) if split == "balanced" else S.group_split(df), "calibrated")
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm = TR.fit_model(train, C, class_weight, oversample_min_count)
-    cal = TR.fit_calibration(tm, TR.score(tm))
-    scored = TR.calibrated_scores(tm, TR.score(tm, test), cal)
+    cal = TR.fit_calibration(tm)
+    scored = TR.score(tm, test, calibration=cal)
     oversampled = (S.oversample_minority(train, oversample_min_count)
                    if oversample_min_count > 0 else train)
-    pred = LK.apply_vendor_fallback(scored, LK.vendor_account_map(oversampled), threshold).cache()
+    pred = write_table(LK.apply_vendor_fallback(scored, LK.vendor_account_map(oversampled), threshold), "gated")
     avg = M.report_averages(M.classification_report(pred)).first()
     acc = pred.agg(F.avg((F.col(LABEL) == F.col("predicted")).cast("double")).alias("a"),
                    F.count_if(F.col("source") == "vendor_fallback").alias("fallbacks"),
@@ -243,15 +230,15 @@ def learning_curve(df: DataFrame, C: float = 1.0, class_weight: str | None = Non
                    n_splits: int = 3) -> DataFrame:
     """EVA-6: 5 training-size prefixes x 3 group splits, no oversampling; mean train and
     validation accuracy per fraction."""
-    s = S.repeated_split(df, n_splits=n_splits).cache()
-    prefixes = S.learning_prefixes(s.where("split = 'train'")).cache()
+    splits = [_split(df, "group_item", S.DEFAULT_SEED + i) for i in range(n_splits)]
+    prefixes = [S.learning_prefixes(s.where("split = 'train'").withColumn("split_id", F.lit(i)))
+                for i, s in enumerate(splits)]
     jobs = [(i, f) for i in range(n_splits) for f in S.LEARNING_FRACTIONS]
 
     def one(job):
         i, f = job
-        train = prefixes.where((F.col("split_id") == i) & (F.col("train_fraction") == f)).drop(
-            "split_id", "train_fraction", "split")
-        test = s.where((F.col("split_id") == i) & (F.col("split") == "test")).drop("split_id")
+        train = prefixes[i].where(F.col("train_fraction") == f).drop("split_id", "train_fraction", "split")
+        test = splits[i].where("split = 'test'")
         _, _, rows = _fit_eval(train, test, [{"C": C, "class_weight": class_weight}], 0,
                                "learning_curve", i)
         return rows.withColumn("train_fraction", F.lit(f))
@@ -277,7 +264,7 @@ def validation_curve(df: DataFrame, class_weight: str | None = None, n_splits: i
 def stratified_group_cv(df: DataFrame, C: float = 1.0, class_weight: str | None = None,
                         oversample_min_count: int = 0, n_folds: int = 3) -> DataFrame:
     """SPL-4 cross-validation: each fold is the test set once."""
-    folds = S.stratified_group_folds(df, n_folds).cache()
+    folds = write_table(S.stratified_group_folds(df, n_folds), "folds")
 
     def one(i):
         return _fit_eval(folds.where(F.col("fold") != i).drop("fold"),
@@ -310,12 +297,12 @@ def tune_grid(df: DataFrame, c_values=GRID_C, class_weights=GRID_CLASS_WEIGHT,
     depend only on (split, oversample): one fit per pair trains all (C, class_weight)
     configs together. Output: one row per config with grid position ``grid_pos``."""
     configs = [{"C": c, "class_weight": w} for w in class_weights for c in c_values]
-    s = S.repeated_split(df, n_splits=n_splits).cache()
+    splits = [_split(df, "group_item", S.DEFAULT_SEED + i) for i in range(n_splits)]
     jobs = [(omc, i) for omc in oversample_values for i in range(n_splits)]
 
     def one(job):
         omc, i = job
-        part = s.where(F.col("split_id") == i).drop("split_id")
+        part = splits[i]
         return _fit_eval(part.where("split = 'train'"), part.where("split = 'test'"), configs,
                          omc, "group_item", i)[2]
 
@@ -361,7 +348,7 @@ def viable_configs(grid: DataFrame, floor: float = MIN_GROUPED_ACCURACY) -> Data
 def tune_two_stage(df: DataFrame, floor: float = MIN_GROUPED_ACCURACY, grid: DataFrame | None = None) -> dict:
     """TUN-2: grouped grid -> accuracy floor (fallback: all) -> balanced holdout macro F1 of
     each viable config (stacked per oversampling level) -> strict argmax in grid order."""
-    grid = (grid if grid is not None else tune_grid(df)).cache()
+    grid = grid if grid is not None else tune_grid(df)
     viable = viable_configs(grid, floor).collect()
     by_omc: dict = {}
     for r in viable:

@@ -7,12 +7,15 @@ SELECT whose column names match the Spark query of the same key.
 
 from __future__ import annotations
 
-from spendlens.functions.text import WHITESPACE_ONLY, WHITESPACE_RUN, WORD_TOKEN
+# Patterns are written out here on their own: runs of white space, and word tokens.
+SPACES = "[\\t\\n\\x{0B}\\f\\r\\x{1C}-\\x{1F}\\x{85}\\p{Z}]"
+TOKEN = "[\\p{L}\\p{N}_]{2,}"
 
 VIEW_D = (
     "SELECT doc_id AS row_id, source AS vendor_id, "
-    "substr(split_part(text, chr(10), 1), 1, 60) AS item_name, "
-    "substr(text, 61, 240) AS item_description, "
+    "split_part(text, chr(10), 1) AS item_name, "
+    "CASE WHEN contains(text, chr(10)) THEN substr(text, strpos(text, chr(10)) + 1) "
+    "WHEN text IS NOT NULL THEN '' END AS item_description, "
     "lang || '-' || source AS account_name, "
     "CAST(n_chars AS DOUBLE) AS item_total_amount FROM documents"
 )
@@ -34,11 +37,11 @@ def view(name: str) -> str:
 
 def norm(x: str) -> str:
     return (f"trim(regexp_replace(lower(coalesce(CAST({x} AS VARCHAR), '')), "
-            f"'{WHITESPACE_RUN}', ' ', 'g'))")
+            f"'{SPACES}+', ' ', 'g'))")
 
 
 def blank(x: str) -> str:
-    return f"regexp_full_match(coalesce({x}, ''), '{WHITESPACE_ONLY[1:-1]}')"
+    return f"regexp_full_match(coalesce({x}, ''), '{SPACES}*')"
 
 
 AMOUNT = ("CASE WHEN item_total_amount IS NULL OR isnan(item_total_amount) THEN 0.0 "
@@ -94,18 +97,19 @@ def majority(src: str, key: str, out: str) -> str:
     )
 
 
-def lookup_predictions(split_cte: str) -> str:
-    """Full query text of baseline predictions over ``split_cte`` (test rows)."""
+def lookup_predictions(split_cte: str, pfx: str = "") -> str:
+    """CTE chain of baseline predictions over ``split_cte`` ending in ``{pfx}p`` (test rows)."""
+    x = pfx
     return (
-        f"WITH s AS ({split_cte}), tr AS (SELECT * FROM s WHERE split = 'train'), "
-        f"te AS (SELECT * FROM s WHERE split = 'test'), "
-        f"im AS ({majority('tr', 'item_key', 'item_label')}), "
-        f"vm AS ({majority('tr', 'vendor_id', 'vendor_label')}), "
-        f"gm AS (SELECT account_name AS g FROM tr GROUP BY account_name "
+        f"WITH {x}s AS ({split_cte}), {x}tr AS (SELECT * FROM {x}s WHERE split = 'train'), "
+        f"{x}te AS (SELECT * FROM {x}s WHERE split = 'test'), "
+        f"{x}im AS ({majority(x + 'tr', 'item_key', 'item_label')}), "
+        f"{x}vm AS ({majority(x + 'tr', 'vendor_id', 'vendor_label')}), "
+        f"{x}gm AS (SELECT account_name AS g FROM {x}tr GROUP BY account_name "
         f"       ORDER BY count(*) DESC, account_name LIMIT 1), "
-        f"p AS (SELECT te.row_id, te.account_name, te.item_key, te.vendor_id, "
-        f"      coalesce(nullif(im.item_label, ''), nullif(vm.vendor_label, ''), (SELECT g FROM gm)) "
-        f"      AS predicted FROM te LEFT JOIN im USING (item_key) LEFT JOIN vm USING (vendor_id)) "
+        f"{x}p AS (SELECT {x}te.row_id, {x}te.account_name, {x}te.item_key, {x}te.vendor_id, "
+        f"      coalesce(nullif({x}im.item_label, ''), nullif({x}vm.vendor_label, ''), (SELECT g FROM {x}gm)) "
+        f"      AS predicted FROM {x}te LEFT JOIN {x}im USING (item_key) LEFT JOIN {x}vm USING (vendor_id)) "
     )
 
 
@@ -127,20 +131,15 @@ def report(pred: str, by: str = "", pfx: str = "") -> str:
 
 
 def lookup_eval(split_cte: str, pfx: str, key: str) -> str:
-    """CTE chain ending in ``{pfx}ev`` = (key, accuracy, macro_f1) of the lookup baseline."""
-    body = lookup_predictions(split_cte)[len("WITH "):]
-    for name in ["s", "tr", "te", "im", "vm", "gm", "p"]:
-        body = body.replace(f"{name} AS (", f"{pfx}{name} AS (")
-        for tok in [f" FROM {name} ", f" FROM {name})", f"JOIN {name} ", f"{name}.", f"FROM {name} WHERE"]:
-            body = body.replace(tok, tok.replace(name, pfx + name, 1))
-    body = body.rstrip()
+    """CTE chain (without WITH) ending in ``{pfx}ev`` = (key, accuracy, macro_f1)."""
+    body = lookup_predictions(split_cte, pfx).removeprefix("WITH ").rstrip()
     return (body + ", " + report(f"{pfx}p", pfx=pfx)
             + f", {pfx}ev AS (SELECT '{key}' AS key, (SELECT avg(CAST(account_name = predicted AS DOUBLE)) "
               f"FROM {pfx}p) AS accuracy, (SELECT avg(f1) FROM {pfx}rep) AS macro_f1)")
 
 
 def word_terms(col: str, bigrams: bool = True) -> str:
-    tok = f"regexp_extract_all(strip_accents({col}), '{WORD_TOKEN}')"
+    tok = f"regexp_extract_all(strip_accents({col}), '{TOKEN}')"
     if not bigrams:
         return tok
     return (f"list_concat(tk, list_transform(range(1, len(tk)), lambda i: tk[i] || ' ' || tk[i + 1]))"

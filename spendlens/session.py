@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,7 +80,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="spendlens-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -93,3 +99,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage of fitted state by a reliable checkpoint (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back: a lineage cut whose files
+    survive lost executors."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ in ``spendlens.plans.oracle`` so that an independent engine can check every quer
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.sources.tables import read_table
@@ -16,14 +16,21 @@ RAW_COLUMNS = ["row_id", "vendor_id", "item_name", "item_description", "account_
                "item_total_amount"]
 
 
+def _after_first_line(text: Column) -> Column:
+    """All of the text behind its first newline; empty for a single line, null for null."""
+    at = F.locate("\n", text)
+    return F.when(at > 0, F.substr(text, at + 1, F.length(text))).when(text.isNotNull(), F.lit(""))
+
+
 def expense_view_d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """View D: documents as expense rows (text and vendor signal, long-tailed labels)."""
+    """View D: documents as expense rows (text and vendor signal, long-tailed labels). The
+    first line is the item, everything behind it the description: whole texts."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
     return docs.select(
         F.col("doc_id").alias("row_id"),
         F.col("source").alias("vendor_id"),
-        F.substring(F.split_part(F.col("text"), F.lit("\n"), F.lit(1)), 1, 60).alias("item_name"),
-        F.substring(F.col("text"), 61, 240).alias("item_description"),
+        F.split_part(F.col("text"), F.lit("\n"), F.lit(1)).alias("item_name"),
+        _after_first_line(F.col("text")).alias("item_description"),
         F.concat(F.col("lang"), F.lit("-"), F.col("source")).alias("account_name"),
         F.col("n_chars").cast("double").alias("item_total_amount"),
     )

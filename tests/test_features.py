@@ -51,3 +51,19 @@ def test_vendor_index_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "vendor_id string")
     got = {r[0]: r[1] for r in FE.vendor_index(df).collect()}
     assert got == {"a": 0, "b": 1, "c": 2}
+
+
+def test_broadcast_and_joined_vocabulary_give_the_same_vectors(spark, monkeypatch):
+    rows = [("a", "alpha beta beta", "alpha", "v1", 1.0), ("a", "alpha beta beta", "alpha", "v1", 1.0),
+            (None, "gamma", "", "v2", 0.0), ("b", "", "", "v3", 2.0), ("c", "beta delta alpha", "beta", "v1", 3.0)]
+    df = spark.createDataFrame(rows, "row_id string, text string, item_key string, vendor_id string, amount_log double")
+    ff = FE.fit_features(df.where("row_id is null or row_id <> 'b'"))
+    held = FE.feature_arrays(ff, df, ["row_id"]).collect()
+    ff.held = None
+    monkeypatch.setattr(FE, "MAX_HELD_TERMS", -1)
+    joined = FE.feature_arrays(ff, df, ["row_id"]).collect()
+
+    def norm(x):
+        return sorted((str(r["row_id"]), r["idx"], [round(v, 9) for v in r["val"]]) for r in x)
+
+    assert len(held) == 5 and norm(held) == norm(joined)

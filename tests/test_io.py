@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from spendlens.operators import lookup as LK
 from spendlens.operators import split as S
 from spendlens.operators import train as TR
 from spendlens.operators.clean import clean_expenses, inference_rows
@@ -9,7 +10,7 @@ from spendlens.plans.catalog import expenses
 from spendlens.sources import sinks as SK
 from spendlens.sources.raw import read_expense_json, to_raw_json_rows
 from spendlens.sources.views import raw_view
-from spendlens.streaming.score import start_scoring_stream
+from spendlens.streaming.score import score_batch, start_scoring_stream
 
 from conftest import SF_SMALL
 
@@ -40,11 +41,12 @@ def test_inference_rows_missing_keys(spark):
 
 
 def test_model_roundtrip_and_stream(spark, tmp_path):
-    s = S.group_split(expenses(spark, SF_SMALL)).cache()
+    s = S.group_split(expenses(spark, SF_SMALL))
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm = TR.fit_model(train)
-    SK.save_model(tm, str(tmp_path / "model"))
-    loaded = SK.load_model(spark, str(tmp_path / "model"))
+    SK.save_model(tm, str(tmp_path / "model"), TR.fit_calibration(tm), LK.vendor_account_map(train))
+    loaded, calibration, vendor_map, threshold = SK.load_model(spark, str(tmp_path / "model"))
+    assert threshold == 0.5 and len(calibration["a"]) == len(tm.labels) and vendor_map.count() > 0
     a = {r["row_id"]: r["predicted"] for r in TR.score(tm, test).collect()}
     b = {r["row_id"]: r["predicted"] for r in TR.score(loaded, test).collect()}
     assert a == b and len(a) == test.count()
@@ -58,13 +60,21 @@ def test_model_roundtrip_and_stream(spark, tmp_path):
     assert scored.count() == test.count()
     got = {r["row_id"]: r["predicted"] for r in scored.collect()}
     assert got == {str(k): v for k, v in a.items()}
+    # null, repeated and absent ids: rows out = rows in
+    raw = [("x", "Taxi"), ("x", "Lunch"), (None, "Taxi"), (None, "Taxi"), ("y", None)]
+    odd = spark.createDataFrame(raw, "row_id string, itemName string")
+    for batch in (odd, odd.drop("row_id")):
+        out = score_batch(loaded, batch, vendor_map, calibration, threshold).collect()
+        assert len(out) == 5 and all(r["predicted"] in tm.labels for r in out)
 
 
 def test_export_csv_and_splits(spark, tmp_path):
     df = expenses(spark, SF_SMALL).drop("text")
     SK.export_csv(df, str(tmp_path / "csv"))
     assert spark.read.option("header", True).option("multiLine", True).csv(str(tmp_path / "csv")).count() == 200
-    SK.export_splits(S.random_split(df), str(tmp_path / "splits"), "r1", "random")
+    for _ in range(2):  # a rerun replaces its own rows
+        SK.export_splits(S.random_split(df), str(tmp_path / "splits"), "r1", "random")
+    SK.export_splits(S.random_split(df).limit(0), str(tmp_path / "splits"), "r2", "random")
     back = spark.read.option("header", True).option("multiLine", True).csv(str(tmp_path / "splits"))
     got = {r["split"]: r["count"] for r in back.groupBy("split").count().collect()}
     assert got == {"train": 160, "test": 40}

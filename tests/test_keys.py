@@ -25,10 +25,10 @@ def test_dense_index_matches_sort(spark):
     assert got == {x: x for x in range(2000)}
 
 
-def test_exact_quantiles_distributed_path(spark, monkeypatch):
-    monkeypatch.setattr(FE, "SMALL_TABLE_ROWS", 10)
+def test_exact_quantiles(spark):
     vals = [float(v) for v in [5, 1, 9, 3, 3, 8, 2, 7, 6, 4, 10, 0]]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    vals += [3.0] * 9  # one value holds over 40 % of the rows
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(4)
     got = FE.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0])
     s = sorted(vals)
 
@@ -39,3 +39,15 @@ def test_exact_quantiles_distributed_path(spark, monkeypatch):
         return s[lo] + (s[hi] - s[lo]) * (pos - lo)
 
     assert [round(x, 9) for x in got] == [round(pct(q), 9) for q in [0.0, 0.25, 0.5, 0.9, 1.0]]
+
+
+def test_quantiles_of_nothing_and_of_one_value(spark):
+    none = spark.createDataFrame([], "x double")
+    assert FE.exact_quantiles(none, "x") == []
+    assert FE.exact_quantiles(spark.createDataFrame([(2.0,)] * 5, "x double"), "x", [0.0, 0.3, 1.0]) == [2.0] * 3
+
+
+def test_vendor_index_with_a_hot_vendor(spark):
+    rows = [("hot",)] * 400 + [(f"v{i:03d}",) for i in range(600)]
+    got = {r[0]: r[1] for r in FE.vendor_index(spark.createDataFrame(rows, "vendor_id string")).collect()}
+    assert got == {v: i for i, v in enumerate(sorted({r[0] for r in rows}))}

@@ -1,21 +1,23 @@
 """Model-level invariants at sf0.01 (quality gate: the model beats the lookup baseline)."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from spendlens.operators import lookup as LK
 from spendlens.operators import metrics as M
 from spendlens.operators import split as S
+from spendlens.operators import svm
 from spendlens.operators import train as TR
 from spendlens.plans.catalog import expenses
 
-from conftest import SF_MEDIUM
+from conftest import SF_MEDIUM, SF_SMALL
 
 
 def test_model_beats_lookup_baseline_on_same_split(spark):
-    s = S.group_split(expenses(spark, SF_MEDIUM)).cache()
+    s = S.group_split(expenses(spark, SF_MEDIUM))
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm = TR.fit_models(train, [{"C": 1.0, "class_weight": None}, {"C": 1.0, "class_weight": "balanced"}])
-    pred = TR.score(tm, test).cache()
+    pred = TR.score(tm, test)
     base = LK.accuracy(LK.lookup_predict(train, test)).first()["accuracy"]
     for c in (0, 1):
         acc = M.evaluation_summary(pred.where(F.col("cfg") == c))["accuracy"]
@@ -23,7 +25,48 @@ def test_model_beats_lookup_baseline_on_same_split(spark):
     train_acc = M.evaluation_summary(TR.score(tm).where("cfg = 0"))["accuracy"]
     assert train_acc >= 0.9
     # calibrated probabilities are normalised and in [0, 1]
-    cal = TR.fit_calibration(tm, TR.score(tm).where("cfg = 0"))
-    probs = TR.calibrated_scores(tm, pred.where("cfg = 0"), cal)
+    cal = TR.fit_calibration(tm)
+    assert cal["converged"].all() and all(tm.converged)
+    probs = TR.score(tm, test, calibration=cal).where("cfg = 0")
     lo, hi = probs.agg(F.min("max_prob"), F.max("max_prob")).first()
     assert 0.0 < lo <= hi <= 1.0
+
+
+def test_solver_reaches_the_duality_gap():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(120, 10))
+    y = np.where(x[:, :3] + 0.3 * rng.normal(size=(120, 3)) > 0, 1.0, -1.0)
+    gram = x @ x.T + 1
+    for cost in (0.1, 1.0, 16.0):
+        c = np.full_like(y, cost)
+        beta, gap, steps = svm.solve(gram, y, c, svm.RHO * cost, tolerance=1e-4)
+        assert gap.max() <= 1e-4 and steps < svm.MAX_STEPS
+        f = gram @ beta
+        # the optimality condition beta = 2 c y max(0, 1 - y f), tested on the margins
+        assert np.abs(f - gram @ (2 * c * y * np.maximum(0, 1 - y * f))).max() < 0.2 * max(1, cost)
+
+
+def test_kernel_equals_dense_products():
+    rng = np.random.default_rng(1)
+    dense = rng.random((6, 20)) * (rng.random((6, 20)) < 0.4)
+    idx = [np.flatnonzero(r) * 1000 - 7 for r in dense]
+    sample = svm.Sample.of(idx, [r[r > 0] for r in dense])
+    for r, i in zip(dense, idx, strict=True):
+        assert np.allclose(sample.kernel(i, r[r > 0]), 1 + dense @ r, atol=1e-5)
+    assert np.allclose(sample.kernel(np.array([10**9]), np.array([1.0])), 1)
+
+
+def test_fit_rows_keep_every_label_and_do_not_depend_on_partitions(spark):
+    rows = [(i, "hot" if i % 3 else f"label{i % 40}") for i in range(600)]
+    df = spark.createDataFrame(rows, "row_id int, account_name string")
+    got = [sorted(r["row_id"] for r in svm.fit_rows(df.repartition(n), "account_name", limit=100).collect())
+           for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == 100
+    names = dict(rows)
+    assert {names[i] for i in got[0]} == set(names.values())
+
+
+def test_same_model_for_any_partitioning(spark):
+    s = S.group_split(expenses(spark, SF_SMALL)).where("split = 'train'")
+    a, b = (TR.fit_model(s.repartition(n)) for n in (1, 5))
+    assert a.labels == b.labels and np.allclose(a.coefficients, b.coefficients, atol=1e-6)
