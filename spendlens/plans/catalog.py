@@ -461,7 +461,7 @@ def _split_majority_sql(key: str, out: str) -> str:
             f"WHERE rn = 1")
 
 
-@register("repeated_baseline_stats", _GROUP_REPEATED_SQL + f""",
+_REPEATED_EVAL_SQL = _GROUP_REPEATED_SQL + f""",
 s AS (SELECT t.split_id, t.is_test, c.* FROM c JOIN t USING (item_key)),
 tr AS (SELECT * FROM s WHERE NOT is_test), te AS (SELECT * FROM s WHERE is_test),
 im AS ({_split_majority_sql('item_key', 'item_label')}),
@@ -474,6 +474,10 @@ p AS (SELECT te.split_id, te.account_name, coalesce(nullif(im.item_label, ''),
 {O.report('p', 'split_id')},
 f AS (SELECT split_id, avg(f1) AS macro_f1 FROM rep GROUP BY 1),
 a AS (SELECT split_id, avg(CAST(account_name = predicted AS DOUBLE)) AS acc FROM p GROUP BY 1)
+"""
+
+
+@register("repeated_baseline_stats", _REPEATED_EVAL_SQL + """
 SELECT round(avg(acc), 6) AS accuracy_mean, round(stddev_pop(acc), 6) AS accuracy_std,
        round(avg(macro_f1), 6) AS macro_f1_mean, round(stddev_pop(macro_f1), 6) AS macro_f1_std,
        count(*) AS n_splits FROM a JOIN f USING (split_id)""")
@@ -816,47 +820,58 @@ def q_flat_metrics(spark, sf_dir):
     return flat.select("metric", r6("value").alias("value"))
 
 
-@register("champion_metrics")
+@register("champion_metrics", _REPEATED_EVAL_SQL + """
+SELECT 'lookup' AS model_name, 5 AS version, 'run-4' AS run_id, 'accuracy' AS metric, round(acc, 6) AS value
+FROM a WHERE split_id = 4""")
 def q_champion_metrics(spark, sf_dir):
-    """Each of 5 repeated group splits is a run of the lookup model, logged and registered
-    as a new version; the champion (latest version) and its run's metrics are returned."""
+    """Each of 5 repeated group splits is a run of the lookup model; all are logged and
+    registered with one write each. The champion (latest version) and its run's metrics
+    are returned."""
     from spendlens.session import scratch_path
     import uuid
     base = scratch_path(spark, f"registry-{uuid.uuid4().hex}")
     s = S.repeated_split(expenses(spark, sf_dir).select(*KEYS), n_splits=5)
     pred = LK.lookup_predict(s.where("split = 'train'"), s.where("split = 'test'"), by="split_id")
-    acc = pred.groupBy("split_id").agg(
+    run = F.concat(F.lit("run-"), F.col("split_id").cast("string")).alias("run_id")
+    runs = pred.groupBy("split_id").agg(
         F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("accuracy"))
-    for r in acc.orderBy("split_id").collect():
-        run = f"run-{r['split_id']}"
-        TK.log_metrics(spark.createDataFrame([("accuracy", r["accuracy"])], "metric string, value double"),
-                       run, f"{base}/run_metrics")
-        TK.register_version(spark, f"{base}/model_versions", "lookup", run, f"{base}/models/{run}")
-    return TK.champion_metrics(spark.read.parquet(f"{base}/model_versions"),
-                               spark.read.parquet(f"{base}/run_metrics"))
-
-
-@register("comparison_tables")
+    TK.log_run_metrics(runs.select(run, F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
+                       f"{base}/run_metrics")
+    logged = spark.read.parquet(f"{base}/run_metrics")
+    TK.register_versions(logged.select("run_id", F.concat(F.lit("models/"), "run_id").alias("path")).distinct(),
+                         f"{base}/model_versions", "lookup", "run_id")
+    champion = TK.champion_metrics(spark.read.parquet(f"{base}/model_versions"), logged)
+    return champion.select("model_name", "version", "run_id", "metric", r6("value").alias("value"))
+
+
+@register("comparison_tables", _lookup_evals_sql() + (
+    "SELECT 'holdout' AS key, round(b.accuracy, 6) AS accuracy_before, round(b.macro_f1, 6) AS macro_f1_before, "
+    "round(a.accuracy, 6) AS accuracy_after, round(a.macro_f1, 6) AS macro_f1_after, "
+    "round(a.accuracy - b.accuracy, 6) AS accuracy_delta, round(a.macro_f1 - b.macro_f1, 6) AS macro_f1_delta "
+    "FROM evals b, evals a WHERE b.key = 'random' AND a.key = 'group_item'"))
 def q_comparison_tables(spark, sf_dir):
     """Before/after: lookup model on the random vs the group split (leakage effect)."""
     ev = lookup_evals(spark, sf_dir)
     before = ev.where("key = 'random'").withColumn("key", F.lit("holdout"))
     after = ev.where("key = 'group_item'").withColumn("key", F.lit("holdout"))
-    return TK.comparison(before, after)
+    out = TK.comparison(before, after)
+    return out.select("key", *[r6(c).alias(c) for c in out.columns if c != "key"])
 
 
 # ---------------------------------------------------------------- sinks and stream (SNK, STR): rows-only
 
-@register("export_splits")
+@register("export_splits", (
+    f"SELECT 'run-1' AS run_id, 'group_item' AS split_name, split, count(*) AS rows "
+    f"FROM ({O.with_group_split('D')}) s GROUP BY split"))
 def q_export_splits(spark, sf_dir):
     from spendlens.session import scratch_path
     import uuid
     from spendlens.sources import sinks as SK
     path = scratch_path(spark, f"exports-{uuid.uuid4().hex}")
     df = expenses(spark, sf_dir)
-    SK.export_csv(df.drop("text"), f"{path}/dataset")
-    SK.export_splits(S.group_split(df).drop("text"), f"{path}/splits", "run-1", "group_item")
-    back = spark.read.option("header", True).option("multiLine", True).csv(f"{path}/splits")
+    SK.export_csv(df, f"{path}/dataset")
+    SK.export_splits(S.group_split(df), f"{path}/splits", "run-1", "group_item")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{path}/splits")
     return back.groupBy("run_id", "split_name", "split").agg(F.count(F.lit(1)).alias("rows"))
 
 
