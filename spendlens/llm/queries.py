@@ -79,7 +79,87 @@ QUERIES = {f.__name__: f for f in (
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_NORMAL = (r"regexp_extract_all(translate(coalesce(text, ''), " + _LOWER
+           + r"), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+def _quality_sql() -> str:
+    """The base rules and both Jensen-Shannon distances, written out for DuckDB."""
+    classes = ["a-z", "A-Z", "0-9", r"\x20\x09-\x0D", r".,;:!?''\"()\-", "#*$%&|<>"]
+    only = ", ".join(f"length(regexp_replace(t, '[^{c}]+', '', 'g'))" for c in classes)
+    vocabulary = sorted({w for own in quality.COMMON_WORDS.values() for w in own})
+    listed = "[" + ", ".join(f"'{w}'" for w in vocabulary) + "]"
+    capital = "upper(v[1]) || v[2:]"
+    nc, nw = len(classes) + 1, len(vocabulary) + 1
+    langs = ", ".join(f"'{x}'" for x in quality.COMMON_WORDS)
+
+    def share(x, n):
+        return f"list_transform({x}, lambda z: z / greatest(list_sum({x}), 1e-300))"
+
+    def half(x, y):
+        return f"CASE WHEN {x} > 0 THEN {x} * log2({x} / (({x} + {y}) / 2)) ELSE 0 END"
+
+    def distance(p, q, n):
+        return (f"sqrt(greatest(list_sum(list_transform(range(1, {n} + 1), lambda i: "
+                f"{half(f'{p}[i]', f'{q}[i]')} + {half(f'{q}[i]', f'{p}[i]')})) / 2, 0))")
+
+    sums = [", ".join(f"CAST(sum({c}[{i}]) AS DOUBLE)" for i in range(1, n + 1)) for c, n in (("cc", nc), ("ww", nw))]
+    return f"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5) x),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM
+      (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g) y WHERE c > 1) z GROUP BY 1),
+m AS (SELECT doc_id, lang, len(w) AS n_words, list_sum(list_transform(w, lambda x: length(x))) AS word_chars,
+      length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+      len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))
+      - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))) AS n_dup_lines,
+      coalesce(r.n, 0) AS n_repeat_words, [{only}] AS seen, length(t) AS n_chars,
+      list_transform({listed}, lambda v: len(list_filter(w, lambda x: x = v OR x = {capital}))) AS found
+      FROM d LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+      list_append(seen, n_chars - list_sum(seen)) AS cc, list_append(found, n_words - list_sum(found)) AS ww FROM m),
+s AS (SELECT lang, [{sums[0]}] AS sc, [{sums[1]}] AS sw FROM b
+      WHERE NOT base_failed AND n_words >= 50 AND lang IN ({langs}) GROUP BY lang),
+q AS (SELECT lang, {share('sc', nc)} AS qc, {share('sw', nw)} AS qw FROM s),
+p AS (SELECT b.*, {share('cc', nc)} AS pc, {share('ww', nw)} AS pw FROM b),
+far AS (SELECT p.doc_id, min({distance('pc', 'qc', nc)}) AS dc, min({distance('pw', 'qw', nw)}) AS dw
+        FROM p JOIN q ON q.lang = p.lang OR p.lang IS NULL OR p.lang NOT IN (SELECT lang FROM q) GROUP BY 1)
+SELECT doc_id, n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n_words >= 50 AND (coalesce(dc, 0) > 0.3 OR coalesce(dw, 0) > 0.5)) AS kept
+FROM b LEFT JOIN far USING (doc_id)"""
+
+
 ORACLE_SQL = {
+    "op2_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35) x),
+hit AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p
+        FROM (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM win) y WHERE c > 1),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t
+         FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+    "op6_decontaminate": f"""
+WITH it AS (SELECT item_id, {_NORMAL} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k
+       FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+             FROM it WHERE len(w) > 0) x),
+d AS (SELECT doc_id, {_NORMAL} AS w FROM documents),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+             FROM d, (SELECT DISTINCT n FROM iw) z WHERE len(w) >= n) y),
+m AS (SELECT doc_id, i, n, item_id FROM dw JOIN iw USING (n, k)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) x GROUP BY 1),
+own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) x GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)""",
+    "op8_quality_rules": _quality_sql(),
     "op4_url_filter": r"""
 WITH parts AS (
   SELECT page_id, html,
