@@ -10,118 +10,133 @@ remainders of its length, which is a salted running count over slim rows.
 
 from __future__ import annotations
 
+import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import list_array, text_hash, to_bytes, write_table
+from spendlens.llm.common import list_array, to_bytes, write_table
 
 END_ID = 1
-PART = 4 << 20
 PIECE = "array<struct<start:bigint,length:int,sequence_id:bigint,offset:int>>"
 
 
-class _Words:
-    """Token ids of white-space-free chunks, in one flat array. White space is dropped by
-    the tokenizer and splits its words, so a text's ids are its chunks' ids in order."""
+class TokenIds(dict):
+    """White-space-free chunk -> its token ids as bytes; emptied when it has grown large.
 
-    LIMIT = 400_000
+    The tokenizer drops white space and ends its words there, so a text's ids are its
+    chunks' ids in order. Runs of lower-case letters go straight to the tokenizer's model
+    (its normaliser and splitter leave them alone), and sentence punctuation behind letters
+    is a word of its own; whatever else a chunk holds is encoded as a whole. ``_probe`` makes
+    sure that the tokenizer at hand does work like that; with any other every chunk, or
+    every whole text, takes the general way.
+    """
+
+    LIMIT = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self):
-        self.at: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.begin = np.zeros(1, np.int64)
-
-    def learn(self, chunks: set) -> None:
-        new = [c for c in chunks if c not in self.at]
-        if not new:
-            return
-        if len(self.at) + len(new) > self.LIMIT:
+        self.model = self.tokenizer.model
+        self.code, self.width = ("H", 2) if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", 4)
+        self.end = self._pack([END_ID])
+        self.by_chunk = self._whole("a bc, d") == self._whole("a") + self._whole("bc,") + self._whole("d")
+        self.direct = False
+        self.direct = self.by_chunk and all(
+            self._letters(w.encode()) == self._whole(w) for w in ("a", "the", "packing", "été", "größe", "señor")
+        ) and self._whole("word.,") == self._whole("word") + self._whole(".,")
+
+    def _pack(self, ids: list) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _whole(self, text: str) -> bytes:
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _letters(self, word: bytes) -> bytes:
+        text = word.decode("latin-1")
+        return self._pack([t.id for t in self.model.tokenize(text if word.isascii() else text.translate(BYTE_CHARS))])
+
+    def _is_word(self, chunk: bytes) -> bool:
+        if chunk.isascii():
+            return chunk.isalpha() and chunk.islower()
+        text = chunk.decode("utf-8", "replace")
+        return LETTERS.fullmatch(text) is not None and unicodedata.is_normalized("NFC", text)
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(self) >= self.LIMIT:
             self.clear()
-            new = list(chunks)
-        ids, sizes = [], []
-        for i in range(0, len(new), 2000):
-            for e in self.tokenizer.encode_batch_fast(
-                    [c.decode("utf-8", "replace") for c in new[i:i + 2000]], add_special_tokens=False):
-                ids.extend(e.ids)
-                sizes.append(len(e.ids))
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-        self.flat = np.concatenate((self.flat, np.array(ids, np.uint32)))
-        self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(np.array(sizes, np.int64))))
+        if self.direct and self._is_word(chunk):
+            ids = self._letters(chunk)
+        else:
+            stem = chunk.rstrip(b".,;:!?*#$%&)]}|>_-\"")
+            if self.direct and stem != chunk and self._is_word(stem):
+                ids = self[stem] + self[chunk[len(stem):]]
+            else:
+                ids = self._whole(chunk.decode("utf-8", "replace"))
+        self[chunk] = ids
+        return ids
+
+    def of(self, raw: bytes | None) -> bytes:
+        """All ids of a text and the end id."""
+        if not raw:
+            return self.end
+        if not self.by_chunk:
+            return self._whole(raw.decode("utf-8", "replace")) + self.end
+        if self.direct and b"<|" not in raw:
+            raw = raw.lower()  # A-Z only, as the normaliser does; special tokens are left alone
+        return b"".join(map(self.__getitem__, raw.split())) + self.end
+
+
+#: Lower-case letters that case folding leaves alone.
+LETTERS = regex.compile(r"\p{Ll}+")
+
 
-    def chunks(self, raw) -> np.ndarray:
-        return np.fromiter(map(self.at.__getitem__, raw), np.int64, len(raw))
+def _byte_chars() -> dict[int, str]:
+    """The printable stand-ins of byte-level tokenizers: a visible Latin-1 character stands
+    for its own byte, the others follow from U+0100 in order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return {b: chr(b if b in visible else next(spare)) for b in range(256)}
+
+
+BYTE_CHARS = _byte_chars()
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> _Words:
-    return _Words(path)
-
-
-def _token_lists(raws: list, path: str):
-    """Per text its chunk numbers: yields (words, row, chunk numbers). New chunks are learned
-    for about ``PART`` bytes of text at a time; the numbers hold until the next text."""
-    words = _words(path)
-    part, size = [], 0
-    for i, raw in enumerate(raws):
-        part.append((i, (raw or b"").split()))
-        size += len(raw or b"")
-        if size >= PART or i == len(raws) - 1:
-            words.learn({c for _, split in part for c in split})
-            for row, split in part:
-                yield words, row, words.chunks(split)
-            part, size = [], 0
-
-
-def token_counts(raws: list, path: str) -> np.ndarray:
-    out = np.ones(len(raws), np.int64)
-    for w, i, at in _token_lists(raws, path):
-        out[i] += (w.begin[at + 1] - w.begin[at]).sum()
-    return out
-
-
-def token_ids(raws: list, path: str):
-    """Yields the ids of each text, the end id last."""
-    for w, _, at in _token_lists(raws, path):
-        sizes = w.begin[at + 1] - w.begin[at]
-        total = int(sizes.sum())
-        out = np.empty(total + 1, np.uint32)
-        where = np.arange(total) + np.repeat(w.begin[at] - (np.cumsum(sizes) - sizes), sizes)
-        out[:total] = w.flat[where]
-        out[total] = END_ID
-        yield out
-
-
-def count_udf(path: str):
-    @F.arrow_udf("bigint")
-    def count(texts: pa.Array) -> pa.Array:
-        return pa.array(token_counts(to_bytes(texts), path))
-    return count
-
-
-def ids_udf(path: str):
-    """The ids of each placed piece, as little-endian 32-bit numbers."""
+def token_ids(path: str) -> TokenIds:
+    return TokenIds(path)
+
+
+def tokens_udf(path: str):
+    """The ids of each text as little-endian numbers of the width the vocabulary needs."""
+    @F.arrow_udf("binary")
+    def tokens(texts: pa.Array) -> pa.Array:
+        ids = token_ids(path)
+        return pa.array([ids.of(raw) for raw in to_bytes(texts)], pa.binary())
+    return tokens
+
+
+def pieces_udf(width: int):
+    """The ids of each placed piece as little-endian 32-bit numbers."""
     @F.arrow_udf("array<binary>")
-    def ids(texts: pa.Array, pieces: pa.Array) -> pa.Array:
-        flat = pieces.flatten()
+    def pieces(tokens: pa.Array, placed: pa.Array) -> pa.Array:
+        flat = placed.flatten()
         starts = flat.field("start").to_numpy(zero_copy_only=False)
         ends = starts + flat.field("length").to_numpy(zero_copy_only=False)
-        counts = pieces.value_lengths().to_numpy(zero_copy_only=False)
+        counts = placed.value_lengths().to_numpy(zero_copy_only=False)
         out, at = [], 0
-        for tokens, n in zip(token_ids(to_bytes(texts), path), counts.tolist(), strict=True):
-            out.extend(tokens[a:b].astype("<u4").tobytes() for a, b in zip(
+        for raw, n in zip(tokens.to_pylist(), counts.tolist(), strict=True):
+            ids = np.frombuffer(raw, f"<u{width}").astype("<u4")
+            out.extend(ids[a:b].tobytes() for a, b in zip(
                 starts[at:at + n].tolist(), ends[at:at + n].tolist(), strict=True))
             at += n
         return list_array(pa.array(out, pa.binary()), counts)
-    return ids
+    return pieces
 
 
 def combinations_filling(window: int, present: np.ndarray) -> np.ndarray:
@@ -310,15 +325,17 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ``window`` ids, offsets are gapless from 0, and all sequences but one are full. Other
     columns are not read. An empty table gives no pieces.
     """
-    spark = docs.sparkSession
-    base = docs.select(docs[id_col].alias("id"), docs[text_col].alias("t")).withColumn("th", text_hash("t"))
-    slim = write_table(base.select("id", "th", count_udf(tokenizer_path)("t").alias("n"))
-                       .withColumn("uid", F.monotonically_increasing_id()), "token-counts")
+    width = token_ids(tokenizer_path).width
+    tokens = docs.select(docs[id_col].alias("id"), tokens_udf(tokenizer_path)(docs[text_col]).alias("tokens"))
+    # Texts are read and tokenised once; from here on ids are what is kept and moved.
+    tokens = write_table(tokens.withColumn("n", F.floor(F.octet_length("tokens") / width))
+                         .withColumn("uid", F.monotonically_increasing_id()), "tokens")
+    slim = tokens.select("uid", "n")
     full = F.floor(F.col("n") / window).cast("long")
-    parts = slim.select("id", "th", "uid", "n", F.explode(F.array(
+    parts = slim.select("uid", "n", F.explode(F.array(
         F.struct(F.lit(0).cast("long").alias("start"), F.lit(window).alias("length"), full.alias("reps")),
         F.struct((full * window).alias("start"), (F.col("n") % window).cast("int").alias("length"),
-                 F.lit(1).cast("long").alias("reps")))).alias("p")).select("id", "th", "uid", "n", "p.*")
+                 F.lit(1).cast("long").alias("reps")))).alias("p")).select("uid", "p.*")
     parts = parts.where("reps > 0 and length > 0")
     ranked, totals = running_rank(parts, "length", "reps", ["uid"], "rank")
     histogram = np.zeros(window, np.int64)
@@ -332,16 +349,12 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     whole = F.transform(F.sequence(F.lit(0).cast("long"), F.col("reps") - 1), lambda j: F.struct(
         (j * window).alias("start"), F.lit(window).alias("length"),
         (F.col("rank") + j).alias("sequence_id"), F.lit(0).alias("offset")))
-    pieces = ranked.where(F.col("length") == window).select("id", "th", "uid", "n", whole.cast(PIECE).alias("ps")).unionByName(
-        ranked.where(F.col("length") < window).select(
-            "id", "th", "uid", "n", place_udf(layout)("start", F.col("length").cast("long"), "rank").alias("ps")))
-    placed = (pieces.groupBy("id", "th", "uid", "n").agg(F.flatten(F.collect_list("ps")).alias("ps"))
-              .select(F.col("id").alias("pid"), F.col("th").alias("pth"), F.col("n").alias("doc_tokens"), "ps"))
-    placed = write_table(placed, "placed")
-    # Equal rows have equal ids, so one text serves all their pieces.
-    texts = base.dropDuplicates(["id", "th"])
-    joined = texts.join(placed, F.col("id").eqNullSafe(F.col("pid")) & (F.col("th") == F.col("pth")))
-    out = joined.select("id", "doc_tokens", F.explode(F.arrays_zip(
-        F.col("ps"), ids_udf(tokenizer_path)("t", "ps").alias("ids"))).alias("p"))
+    whole = ranked.where(F.col("length") == window).select("uid", whole.cast(PIECE).alias("ps"))
+    rest = ranked.where(F.col("length") < window).select(
+        "uid", place_udf(layout)("start", F.col("length").cast("long"), "rank").alias("ps"))
+    placed = write_table(whole.unionByName(rest).groupBy("uid").agg(F.flatten(F.collect_list("ps")).alias("ps")),
+                         "placed")
+    out = tokens.join(placed, "uid").select("id", F.col("n").alias("doc_tokens"), F.explode(F.arrays_zip(
+        F.col("ps"), pieces_udf(width)("tokens", "ps").alias("ids"))).alias("p"))
     return out.select(F.col("id").alias(id_col), "p.ps.start", F.col("p.ps.length").cast("long").alias("length"),
                       "p.ids", "doc_tokens", "p.ps.sequence_id", F.col("p.ps.offset").cast("long").alias("offset"))
