@@ -40,7 +40,7 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     del df
     release_shuffles(spark)
-    return spark.read.schema(spark.read.parquet(path).schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 class Scratch:
@@ -56,7 +56,7 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         del df
         release_shuffles(self.spark)
-        return self.spark.read.schema(self.spark.read.parquet(path).schema).parquet(path)
+        return self.spark.read.parquet(path)
 
     def remove(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
