@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import list_array, merged_runs, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, list_array, merged_runs, to_bytes, write_table
 
 BLOCK_BYTES = 1 << 20
 SCAN = "struct<n_words:bigint,spans:array<struct<a:int,b:int>>,items:array<string>>"
@@ -228,6 +228,7 @@ def scan_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", te
     nothing. Items with a null id share the id ''; repeated items are one item per id. An
     empty benchmark hits nothing. Repeated rows come back one by one.
     """
+    bounded_batches(docs.sparkSession)
     state = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("t"),
                         F.array().cast("array<struct<a:int,b:int>>").alias("spans"),
                         F.array().cast("array<string>").alias("items"))

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import to_bytes
+from spendlens.llm.common import bounded_batches, to_bytes
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
@@ -103,6 +103,7 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     predicted one by one; a null id is not held out but, having no remainder, is learned
     from like any other row. Other columns pass through, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     predict = classifier(train_dictionaries(docs, id_col, text_col, lang_col),
                          min_margin=min_margin)
     return (docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),

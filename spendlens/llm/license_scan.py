@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import list_array, to_bytes
+from spendlens.llm.common import bounded_batches, list_array, to_bytes
 from spendlens.llm.decontaminate import word_spans, words_of
 
 GRAM, WINNOW = 3, 2
@@ -173,5 +173,6 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     three words are found only as one whole gram and need three words at least. Other
     columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     found = scan_udf(templates or TEMPLATES, min_coverage, band)(docs[text_col])
     return docs.select(docs[id_col].alias(id_col), F.explode(found).alias("m")).select(id_col, "m.*")

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import WS_BYTES, list_array, text_hash, to_bytes, write_table
+from spendlens.llm.common import WS_BYTES, bounded_batches, list_array, text_hash, to_bytes, write_table
 
 KEYS_TYPE = "array<struct<h1:bigint,h2:bigint>>"
 KEPT_TYPE = "struct<text:string,n_lines:bigint,n_dropped:bigint>"
@@ -93,6 +93,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id) are one document in the counts, and each comes back. Other columns pass through
     untouched, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs[id_col].alias("id"), docs[text_col].alias("t"))
     base = base.withColumn("th", text_hash("t"))

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import list_array, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, list_array, to_bytes, write_table
 
 END_ID = 1
 PIECE = "array<struct<start:bigint,length:int,sequence_id:bigint,offset:int>>"
@@ -37,7 +37,7 @@ class TokenIds(dict):
     every whole text, takes the general way.
     """
 
-    LIMIT = 600_000
+    LIMIT = 200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -325,6 +325,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ``window`` ids, offsets are gapless from 0, and all sequences but one are full. Other
     columns are not read. An empty table gives no pieces.
     """
+    bounded_batches(docs.sparkSession)
     width = token_ids(tokenizer_path).width
     tokens = docs.select(docs[id_col].alias("id"), tokens_udf(tokenizer_path)(docs[text_col]).alias("tokens"))
     # Texts are read and tokenised once; from here on ids are what is kept and moved.

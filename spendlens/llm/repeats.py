@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlens.llm.common import Scratch, list_array, merged_runs, mix64, text_hash, to_bytes, write_table
+from spendlens.llm.common import Scratch, bounded_batches, list_array, merged_runs, mix64, text_hash, to_bytes, write_table
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 SEGMENTS = "array<struct<start:int,nwin:int,mini:bigint,sh:bigint>>"
@@ -263,6 +263,7 @@ def with_repeats(docs: DataFrame, id_col: str, text_col: str, units: Units, inde
     base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs[id_col].alias("id"), docs[text_col].alias("t"))
     base = base.withColumn("th", text_hash("t"))
+    bounded_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "repeats")
     dups = repeated_windows(base.select("id", "t", "th"), units, index, shard_units, group_units, scratch)
     dups = write_table(dups.select(F.col("id").alias("did"), F.col("th").alias("dth"), "dups"), "dups")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import list_array, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, list_array, to_bytes, write_table
 from spendlens.llm.components import connected_components
 
 SEED = 42
@@ -203,6 +203,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     back one by one. Null ids never win the minimum: a component of null ids alone has a
     null component_id. No other column of ``docs`` is read.
     """
+    bounded_batches(docs.sparkSession)
     prints = write_table(docs.select(docs[id_col].alias("id"),
                                      fingerprint_udf(width)(docs[text_col]).alias("fp"),
                                      *(extra or [])), "fingerprints")

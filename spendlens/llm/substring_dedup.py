@@ -29,7 +29,7 @@ class _Hashes(dict):
     """Word -> 64-bit hash; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
