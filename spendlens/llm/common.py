@@ -50,8 +50,8 @@ def bounded_batches(spark) -> None:
     """Arrow batches of at most ``BATCH_BYTES`` in this session, so that a Python worker's
     memory does not follow the length of the texts."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key, "")
-    if not now.isdigit() or int(now) > BATCH_BYTES:
+    now = spark.conf.get(key)
+    if not now.isdigit() or int(now) > BATCH_BYTES:  # a unit stands for something larger
         spark.conf.set(key, str(BATCH_BYTES))
 
 
