@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,7 +38,7 @@ class TokenIds(dict):
     every whole text, takes the general way.
     """
 
-    LIMIT = 200_000
+    LIMIT = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -115,9 +116,11 @@ def token_ids(path: str) -> TokenIds:
 def tokens_udf(path: str):
     """The ids of each text as little-endian numbers of the width the vocabulary needs."""
     @F.arrow_udf("binary")
-    def tokens(texts: pa.Array) -> pa.Array:
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids = token_ids(path)
-        return pa.array([ids.of(raw) for raw in to_bytes(texts)], pa.binary())
+        for texts in batches:
+            yield pa.array([ids.of(raw) for raw in to_bytes(texts)], pa.binary())
+        ids.clear()  # the worker goes on to other stages
     return tokens
 
 
