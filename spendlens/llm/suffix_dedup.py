@@ -141,7 +141,7 @@ def keep_udf(window: int):
 
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = 200, shard_bytes: int = 1 << 22,
+                window: int = 200, shard_bytes: int = 1 << 18,
                 group_bytes: int = 1 << 21) -> DataFrame:
     """One row per row of ``docs``: its columns as struct ``row``, and struct ``kept``
     (text as bytes, n_bytes, n_removed, n_spans).
