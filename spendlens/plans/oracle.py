@@ -142,8 +142,9 @@ def word_terms(col: str, bigrams: bool = True) -> str:
     tok = f"regexp_extract_all(strip_accents({col}), '{TOKEN}')"
     if not bigrams:
         return tok
-    return (f"list_concat(tk, list_transform(range(1, len(tk)), lambda i: tk[i] || ' ' || tk[i + 1]))"
-            .replace("tk", f"({tok})"))
+    # The token list is bound once, as the parameter of a lambda over a one-element list.
+    return (f"list_transform([{tok}], lambda tk: list_concat(tk, list_transform(range(1, len(tk)), "
+            f"lambda i: tk[i] || ' ' || tk[i + 1])))[1]")
 
 
 def char_terms(col: str) -> str:
