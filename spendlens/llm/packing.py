@@ -88,9 +88,15 @@ class TokenIds(dict):
             return self.end
         if not self.by_chunk:
             return self._whole(raw.decode("utf-8", "replace")) + self.end
-        if self.direct and b"<|" not in raw:
-            raw = raw.lower()  # A-Z only, as the normaliser does; special tokens are left alone
-        return b"".join(map(self.__getitem__, raw.split())) + self.end
+        fold = self.direct and b"<|" not in raw  # special tokens are left alone
+        if fold and raw.isascii():
+            raw, fold = raw.lower(), False
+        chunks = raw.split()
+        if fold:
+            # The normaliser composes before it lower-cases: a capital keeps its case until
+            # the tokenizer has composed it with its mark.
+            chunks = [c.lower() if c.isascii() else c for c in chunks]
+        return b"".join(map(self.__getitem__, chunks)) + self.end
 
 
 #: Lower-case letters that case folding leaves alone.

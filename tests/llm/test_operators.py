@@ -169,6 +169,15 @@ def test_packing_of_nothing_and_of_nulls(spark):
     assert sorted((r.doc_id, bytes(r.ids)) for r in out) == [(1, b"\1\0\0\0")] * 2 + [(2, b"\1\0\0\0")]
 
 
+def test_capitals_with_combining_marks_have_the_tokenizers_ids():
+    ids = packing.TokenIds(tokenizer_path())
+    assert ids.direct
+    capitals = ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c"]
+    for text in [*capitals, *(f"The {c}a{c}, and {c.lower()} End." for c in capitals), "É ÉTÉ E\u0301te\u0301 THE, Σ ΑΣ İ"]:
+        whole = ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids.of(text.encode()) == np.array([*whole, 1], f"<u{ids.width}").tobytes(), text
+
+
 def test_least_squares_recovers_a_planted_packing():
     rng = np.random.default_rng(2)
     combos = packing.combinations_filling(128, np.ones(128, np.int64))
