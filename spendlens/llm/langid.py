@@ -34,18 +34,24 @@ def train_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        dict_bytes: int = 1 << 16) -> dict[str, bytes]:
     """Raw dictionary content per language.
 
-    The fitting sample is bounded by its parameters: per language at most ``sample_docs``
-    training texts of at most ``max_chars`` characters, the first in the order of a hash of
-    the text (so neither the order of rows nor the size of a source matters), cut to the
-    last ``dict_bytes`` bytes. ``row_number() <= n`` is a group limit before the shuffle.
+    The fitting sample is bounded by its parameters: per language the ``sample_docs``
+    distinct training texts that come first in the order of a hash of the text (so neither
+    the order of rows, the number of copies nor the size of a source matters), each cut to
+    ``max_chars`` characters from its first letter if it is longer, all together cut to the
+    last ``dict_bytes`` bytes. Hashes are ranked before any text moves; ``row_number() <= n``
+    is a group limit before the shuffle, the ranked hashes (at most ``sample_docs`` per
+    language) are broadcast, and copies of a chosen text meet in a partial aggregation.
     """
     usable = docs.select(docs[id_col].alias("i"), docs[lang_col].alias("l"), docs[text_col].alias("t"))
-    usable = (usable.where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}")
-                           & (F.length("t") <= max_chars) & ~held_out(F.col("i")))
-              .withColumn("o", F.xxhash64("t")))
-    w = Window.partitionBy("l").orderBy("o", "t")
-    rows = (usable.withColumn("n", F.row_number().over(w)).where(F.col("n") <= sample_docs)
-            .select("l", "n", "t").collect())
+    usable = (usable.where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & ~held_out(F.col("i")))
+              .select("l", F.xxhash64("t").alias("o"), "t"))
+    w = Window.partitionBy("l").orderBy("o")
+    first = (usable.select("l", "o").distinct().withColumn("n", F.row_number().over(w))
+             .where(F.col("n") <= sample_docs))
+    cut = F.when(F.length("t") <= max_chars, F.col("t")).otherwise(
+        F.regexp_extract("t", rf"(?s)\p{{L}}.{{0,{max_chars - 1}}}", 0))
+    rows = (usable.join(F.broadcast(first), ["l", "o"]).select("l", "n", cut.alias("t"))
+            .groupBy("l", "n").agg(F.min("t").alias("t")).collect())
     texts: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r["l"], -r["n"])):
         texts.setdefault(r["l"], []).append(r["t"])

@@ -337,3 +337,17 @@ def test_language_of_odd_texts(spark):
     assert langid.identify_language(frame(spark, [])).collect() == []
     unlabelled = langid.identify_language(frame(spark, [(1, "some words", None)])).collect()
     assert [r.lang_pred for r in unlabelled] == ["und"]
+
+
+EN, FR = "the cat and the dog were in the house of the king ", "le chat et le chien dans la maison du roi "
+
+
+def test_language_learned_from_long_texts_and_not_from_copies_alone(spark):
+    rows = [(i, f"{EN}{i} " * 400, "en") for i in range(8)] + [(i, f"{FR}{i}", "fr") for i in range(8, 16)]
+    rows += [(i, "le " * 9, "fr") for i in range(100, 400)]
+    rows += [(50, "12 " * 4000 + EN * 400, "xx"), (51, "12 " * 4000 + EN * 400, "xx"), (52, "12 " * 4000 + EN * 400, "xx")]
+    learned = langid.train_dictionaries(frame(spark, rows), sample_docs=20)
+    assert sorted(learned) == ["en", "fr", "xx"]
+    assert learned["fr"].decode().split("\n").count("le " * 9) == 1 and b"le chat" in learned["fr"]
+    assert len(learned["en"]) <= 1 << 16 and learned["en"].startswith(b"the cat")
+    assert learned["xx"] == (EN * 400)[:8192].encode()
