@@ -351,3 +351,18 @@ def test_language_learned_from_long_texts_and_not_from_copies_alone(spark):
     assert learned["fr"].decode().split("\n").count("le " * 9) == 1 and b"le chat" in learned["fr"]
     assert len(learned["en"]) <= 1 << 16 and learned["en"].startswith(b"the cat")
     assert learned["xx"] == (EN * 400)[:8192].encode()
+
+
+def test_margin_of_a_text_does_not_fall_with_its_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    predict = langid.classifier(langid.train_dictionaries(docs))
+    clean = docs.where("lang = 'en' and length(text) between 2000 and 8000 and not contains(text, '|')")
+    own = list(dict.fromkeys(r.text for r in clean.orderBy("doc_id").select("text").collect()))
+    joined = "\n".join(own) + "\n"
+    assert len(joined) > 400_000
+    texts = [*own[:20], joined, joined * (10_500_000 // len(joined) + 1)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    out = {r.i: r.p for r in frame.select("i", predict("t").alias("p")).collect()}
+    short = sorted(out[i].score for i in range(20))[10]
+    for i in (20, 21):
+        assert out[i].lang == "en" and not out[i].rejected and out[i].score > 0.5 * short, (out[i], short)
