@@ -1,8 +1,8 @@
 """Quality rules: document histograms against language references by Jensen-Shannon distance.
 
 DataFrame functions only. Everything about one text is computed inside its row (arrays and
-higher-order functions), so the only shuffle is the partial aggregation that sums the
-references: at most one row per reference language.
+higher-order functions), so the only shuffles are the partial aggregations that sum the
+references: at most one row per language.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spendlens.functions.keys import broadcast_if_small
 from spendlens.llm.common import WS_CLASS, write_table
 
 #: Frequent function words of each reference language.
@@ -96,9 +97,9 @@ def _shares(counts: Column) -> Column:
     return F.transform(counts, lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0)))
 
 
-def js_distance(p: Column, q: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of an array of shares to fixed shares."""
-    ref = F.array(*[F.lit(float(x)) for x in q])
+def js_distance(p: Column, q: Column | list[float]) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of an array of shares to reference shares."""
+    ref = q if isinstance(q, Column) else F.array(*[F.lit(float(x)) for x in q])
 
     def half(x, m):
         return F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
@@ -124,6 +125,15 @@ def references(measures: DataFrame, min_words: int = 50) -> dict[str, tuple[list
     return dict(sorted(out.items()))
 
 
+def char_references(measures: DataFrame, min_words: int = 50) -> DataFrame:
+    """lang, ref: the character shares of every language (any value of ``lang`` but null),
+    summed over the same documents as in ``references``. One row of fixed width per language."""
+    use = measures.where(~base_failed() & (F.col("n_words") >= min_words) & F.col("lang").isNotNull())
+    sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(len(CHAR_CLASSES) + 1)]
+    out = use.groupBy("lang").agg(*sums)
+    return out.select("lang", _shares(F.array(*[f"c{i}" for i in range(len(CHAR_CLASSES) + 1)])).alias("ref"))
+
+
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", min_words: int = 50, max_char_distance: float = 0.3,
                   max_word_distance: float = 0.5) -> DataFrame:
@@ -132,24 +142,26 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A document is kept unless the base rules fail it or one of its two distances to its
     language's reference is over the limit. Documents under ``min_words`` words are too
-    short for a histogram and are judged by the base rules alone. A null or unknown
-    language takes the nearest reference; without any reference the distances are null and
-    the base rules decide. Null and empty texts have zero words and fail. Repeated rows
-    come back one by one; other columns are not read.
+    short for a histogram and are judged by the base rules alone. Every language of the
+    table has a character reference; a word distance is taken only where
+    ``COMMON_WORDS`` has the language. A null language takes the nearest reference of each
+    kind; without any reference a distance is null and the base rules decide. Null and empty
+    texts have zero words and fail. Repeated rows come back one by one; other columns are
+    not read.
     """
     m = write_table(text_measures(docs, id_col, text_col, lang_col), "measures")
     refs = references(m, min_words)
+    chars = write_table(char_references(m, min_words), "references")
     d = m.withColumn("p", _shares(F.col("chars"))).withColumn("q", _shares(F.col("commons")))
-
-    def nearest(col: str, which: int) -> Column:
-        known = F.col("lang").isin(list(refs)) & F.col("lang").isNotNull()
-        each = [F.when((F.col("lang") == lang) | ~F.coalesce(known, F.lit(False)),
-                       js_distance(F.col(col), ref[which])) for lang, ref in refs.items()]
-        if not each:
-            return F.lit(None).cast("double")
-        return F.least(*each) if len(each) > 1 else each[0]
-
-    d = d.withColumn("char_distance", nearest("p", 0)).withColumn("word_distance", nearest("q", 1))
+    d = d.join(broadcast_if_small(chars), "lang", "left")
+    # One row with all references, for documents without a language.
+    d = d.crossJoin(F.broadcast(chars.agg(F.collect_list("ref").alias("refs"))))
+    near = F.array_min(F.transform("refs", lambda ref: js_distance(F.col("p"), ref)))
+    d = d.withColumn("char_distance", F.when(F.col("lang").isNull(), near).when(
+        F.col("ref").isNotNull(), js_distance(F.col("p"), F.col("ref"))))
+    each = [F.when((F.col("lang") == lang) | F.col("lang").isNull(), js_distance(F.col("q"), ref[1]))
+            for lang, ref in refs.items()]
+    d = d.withColumn("word_distance", F.array_min(F.array(F.lit(None).cast("double"), *each)))
     far = (F.col("n_words") >= min_words) & ((F.col("char_distance") > max_char_distance)
                                             | (F.col("word_distance") > max_word_distance))
     return (d.withColumn("base_failed", base_failed())

@@ -318,6 +318,25 @@ def test_quality_distances(spark):
             assert r.kept == (not r.base_failed)
 
 
+def test_quality_of_languages_without_a_word_list(spark):
+    def text(words, n, k):
+        return " ".join(np.random.default_rng(k).choice(words.split(), n)) + "."
+
+    words = {"ru": "да не он мы вы река дом лес снег день ночь хлеб", "ar": "من في على كتاب بيت نهر يوم ليل شمس قمر باب نار",
+             "el": "και το σπίτι νερό μέρα νύχτα ήλιος φως πόλη δρόμος βιβλίο θάλασσα", "en": "the of and house river day night bread sun water city road"}
+    rows = [(f"{lang}{k}", text(w, 190 + 2 * k, k), lang) for lang, w in words.items() for k in range(6)]
+    rows += [("junk", " ".join(f"#{i}$%" for i in range(55)), "ru"), ("short", "да нет " * 3, "uk"),
+             ("none", text(words["ru"], 200, 9), None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    got = {r.doc_id: r for r in quality.judge_quality(docs).collect()}
+    assert len(got) == len(rows)
+    clean = [i for i, r in got.items() if i[:2] in words and not r.base_failed]
+    assert {i[:2] for i in clean} == set(words) and all(got[i].kept for i in clean)
+    assert got["none"].kept and not got["none"].base_failed
+    assert not got["junk"].kept and not got["junk"].base_failed and got["junk"].char_distance > 0.3
+    assert got["short"].char_distance is None and all(got[i].word_distance is None for i in ("ru0", "el0", "ar0"))
+
+
 def test_language_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.identify_language(docs).select("row.doc_id", "row.lang", "held_out", "lang_pred", "score").collect()
