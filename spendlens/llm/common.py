@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 
@@ -81,6 +82,29 @@ def release_shuffles(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+_HELD: dict = {}
+
+
+def held(key, build):
+    """``build()``, made once in this Python worker and kept while its tasks ask for ``key``.
+    One object at a time: workers go on to other stages, and what those do not ask for is let go."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Let go of the object a former stage left in this worker, and give its memory back."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
 def spare_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or with underscores appended until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import bounded_batches, list_array, merged_runs, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, held, list_array, merged_runs, to_bytes, write_table
 
 BLOCK_BYTES = 1 << 20
-SCAN = "struct<n_words:bigint,spans:array<struct<a:int,b:int>>,items:array<string>>"
+SCAN = "struct<n_words:bigint,spans:array<struct<a:int,b:int>>,items:array<string>,cut:string>"
 CLEAN = "struct<text:string,n_hit:bigint>"
 #: A-Z lower-cased; every other ASCII character but digits and letters is a space.
 NORMALISE = bytes((c + 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -163,24 +163,26 @@ class Automaton:
         return starts, ends, items
 
 
-_BUILT: dict = {}
+def without_spans(raw: bytes, starts, ends) -> bytes:
+    """The text without the bytes from the first to the last word of each run of words."""
+    at = word_spans(raw)
+    cuts = [0]
+    for a, b in zip(starts, ends, strict=True):
+        cuts += [at[a][0], at[b - 1][1]]
+    cuts.append(len(raw))
+    return b"".join(raw[x:y] for x, y in zip(cuts[::2], cuts[1::2], strict=True))
 
 
-def _automaton(key: str, items: list, width: int) -> Automaton:
-    """Built once per worker; one block is held at a time."""
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = Automaton([(i, words_of(t)) for i, t in items], width)
-    return _BUILT[key]
-
-
-def scan_udf(items: list, width: int):
-    """Adds the occurrences of one block of items to what earlier blocks found."""
+def scan_udf(items: list, width: int, cut: bool = False):
+    """Adds the occurrences of one block of items to what earlier blocks found. With ``cut``
+    the text without them comes along (null where nothing is hit), so that one worker does
+    both for a task."""
     key = hashlib.sha256(repr((items, width)).encode()).hexdigest()
 
     @F.arrow_udf(SCAN)
     def scan(texts: pa.Array, spans: pa.Array, found: pa.Array) -> pa.Array:
-        sam = _automaton(key, items, width)
+        sam = held(key, lambda: Automaton([(i, words_of(t)) for i, t in items], width))
+        rest: list = []
         n_words, a_all, b_all, counts, names, n_names = [], [], [], [], [], []
         old_spans, old_names = spans.to_pylist(), found.to_pylist()
         for raw, old, had in zip(to_bytes(texts), old_spans, old_names, strict=True):
@@ -197,11 +199,13 @@ def scan_udf(items: list, width: int):
             counts.append(len(a))
             names.extend(own)
             n_names.append(len(own))
+            rest.append(without_spans(raw, a.tolist(), b.tolist()) if cut and len(a) else None)
         flat = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (a_all, b_all)]
         return pa.StructArray.from_arrays(
             [pa.array(n_words, pa.int64()),
              list_array(pa.StructArray.from_arrays([pa.array(x) for x in flat], ["a", "b"]), counts),
-             list_array(pa.array(names, pa.string()), n_names)], ["n_words", "spans", "items"])
+             list_array(pa.array(names, pa.string()), n_names), pa.array(rest, pa.binary()).cast(pa.string())],
+            ["n_words", "spans", "items", "cut"])
     return scan
 
 
@@ -219,9 +223,10 @@ def _blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int):
 
 def scan_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", width: int = 10,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, cut: bool = False) -> DataFrame:
     """One row per row of ``docs``: its columns as struct ``row``, its text ``t``, n_words,
-    n_hit, spans (hit runs of words [a, b)), items (sorted distinct ids as strings).
+    n_hit, spans (hit runs of words [a, b)), items (sorted distinct ids as strings), and
+    with ``cut`` the column cut: the text without its hit runs.
 
     A word is hit inside any occurrence of ``width`` consecutive words of an item, or of a
     whole shorter item. Null and wordless texts have no words; items without words match
@@ -233,8 +238,9 @@ def scan_benchmark(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", te
                         F.array().cast("array<struct<a:int,b:int>>").alias("spans"),
                         F.array().cast("array<string>").alias("items"))
     for last, block in _blocks(bench, item_col, item_text_col, block_bytes):
-        state = (state.withColumn("s", scan_udf(block, width)("t", "spans", "items"))
-                 .select("row", "t", "s.n_words", "s.spans", "s.items"))
+        state = (state.withColumn("s", scan_udf(block, width, cut and last)("t", "spans", "items"))
+                 .select("row", "t", "s.n_words", "s.spans", "s.items",
+                         *([F.coalesce("s.cut", "t").alias("cut")] if cut and last else [])))
         if not last:
             state = write_table(state.drop("n_words"), "scanned")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + (x.b - x.a))
@@ -248,12 +254,7 @@ def remove_spans(text: Column, spans: Column) -> Column:
         out = []
         for raw, own in zip(to_bytes(texts), spans.to_pylist(), strict=True):
             if raw is not None and own:
-                at = word_spans(raw)
-                cuts = [0]
-                for x in own:
-                    cuts += [at[x["a"]][0], at[x["b"] - 1][1]]
-                cuts.append(len(raw))
-                raw = b"".join(raw[x:y] for x, y in zip(cuts[::2], cuts[1::2], strict=True))
+                raw = without_spans(raw, [x["a"] for x in own], [x["b"] for x in own])
             out.append(raw)
         return pa.array(out, pa.binary()).cast(pa.string())
     return remove(text, spans)

@@ -10,13 +10,15 @@ Prediction is a map over rows with no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import bounded_batches, to_bytes
+from spendlens.llm.common import bounded_batches, release, to_bytes
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
@@ -72,14 +74,19 @@ def classifier(dictionaries: dict[str, bytes], level: int = 6, min_margin: float
     langs = sorted(dictionaries)
 
     @F.arrow_udf(RESULT)
-    def classify(texts: pa.Array) -> pa.Array:
-        coders = []
+    def classify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
+        coders = []  # made once a task and dropped at its end
         for lang in langs:
             content = zstandard.ZstdCompressionDict(
                 dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             content.precompute_compress(level=level)
             coders.append(zstandard.ZstdCompressor(
                 dict_data=content, write_content_size=False).compress)
+        for texts in batches:
+            yield judged(texts, coders)
+
+    def judged(texts: pa.Array, coders: list) -> pa.Array:
         out_l, out_s, out_r = [], [], []
         for raw in to_bytes(texts):
             text = raw.decode("utf-8", "replace") if raw else ""

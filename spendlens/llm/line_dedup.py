@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import WS_BYTES, bounded_batches, list_array, text_hash, to_bytes, write_table
+from spendlens.llm.common import WS_BYTES, bounded_batches, list_array, release, text_hash, to_bytes, write_table
 
 KEYS_TYPE = "array<struct<h1:bigint,h2:bigint>>"
 KEPT_TYPE = "struct<text:string,n_lines:bigint,n_dropped:bigint>"
@@ -41,6 +41,7 @@ def keys_udf(min_chars: int):
     """Hashes of the distinct keys of a text that are long enough to be judged."""
     @F.arrow_udf(KEYS_TYPE)
     def keys(texts: pa.Array) -> pa.Array:
+        release()
         found, lengths = [], []
         for raw in to_bytes(texts):
             own = {xxhash.xxh3_128_digest(k) for k in map(line_key, (raw or b"").split(b"\n"))

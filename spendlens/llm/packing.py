@@ -13,7 +13,6 @@ from __future__ import annotations
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import bounded_batches, list_array, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, held, list_array, to_bytes, write_table
 
 END_ID = 1
 PIECE = "array<struct<start:bigint,length:int,sequence_id:bigint,offset:int>>"
@@ -114,9 +113,8 @@ def _byte_chars() -> dict[int, str]:
 BYTE_CHARS = _byte_chars()
 
 
-@lru_cache(maxsize=2)
 def token_ids(path: str) -> TokenIds:
-    return TokenIds(path)
+    return held(("tokenizer", path), lambda: TokenIds(path))
 
 
 def tokens_udf(path: str):

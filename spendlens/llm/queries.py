@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.llm import (decontaminate, langid, license_scan, line_dedup, packing, quality,
-                           simhash, substring_dedup, suffix_dedup, url_filter)
+from spendlens.llm import (conversation_trie, decontaminate, hard_negatives, langid, license_scan, line_dedup,
+                           packing, quality, quality_classifier, simhash, substring_dedup, suffix_dedup, url_filter)
 from spendlens.sources.tables import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,9 +72,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "kept.n_lines", "kept.n_dropped", F.sha2("kept.text", 256).alias("kept_sha256"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(
+        read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify_quality(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                                               read_table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_substring_dedup, op3_simhash_dedup, op4_url_filter, op5_license_scan,
-    op6_decontaminate, op7_suffix_dedup, op8_quality_rules, op9_language_id, op10_line_dedup)}
+    op6_decontaminate, op7_suffix_dedup, op8_quality_rules, op9_language_id, op10_line_dedup,
+    op11_conversation_trie, op12_hard_negatives, op13_quality_classifier)}
 
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -131,7 +148,53 @@ SELECT doc_id, n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, n
 FROM b LEFT JOIN far USING (doc_id)"""
 
 
+#: The remainder modulo 4 of the crc32 of a decimal number, bit by bit.
+_CRC4 = """(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+         lambda a, b: xor(a >> 8, list_reduce(list_prepend(xor(a & 255, b), range(8)),
+                      lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))) & 3"""
+
 ORACLE_SQL = {
+    "op11_conversation_trie": f"""
+WITH t AS (SELECT conv_id AS c, md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS name,
+                  len({_WORDS}) AS w, turn, coalesce(role, '') AS r FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, name, w, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, r, name) AS p FROM t),
+own AS (SELECT c, 3 - ({_CRC4}) AS h, c - c % 20 AS base FROM (SELECT DISTINCT c FROM t) x),
+rebuilt AS (SELECT own.c, 0 AS s, o.p, o.name, o.w FROM own JOIN o ON o.c = own.base WHERE o.p <= own.h
+            UNION ALL SELECT own.c, 1, o.p, o.name, o.w FROM own JOIN o ON o.c = own.c WHERE o.p > own.h),
+placed AS (SELECT c, name, w, row_number() OVER (PARTITION BY c ORDER BY s, p) AS depth FROM rebuilt),
+lists AS (SELECT c, list(name ORDER BY depth) AS names, list(w ORDER BY depth) AS ws FROM placed GROUP BY c),
+every AS (SELECT own.c, coalesce(names, []) AS names, coalesce(ws, []) AS ws FROM own LEFT JOIN lists USING (c)),
+m AS (SELECT c, depth, array_to_string(names[1:depth], ' ') AS k, coalesce(ws[depth], 0) AS w, len(names) AS n
+      FROM (SELECT *, unnest(range(0, len(names) + 1)) AS depth FROM every) x),
+node AS (SELECT depth, k, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = depth), '')) AS ends_sha256
+         FROM m GROUP BY depth, k),
+linked AS (SELECT node.*, up.k AS pk, pn.conv_id AS parent_conv_id FROM node
+           LEFT JOIN m up ON up.c = node.conv_id AND up.depth = node.depth - 1
+           LEFT JOIN node pn ON pn.depth = up.depth AND pn.k = up.k),
+kids AS (SELECT depth - 1 AS depth, pk AS k, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY 1, 2),
+counted AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN kids USING (depth, k)),
+below AS (SELECT m.depth, m.k, count(*) FILTER (WHERE counted.n_children = 0) AS n_leaves,
+                 CAST(sum((counted.n_convs - 1) * counted.w) AS BIGINT) AS saved_tokens
+          FROM counted JOIN m ON m.c = counted.conv_id AND m.depth <= counted.depth GROUP BY 1, 2)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted JOIN below USING (depth, k)""",
+    "op12_hard_negatives": """
+WITH r AS (SELECT DISTINCT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS al, a.v AS av, c.vec_id AS id, c.label = a.label AS same,
+             CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+      FROM r a JOIN r c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, al, av, id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor_id, al, av ORDER BY score DESC, id) AS place
+      FROM s WHERE same QUALIFY place <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, al, av, place ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id, al, av)
+WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY rank <= 3""",
     "op2_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import bounded_batches, list_array, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, list_array, release, to_bytes, write_table
 from spendlens.llm.components import connected_components
 
 SEED = 42
@@ -69,6 +69,7 @@ def fingerprints(raws: list, width: int = 3) -> np.ndarray:
 def fingerprint_udf(width: int):
     @F.arrow_udf("bigint")
     def fingerprint(texts: pa.Array) -> pa.Array:
+        release()
         return pa.array(fingerprints(to_bytes(texts), width).view(np.int64))
     return fingerprint
 
