@@ -50,10 +50,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def remove_benchmark_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans that occur in benchmark items are cut out; documents of which more than 80 %
     of the words are hit go. All others stay."""
-    out = decontaminate.scan_benchmark(docs, read_table(spark, sf_dir, "benchmark"))
-    out = out.where(~decontaminate.over_limits(0.8))
-    return _with_text(docs, out, F.when(F.size("spans") > 0, decontaminate.remove_spans(F.col("t"), F.col("spans")))
-                      .otherwise(F.col("t")))
+    out = decontaminate.scan_benchmark(docs, read_table(spark, sf_dir, "benchmark"), cut=True)
+    return _with_text(docs, out.where(~decontaminate.over_limits(0.8)), F.col("cut"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
