@@ -43,15 +43,19 @@ def train_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     distinct training texts that come first in the order of a hash of the text (so neither
     the order of rows, the number of copies nor the size of a source matters), each cut to
     ``max_chars`` characters from its first letter if it is longer, all together cut to the
-    last ``dict_bytes`` bytes. Hashes are ranked before any text moves; ``row_number() <= n``
-    is a group limit before the shuffle, the ranked hashes (at most ``sample_docs`` per
+    last ``dict_bytes`` bytes (so texts of 400 bytes or more fill a dictionary before all
+    ``sample_docs`` are in). Hashes are ranked before any text moves, first in 64 parts of a
+    language, then over the parts; ``row_number() <= n`` is a group limit before the shuffle, the ranked hashes (at most ``sample_docs`` per
     language) are broadcast, and copies of a chosen text meet in a partial aggregation.
     """
     usable = docs.select(docs[id_col].alias("i"), docs[lang_col].alias("l"), docs[text_col].alias("t"))
     usable = (usable.where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}") & ~held_out(F.col("i")))
               .select("l", F.xxhash64("t").alias("o"), "t"))
+    # First inside parts of a language, so that a hot one is no task of its own.
+    parts = Window.partitionBy("l", F.pmod("o", F.lit(64))).orderBy("o")
     w = Window.partitionBy("l").orderBy("o")
-    first = (usable.select("l", "o").distinct().withColumn("n", F.row_number().over(w))
+    first = (usable.select("l", "o").distinct().withColumn("n", F.row_number().over(parts))
+             .where(F.col("n") <= sample_docs).withColumn("n", F.row_number().over(w))
              .where(F.col("n") <= sample_docs))
     cut = F.when(F.length("t") <= max_chars, F.col("t")).otherwise(
         F.regexp_extract("t", rf"(?s)\p{{L}}.{{0,{max_chars - 1}}}", 0))

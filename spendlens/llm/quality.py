@@ -23,6 +23,8 @@ COMMON_WORDS = {
     "es": ["el", "la", "los", "de", "y", "en", "que", "un", "una", "se", "las", "por"],
 }
 VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
+#: Share of the word distance of a text without common words from which a text is rejected.
+WORD_SHARE = 0.95
 #: Character classes as regex classes; what none of them holds is the last class.
 CHAR_CLASSES = ("a-z", "A-Z", "0-9", WS_CLASS, r".,;:!?'\"()\-", r"#*$%&|<>")
 #: Patterns shared by the words and the symbols.
@@ -82,7 +84,7 @@ def text_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         (F.col("n_chars") - F.get("seen", F.lit(3))).alias("word_chars"),
         F.get("seen", F.lit(5)).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
+        "n_repeat_words", "n_chars",
         F.concat("seen", F.array(F.col("n_chars") - seen)).alias("chars"),
         F.concat(F.array(*[_count(F.col("common"), w).cast("long") for w in VOCABULARY]),
                  F.array((F.size("words") - F.size("common")).cast("long"))).alias("commons"))
@@ -92,8 +94,7 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
 
 
-def _shares(counts: Column) -> Column:
-    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+def _shares(counts: Column, total: Column) -> Column:
     return F.transform(counts, lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0)))
 
 
@@ -109,66 +110,62 @@ def js_distance(p: Column, q: Column | list[float]) -> Column:
     return F.sqrt(F.greatest(js, F.lit(0.0)))
 
 
-def references(measures: DataFrame, min_words: int = 50) -> dict[str, tuple[list, list]]:
-    """Character and common-word shares of each reference language, summed over all its
-    documents that pass the base rules and have ``min_words`` words. At most one row of
-    fixed width per language of ``COMMON_WORDS`` reaches the driver."""
-    use = measures.where(~base_failed() & (F.col("n_words") >= min_words)
-                         & F.col("lang").isin(list(COMMON_WORDS)))
-    nc, nw = len(CHAR_CLASSES) + 1, len(VOCABULARY) + 1
-    sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(nc)]
-    sums += [F.sum(F.get("commons", F.lit(i))).alias(f"w{i}") for i in range(nw)]
-    out = {}
-    for r in use.groupBy("lang").agg(*sums).collect():
-        chars, words = [r[f"c{i}"] for i in range(nc)], [r[f"w{i}"] for i in range(nw)]
-        out[r["lang"]] = ([x / sum(chars) for x in chars], [x / sum(words) for x in words])
-    return dict(sorted(out.items()))
+def references(measures: DataFrame, min_words: int = 50) -> DataFrame:
+    """lang, chars, commons: the character and common-word shares of every language (any value
+    of ``lang``; documents without one are a group too), summed over all its documents that
+    pass the base rules and have ``min_words`` words. Sums are taken by (language, position), so the measures of a
+    document are computed once and no language is a group of its own."""
+    use = measures.where(~base_failed() & (F.col("n_words") >= min_words))
+    nc = len(CHAR_CLASSES) + 1
+    sums = (use.select("lang", F.posexplode(F.concat("chars", "commons")).alias("i", "x"))
+            .groupBy("lang", "i").agg(F.sum("x").alias("x")))
+    rows = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("s"))  # fixed width
+    whole = F.transform("s", lambda p: p.x)
+    parts = rows.select("lang", F.slice(whole, 1, nc).alias("c"), F.slice(whole, nc + 1, len(VOCABULARY) + 1).alias("w"))
+    total = [F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x) for c in ("c", "w")]
+    parts = parts.withColumn("tc", total[0]).withColumn("tw", total[1])
+    return parts.select("lang", _shares(F.col("c"), F.col("tc")).alias("chars"), _shares(F.col("w"), F.col("tw")).alias("commons"))
 
 
-def char_references(measures: DataFrame, min_words: int = 50) -> DataFrame:
-    """lang, ref: the character shares of every language (any value of ``lang`` but null),
-    summed over the same documents as in ``references``. One row of fixed width per language."""
-    use = measures.where(~base_failed() & (F.col("n_words") >= min_words) & F.col("lang").isNotNull())
-    sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(len(CHAR_CLASSES) + 1)]
-    out = use.groupBy("lang").agg(*sums)
-    return out.select("lang", _shares(F.array(*[f"c{i}" for i in range(len(CHAR_CLASSES) + 1)])).alias("ref"))
+def word_limit(commons: Column, share: float) -> Column:
+    """The largest word distance that a language allows: ``share`` of the distance of a text
+    without any common word, so the limit follows the language's own reference."""
+    none = [0.0] * len(VOCABULARY) + [1.0]
+    return share * js_distance(F.array(*[F.lit(x) for x in none]), commons)
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", min_words: int = 50, max_char_distance: float = 0.3,
-                  max_word_distance: float = 0.5) -> DataFrame:
+                  word_share: float = WORD_SHARE) -> DataFrame:
     """One row per document: id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, char_distance, word_distance, kept.
 
     A document is kept unless the base rules fail it or one of its two distances to its
-    language's reference is over the limit. Documents under ``min_words`` words are too
-    short for a histogram and are judged by the base rules alone. Every language of the
-    table has a character reference; a word distance is taken only where
-    ``COMMON_WORDS`` has the language. A null language takes the nearest reference of each
-    kind; without any reference a distance is null and the base rules decide. Null and empty
-    texts have zero words and fail. Repeated rows come back one by one; other columns are
-    not read.
+    language's reference is over the limit: ``max_char_distance`` for characters, for words
+    ``word_share`` of the distance that a text without common words has (see ``word_limit``).
+    Documents under ``min_words`` words are too short for a histogram and are judged by the
+    base rules alone. Every language of the table has a character reference, and so have the
+    documents without a language together; words are compared only where ``COMMON_WORDS`` has
+    the language. Without a reference a distance is null and the base rules decide. Null and
+    empty texts have zero words and fail. Repeated rows come back one by one; other columns are not read.
     """
     m = write_table(text_measures(docs, id_col, text_col, lang_col), "measures")
-    refs = references(m, min_words)
-    chars = write_table(char_references(m, min_words), "references")
-    d = m.withColumn("p", _shares(F.col("chars"))).withColumn("q", _shares(F.col("commons")))
-    d = d.join(broadcast_if_small(chars), "lang", "left")
-    # One row with all references, for documents without a language.
-    d = d.crossJoin(F.broadcast(chars.agg(F.collect_list("ref").alias("refs"))))
-    near = F.array_min(F.transform("refs", lambda ref: js_distance(F.col("p"), ref)))
-    d = d.withColumn("char_distance", F.when(F.col("lang").isNull(), near).when(
-        F.col("ref").isNotNull(), js_distance(F.col("p"), F.col("ref"))))
-    each = [F.when((F.col("lang") == lang) | F.col("lang").isNull(), js_distance(F.col("q"), ref[1]))
-            for lang, ref in refs.items()]
-    d = d.withColumn("word_distance", F.array_min(F.array(F.lit(None).cast("double"), *each)))
-    far = (F.col("n_words") >= min_words) & ((F.col("char_distance") > max_char_distance)
-                                            | (F.col("word_distance") > max_word_distance))
+    refs = write_table(references(m, min_words), "references")
+    listed = F.coalesce(F.col("lang").isin(list(COMMON_WORDS)), F.lit(False))
+    own = refs.select(F.col("lang").alias("of"), F.col("chars").alias("ref_c"), F.when(listed, F.col("commons")).alias("ref_w"))
+    own = own.withColumn("word_limit", F.when(F.col("ref_w").isNotNull(), word_limit(F.col("ref_w"), word_share)))
+    d = (m.withColumn("p", _shares(F.col("chars"), F.col("n_chars")))
+         .withColumn("q", _shares(F.col("commons"), F.col("n_words")))
+         .join(broadcast_if_small(own, 100_000), F.col("lang").eqNullSafe(F.col("of")), "left"))
+    d = d.withColumn("char_distance", F.when(F.col("ref_c").isNotNull(), js_distance(F.col("p"), F.col("ref_c"))))
+    d = d.withColumn("word_distance", F.when(F.col("ref_w").isNotNull(), js_distance(F.col("q"), F.col("ref_w"))))
+    far = (F.col("n_words") >= min_words) & (F.coalesce(F.col("char_distance") > max_char_distance, F.lit(False))
+                                            | F.coalesce(F.col("word_distance") > F.col("word_limit"), F.lit(False)))
     return (d.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
+            .withColumn("kept", ~F.col("base_failed") & ~far)
             .select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols",
                     "n_dup_lines", "n_repeat_words", "base_failed", "char_distance",
-                    "word_distance", "kept"))
+                    "word_distance", "word_limit", "kept"))
 
 
 def js_distance_of(p: list[float], q: list[float]) -> float:

@@ -59,7 +59,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.judge_quality(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
-    return out.drop("char_distance", "word_distance")
+    return out.drop("char_distance", "word_distance", "word_limit")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,13 +138,15 @@ m AS (SELECT doc_id, lang, len(w) AS n_words, list_sum(list_transform(w, lambda
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
       list_append(seen, n_chars - list_sum(seen)) AS cc, list_append(found, n_words - list_sum(found)) AS ww FROM m),
 s AS (SELECT lang, [{sums[0]}] AS sc, [{sums[1]}] AS sw FROM b
-      WHERE NOT base_failed AND n_words >= 50 AND lang IN ({langs}) GROUP BY lang),
-q AS (SELECT lang, {share('sc', nc)} AS qc, {share('sw', nw)} AS qw FROM s),
+      WHERE NOT base_failed AND n_words >= 50 GROUP BY lang),
+q AS (SELECT lang, {share('sc', nc)} AS qc, CASE WHEN lang IN ({langs}) THEN {share('sw', nw)} END AS qw FROM s),
+l AS (SELECT *, [CASE WHEN i = {nw} THEN 1.0::DOUBLE ELSE 0 END FOR i IN range(1, {nw} + 1)] AS none FROM q),
+lim AS (SELECT lang, qc, qw, CASE WHEN qw IS NOT NULL THEN {quality.WORD_SHARE} * {distance('none', 'qw', nw)} END AS lw FROM l),
 p AS (SELECT b.*, {share('cc', nc)} AS pc, {share('ww', nw)} AS pw FROM b),
-far AS (SELECT p.doc_id, min({distance('pc', 'qc', nc)}) AS dc, min({distance('pw', 'qw', nw)}) AS dw
-        FROM p JOIN q ON q.lang = p.lang OR p.lang IS NULL OR p.lang NOT IN (SELECT lang FROM q) GROUP BY 1)
+far AS (SELECT p.doc_id, {distance('pc', 'qc', nc)} AS dc, CASE WHEN qw IS NOT NULL THEN {distance('pw', 'qw', nw)} END AS dw, lw
+        FROM p JOIN lim ON lim.lang IS NOT DISTINCT FROM p.lang)
 SELECT doc_id, n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (n_words >= 50 AND (coalesce(dc, 0) > 0.3 OR coalesce(dw, 0) > 0.5)) AS kept
+       NOT base_failed AND NOT (n_words >= 50 AND (coalesce(dc, 0) > 0.3 OR coalesce(dw > lw, false))) AS kept
 FROM b LEFT JOIN far USING (doc_id)"""
 
 

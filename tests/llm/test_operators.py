@@ -305,17 +305,42 @@ def test_quality_base_rules(spark):
 
 def test_quality_distances(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    m = quality.text_measures(docs)
-    refs = quality.references(m)
-    assert set(refs) <= set(quality.COMMON_WORDS) and refs
-    rows = {r.id: r for r in m.collect()}
+    rows = {r.id: r for r in quality.text_measures(docs).collect()}
+    sums: dict = {}
+    for x in rows.values():
+        if x.n_words >= 50 and 100 * x.n_repeat_words <= 20 * x.n_words:
+            chars, words = sums.setdefault(x.lang, ([0] * len(x.chars), [0] * len(x.commons)))
+            for total, own in ((chars, x.chars), (words, x.commons)):
+                for i, n in enumerate(own):
+                    total[i] += n
+
+    def shares(counts):
+        return [c / sum(counts) for c in counts]
     for r in quality.judge_quality(docs).collect():
         x = rows[r.doc_id]
-        if x.lang in refs and sum(x.chars):
-            p = [c / sum(x.chars) for c in x.chars]
-            assert abs(quality.js_distance_of(p, refs[x.lang][0]) - r.char_distance) < 1e-9
-        if r.n_words < 50:
-            assert r.kept == (not r.base_failed)
+        if x.lang in sums and sum(x.chars):
+            assert abs(quality.js_distance_of(shares(x.chars), shares(sums[x.lang][0])) - r.char_distance) < 1e-9
+        if x.lang in sums and x.lang in quality.COMMON_WORDS and x.n_words:
+            ref = shares(sums[x.lang][1])
+            assert abs(quality.js_distance_of(shares(x.commons), ref) - r.word_distance) < 1e-9
+            none = [0.0] * (len(ref) - 1) + [1.0]
+            assert abs(quality.WORD_SHARE * quality.js_distance_of(none, ref) - r.word_limit) < 1e-9
+        far = r.n_words >= 50 and ((r.char_distance or 0) > 0.3 or (r.word_distance or 0) > (r.word_limit or 1))
+        assert r.kept == (not r.base_failed and not far)
+
+
+def test_quality_rejects_by_words_alone(spark):
+    """Ordinary letters, lengths and spaces, but none of the language's common words."""
+    def text(k, words):
+        return " ".join(np.random.default_rng(k).choice(words.split(), 120))
+    clean = "the of and house river day night bread to in water city road"
+    rows = [(k, text(k, clean), "en") for k in range(30)]
+    rows += [(100, text(100, "house river day night bread water city road lamp stone"), "en"),
+             (101, text(101, "der die das und haus fluss tag nacht brot"), "en")]
+    got = {r.doc_id: r for r in quality.judge_quality(spark.createDataFrame(rows, "doc_id int, text string, lang string")).collect()}
+    for i in (100, 101):
+        assert not got[i].base_failed and got[i].char_distance < 0.3 and not got[i].kept
+    assert all(got[k].kept for k in range(30) if not got[k].base_failed)
 
 
 def test_quality_of_languages_without_a_word_list(spark):
