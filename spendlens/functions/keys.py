@@ -48,48 +48,65 @@ def kth_smallest(df: DataFrame, key: str, ks: dict, by: str | None = None) -> di
 
     ``ks`` maps group value -> k (use ``{None: k}`` when ``by`` is None). Returns group ->
     cut such that ``key <= cut`` selects exactly k rows of that group (keys are unique).
-    Each round aggregates a bounded histogram; no group is ever gathered into one task.
     """
-    grp = F.col(by) if by else F.lit(None).cast("string")
+    found = kth_smallest_many(df, key, {g: [k] for g, k in ks.items()}, by)
+    return {g: cut for (g, _), cut in found.items()}
+
+
+def kth_smallest_many(df: DataFrame, key: str, ks: dict, by: str | None = None) -> dict:
+    """Many ranks of many groups at once: ``ks`` maps group -> list of ranks; returns
+    (group, rank) -> cut. A rank beyond its group's rows has a cut above every key; ranks
+    below 1 have none.
+
+    Each round is one histogram of hash prefixes for all groups and ranks that are not found
+    yet (65,536 buckets a group and prefix); once every wanted bucket is small, one job ranks
+    the keys of all of them. No group is ever gathered into one task.
+    """
+    grp = F.col(by).cast("string") if by else F.lit(None).cast("string")
     base = df.select(grp.alias("_g"), F.col(key).alias("_h"))
-    pending = {g: (k, "") for g, k in ks.items() if k and k > 0}
+    name = {(None if g is None else str(g)): g for g in ks}
+    pending = {(g, k): (k, "") for g, own in ks.items() for k in own if k and k > 0}
     cuts: dict = {}
+    finals: dict = {}
+
+    def wanted(prefixes, length):
+        """Rows of one of the (group, prefix) pairs; all prefixes have the same length."""
+        if not length:
+            return F.lit(True)
+        at = F.concat_ws("|", F.coalesce("_g", F.lit("")), F.substring("_h", 1, length))
+        return at.isin(sorted({f"{'' if g is None else g}|{p}" for g, p in prefixes}))
+
     while pending:
-        plen = len(next(iter(pending.values()))[1]) + _PREFIX_STEP
-        cond = None
-        for g, (_, prefix) in pending.items():
-            gc = F.col("_g").isNull() if g is None else (F.col("_g") == F.lit(g))
-            term = gc & F.col("_h").startswith(prefix) if prefix else gc
-            cond = term if cond is None else (cond | term)
-        hist = (base.where(cond)
-                .groupBy("_g", F.substring("_h", 1, plen).alias("_p"))
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .collect())
+        length = len(next(iter(pending.values()))[1])
+        hist = (base.where(wanted([(g, p) for (g, _), (_, p) in pending.items()], length))
+                .groupBy("_g", F.substring("_h", 1, length + _PREFIX_STEP).alias("_p"))
+                .agg(F.count(F.lit(1)).alias("_n")).collect())
         by_group: dict = {}
         for row in hist:
-            by_group.setdefault(row["_g"], []).append((row["_p"], row["_n"]))
-        finals: dict = {}
-        nxt: dict = {}
-        for g, (k, _) in pending.items():
-            buckets = sorted(by_group.get(g, []))
-            seen = 0
-            for p, n in buckets:
-                if seen + n >= k:
-                    rank = k - seen
-                    if n <= _FINAL_BUCKET_ROWS or plen >= 32:
-                        finals[g] = (rank, p)
-                    else:
-                        nxt[g] = (rank, p)
+            by_group.setdefault(name.get(row["_g"], row["_g"]), []).append((row["_p"], row["_n"]))
+        later: dict = {}
+        for (g, k), (rank, prefix) in pending.items():
+            for p, n in sorted(x for x in by_group.get(g, []) if x[0].startswith(prefix)):
+                if n >= rank:
+                    small = n <= _FINAL_BUCKET_ROWS or length + _PREFIX_STEP >= 32
+                    (finals if small else later)[g, k] = (rank, p)
                     break
-                seen += n
+                rank -= n
             else:  # fewer than k rows: everything qualifies
-                cuts[g] = "g" * 32
-        for g, (rank, p) in finals.items():
-            gc = F.col("_g").isNull() if g is None else (F.col("_g") == F.lit(g))
-            top = (base.where(gc & F.col("_h").startswith(p))
-                   .orderBy("_h").limit(rank).agg(F.max("_h").alias("cut")).first())
-            cuts[g] = top["cut"]
-        pending = nxt
+                cuts[g, k] = "g" * 32
+        pending = later
+    by_length: dict = {}
+    for (g, k), (rank, p) in finals.items():
+        by_length.setdefault(len(p), {}).setdefault((g, p), []).append((k, rank))
+    for length, buckets in by_length.items():
+        w = Window.partitionBy("_g", F.substring("_h", 1, length)).orderBy("_h")
+        ranks = sorted({r for own in buckets.values() for _, r in own})
+        hits = (base.where(wanted(buckets, length)).withColumn("_r", F.row_number().over(w))
+                .where(F.col("_r").isin(ranks)).collect())  # ranks x buckets at most
+        found = {(name.get(r["_g"], r["_g"]), r["_h"][:length], r["_r"]): r["_h"] for r in hits}
+        for (g, p), own in buckets.items():
+            for k, rank in own:
+                cuts[g, k] = found[g, p, rank]
     return cuts
 
 

@@ -104,6 +104,7 @@ def bin_index(col: str, edges: list[float]) -> F.Column:
 MIN_DF = [b.min_df for b in T.BLOCKS]
 VENDOR, AMOUNT, BIN = len(T.BLOCKS), len(T.BLOCKS) + 1, len(T.BLOCKS) + 2
 ROW_COLUMNS = ["row_id", "text", "item_key", "vendor_id", "amount_log"]
+STORED = "terms"  # the counted terms of a row, in place of its text
 TERMS = "array<struct<b:int,key:bigint,tf:int>>"
 VECTOR = "struct<idx:array<bigint>,val:array<double>>"
 MAX_HELD_TERMS = 4_000_000  # 64 MB of keys and weights
@@ -139,6 +140,36 @@ def _terms_udf():
     return terms
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input came in fewer files (a small table): a file of
+    one row group is one task, however long its texts take."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
+def term_store(df: DataFrame, name: str = "term-store") -> DataFrame:
+    """The rows with their counted terms instead of their text, written once: whatever is
+    fitted or scored on parts of it tokenises nothing any more."""
+    keep = [c for c in df.columns if c != "text"]
+    return write_table(spread(df).select(*keep, _terms_udf()("text", "item_key").alias(STORED)), name)
+
+
+def row_columns(df: DataFrame) -> list[str]:
+    """The columns features are made of: the text, or the terms counted from it."""
+    return [STORED if c == "text" and STORED in df.columns else c for c in ROW_COLUMNS]
+
+
+def terms_of(df: DataFrame) -> F.Column:
+    return F.col(STORED) if STORED in df.columns else _terms_udf()("text", "item_key")
+
+
+def document_frequencies(store: DataFrame, parts: list[str]) -> DataFrame:
+    """(b, key, df): in how many rows of each part a term occurs, all parts in one
+    aggregation; ``parts`` are boolean columns of ``store``."""
+    own = store.select(F.explode(STORED).alias("t"), *parts).select("t.b", "t.key", *parts)
+    return own.groupBy("b", "key").agg(F.array(*[F.count_if(F.col(p)) for p in parts]).alias("df"))
+
+
 @dataclass
 class FittedFeatures:
     n_docs: int
@@ -159,12 +190,14 @@ class FittedFeatures:
         return self.held
 
 
-def fit_features(train: DataFrame) -> FittedFeatures:
-    """Fit every block on ``train`` (after any oversampling, as in the reference)."""
-    rows = train.select(*ROW_COLUMNS)
+def fit_features(train: DataFrame, counted: DataFrame | None = None) -> FittedFeatures:
+    """Fit every block on ``train``; ``counted`` (b, key, df) are its document frequencies
+    where they are known."""
+    rows = train.select(*row_columns(train))
     n = rows.count()
-    counted = (rows.select(F.explode(_terms_udf()("text", "item_key")).alias("t"))
-               .groupBy("t.b", "t.key").agg(F.count(F.lit(1)).alias("df")))
+    if counted is None:
+        counted = (spread(rows).select(F.explode(terms_of(rows)).alias("t"))
+                   .groupBy("t.b", "t.key").agg(F.count(F.lit(1)).alias("df")))
     least = F.element_at(F.array(*[F.lit(x) for x in MIN_DF]), F.col("b") + 1)
     vocab = counted.where(F.col("df") >= least).select("b", "key", T.idf(n, F.col("df")).alias("idf"))
     return FittedFeatures(n, write_table(vocab, "vocabulary"),
@@ -209,18 +242,23 @@ def _joined_udf():
 
 
 def _held_udf(held):
-    """Row vectors straight from the texts, with the vocabulary as a broadcast."""
+    """Row vectors from counted terms, with the vocabulary as a broadcast."""
     @F.arrow_udf(VECTOR)
-    def vector(texts: pa.Array, items: pa.Array, vendors: pa.Array, amounts: pa.Array, bins: pa.Array) -> pa.Array:
+    def vector(terms: pa.Array, vendors: pa.Array, amounts: pa.Array, bins: pa.Array) -> pa.Array:
         keys, idf = held.value
-        rows = []
-        for text, item, *other in zip(*(x.to_pylist() for x in (texts, items, vendors, amounts, bins)), strict=True):
-            b, key, tf = _counted(text, item)
-            at = np.searchsorted(keys, key)
-            at[at == len(keys)] = 0
-            hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
-            w = (1 + np.log(tf[hit])) * idf[at[hit]]
-            rows.append(_row_vector(b[hit], key[hit], w, *other))
+        ends = np.cumsum(terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+        flat = terms.flatten()
+        b, key, tf = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        at = np.searchsorted(keys, key)
+        at[at == len(keys)] = 0
+        hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+        w = np.zeros(len(key))
+        w[hit] = (1 + np.log(tf[hit])) * idf[at[hit]]
+        rows, lo = [], 0
+        for hi, *other in zip(ends, vendors.to_pylist(), amounts.to_pylist(), bins.to_pylist(), strict=True):
+            own = slice(lo, hi)
+            rows.append(_row_vector(b[own][hit[own]], key[own][hit[own]], w[own][hit[own]], *other))
+            lo = hi
         return _vector_array(rows)
     return vector
 
@@ -237,18 +275,19 @@ def feature_arrays(ff: FittedFeatures, df: DataFrame, keep: list[str]) -> DataFr
     scaled, bin_ = scale_max_abs("amount_log", ff.max_abs), bin_index("amount_log", ff.edges)
     known = ff.vendors.select(F.col("vendor_id").alias("known"))
     if (held := ff.held_vocabulary()) is not None:
-        rows = df.select(F.struct(*keep).alias("keep"), *[F.col(c) for c in ROW_COLUMNS[1:]]).join(
+        rows = spread(df).select(F.struct(*keep).alias("keep"), *[F.col(c) for c in row_columns(df)[1:]]).join(
             known, F.col("vendor_id") == F.col("known"), "left")
-        vector = _held_udf(held)("text", "item_key", "known", scaled, bin_)
+        vector = _held_udf(held)(terms_of(df), "known", scaled, bin_)
         return rows.select("keep", vector.alias("v")).select("keep.*", "v.idx", "v.val")
-    content = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("text", "item_key", "vendor_id", "amount_log")]
-    base = df.select(F.struct(*keep).alias("keep"), *[F.col(c) for c in ROW_COLUMNS[1:]],
+    own = row_columns(df)[1:]
+    content = [F.col(c) if c == STORED else F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in own]
+    base = df.select(F.struct(*keep).alias("keep"), *[F.col(c) for c in own],
                      F.xxhash64(*content).alias("h1"), F.xxhash64(F.lit(1), *content).alias("h2"))
-    terms = base.select("h1", "h2", F.explode(_terms_udf()("text", "item_key")).alias("t")).select("h1", "h2", "t.*")
+    terms = base.select("h1", "h2", F.explode(terms_of(base)).alias("t")).select("h1", "h2", "t.*")
     entries = (terms.join(ff.vocab, ["b", "key"])
                .select("h1", "h2", F.struct("b", "key", ((1 + F.log("tf")) * F.col("idf")).alias("w")).alias("e"))
                .groupBy("h1", "h2").agg(F.collect_set("e").alias("e")))
-    rows = base.drop("text", "item_key").join(entries, ["h1", "h2"], "left").join(
+    rows = base.drop("text", STORED, "item_key").join(entries, ["h1", "h2"], "left").join(
         known, F.col("vendor_id") == F.col("known"), "left")
     vector = _joined_udf()(F.col("e").cast("array<struct<b:int,key:bigint,w:double>>"), "known", scaled, bin_)
     return rows.select("keep", vector.alias("v")).select("keep.*", "v.idx", "v.val")

@@ -112,7 +112,18 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
-    """SNK-5: order-independent digest: row count and XOR of a 60-bit md5 prefix per row."""
-    row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns])),
-                                  1, 15), 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.bit_xor(row_hash).alias("digest"))
+    """SNK-5: order-independent digest of the multiset of rows: their number and the sum of a
+    60-bit md5 prefix of each, modulo 2**60. Equal rows add up instead of cancelling, and a
+    null is no empty string."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in columns]
+    row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 15), 16, 10).cast("decimal(20,0)")
+    total = F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(30,0)"))
+    return df.agg(F.count(F.lit(1)).alias("row_count"), (total % F.lit(2**60).cast("decimal(20,0)")).cast("bigint").alias("digest"))
+
+
+def log_dataset(df: DataFrame, path: str, name: str, columns: list[str], targets: str, context: str) -> None:
+    """SNK-5: one row of the append-only ``datasets`` table: name, digest, row count, schema,
+    target column and what the data was used for."""
+    row = fingerprint(df, columns)
+    (row.select(F.lit(name).alias("name"), "digest", "row_count", F.lit(df.schema.simpleString()).alias("schema"),
+                F.lit(targets).alias("targets"), F.lit(context).alias("context")).write.mode("append").parquet(path))

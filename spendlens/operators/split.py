@@ -15,10 +15,12 @@ from spendlens.functions.keys import (
     cut_column,
     hex_prefix_int,
     kth_smallest,
+    kth_smallest_many,
     order_key,
     test_count,
     top_per_group,
 )
+from spendlens.session import write_table
 
 LABEL = "account_name"
 GROUP = "item_key"
@@ -124,55 +126,61 @@ def balanced_unseen_split(df: DataFrame, seed: int = DEFAULT_SEED,
     Each group has >= 1 row, so the prefix holds at most k groups: a top-k per label (with a
     partial limit before the shuffle) replaces a window over a whole label.
     """
-    k = samples_per_class
-    groups = (df.groupBy(label, group).agg(F.count(F.lit(1)).alias("_sz"))
-              .withColumn("_gh", order_key(seed, label, group)))
-    per_label = groups.groupBy(label).agg(F.sum("_sz").alias("_total"),
-                                          F.count(F.lit(1)).alias("_ngroups"))
-    first_k = top_per_group(groups, [label], ["_gh"], k, rank_name="_gr")
-    w = Window.partitionBy(label).orderBy("_gh").rowsBetween(Window.unboundedPreceding, 0)
-    prefix = (first_k.withColumn("_cum", F.sum("_sz").over(w))
-              .where(F.col("_cum") - F.col("_sz") < k))
-    taken = prefix.groupBy(label).agg(F.count(F.lit(1)).alias("_nsel"),
-                                      F.max("_cum").alias("_reach"))
-    eligible = (per_label.join(taken, label)
+    return _balanced(df, [seed], samples_per_class, min_train_size, strict, label, group).drop("repeat")
+
+
+def balanced_repeated_split(df: DataFrame, repeats: int = 5, seed: int = DEFAULT_SEED,
+                            samples_per_class: int = SAMPLES_PER_CLASS,
+                            min_train_size: int = MIN_TRAIN_SIZE, strict: bool = False,
+                            label: str = LABEL, group: str = GROUP) -> DataFrame:
+    """SPL-6: balanced unseen splits for seeds seed..seed+repeats-1, tagged by ``repeat``: one
+    plan in which the seed is a column."""
+    return _balanced(df, [seed + r for r in range(repeats)], samples_per_class, min_train_size, strict, label, group)
+
+
+def _balanced(df: DataFrame, seeds: list[int], k: int, min_train_size: int, strict: bool,
+              label: str, group: str) -> DataFrame:
+    """``balanced_unseen_split`` for every seed, as ``repeat`` 0, 1, ...
+
+    The table of (label, item) sizes is written once; seeds multiply it, not the rows. What
+    is held out (at most k groups and k rows a label and seed) is written too, so neither is
+    computed again when its size is checked.
+    """
+    repeat = F.explode(F.sequence(F.lit(0), F.lit(len(seeds) - 1))).alias("repeat")
+    seed = F.lit(seeds[0]) + F.col("repeat")
+    sizes = write_table(df.groupBy(label, group).agg(F.count(F.lit(1)).alias("_sz")), "label-items")
+    per_label = sizes.groupBy(label).agg(F.sum("_sz").alias("_total"), F.count(F.lit(1)).alias("_ngroups"))
+    groups = sizes.select("*", repeat).withColumn("_gh", order_key(seed, label, group))
+    first_k = top_per_group(groups, ["repeat", label], ["_gh"], k, rank_name="_gr")
+    w = Window.partitionBy("repeat", label).orderBy("_gh").rowsBetween(Window.unboundedPreceding, 0)
+    prefix = first_k.withColumn("_cum", F.sum("_sz").over(w)).where(F.col("_cum") - F.col("_sz") < k)
+    taken = prefix.groupBy("repeat", label).agg(F.count(F.lit(1)).alias("_nsel"), F.max("_cum").alias("_reach"))
+    eligible = (taken.join(per_label, label)
                 .where((F.col("_total") - k >= min_train_size) & (F.col("_reach") >= k)
-                       & (F.col("_nsel") < F.col("_ngroups")))
-                .select(label))
-    selected = prefix.join(eligible, label, "left_semi").select(label, group)
-    selected = broadcast_if_small(selected, max_rows=MAX_BROADCAST_LABELS * k)
-    marked = df.join(selected.withColumn("_sel", F.lit(True)), [label, group], "left")
-    cand = marked.where(F.col("_sel").isNotNull()).drop("_sel")
-    test_ids = top_per_group(cand.withColumn("_rh", order_key(seed, "row_id")), [label], ["_rh"],
-                             k, rank_name="_tr").select("row_id", F.lit(True).alias("_test"))
-    test_ids = broadcast_if_small(test_ids, max_rows=MAX_BROADCAST_LABELS * k)
+                       & (F.col("_nsel") < F.col("_ngroups"))).select("repeat", label))
+    selected = write_table(prefix.join(eligible, ["repeat", label], "left_semi").select("repeat", label, group), "held-groups")
+    selected = broadcast_if_small(selected, max_rows=MAX_BROADCAST_LABELS)
+    cand = df.select("row_id", label, group).join(selected, [label, group])
+    test_ids = write_table(top_per_group(cand.withColumn("_rh", order_key(seed, "row_id")), ["repeat", label], ["_rh"], k,
+                                         rank_name="_tr").select("repeat", "row_id", F.lit(True).alias("_test")), "test-rows")
+    test_ids = broadcast_if_small(test_ids, max_rows=MAX_BROADCAST_LABELS)
+    marked = df.select("*", repeat).join(selected.withColumn("_sel", F.lit(True)), ["repeat", label, group], "left")
     # Only rows of the selected groups are matched against the (bounded) test ids; all
     # other rows are training rows without any further join.
-    held = (cand.join(test_ids, "row_id", "left")
+    held = (marked.where(F.col("_sel").isNotNull()).drop("_sel").join(test_ids, ["repeat", "row_id"], "left")
             .withColumn("split", F.when(F.col("_test").isNotNull(), F.lit("test"))
                         .otherwise(F.lit("dropped"))).drop("_test"))
     kept = marked.where(F.col("_sel").isNull()).drop("_sel").withColumn("split", F.lit("train"))
     out = kept.unionByName(held.select(*kept.columns))
     if strict:
-        test_items = out.where(F.col("split") == "test").select(group).distinct()
-        out = (out.join(test_items.withColumn("_seen", F.lit(True)), group, "left")
+        test_items = out.where(F.col("split") == "test").select("repeat", group).distinct()
+        out = (out.join(test_items.withColumn("_seen", F.lit(True)), ["repeat", group], "left")
                .withColumn("split", F.when((F.col("split") == "train") & F.col("_seen").isNotNull(),
                                            F.lit("dropped")).otherwise(F.col("split")))
                .drop("_seen"))
     return out
 
 
-def balanced_repeated_split(df: DataFrame, repeats: int = 5, seed: int = DEFAULT_SEED,
-                            **kwargs) -> DataFrame:
-    """SPL-6: balanced unseen splits for seeds seed..seed+repeats-1, tagged by ``repeat``."""
-    parts = [balanced_unseen_split(df, seed=seed + r, **kwargs).withColumn("repeat", F.lit(r))
-             for r in range(repeats)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def oversample_minority(df: DataFrame, min_count: int = 10, seed: int = DEFAULT_SEED,
                         label: str = LABEL) -> DataFrame:
     """SPL-7: add copies so each label has >= min_count rows (training rows only).
@@ -203,16 +211,14 @@ def learning_prefixes(train: DataFrame, fractions=LEARNING_FRACTIONS, seed: int
                       by: str = "split_id") -> DataFrame:
     """WIN-4: nested training prefixes. For each ``by`` group with n training rows, the
     prefix of fraction f holds the int(f * n) rows with the smallest md5(seed:row_id)."""
-    h = order_key(seed, "row_id")
-    keyed = train.withColumn("_h", h)
+    keyed = train.withColumn("_h", order_key(seed, "row_id"))
     sizes = {r[by]: r["n"] for r in keyed.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = []
-    for frac in fractions:
-        ks = {g: int(frac * n) for g, n in sizes.items()}
-        cuts = kth_smallest(keyed, "_h", ks, by=by)
-        parts.append(keyed.where(F.col("_h") <= cut_column(cuts, by))
-                     .withColumn("train_fraction", F.lit(float(frac))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop("_h")
+    ks = {g: [int(f * n) for f in fractions] for g, n in sizes.items()}
+    cuts = kth_smallest_many(keyed, "_h", ks, by=by)
+    # One scan: a row is in every prefix whose cut it does not exceed.
+    inside = []
+    for i, f in enumerate(fractions):
+        cut = cut_column({g: cuts.get((g, own[i]), "") for g, own in ks.items()}, by)
+        inside.append(F.when(F.col("_h") <= cut, F.lit(float(f))))
+    of = F.filter(F.array(*inside), lambda x: x.isNotNull())
+    return keyed.withColumn("train_fraction", F.explode(of)).drop("_h")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import pairwise
 
 import pyarrow as pa
@@ -61,15 +62,25 @@ def counted_terms(text: str | None, block: TextBlock) -> Counter:
         if block.ngram_max > 1:
             out.update(f"{a} {b}" for a, b in pairwise(tokens))
         return out
-    out = Counter()
+    out: Counter = Counter()
     for word, n in Counter(w for w in text.split(" ") if w).items():
-        padded = f" {word} "
-        for size in range(block.char_min, max(block.char_min, min(block.char_max, len(padded))) + 1):
-            for i in range(max(1, len(padded) - size + 1)):
-                out[padded[i:i + size]] += n
+        grams = char_grams(word, block.char_min, block.char_max)
+        if n == 1:
+            out.update(grams)
+        else:
+            for g in grams:
+                out[g] += n
     return out
 
 
+@lru_cache(maxsize=1 << 16)
+def char_grams(word: str, least: int, most: int) -> tuple:
+    """The n-grams of a padded word; words come again in other texts."""
+    padded = f" {word} "
+    return tuple(padded[i:i + size] for size in range(least, max(least, min(most, len(padded))) + 1)
+                 for i in range(max(1, len(padded) - size + 1)))
+
+
 def counts_udf(block: TextBlock):
     @F.arrow_udf("array<struct<term:string,tf:bigint>>")
     def counts(texts: pa.Array) -> pa.Array:

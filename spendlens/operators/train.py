@@ -2,12 +2,12 @@
 
 The classifier is a one-vs-rest linear SVM (squared hinge, L2, cost C, ``balanced`` class
 weights on the positive side of each binary problem) over the six-block features: see
-``spendlens.operators.svm``. Several (C, class_weight) configs that share a training set
-share its features and Gram matrix.
+``spendlens.operators.svm``. Several (C, class_weight, oversampling) configs that share a
+training set share its features, landmarks and every pass over its rows.
 
-Scoring is a map over rows: features, inner products with the bounded fit sample, margins
-and arg-max happen in one place, so no table of rows times classes exists and every input
-row comes out once.
+Scoring is a map over rows: features, inner products with the landmarks, margins and arg-max
+happen in one place, so no table of rows times classes exists and every input row comes out
+once.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from spendlens.operators import features as FE
 from spendlens.operators import svm
 from spendlens.operators.split import oversample_minority
+from spendlens.session import write_table
 
 LABEL = "account_name"
 
@@ -33,66 +34,124 @@ def balanced_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return counts.withColumn("weight", F.lit(float(tot["t"])) / (F.lit(tot["k"]) * F.col("n")))
 
 
-def unique_copies(df: DataFrame) -> DataFrame:
-    """Give oversampled copies their own key so that each copy counts as a document."""
-    if "copy_no" not in df.columns:
-        return df
-    return df.withColumn("row_id", F.concat_ws("#", F.col("row_id").cast("string"),
-                                               F.col("copy_no").cast("string")))
+def row_weights(train: DataFrame, levels: list[int], label: str = LABEL) -> DataFrame:
+    """(row_id, w): how often a row counts at each oversampling level, for the rows that are
+    copied at some level. Only rows of minority labels are."""
+    slim = train.select("row_id", label)
+    copies = None
+    for i, level in enumerate(levels):
+        if level > 0:
+            own = oversample_minority(slim, level, label=label).where("copy_no > 0").select("row_id", F.lit(i).alias("i"))
+            copies = own if copies is None else copies.unionByName(own)
+    if copies is None:
+        return slim.limit(0).select("row_id", F.array().cast("array<double>").alias("w"))
+    counts = [F.count_if(F.col("i") == i).cast("double") + 1 for i in range(len(levels))]
+    return copies.groupBy("row_id").agg(F.array(*counts).alias("w"))
 
 
 @dataclass
 class TrainedModel:
-    """Fitted feature space, bounded fit sample and one-vs-rest coefficients per config."""
+    """Fitted feature space, landmarks and one-vs-rest coefficients per config."""
     features: FE.FittedFeatures
     labels: list
     sample: svm.Sample
-    coefficients: np.ndarray                   # (fit rows, configs, classes)
+    coefficients: np.ndarray                   # (landmarks, configs, classes)
     configs: list = field(default_factory=list)
-    oversample_min_count: int = 0
-    gaps: list = field(default_factory=list)   # worst relative duality gap per config
-    train_rows: DataFrame | None = None
-    fit_margins: np.ndarray | None = None      # (fit rows, classes) of the first config
-    fit_labels: np.ndarray | None = None
+    gaps: list = field(default_factory=list)   # worst bound of the relative loss gap per config
+    settled: list = field(default_factory=list)
+    rows: DataFrame | None = None              # written table of all training rows (y, w, z)
+    weights: np.ndarray | None = None          # (dims, configs, classes), for ``rows``
+    levels: list = field(default_factory=list)
 
     @property
     def converged(self) -> list[bool]:
-        return [g <= svm.TOLERANCE for g in self.gaps]
+        return list(self.settled)
+
+    def level_of(self, cfg: int) -> int:
+        return self.levels.index(self.configs[cfg].get("oversample_min_count", 0))
+
+
+def _coordinates_udf(shared):
+    """Label number and whitened coordinates of every row."""
+    @F.arrow_udf("struct<y:int,z:array<float>>")
+    def coordinates(labels: pa.Array, idx: pa.Array, val: pa.Array) -> pa.Array:
+        sample, white, number = shared.value
+        z = (sample.kernels(idx, val) @ white).astype(np.float32)
+        offsets = np.arange(len(z) + 1, dtype=np.int32) * white.shape[1]
+        return pa.StructArray.from_arrays(
+            [pa.array([number[x] for x in labels.to_pylist()], pa.int32()),
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(z.ravel()))], ["y", "z"])
+    return coordinates
 
 
 def fit_models(train: DataFrame, configs: list[dict], oversample_min_count: int = 0,
-               label: str = LABEL) -> TrainedModel:
-    """MDL-6/7: optional oversampling -> feature fit on all (oversampled) training rows ->
-    bounded fit sample -> one-vs-rest SVMs for every config in ``configs`` (dicts with C and
-    class_weight). Labels and ``balanced`` weights come from all training rows."""
+               label: str = LABEL, counted: DataFrame | None = None) -> TrainedModel:
+    """MDL-6/7: feature space and one-vs-rest SVMs on all rows of ``train`` for every config
+    (C, class_weight and, where it is not ``oversample_min_count``, its own level).
+
+    Oversampled copies are row weights in the loss, in the ``balanced`` weights and in the
+    training accuracy; the feature space counts every training row once. ``counted`` gives
+    the document frequencies where they are known already. The model is the same for any
+    partitioning up to the order of floating-point sums.
+    """
     spark = train.sparkSession
-    rows = train
-    if oversample_min_count > 0:
-        rows = oversample_minority(train, oversample_min_count, label=label)
-    rows = unique_copies(rows)
-    ff = FE.fit_features(rows)
-    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    labels = sorted(counts)
+    configs = [{"oversample_min_count": oversample_min_count, **c} for c in configs]
+    levels = sorted({c["oversample_min_count"] for c in configs})
+    ff = FE.fit_features(train, counted)
+    labels = sorted(r[0] for r in train.select(label).distinct().collect())  # the model's own classes
     if len(labels) < 2:
         raise ValueError("training split needs at least two labels")
-    fit = svm.fit_rows(rows.select(label, *FE.ROW_COLUMNS), label)
-    arrays = FE.write_table(FE.feature_arrays(ff, fit, ["row_id", label]), "fit-sample")
-    own = arrays.orderBy("row_id", label).toArrow()  # at most svm.MAX_FIT_ROWS rows
+    marks = svm.landmark_rows(train.select(label, *FE.row_columns(train)), label)
+    own = FE.feature_arrays(ff, marks, ["row_id"]).orderBy("row_id").toArrow()  # svm.LANDMARKS rows
     idx, val = ([np.asarray(x, t) for x in own.column(c).to_pylist()]
                 for c, t in (("idx", np.int64), ("val", np.float64)))
     sample = svm.Sample.of(idx, val)
-    y = np.searchsorted(np.array(labels), np.array(own.column(label).to_pylist()))
-    held = spark.sparkContext.broadcast(sample)
-    gram_rows = svm.kernel_rows(arrays, held, ["row_id", label]).orderBy("row_id", label).toArrow()
-    held.destroy()
-    gram = np.array(gram_rows.column("k").to_pylist())
-    gram = (gram + gram.T) / 2
-    total = sum(counts.values())
-    weights = {"None": np.ones(len(labels)),
-               "balanced": np.array([total / (len(labels) * counts[x]) for x in labels])}
-    beta, gaps = svm.solve_all(spark, gram, y, configs, weights)
-    return TrainedModel(ff, labels, sample, beta, list(configs), oversample_min_count, gaps.tolist(),
-                        rows, gram @ beta[:, 0], y)
+    white = svm.whitening(np.array([sample.kernel(i, v) for i, v in zip(idx, val, strict=True)]))
+    shared = spark.sparkContext.broadcast((sample, white, {x: i for i, x in enumerate(labels)}))
+    arrays = FE.feature_arrays(ff, train, ["row_id", label])
+    placed = arrays.select("row_id", _coordinates_udf(shared)(label, "idx", "val").alias("p")).select("row_id", "p.y", "p.z")
+    weights = row_weights(train, levels, label)
+    one = F.array(*[F.lit(1.0)] * len(levels))
+    rows = write_table(placed.join(weights, "row_id", "left").select("y", F.coalesce("w", one).alias("w"), "z"), "training-rows")
+    shared.destroy()
+
+    k, dims = len(labels), white.shape[1]
+
+    def arrays_of(batch):
+        return (svm.lists(batch.column(2)), batch.column(0).to_numpy(zero_copy_only=False), svm.lists(batch.column(1)))
+
+    def first_sums(batch):
+        z, y, w = arrays_of(batch)
+        counts = np.zeros((len(levels), max(dims, k)))
+        for i in range(len(levels)):
+            counts[i, :k] = np.bincount(y, w[:, i], k)
+        moments = np.zeros((dims, max(dims, k)))
+        moments[:, :dims] = z.T @ z
+        return np.concatenate((counts, moments))
+
+    sums = svm.summed(rows, ["y", "w", "z"], first_sums, (len(levels) + dims, max(dims, k)))
+    counts, moments = sums[:len(levels), :k], sums[len(levels):, :dims]
+    level = np.array([levels.index(c["oversample_min_count"]) for c in configs])
+    balanced = counts.sum(1)[:, None] / (k * np.maximum(counts, 1e-300))
+    problems = svm.Problems(
+        np.tile(np.arange(k), len(configs)), np.repeat([float(c["C"]) for c in configs], k),
+        np.concatenate([balanced[lev] if c.get("class_weight") == "balanced" else np.ones(k)
+                        for c, lev in zip(configs, level, strict=True)]), np.repeat(level, k))
+
+    def evaluate(v, cols):
+        held = spark.sparkContext.broadcast((v, problems.take(cols)))
+
+        def part(batch):
+            z, y, w = arrays_of(batch)
+            return svm.loss_and_gradient(z, y, w, *held.value)
+        out = svm.summed(rows, ["y", "w", "z"], part, (1 + dims, len(cols)))
+        held.destroy()
+        return out
+
+    v, gap, settled = svm.minimise(evaluate, moments, problems)
+    v = v.reshape(dims, len(configs), k)
+    return TrainedModel(ff, labels, sample, np.tensordot(white, v, 1), configs,
+                        gap.reshape(-1, k).max(1).tolist(), settled.reshape(-1, k).all(1).tolist(), rows, v, levels)
 
 
 def fit_model(train: DataFrame, C: float = 1.0, class_weight: str | None = None,
@@ -101,6 +160,27 @@ def fit_model(train: DataFrame, C: float = 1.0, class_weight: str | None = None,
     return fit_models(train, [{"C": C, "class_weight": class_weight}], oversample_min_count)
 
 
+def train_accuracy(tm: TrainedModel) -> DataFrame:
+    """(cfg, train_accuracy, train_size): every training row, copies by weight, in one pass
+    over the written coordinates."""
+    shared = tm.rows.sparkSession.sparkContext.broadcast(tm.weights)
+    level = [tm.level_of(c) for c in range(len(tm.configs))]
+
+    def part(batch):
+        v = shared.value
+        y, w, z = (batch.column(0).to_numpy(zero_copy_only=False), svm.lists(batch.column(1)), svm.lists(batch.column(2)))
+        out = np.zeros((len(level), 2))
+        for c, lev in enumerate(level):
+            best = (z @ v[:, c]).argmax(1)
+            out[c] = w[best == y, lev].sum(), w[:, lev].sum()
+        return out
+    sums = svm.summed(tm.rows, ["y", "w", "z"], part, (len(level), 2))
+    shared.destroy()
+    return tm.rows.sparkSession.createDataFrame(
+        [(c, float(good / total), int(total)) for c, (good, total) in enumerate(sums.tolist())],
+        "cfg int, train_accuracy double, train_size bigint")
+
+
 SCORED = "array<struct<cfg:int,predicted:string,max_prob:double>>"
 
 
@@ -110,35 +190,32 @@ def _score_udf(model, calibration: dict | None):
     @F.arrow_udf(SCORED)
     def scores(idx: pa.Array, val: pa.Array) -> pa.Array:
         sample, coefficients, labels = model.value
-        n, n_cfg, k = coefficients.shape
-        flat = coefficients.reshape(n, -1)
-        cfg, predicted, prob = [], [], []
-        for row in svm._each_kernel(sample, idx, val):
-            margins = (row @ flat).reshape(n_cfg, k)
-            for c in range(n_cfg):
-                m, p = margins[c], None
-                if calibration is not None and c == 0:
-                    m = 1.0 / (1.0 + np.exp(np.clip(calibration["a"] * m + calibration["b"], -700, 700)))
-                    total = m.sum()
-                    m = m / total if total > 0 else np.full(k, 1.0 / k)
-                    p = float(m.max())
-                cfg.append(c)
-                predicted.append(labels[int(m.argmax())])
-                prob.append(p)
-        offsets = np.arange(len(idx) + 1, dtype=np.int32) * n_cfg
+        n_cfg, k = coefficients.shape[1:]
+        kernel = sample.kernels(idx, val)
+        best, prob = np.zeros((len(kernel), n_cfg), np.int64), np.full((len(kernel), n_cfg), np.nan)
+        for c in range(n_cfg):
+            m = kernel @ coefficients[:, c]
+            if calibration is not None and c == 0:
+                p = 1.0 / (1.0 + np.exp(np.clip(calibration["a"] * m + calibration["b"], -700, 700)))
+                total = p.sum(1, keepdims=True)
+                m = np.where(total > 0, p / np.where(total > 0, total, 1.0), 1.0 / k)
+                prob[:, 0] = m.max(1)
+            best[:, c] = m.argmax(1)
+        offsets = np.arange(len(kernel) + 1, dtype=np.int32) * n_cfg
+        names = pa.array(labels, pa.string()).take(pa.array(best.ravel()))
+        flat = prob.ravel()
         return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
-            [pa.array(cfg, pa.int32()), pa.array(predicted, pa.string()), pa.array(prob, pa.float64())],
-            ["cfg", "predicted", "max_prob"]))
+            [pa.array(np.tile(np.arange(n_cfg, dtype=np.int32), len(kernel))), names,
+             pa.array(flat, pa.float64(), mask=np.isnan(flat))], ["cfg", "predicted", "max_prob"]))
     return scores
 
 
-def score(tm: TrainedModel, df: DataFrame | None = None, keep: list[str] | None = None,
+def score(tm: TrainedModel, df: DataFrame, keep: list[str] | None = None,
           calibration: dict | None = None) -> DataFrame:
     """MDL-3: one row per (input row, config) with ``cfg`` and ``predicted``; with a
-    calibration also ``max_prob``. ``df=None`` scores the training rows. The broadcast is
-    the fit sample and its coefficients, bounded by svm.MAX_FIT_ROWS."""
-    df = tm.train_rows if df is None else df
-    keep = keep or [c for c in df.columns if c not in ("text", "idx", "val", "cfg", "predicted")]
+    calibration also ``max_prob``. The broadcast is the landmarks and their coefficients,
+    bounded by svm.LANDMARKS."""
+    keep = keep or [c for c in df.columns if c not in ("text", FE.STORED, "idx", "val", "cfg", "predicted")]
     model = df.sparkSession.sparkContext.broadcast((tm.sample, tm.coefficients, tm.labels))
     arrays = FE.feature_arrays(tm.features, df, keep)
     out = arrays.select(*keep, F.explode(_score_udf(model, calibration)("idx", "val")).alias("s"))
@@ -148,35 +225,61 @@ def score(tm: TrainedModel, df: DataFrame | None = None, keep: list[str] | None
 
 # ---------------------------------------------------------------- MDL-4 calibration
 
-def fit_calibration(tm: TrainedModel, iterations: int = 100, tol: float = 1e-8) -> dict:
-    """Per-class sigmoid p = 1 / (1 + exp(a m + b)) on the fit sample's margins with Platt's
-    smoothed targets: damped Newton steps for all classes at once on fit rows x classes
-    numbers (bounded by svm.MAX_FIT_ROWS). ``converged`` tells per class."""
-    m, own = tm.fit_margins, tm.fit_labels[:, None] == np.arange(len(tm.labels))
-    pos, neg = own.sum(0), (~own).sum(0)
-    t = np.where(own, (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0))
+def sigmoid_sums(m: np.ndarray, t: np.ndarray, w: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(6, classes): loss, gradient (2) and Hessian (3) of the weighted cross-entropy of
+    p = 1 / (1 + exp(a m + b)) against the targets ``t``, over some rows."""
+    f = np.clip(a * m + b, -700, 700)
+    p = 1 / (1 + np.exp(f))
+    w = w[:, None]
+    g, h = w * (t - p), w * p * (1 - p)
+    loss = w * (np.logaddexp(0, f) - (1 - t) * f)
+    return np.stack([x.sum(0) for x in (loss, g * m, g, h * m * m, h * m, h)])
 
-    def loss(a, b):
-        f = a * m + b
-        return (np.logaddexp(0, f) - (1 - t) * f).sum(0)
 
+def newton_sigmoids(evaluate, pos: np.ndarray, neg: np.ndarray, rounds: int = 60, tol: float = 1e-6) -> dict:
+    """Damped Newton steps for all classes at once; ``evaluate(a, b)`` gives ``sigmoid_sums``
+    over all rows. A class whose step does not lower its loss halves it."""
     a, b = np.zeros(len(pos)), np.log((neg + 1.0) / (pos + 1.0))
-    moved = np.full(len(pos), np.inf)
-    for _ in range(iterations):
-        p = 1 / (1 + np.exp(np.clip(a * m + b, -700, 700)))
-        g, h = t - p, p * (1 - p)
-        ga, gb = (g * m).sum(0), g.sum(0)
-        haa, hab, hbb = (h * m * m).sum(0) + 1e-10, (h * m).sum(0), h.sum(0) + 1e-10
-        det = haa * hbb - hab * hab
+    sums = evaluate(a, b)
+    step, moved = np.ones(len(pos)), np.full(len(pos), np.inf)
+    for _ in range(rounds):
+        loss, ga, gb, haa, hab, hbb = sums
+        haa, hbb = haa + 1e-10, hbb + 1e-10
+        det = np.maximum(haa * hbb - hab * hab, 1e-300)
         da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        step, now = np.ones(len(pos)), loss(a, b)
-        for _ in range(30):
-            worse = loss(a - step * da, b - step * db) > now + 1e-12
-            if not worse.any():
-                break
-            step[worse] /= 2
-        moved = np.abs(step * da) + np.abs(step * db)
-        a, b = a - step * da, b - step * db
-        if moved.max() < tol:
+        new_a, new_b = a - step * da, b - step * db
+        new = evaluate(new_a, new_b)
+        good = new[0] <= loss + 1e-10 * np.abs(loss)
+        moved = np.where(good, np.abs(step * da) + np.abs(step * db), moved)
+        a, b = np.where(good, new_a, a), np.where(good, new_b, b)
+        sums = np.where(good, new, sums)
+        small = step < 1e-8
+        step = np.where(good, 1.0, step / 2)
+        if ((moved < tol) | small).all():
             break
-    return {"a": a, "b": b, "converged": moved < 1e-4}
+    return {"a": a, "b": b, "converged": moved < 1e-3}
+
+
+def fit_calibration(tm: TrainedModel) -> dict:
+    """Per-class sigmoid p = 1 / (1 + exp(a m + b)) of the first config's margins with Platt's
+    smoothed targets, on all training rows (copies by weight): every Newton step is one
+    aggregation of class-wise loss, gradient and Hessian sums. ``converged`` tells per class."""
+    sc, k, level = tm.rows.sparkSession.sparkContext, len(tm.labels), tm.level_of(0)
+    shared = sc.broadcast(tm.weights[:, 0])
+
+    def counts(batch):
+        return np.bincount(batch.column(0).to_numpy(zero_copy_only=False), svm.lists(batch.column(1))[:, level], k)[None, :]
+    pos = svm.summed(tm.rows, ["y", "w"], counts, (1, k))[0]
+    neg = pos.sum() - pos
+    high, low = (pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)
+
+    def evaluate(a, b):
+        def part(batch):
+            y, w, z = (batch.column(0).to_numpy(zero_copy_only=False), svm.lists(batch.column(1)), svm.lists(batch.column(2)))
+            t = np.where(y[:, None] == np.arange(k), high, low)
+            return sigmoid_sums(z @ shared.value, t, w[:, level], a, b)
+        return svm.summed(tm.rows, ["y", "w", "z"], part, (6, k))
+
+    out = newton_sigmoids(evaluate, pos, neg)
+    shared.destroy()
+    return out

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendlens.operators import features as FE
 from spendlens.operators import lookup as LK
 from spendlens.operators import metrics as M
 from spendlens.operators import split as S
@@ -58,29 +59,26 @@ def _cfg_lookup(tm: TR.TrainedModel, key: str, cast: str) -> F.Column:
 def evaluation_rows(tm: TR.TrainedModel, test_pred: DataFrame, strategy: str,
                     split_id: int = 0) -> DataFrame:
     """EVAL rows, one per stacked config: train accuracy on the (oversampled) training rows,
-    test accuracy, weighted/macro F1, sizes and the number of labels in test."""
-    train_pred = TR.score(tm)
+    test accuracy, weighted/macro F1, sizes (training rows with their copies: all were
+    fitted) and the number of labels in test."""
     avg = M.report_averages(M.classification_report(test_pred, by=["cfg"]), by=["cfg"])
     test = test_pred.groupBy("cfg").agg(
         F.avg((F.col(LABEL) == F.col("predicted")).cast("double")).alias("accuracy"),
         F.count(F.lit(1)).alias("test_size"), F.count_distinct(LABEL).alias("labels_in_test"))
-    train = train_pred.groupBy("cfg").agg(
-        F.avg((F.col(LABEL) == F.col("predicted")).cast("double")).alias("train_accuracy"),
-        F.count(F.lit(1)).alias("train_size"))
-    out = test.join(train, "cfg").join(avg.select("cfg", "macro_f1", "weighted_f1"), "cfg")
+    out = test.join(TR.train_accuracy(tm), "cfg").join(avg.select("cfg", "macro_f1", "weighted_f1"), "cfg")
     return out.select(
         F.lit(strategy).alias("strategy"), F.lit(split_id).cast("int").alias("split_id"),
         F.col("cfg").cast("int").alias("cfg"), _cfg_lookup(tm, "C", "double").alias("C"),
         F.coalesce(_cfg_lookup(tm, "class_weight", "string"), F.lit("None")).alias("class_weight"),
-        F.lit(tm.oversample_min_count).cast("int").alias("oversample_min_count"),
+        _cfg_lookup(tm, "oversample_min_count", "int").alias("oversample_min_count"),
         "train_accuracy", "accuracy", (F.col("train_accuracy") - F.col("accuracy")).alias("accuracy_gap"),
         "weighted_f1", "macro_f1", "train_size", "test_size", "labels_in_test")
 
 
 def _fit_eval(train: DataFrame, test: DataFrame, configs: list[dict], omc: int, strategy: str,
-              split_id: int = 0) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
+              split_id: int = 0, counted: DataFrame | None = None) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
     """Fit, score, evaluate: model, written test predictions, one EVAL row per config."""
-    tm = TR.fit_models(train, configs, omc)
+    tm = TR.fit_models(train, configs, omc, counted=counted)
     pred = write_table(TR.score(tm, test), "predictions")
     rows = evaluation_rows(tm, pred, strategy, split_id)
     # One row per config: keep the values, drop the (deep) lineage before results of many
@@ -96,12 +94,16 @@ def _split(df: DataFrame, strategy: str, seed: int = S.DEFAULT_SEED) -> DataFram
     raise ValueError(f"no split named {strategy!r}")
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    return df if FE.STORED in df.columns else FE.term_store(df)
+
+
 # ---------------------------------------------------------------- EVA-1 single holdout
 
 def evaluate_holdout(df: DataFrame, strategy: str = "group_item", C: float = 1.0,
                      class_weight: str | None = None, oversample_min_count: int = 0) -> dict:
     """EVA-1: holdout evaluation -> {'eval', 'report', 'errors', 'top', 'bottom', 'pred'}."""
-    s = _split(df, strategy)
+    s = _split(FE.term_store(df), strategy)
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm, pred, rows = _fit_eval(train, test, [{"C": C, "class_weight": class_weight}],
                                oversample_min_count, strategy)
@@ -124,18 +126,34 @@ def _summarise(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.avg("macro_f1").alias("macro_f1_mean"), F.stddev_pop("macro_f1").alias("macro_f1_std"))
 
 
+def labelled_store(df: DataFrame, strategy: str, n_splits: int, seed: int = S.DEFAULT_SEED):
+    """(store, names, counted): the written term store with one boolean column per split (true
+    for its training rows), and each split's document frequencies, all from one aggregation.
+    Split i of SPL-3 is the single split with seed + i: rows are labelled, not multiplied."""
+    if strategy not in ("group_item", "random"):
+        raise ValueError(f"no repeated split named {strategy!r}")
+    store = FE.term_store(df)
+    names = [f"train_{i}" for i in range(n_splits)]
+    labelled = store
+    for i, name in enumerate(names):
+        labelled = _split(labelled, strategy, seed + i).withColumn(name, F.col("split") == "train").drop("split")
+    frequencies = write_table(FE.document_frequencies(labelled, names), "document-frequencies")
+
+    def counted(i):
+        return frequencies.select("b", "key", F.get("df", F.lit(i)).alias("df"))
+    return labelled, names, counted
+
+
 def repeated_rows(df: DataFrame, strategy: str = "group_item", n_splits: int = 5,
                   configs: list[dict] | None = None, oversample_min_count: int = 0,
                   seed: int = S.DEFAULT_SEED) -> DataFrame:
     configs = configs or [{"C": 1.0, "class_weight": None}]
-    if strategy not in ("group_item", "random"):
-        raise ValueError(f"no repeated split named {strategy!r}")
+    store, names, counted = labelled_store(df, strategy, n_splits, seed)
 
     def one(i):
-        # Split i of SPL-3 is the single split with seed + i: rows are labelled, not multiplied.
-        part = _split(df, strategy, seed + i)
-        return _fit_eval(part.where("split = 'train'"), part.where("split = 'test'"), configs,
-                         oversample_min_count, strategy, i)[2]
+        in_train = F.col(names[i])
+        return _fit_eval(store.where(in_train).drop(*names), store.where(~in_train).drop(*names), configs,
+                         oversample_min_count, strategy, i, counted(i))[2]
 
     parts = run_parallel(one, range(n_splits))
     out = parts[0]
@@ -161,7 +179,7 @@ def evaluate_balanced(df: DataFrame, C: float = 1.0, class_weight: str | None =
     """EVA-3: balanced unseen holdout; EVAL columns plus eligible labels and the min/max
     test support per label (class-balance check)."""
     configs = configs or [{"C": C, "class_weight": class_weight}]
-    s = write_table(S.balanced_unseen_split(df, seed=seed), "balanced")
+    s = write_table(S.balanced_unseen_split(_stored(df), seed=seed), "balanced")
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     _, _, rows = _fit_eval(train, test, configs, oversample_min_count, "balanced_unseen")
     support = test.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n")).agg(
@@ -179,9 +197,10 @@ def evaluate_balanced_repeated(df: DataFrame, repeats: int = 5, C: float = 1.0,
     configs = [{"C": C, "class_weight": class_weight}]
     if class_weight != "balanced":
         configs.append({"C": C, "class_weight": "balanced"})
+    store = _stored(df)
 
     def one(r):
-        return evaluate_balanced(df, oversample_min_count=oversample_min_count, seed=seed + r,
+        return evaluate_balanced(store, oversample_min_count=oversample_min_count, seed=seed + r,
                                  configs=configs).withColumn("split_id", F.lit(r))
 
     parts = run_parallel(one, range(repeats))
@@ -201,6 +220,7 @@ def evaluate_calibrated(df: DataFrame, split: str = "group_item", C: float = 1.0
     """EVA-5: fit on train (after oversampling), calibrate per-class sigmoids on the same
     (oversampled) training rows, vendor map from them too, then confidence-gated
     prediction on test. Returns {'eval': one row, 'pred': predictions}."""
+    df = _stored(df)
     s = write_table(S.balanced_unseen_split(df) if split == "balanced" else S.group_split(df), "calibrated")
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm = TR.fit_model(train, C, class_weight, oversample_min_count)
@@ -229,8 +249,9 @@ def evaluate_calibrated(df: DataFrame, split: str = "group_item", C: float = 1.0
 def learning_curve(df: DataFrame, C: float = 1.0, class_weight: str | None = None,
                    n_splits: int = 3) -> DataFrame:
     """EVA-6: 5 training-size prefixes x 3 group splits, no oversampling; mean train and
-    validation accuracy per fraction."""
-    splits = [_split(df, "group_item", S.DEFAULT_SEED + i) for i in range(n_splits)]
+    validation accuracy per fraction. Each prefix is fitted whole: ``train_size`` is its rows."""
+    store = FE.term_store(df)
+    splits = [_split(store, "group_item", S.DEFAULT_SEED + i) for i in range(n_splits)]
     prefixes = [S.learning_prefixes(s.where("split = 'train'").withColumn("split_id", F.lit(i)))
                 for i, s in enumerate(splits)]
     jobs = [(i, f) for i in range(n_splits) for f in S.LEARNING_FRACTIONS]
@@ -264,7 +285,7 @@ def validation_curve(df: DataFrame, class_weight: str | None = None, n_splits: i
 def stratified_group_cv(df: DataFrame, C: float = 1.0, class_weight: str | None = None,
                         oversample_min_count: int = 0, n_folds: int = 3) -> DataFrame:
     """SPL-4 cross-validation: each fold is the test set once."""
-    folds = write_table(S.stratified_group_folds(df, n_folds), "folds")
+    folds = write_table(S.stratified_group_folds(_stored(df), n_folds), "folds")
 
     def one(i):
         return _fit_eval(folds.where(F.col("fold") != i).drop("fold"),
@@ -293,23 +314,12 @@ def fit_assessment(eval_row: DataFrame) -> DataFrame:
 
 def tune_grid(df: DataFrame, c_values=GRID_C, class_weights=GRID_CLASS_WEIGHT,
               oversample_values=GRID_OVERSAMPLE, n_splits: int = 5) -> DataFrame:
-    """TUN-1: grid over (oversample, class_weight, C) on ``n_splits`` group splits. Features
-    depend only on (split, oversample): one fit per pair trains all (C, class_weight)
-    configs together. Output: one row per config with grid position ``grid_pos``."""
-    configs = [{"C": c, "class_weight": w} for w in class_weights for c in c_values]
-    splits = [_split(df, "group_item", S.DEFAULT_SEED + i) for i in range(n_splits)]
-    jobs = [(omc, i) for omc in oversample_values for i in range(n_splits)]
-
-    def one(job):
-        omc, i = job
-        part = splits[i]
-        return _fit_eval(part.where("split = 'train'"), part.where("split = 'test'"), configs,
-                         omc, "group_item", i)[2]
-
-    parts = run_parallel(one, jobs)
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    """TUN-1: grid over (oversample, class_weight, C) on ``n_splits`` group splits. One fit per
+    split trains all configs together (copies are row weights, so its features serve them
+    all). Output: one row per config with grid position ``grid_pos``."""
+    configs = [{"C": c, "class_weight": w, "oversample_min_count": o}
+               for o in oversample_values for w in class_weights for c in c_values]
+    rows = repeated_rows(df, "group_item", n_splits, configs)
     pos = {(omc, str(w), float(c)): n for n, (omc, w, c) in enumerate(
         (o, w, c) for o in oversample_values for w in class_weights for c in c_values)}
     pairs = []
@@ -347,22 +357,12 @@ def viable_configs(grid: DataFrame, floor: float = MIN_GROUPED_ACCURACY) -> Data
 
 def tune_two_stage(df: DataFrame, floor: float = MIN_GROUPED_ACCURACY, grid: DataFrame | None = None) -> dict:
     """TUN-2: grouped grid -> accuracy floor (fallback: all) -> balanced holdout macro F1 of
-    each viable config (stacked per oversampling level) -> strict argmax in grid order."""
+    each viable config (one fit for all) -> strict argmax in grid order."""
     grid = grid if grid is not None else tune_grid(df)
     viable = viable_configs(grid, floor).collect()
-    by_omc: dict = {}
-    for r in viable:
-        cw = None if r["class_weight"] == "None" else r["class_weight"]
-        by_omc.setdefault(r["oversample_min_count"], []).append({"C": r["C"], "class_weight": cw})
-
-    def one(item):
-        omc, configs = item
-        return evaluate_balanced(df, oversample_min_count=omc, configs=configs)
-
-    parts = run_parallel(one, sorted(by_omc.items()))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    configs = [{"C": r["C"], "class_weight": None if r["class_weight"] == "None" else r["class_weight"],
+                "oversample_min_count": r["oversample_min_count"]} for r in viable]
+    rows = evaluate_balanced(df, configs=configs)
     scored = rows.select("C", "class_weight", "oversample_min_count",
                          F.col("accuracy").alias("balanced_accuracy"),
                          F.col("macro_f1").alias("balanced_macro_f1")).join(

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from spendlens.operators import lookup as LK
@@ -10,7 +12,7 @@ from spendlens.plans.catalog import expenses
 from spendlens.sources import sinks as SK
 from spendlens.sources.raw import read_expense_json, to_raw_json_rows
 from spendlens.sources.views import raw_view
-from spendlens.streaming.score import score_batch, start_scoring_stream
+from spendlens.streaming.score import score_batch, start_scoring_stream, write_epoch
 
 from conftest import SF_SMALL
 
@@ -40,6 +42,16 @@ def test_inference_rows_missing_keys(spark):
     assert r["vendor_id"] == "" and r["item_key"] == "taxi ride" and r["item_total_amount"] == 7.0
 
 
+class StreamStop:
+    """Fails after the first epoch is written, before Spark has committed it."""
+    calls = 0
+
+    def __call__(self, epoch):
+        self.calls += 1
+        if self.calls == 1:
+            raise RuntimeError("lost after the write")
+
+
 def test_model_roundtrip_and_stream(spark, tmp_path):
     s = S.group_split(expenses(spark, SF_SMALL))
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
@@ -60,6 +72,24 @@ def test_model_roundtrip_and_stream(spark, tmp_path):
     assert scored.count() == test.count()
     got = {r["row_id"]: r["predicted"] for r in scored.collect()}
     assert got == {str(k): v for k, v in a.items()}
+    # a batch that runs again after a failure replaces its own epoch and nothing else
+    epoch = scored.where("epoch = 0").drop("epoch").cache()
+    n = epoch.count()
+    for _ in range(2):
+        write_epoch(epoch, str(tmp_path / "out"), 0)
+    write_epoch(epoch, str(tmp_path / "out"), 7)
+    again = spark.read.parquet(str(tmp_path / "out"))
+    assert again.count() == test.count() + n and again.where("epoch <> 7").count() == test.count()
+    # a query that dies in the middle of an epoch's write and starts anew leaves every row once
+    done = StreamStop()
+    with pytest.raises(Exception):
+        start_scoring_stream(spark, loaded, str(tmp_path / "in"), str(tmp_path / "out2"),
+                             str(tmp_path / "ckpt2"), after_write=done).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out2")).count() > 0
+    start_scoring_stream(spark, loaded, str(tmp_path / "in"), str(tmp_path / "out2"), str(tmp_path / "ckpt2"),
+                         after_write=done).awaitTermination()
+    ids = [r["row_id"] for r in spark.read.parquet(str(tmp_path / "out2")).collect()]
+    assert sorted(ids) == sorted(str(k) for k in a) and done.calls > 1
     # null, repeated and absent ids: rows out = rows in
     raw = [("x", "Taxi"), ("x", "Lunch"), (None, "Taxi"), (None, "Taxi"), ("y", None)]
     odd = spark.createDataFrame(raw, "row_id string, itemName string")

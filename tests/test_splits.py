@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from spendlens.functions.keys import kth_smallest, order_key
+from spendlens.functions.keys import kth_smallest, kth_smallest_many, order_key
 from spendlens.operators import split as S
 from spendlens.plans.catalog import expenses
 
@@ -65,3 +65,32 @@ def test_repeated_split_ids(spark):
     s = S.repeated_split(expenses(spark, SF_SMALL), n_splits=3)
     assert s.select("split_id").distinct().count() == 3
     assert s.count() == 3 * 200
+
+
+def test_many_ranks_at_once(spark):
+    rows = [(g, f"{i:05d}") for g, n in (("a", 700), ("b", 3), (None, 50)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i string").withColumn("h", order_key(3, "g", "i")).cache()
+    ks = {"a": [1, 350, 700, 701, 0], "b": [2], None: [50]}
+    own = {g: sorted(r["h"] for r in df.collect() if r["g"] == g) for g in ks}
+    got = kth_smallest_many(df, "h", ks, by="g")
+    assert got == {("a", 1): own["a"][0], ("a", 350): own["a"][349], ("a", 700): own["a"][699], ("a", 701): "g" * 32,
+                   ("b", 2): own["b"][1], (None, 50): own[None][49]}
+
+
+def test_many_ranks_refine_large_buckets(spark, monkeypatch):
+    from spendlens.functions import keys
+    monkeypatch.setattr(keys, "_FINAL_BUCKET_ROWS", 2)
+    monkeypatch.setattr(keys, "_PREFIX_STEP", 1)
+    df = spark.range(400).withColumn("h", order_key(1, "id")).cache()
+    hs = sorted(r["h"] for r in df.collect())
+    got = keys.kth_smallest_many(df, "h", {None: [1, 77, 78, 400]})
+    assert [got[None, k] for k in (1, 77, 78, 400)] == [hs[0], hs[76], hs[77], hs[399]]
+
+
+def test_repeated_balanced_split_is_the_single_split_of_each_seed(spark):
+    df = expenses(spark, SF_SMALL).drop("text")
+    many = S.balanced_repeated_split(df, repeats=3, strict=True)
+    for r in range(3):
+        one = S.balanced_unseen_split(df, seed=42 + r, strict=True).select("row_id", "split")
+        own = many.where(F.col("repeat") == r).select("row_id", "split")
+        assert one.exceptAll(own).isEmpty() and own.exceptAll(one).isEmpty()

@@ -33,3 +33,33 @@ def test_registry_champion_is_latest(spark, tmp_path):
         TK.register_version(spark, reg, "m", run, f"/models/{run}")
     champ = TK.champion(spark.read.parquet(reg)).first()
     assert champ["version"] == 3 and champ["run_id"] == "r3"
+
+
+def test_two_writers_get_two_versions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    reg = str(tmp_path / "versions")
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        got = list(pool.map(lambda i: TK.register_version(spark, reg, "m/x", f"run{i}", f"/models/{i}"), range(6)))
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]
+    rows = spark.read.parquet(reg).collect()
+    assert {(r["version"], r["run_id"]) for r in rows} == {(v, f"run{i}") for i, v in enumerate(got)}
+    # a claim whose writer failed is passed over
+    assert TK.claim_version(spark, reg, "m/x", 7) == 7
+    assert TK.register_version(spark, reg, "m/x", "later", "/models/later") == 8
+
+
+def test_digest_counts_equal_rows(spark, tmp_path):
+    def digest(rows):
+        return tuple(P.fingerprint(spark.createDataFrame(rows, "a int, b string"), ["a", "b"]).first())
+    base = [(1, "x"), (2, "y")]
+    assert digest(base) == digest(base[::-1])
+    # a pair of equal rows is not the same as another pair, nor as none
+    assert len({digest([*base, (3, v), (3, v)]) for v in ("p", "q", None)} | {digest(base)}) == 4
+    assert digest([(1, None)]) != digest([(1, "")])
+    assert digest([]) == (0, 0)
+    df = spark.createDataFrame(base, "a int, b string")
+    for context in ("training", "evaluation"):
+        P.log_dataset(df, str(tmp_path / "datasets"), "expenses", ["a", "b"], "b", context)
+    rows = spark.read.parquet(str(tmp_path / "datasets")).collect()
+    assert {r["context"] for r in rows} == {"training", "evaluation"} and {r["digest"] for r in rows} == {digest(base)[1]}
+    assert rows[0]["schema"] == "struct<a:int,b:string>" and rows[0]["targets"] == "b"
