@@ -61,7 +61,7 @@ def test_pipeline_keeps_extra_columns_and_survives_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{DIR}/{t}.parquet'")
     expected = con.sql(ORACLE_SQL[name])
     got = entry.queries()[name](spark, DIR)
@@ -72,5 +72,5 @@ def test_oracle(spark, name):
 
 def test_all_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
