@@ -85,7 +85,8 @@ def _coordinates_udf(shared):
 
 
 def fit_models(train: DataFrame, configs: list[dict], oversample_min_count: int = 0,
-               label: str = LABEL, counted: DataFrame | None = None) -> TrainedModel:
+               label: str = LABEL, counted: DataFrame | None = None,
+               max_steps: int = svm.MAX_STEPS) -> TrainedModel:
     """MDL-6/7: feature space and one-vs-rest SVMs on all rows of ``train`` for every config
     (C, class_weight and, where it is not ``oversample_min_count``, its own level).
 
@@ -148,7 +149,7 @@ def fit_models(train: DataFrame, configs: list[dict], oversample_min_count: int
         held.destroy()
         return out
 
-    v, gap, settled = svm.minimise(evaluate, moments, problems)
+    v, gap, settled = svm.minimise(evaluate, moments, problems, max_steps)
     v = v.reshape(dims, len(configs), k)
     return TrainedModel(ff, labels, sample, np.tensordot(white, v, 1), configs,
                         gap.reshape(-1, k).max(1).tolist(), settled.reshape(-1, k).all(1).tolist(), rows, v, levels)

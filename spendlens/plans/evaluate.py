@@ -17,6 +17,7 @@ from spendlens.operators import features as FE
 from spendlens.operators import lookup as LK
 from spendlens.operators import metrics as M
 from spendlens.operators import split as S
+from spendlens.operators import svm
 from spendlens.operators import train as TR
 from spendlens.session import write_table
 
@@ -32,6 +33,7 @@ UNDERFIT_BELOW = 0.60
 OVERFIT_GAP_ABOVE = 0.05
 CONFIDENCE_THRESHOLD = 0.5
 PARALLEL_FITS = 3
+GRID_STEPS = 60  # steps of a grid's fits: 50 configs are carried through each of them
 
 EVAL_SCHEMA = ("strategy string, split_id int, cfg int, C double, class_weight string, "
                "oversample_min_count int, train_accuracy double, accuracy double, "
@@ -76,9 +78,10 @@ def evaluation_rows(tm: TR.TrainedModel, test_pred: DataFrame, strategy: str,
 
 
 def _fit_eval(train: DataFrame, test: DataFrame, configs: list[dict], omc: int, strategy: str,
-              split_id: int = 0, counted: DataFrame | None = None) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
+              split_id: int = 0, counted: DataFrame | None = None,
+              max_steps: int = svm.MAX_STEPS) -> tuple[TR.TrainedModel, DataFrame, DataFrame]:
     """Fit, score, evaluate: model, written test predictions, one EVAL row per config."""
-    tm = TR.fit_models(train, configs, omc, counted=counted)
+    tm = TR.fit_models(train, configs, omc, counted=counted, max_steps=max_steps)
     pred = write_table(TR.score(tm, test), "predictions")
     rows = evaluation_rows(tm, pred, strategy, split_id)
     # One row per config: keep the values, drop the (deep) lineage before results of many
@@ -146,14 +149,14 @@ def labelled_store(df: DataFrame, strategy: str, n_splits: int, seed: int = S.DE
 
 def repeated_rows(df: DataFrame, strategy: str = "group_item", n_splits: int = 5,
                   configs: list[dict] | None = None, oversample_min_count: int = 0,
-                  seed: int = S.DEFAULT_SEED) -> DataFrame:
+                  seed: int = S.DEFAULT_SEED, max_steps: int = svm.MAX_STEPS) -> DataFrame:
     configs = configs or [{"C": 1.0, "class_weight": None}]
     store, names, counted = labelled_store(df, strategy, n_splits, seed)
 
     def one(i):
         in_train = F.col(names[i])
         return _fit_eval(store.where(in_train).drop(*names), store.where(~in_train).drop(*names), configs,
-                         oversample_min_count, strategy, i, counted(i))[2]
+                         oversample_min_count, strategy, i, counted(i), max_steps)[2]
 
     parts = run_parallel(one, range(n_splits))
     out = parts[0]
@@ -319,7 +322,7 @@ def tune_grid(df: DataFrame, c_values=GRID_C, class_weights=GRID_CLASS_WEIGHT,
     all). Output: one row per config with grid position ``grid_pos``."""
     configs = [{"C": c, "class_weight": w, "oversample_min_count": o}
                for o in oversample_values for w in class_weights for c in c_values]
-    rows = repeated_rows(df, "group_item", n_splits, configs)
+    rows = repeated_rows(df, "group_item", n_splits, configs, max_steps=GRID_STEPS)
     pos = {(omc, str(w), float(c)): n for n, (omc, w, c) in enumerate(
         (o, w, c) for o in oversample_values for w in class_weights for c in c_values)}
     pairs = []
