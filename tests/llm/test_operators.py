@@ -264,16 +264,77 @@ def test_license_matches(spark):
     assert license_scan.scan_licenses(frame(spark, [])).collect() == []
 
 
-def test_band_alignment_equals_full_alignment():
+def _whole_alignment(template, words):
+    """(score, matched, first, last) of the best alignment of the template over all positions, cell by cell."""
+    row = [(0, 0, 0, -1)] * (len(words) + 1)  # score, matched, minus the first word, last word
+    for t in template:
+        new = []
+        for j in range(len(words) + 1):
+            s, m, a, b = row[j]
+            best = (s - 1, m, a, b)
+            if j:
+                s, m, a, b = row[j - 1]
+                hit = (s + 2, m + 1, a if m else 1 - j, j - 1)
+                best = max(best, hit if words[j - 1] == t else (s - 1, m, a, b))
+                s, m, a, b = new[j - 1]
+                best = max(best, (s - 1, m, a, b))
+            new.append(best)
+        row = new
+    s, m, a, b = max(row)
+    return s, m, -a, b
+
+
+def _places(template, words, least=0.8):
+    """Places of a template by whole alignments, each taken out of the text before the next."""
+    words, out = list(words), []
+    while True:
+        _, matched, first, last = _whole_alignment(template, words)
+        if matched < least * len(template) or any(first <= b and last >= a for _, a, b in out):
+            return sorted(out, key=lambda x: x[1])
+        out.append((matched, first, last))
+        words[first:last + 1] = [None] * (last + 1 - first)
+
+
+def test_license_places_equal_whole_alignments():
     rng = np.random.default_rng(4)
-    for _ in range(40):
-        template = [str(x) for x in rng.integers(0, 12, 15)]
-        words = [w for w in template if rng.random() > 0.1]
-        for _ in range(2):
-            words.insert(int(rng.integers(0, len(words) + 1)), "new")
-        text = ["z"] * 5 + words + ["z"] * 5
-        full = max(license_scan.align(template, text, 5, 30)[:1])
-        assert license_scan.align(template, text, 5, 6)[0] == full
+    found = 0
+    for round_ in range(25):
+        template = [f"w{x}" for x in rng.integers(0, 40, int(rng.integers(3, 50)))]
+        index = license_scan.Index({"t": " ".join(template)}, 0.8, 6, 24, {})
+        text = []
+        for _ in range(int(rng.integers(1, 4))):
+            copy = [w if rng.random() > 0.05 else "other" for w in template]
+            if len(copy) > 30 and rng.random() < 0.5:  # a passage put in between two fragments
+                copy[15:15] = [f"n{x}" for x in range(8)]
+            text += [f"f{x}" for x in rng.integers(0, 9, 60)] + copy
+        words = [w.encode() for w in text]
+        expect = _places(template, text)
+        got = [x[2:] for x in index.find(words)]
+        assert got == expect, (round_, template)
+        found += len(expect)
+    assert found > 30
+
+
+def test_license_places_fragments_and_relatives(spark):
+    gpl = license_scan.TEMPLATES["gpl-3.0-notice"].split()
+    rows = [(1, "All rights reserved. one two. All rights reserved. All rights reserved.", "en"),
+            (2, " ".join([*gpl[:50], *["new"] * 8, *gpl[50:]]), "en"),
+            (3, "Licensed under CC BY-SA 4.0. Licensed under CC BY-NC-SA 4.0.", "en"),
+            (4, license_scan.TEMPLATES["bsd-2-clause-notice"], "en"),
+            (5, license_scan.TEMPLATES["agpl-3.0-notice"], "en"),
+            (6, license_scan.TEMPLATES["gpl-2.0-notice"], "en"),
+            (7, " ".join(license_scan.TEMPLATES["mit-notice"].split()[:60]), "en")]
+    out = license_scan.scan_licenses(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.template, r.first_word) for r in out) == [
+        (1, "all-rights-reserved", 0), (1, "all-rights-reserved", 5), (1, "all-rights-reserved", 8),
+        (2, "gpl-3.0-notice", 0), (3, "cc-by-nc-sa-4.0-line", 7), (3, "cc-by-sa-4.0-line", 0),
+        (4, "bsd-2-clause-notice", 0), (5, "agpl-3.0-notice", 0), (6, "gpl-2.0-notice", 0)]
+    assert all(r.coverage == 1 for r in out)
+    for name, text in license_scan.TEMPLATES.items():  # every default template finds itself
+        assert name in {x[0] for x in license_scan.Index(license_scan.TEMPLATES, 0.8, 6, 24, license_scan.REQUIRED)
+                        .find(license_scan.words_of(text.encode()))}
+    with pytest.raises(ValueError):
+        license_scan.Index({"long": "w " * 1001}, 0.8, 6, 24, {})
 
 
 def _base(text):
