@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from spendlens.functions.keys import (
     broadcast_if_small,
     cut_column,
+    dense_index,
     hex_prefix_int,
     kth_smallest,
     kth_smallest_many,
@@ -84,29 +85,29 @@ def repeated_split(df: DataFrame, n_splits: int = 5, seed: int = DEFAULT_SEED,
 
 def stratified_group_folds(df: DataFrame, n_folds: int = 3, seed: int = DEFAULT_SEED,
                            group: str = GROUP, label: str = LABEL) -> DataFrame:
-    """SPL-4 (re-aimed, approximate stratification): groups stay whole; each group gets its
-    dominant label (most rows, ties -> smallest label); inside a dominant label, groups in
-    md5(seed:group) order are dealt round-robin to folds 0..n-1.
-
-    The rank inside a label is computed without a per-label window: counts per
-    (label, 2-hex-digit hash bucket) give bucket offsets (a table of labels x 256 rows),
-    and only the windows inside one bucket rank individual groups.
+    """SPL-4: whole groups dealt to folds 0..n-1 so that every fold has its share of every label.
+
+    A group's label vector is its row count per label. Groups are ordered by their dominant
+    label (most rows, ties -> smallest label), then its row count, largest first, then the
+    whole vector, then md5(seed:group), and dealt in turn over all of them. So equal vectors
+    stand together and go to the folds evenly, the largest groups of a label go first, and
+    each label goes on with the fold that the label before it left short. Bounds, between any
+    two folds: the rows that groups hold of their dominant label differ, per label, by at
+    most the label's largest group; the number of groups of one vector by at most one, and
+    so does the number of all groups.
+
+    The vector enters the order as a sum of hashes, one number a group however many labels it
+    has. Positions come from one range sort of the groups, so no window holds a label.
     """
     votes = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("_n"))
-    dominant = votes.groupBy(group).agg(
-        F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("_dom"))
-    dominant = (dominant.withColumn("_h", order_key(seed, group))
-                .withColumn("_b", F.substring("_h", 1, 2)))
-    bucket_sizes = dominant.groupBy("_dom", "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    offsets = bucket_sizes.withColumn(
-        "_off",
-        F.sum("_bn").over(Window.partitionBy("_dom").orderBy("_b")
-                          .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-    ranked = dominant.withColumn(
-        "_r", F.row_number().over(Window.partitionBy("_dom", "_b").orderBy("_h")))
-    folds = (ranked.join(offsets.select("_dom", "_b", "_off"), ["_dom", "_b"])
-             .select(group, (F.pmod(F.col("_off") + F.col("_r") - 1, F.lit(n_folds)))
-                     .cast("int").alias("fold")))
+    vectors = votes.groupBy(group).agg(
+        F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("_dom"),
+        F.max("_n").alias("_most"),
+        F.sum(hex_prefix_int(order_key(seed, label, "_n"))).alias("_vector"))
+    placed = dense_index(vectors.select(group, "_dom", (-F.col("_most")).alias("_size"), "_vector",
+                                        order_key(seed, group).alias("_h")),
+                         ["_dom", "_size", "_vector", "_h"], "_at")
+    folds = placed.select(group, F.pmod(F.col("_at"), F.lit(n_folds)).cast("int").alias("fold"))
     return df.join(folds, group)
 
 

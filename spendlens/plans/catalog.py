@@ -280,9 +280,10 @@ def q_split_group_repeated(spark, sf_dir):
 @register("split_stratified_group", f"""
 WITH c AS ({O.clean('D')}),
 v AS (SELECT item_key, account_name, count(*) AS n FROM c GROUP BY ALL),
-d AS (SELECT item_key, account_name AS dom FROM (SELECT *, row_number() OVER
-      (PARTITION BY item_key ORDER BY n DESC, account_name) AS rn FROM v) r WHERE rn = 1),
-f AS (SELECT item_key, CAST((row_number() OVER (PARTITION BY dom ORDER BY {O.md5_key(42, 'item_key')})
+d AS (SELECT item_key, min(account_name) FILTER (n = most) AS dom, max(most) AS most, sum(vec) AS vec
+      FROM (SELECT *, max(n) OVER (PARTITION BY item_key) AS most,
+            {O.hex7(O.md5_key(42, 'account_name', 'n'))} AS vec FROM v) w GROUP BY item_key),
+f AS (SELECT item_key, CAST((row_number() OVER (ORDER BY dom, most DESC, vec, {O.md5_key(42, 'item_key')})
       - 1) % 3 AS INTEGER) AS fold FROM d)
 SELECT c.row_id, f.fold FROM c JOIN f USING (item_key)""")
 def q_split_stratified_group(spark, sf_dir):

@@ -1,4 +1,6 @@
 import math
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -61,6 +63,32 @@ def test_stratified_folds_keep_groups(spark):
     assert {r[0] for r in f.select("fold").distinct().collect()} == {0, 1, 2}
 
 
+def test_stratified_folds_share_every_label(spark):
+    """Groups of one to many labels, a hot group and a hot label: the stated bounds hold."""
+    rng = random.Random(5)
+    rows = [(f"g{g}", f"l{rng.choice((0, 0, 0, 1, 2, 3))}") for g in range(400) for _ in range(rng.randint(1, 6))]
+    rows += [("hot", "l0")] * 500 + [("alone", "rare")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id long, item_key string, account_name string")
+    folds = {}
+    for r in S.stratified_group_folds(df, 4).collect():
+        folds.setdefault(r.item_key, set()).add(r.fold)
+    assert all(len(x) == 1 for x in folds.values()) and len(folds) == 402
+    sizes, by_vector, own = Counter(), {}, {}
+    for g, (fold,) in folds.items():
+        vector = Counter(label for h, label in rows if h == g)
+        dom = min(vector, key=lambda x: (-vector[x], x))
+        sizes[fold] += 1
+        by_vector.setdefault(tuple(sorted(vector.items())), Counter())[fold] += 1
+        own.setdefault(dom, []).append((fold, vector[dom]))
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    for dom, members in own.items():
+        share = [sum(n for f, n in members if f == fold) for fold in range(4)]
+        assert max(share) - min(share) <= max(n for _, n in members)
+    for counts in by_vector.values():
+        assert max(counts[f] for f in range(4)) - min(counts[f] for f in range(4)) <= 1
+    assert S.stratified_group_folds(df.limit(0)).count() == 0
+
+
 def test_repeated_split_ids(spark):
     s = S.repeated_split(expenses(spark, SF_SMALL), n_splits=3)
     assert s.select("split_id").distinct().count() == 3
