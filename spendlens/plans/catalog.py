@@ -23,6 +23,7 @@ from spendlens.operators import tracking as TK
 from spendlens.operators import train as TR
 from spendlens.plans import evaluate as EV
 from spendlens.plans import oracle as O
+from spendlens.plans import summary as SM
 from spendlens.sources.views import raw_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -733,16 +734,7 @@ def q_validation_curve(spark, sf_dir):
 
 @register("diagnostics")
 def q_diagnostics(spark, sf_dir):
-    df = expenses(spark, sf_dir)
-    fit = EV.fit_assessment(EV.evaluate_holdout(df, "group_item")["eval"])
-    strat = EV.stratified_group_cv(df).first()
-    counts = P.value_counts(df, "account_name").agg(
-        F.count_if(F.col("n") < 3).alias("labels_lt_3_samples"),
-        F.count_if(F.col("n") == 1).alias("singleton_labels")).first()
-    extra = {"stratified_group_kfold_accuracy_mean": strat["accuracy_mean"],
-             "stratified_group_kfold_accuracy_std": strat["accuracy_std"],
-             "labels_lt_3_samples": counts[0], "singleton_labels": counts[1]}
-    return fit.select("*", *[F.lit(v).alias(k) for k, v in extra.items()])
+    return SM.diagnostics(expenses(spark, sf_dir))
 
 
 _GRIDS: dict = {}
@@ -870,6 +862,60 @@ def q_comparison_tables(spark, sf_dir):
     return out.select("key", *[r6(c).alias(c) for c in out.columns if c != "key"])
 
 
+# ---------------------------------------------------------------- a model's run, logged and promoted
+
+#: Search space of the run's own tuning: a part of the full grid, which ``tune_grid`` searches.
+RUN_SEARCH = {"c_values": [1.0, 4.0], "oversample_values": [0, 10], "n_splits": 2}
+_RUNS: dict = {}
+
+
+def _model_run(spark, sf_dir):
+    """Where the run's summary lies, and its tuned config: tuned, evaluated and written once a
+    session for the same input files."""
+    from spendlens.session import scratch_path
+    import uuid
+    df = expenses(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, tuple(sorted(df.inputFiles())), df.count())
+    if key not in _RUNS:
+        best = EV.tune_two_stage(df, grid=EV.tune_grid(df, **RUN_SEARCH))["best"].first()
+        tuned = SM.config_of(best)
+        path = scratch_path(spark, f"run-{uuid.uuid4().hex}")
+        SM.write_summary(SM.run_evaluations(df, tuned), df, tuned, f"{path}/evaluation_summary")
+        _RUNS.clear()
+        _RUNS[key] = path, tuned
+    return _RUNS[key]
+
+
+@register("model_metric_card")
+def q_model_metric_card(spark, sf_dir):
+    """TRK-2 from the summary as written (SNK-3) and read back."""
+    path, _ = _model_run(spark, sf_dir)
+    return TK.metric_card(SM.read_summary(spark, f"{path}/evaluation_summary"))
+
+
+@register("model_champion_metrics")
+def q_model_champion_metrics(spark, sf_dir):
+    """TRK-6/8: models of the default and of the tuned config, fitted on all rows and saved, are
+    two versions; the later is the champion, and the six metrics of its run are looked up
+    through the registry. ``classes`` is read from the model that the alias loads."""
+    from spendlens.session import scratch_path
+    import uuid
+    from spendlens.sources import sinks as SK
+    path, tuned = _model_run(spark, sf_dir)
+    evals = SM.read_summary(spark, f"{path}/evaluation_summary")
+    store = FE.term_store(expenses(spark, sf_dir))
+    base = scratch_path(spark, f"registry-{uuid.uuid4().hex}")
+    runs = (("default", SM.DEFAULT, evals.where("key IN ('baseline', 'random', 'group_item')")), ("tuned", tuned, evals))
+    for run, config, own in runs:
+        SK.save_model(TR.fit_model(store, **config), f"{base}/models/{run}")
+        TK.log_metrics(TK.named_metrics(own), run, f"{base}/run_metrics")
+        TK.register_version(spark, f"{base}/model_versions", "account_classifier", run, f"{base}/models/{run}")
+    model = TK.load_by_alias(spark, f"{base}/model_versions", "account_classifier")[0]
+    return TK.champion_metrics(spark.read.parquet(f"{base}/model_versions"), spark.read.parquet(f"{base}/run_metrics"),
+                               TK.CHAMPION_METRICS).select("model_name", "version", "run_id", "metric", "value",
+                                                           F.lit(len(model.labels)).alias("classes"))
+
+
 # ---------------------------------------------------------------- sinks and stream (SNK, STR): rows-only
 
 @register("export_splits", (

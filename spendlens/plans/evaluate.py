@@ -106,7 +106,7 @@ def _stored(df: DataFrame) -> DataFrame:
 def evaluate_holdout(df: DataFrame, strategy: str = "group_item", C: float = 1.0,
                      class_weight: str | None = None, oversample_min_count: int = 0) -> dict:
     """EVA-1: holdout evaluation -> {'eval', 'report', 'errors', 'top', 'bottom', 'pred'}."""
-    s = _split(FE.term_store(df), strategy)
+    s = _split(_stored(df), strategy)
     train, test = s.where("split = 'train'"), s.where("split = 'test'")
     tm, pred, rows = _fit_eval(train, test, [{"C": C, "class_weight": class_weight}],
                                oversample_min_count, strategy)
@@ -135,7 +135,7 @@ def labelled_store(df: DataFrame, strategy: str, n_splits: int, seed: int = S.DE
     Split i of SPL-3 is the single split with seed + i: rows are labelled, not multiplied."""
     if strategy not in ("group_item", "random"):
         raise ValueError(f"no repeated split named {strategy!r}")
-    store = FE.term_store(df)
+    store = _stored(df)
     names = [f"train_{i}" for i in range(n_splits)]
     labelled = store
     for i, name in enumerate(names):
@@ -253,7 +253,7 @@ def learning_curve(df: DataFrame, C: float = 1.0, class_weight: str | None = Non
                    n_splits: int = 3) -> DataFrame:
     """EVA-6: 5 training-size prefixes x 3 group splits, no oversampling; mean train and
     validation accuracy per fraction. Each prefix is fitted whole: ``train_size`` is its rows."""
-    store = FE.term_store(df)
+    store = _stored(df)
     splits = [_split(store, "group_item", S.DEFAULT_SEED + i) for i in range(n_splits)]
     prefixes = [S.learning_prefixes(s.where("split = 'train'").withColumn("split_id", F.lit(i)))
                 for i, s in enumerate(splits)]

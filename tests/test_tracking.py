@@ -63,3 +63,37 @@ def test_digest_counts_equal_rows(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "datasets")).collect()
     assert {r["context"] for r in rows} == {"training", "evaluation"} and {r["digest"] for r in rows} == {digest(base)[1]}
     assert rows[0]["schema"] == "struct<a:int,b:string>" and rows[0]["targets"] == "b"
+
+
+def test_logged_names_and_missing_numbers(spark):
+    evals = spark.createDataFrame([
+        ("baseline", 0.74, None, None), ("random", 0.9, 0.8, 0.05), ("group_item", None, 0.7, None),
+        ("group_item_tuned", 0.9, 0.77, 0.1), ("balanced_holdout", 0.83, 0.79, None),
+        ("calibrated_fallback_balanced", 0.84, float("nan"), None), ("something_else", 1.0, 1.0, 1.0)],
+        "key string, accuracy double, macro_f1 double, accuracy_gap double")
+    got = {r["metric"]: r["value"] for r in TK.named_metrics(evals).collect()}
+    assert got == {
+        "baseline_lookup_accuracy": 0.74, "holdout_random_accuracy": 0.9, "holdout_random_macro_f1": 0.8,
+        "holdout_random_train_test_gap": 0.05, "holdout_group_item_macro_f1": 0.7,
+        "holdout_group_item_tuned_accuracy": 0.9, "holdout_group_item_tuned_macro_f1": 0.77,
+        "holdout_group_item_tuned_train_test_gap": 0.1, "balanced_holdout_accuracy": 0.83,
+        "balanced_holdout_macro_f1": 0.79, "calibrated_fallback_balanced_accuracy": 0.84}
+    assert set(TK.CHAMPION_METRICS) - set(got) == {"holdout_group_item_accuracy"}
+
+
+def test_summary_round_trip(spark, tmp_path):
+    from spendlens.plans import summary as SM
+    from spendlens.plans.catalog import expenses
+    from conftest import SF_SMALL
+    evals = spark.createDataFrame([("baseline", 0.7, None, None), ("random", 0.9, 0.8, 0.05), ("balanced_holdout", 0.8, None, None)],
+                                  "key string, accuracy double, macro_f1 double, accuracy_gap double")
+    df = expenses(spark, SF_SMALL)
+    tuned = SM.config_of({"C": 4.0, "class_weight": "None", "oversample_min_count": 5})
+    SM.write_summary(evals, df, tuned, str(tmp_path / "s"))
+    back = {r["key"]: tuple(r)[1:] for r in SM.read_summary(spark, str(tmp_path / "s")).collect()}
+    assert len(back) == 6 and back["group_item_tuned"] == (None, None, None)
+    assert {k: back[k] for k in ("baseline", "random", "balanced_holdout")} == {
+        r["key"]: tuple(r)[1:] for r in evals.collect()}
+    doc = spark.read.schema(SM.SUMMARY_SCHEMA).json(str(tmp_path / "s")).first()
+    assert doc["dataset"]["record_count"] == df.count()
+    assert tuple(doc["hyperparameter_tuning"]) == (4.0, "None", 5)
