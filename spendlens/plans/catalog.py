@@ -18,6 +18,7 @@ from spendlens.operators import metrics as M
 from spendlens.operators import profile as P
 from spendlens.operators import tfidf as TF
 from spendlens.operators import features as FE
+from spendlens.operators import sketches as SK
 from spendlens.operators import split as S
 from spendlens.operators import tracking as TK
 from spendlens.operators import train as TR
@@ -638,6 +639,42 @@ def q_vendor_fallback(spark, sf_dir):
     return out.select("row_id", "predicted", "source", r6("max_prob").alias("max_prob"))
 
 
+# ---------------------------------------------------------------- sketches against the exact numbers
+
+@register("sketch_items_per_label", f"""
+WITH c AS ({O.clean('D')})
+SELECT account_name, count(DISTINCT item_key) AS unique_items, true AS within FROM c GROUP BY account_name""")
+def q_sketch_items_per_label(spark, sf_dir):
+    """The distinct sketch of every label beside the exact count, and whether it lies within four
+    standard errors of it."""
+    df = expenses(spark, sf_dir).select("account_name", "item_key", "amount_log")
+    guess = SK.estimates(SK.label_sketches(df), [0.5]).select("account_name", F.col("unique_items").alias("guess"))
+    off = F.abs(F.col("guess") - F.col("unique_items"))
+    return P.items_per_label(df).join(guess, "account_name").select(
+        "account_name", "unique_items",
+        (off <= F.greatest(F.lit(1.0), 4 * SK.DISTINCT_ERROR * F.col("unique_items"))).alias("within"))
+
+
+@register("sketch_amount_deciles", f"""
+WITH c AS ({O.clean('D')}), n AS (SELECT count(*) AS n FROM c)
+SELECT CAST(d AS INTEGER) AS decile, n AS rows, true AS within FROM range(0, 11) r(d), n""")
+def q_sketch_amount_deciles(spark, sf_dir):
+    """Deciles of the label sketches put together, and whether the rank that each truly has is
+    within twice the sketch's rank error."""
+    df = expenses(spark, sf_dir).select("account_name", "item_key", "amount_log")
+    wanted = [i / 10 for i in range(11)]
+    got = SK.estimates(SK.merged(SK.label_sketches(df)), wanted).first()["quantiles"] or [None] * 11
+    ranks = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(c).alias(f"{n}{i}") for i, q in enumerate(got)
+        for n, c in (("below", F.col("amount_log") < q), ("upto", F.col("amount_log") <= q))])
+    slack = 2 * SK.RANK_ERROR
+    return ranks.select("rows", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("decile"),
+                 ((F.col(f"below{i}") <= (f + slack) * F.col("rows"))
+                  & (F.col(f"upto{i}") >= (f - slack) * F.col("rows"))).alias("within"))
+        for i, f in enumerate(wanted)])))
+
+
 # ---------------------------------------------------------------- models (MDL, EVA, TUN): rows-only
 
 def _union_sql() -> str:
@@ -900,14 +937,14 @@ def q_model_champion_metrics(spark, sf_dir):
     through the registry. ``classes`` is read from the model that the alias loads."""
     from spendlens.session import scratch_path
     import uuid
-    from spendlens.sources import sinks as SK
+    from spendlens.sources import sinks as SN
     path, tuned = _model_run(spark, sf_dir)
     evals = SM.read_summary(spark, f"{path}/evaluation_summary")
     store = FE.term_store(expenses(spark, sf_dir))
     base = scratch_path(spark, f"registry-{uuid.uuid4().hex}")
     runs = (("default", SM.DEFAULT, evals.where("key IN ('baseline', 'random', 'group_item')")), ("tuned", tuned, evals))
     for run, config, own in runs:
-        SK.save_model(TR.fit_model(store, **config), f"{base}/models/{run}")
+        SN.save_model(TR.fit_model(store, **config), f"{base}/models/{run}")
         TK.log_metrics(TK.named_metrics(own), run, f"{base}/run_metrics")
         TK.register_version(spark, f"{base}/model_versions", "account_classifier", run, f"{base}/models/{run}")
     model = TK.load_by_alias(spark, f"{base}/model_versions", "account_classifier")[0]
@@ -924,11 +961,11 @@ def q_model_champion_metrics(spark, sf_dir):
 def q_export_splits(spark, sf_dir):
     from spendlens.session import scratch_path
     import uuid
-    from spendlens.sources import sinks as SK
+    from spendlens.sources import sinks as SN
     path = scratch_path(spark, f"exports-{uuid.uuid4().hex}")
     df = expenses(spark, sf_dir)
-    SK.export_csv(df, f"{path}/dataset")
-    SK.export_splits(S.group_split(df), f"{path}/splits", "run-1", "group_item")
+    SN.export_csv(df, f"{path}/dataset")
+    SN.export_splits(S.group_split(df), f"{path}/splits", "run-1", "group_item")
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{path}/splits")
     return back.groupBy("run_id", "split_name", "split").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -937,12 +974,12 @@ def q_export_splits(spark, sf_dir):
 def q_fit_full_model(spark, sf_dir):
     from spendlens.session import scratch_path
     import uuid
-    from spendlens.sources import sinks as SK
+    from spendlens.sources import sinks as SN
     df = expenses(spark, sf_dir)
     tm = TR.fit_model(df)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
-    SK.save_model(tm, path, TR.fit_calibration(tm), LK.vendor_account_map(df))
-    loaded = SK.load_model(spark, path)[0]
+    SN.save_model(tm, path, TR.fit_calibration(tm), LK.vendor_account_map(df))
+    loaded = SN.load_model(spark, path)[0]
     return TR.score(loaded, df, keep=["row_id", "account_name"]).select("row_id", "account_name", "predicted")
 
 
