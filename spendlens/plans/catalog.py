@@ -771,7 +771,8 @@ def q_validation_curve(spark, sf_dir):
 
 @register("diagnostics")
 def q_diagnostics(spark, sf_dir):
-    return SM.diagnostics(expenses(spark, sf_dir))
+    """Without the curves, which are queries of their own (``learning_curve``, ``validation_curve``)."""
+    return SM.diagnostics(expenses(spark, sf_dir), curves=False)
 
 
 _GRIDS: dict = {}
