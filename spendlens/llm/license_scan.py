@@ -52,7 +52,7 @@ def _gnu(name: str, version: str, what: str, old: bool) -> str:
     return _GNU.format(name=name, version=version, what=what, sep=";" if old else ":", sep2=";" if old else ",")
 
 
-#: Statements and notices as their licenses prescribe them, whole.
+#: Statements and notices as their licenses prescribe them, whole but for the Unlicense (first paragraph).
 TEMPLATES = {
     "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
