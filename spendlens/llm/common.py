@@ -61,18 +61,24 @@ class Scratch:
     what was computed from them has itself been written."""
 
     def __init__(self, spark, name: str):
-        self.spark, self.path, self.count = spark, scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}"), 0
+        self.spark, self.path = spark, scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        self.count += 1
-        path = f"{self.path}/{self.count}-{name}"
+        path = f"{self.path}/{name}"
         df.write.option("compression", "zstd").parquet(path)
         del df
         release_shuffles(self.spark)
         return self.spark.read.parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Remove one table, once all that was computed from it has been written."""
+        self._delete(f"{self.path}/{name}")
+
     def remove(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -9,11 +9,13 @@ windows always meet.
 1. Every document emits the grams that are the minimizer of some window (about one in half
    a window). A gram seen once in the corpus cannot belong to a repeated window.
 2. Segments (maximal runs of windows with one minimizer) of the remaining grams are kept
-   with a 128-bit key (minimizer, content hash). Segments found twice or more are repeated
-   as a whole; that is decided by a count, so a passage in a third of all documents is one
-   row per document and one row in the index.
-3. Distinct segments that share a minimizer but differ are cut out of their text and go to
-   the shard of that minimizer, where the operator's index finds the windows they share.
+   with a 128-bit key (minimizer, content hash). Equal segments are represented by one of
+   them, so a passage in a third of all documents is one row per document and one segment
+   in the index.
+3. The representatives are cut out of their text and go to the shard of their minimizer,
+   where the operator's index finds the windows that occur more than once in it. A segment
+   with copies is laid down twice, so the index finds its windows as well; what it finds
+   goes back to the copies by the key.
    A minimizer whose distinct segments exceed ``group_units`` (a very common phrase in
    many contexts) is dealt out by window instead of by minimizer, so that no shard grows.
 
@@ -181,12 +183,21 @@ def window_hashes_udf(units: Units):
     return hashes
 
 
+def _runs(rows: np.ndarray, offsets: np.ndarray):
+    """(row, first, end) of the runs of neighbouring offsets, given in order."""
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (offsets[1:] != offsets[:-1] + 1)
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(rows)) - 1 if len(at) else at
+    return rows[at], offsets[at], offsets[last] + 1
+
+
 def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
                      group_units: int, scratch: Scratch) -> DataFrame:
     """(id, th, dups): per document (id and text hash) the repeated windows as ranges [a, b)
-    of start units. ``docs`` has the columns id, t, th. ``index(segments, is_query)`` gets
-    the encoded segments of a shard and returns per query segment an array of repeated
-    window offsets, as (segment number, offset) arrays."""
+    of start units. ``docs`` has the columns id, t, th. ``index(segments, many)`` gets the
+    encoded distinct segments of a shard, and for each whether it has copies, and returns
+    the repeated windows as (segment number, offset) arrays in ascending order."""
     read = docs.select("id", "th", "t")
     write_table = scratch.write  # the joins below are between tables, so hot keys can be split
     twice = (read.select(F.explode(minimizers_udf(units)("t")).alias("mini"))
@@ -195,56 +206,62 @@ def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
     found = (read.select("id", "th", F.explode(segments_udf(units)("t")).alias("s"))
              .select("id", "th", "s.*").join(twice, "mini"))
     found = write_table(found.select("id", "th", "start", "nwin", "mini", "sh"), "segments")
+    scratch.drop("twice")
     kinds = write_table(
         # any one row stands for its copies; first() takes all columns from the same row
-        found.groupBy("mini", "sh").agg(F.count(F.lit(1)).alias("c"), *[
+        found.groupBy("mini", "sh").agg((F.count(F.lit(1)) > 1).alias("many"), *[
             F.first(c).alias(c) for c in ("id", "th", "start", "nwin")]),
         "kinds")
-    whole = (found.join(kinds.where("c >= 2").select("mini", "sh"), ["mini", "sh"])
-             .select("id", "th", F.col("start").alias("a"), (F.col("start") + F.col("nwin")).alias("b")))
-    per = kinds.groupBy("mini").agg(
-        F.count(F.lit(1)).alias("d"), F.sum(F.col("nwin") + (units.window - 1)).alias("u"),
-        F.min("c").alias("fewest"))
-    per = write_table(per.where("fewest = 1"), "open")  # where all segments are repeated, nothing is open
-    mixed = (kinds.join(per, "mini")
-             .select("mini", "id", "th", "start", "nwin", (F.col("c") == 1).alias("query"),
-                     (F.col("u") > group_units).alias("over")))
-    mixed = write_table(mixed, "mixed")
-    total = mixed.where("not over").agg(
-        F.sum(F.col("nwin") + (units.window - 1)).alias("n")).first()["n"] or 0
+    # a segment with copies is laid down twice
+    width = (F.col("nwin") + (units.window - 1)) * F.when(F.col("many"), 2).otherwise(1)
+    total = kinds.agg(F.sum(width).alias("n")).first()["n"] or 0
     shards = max(1, -(-total // shard_units))
-    wanted = mixed.groupBy("id", "th").agg(F.collect_list(
-        F.struct("start", "nwin", "mini", "query", "over")).alias("segs"))
+    hot = (kinds.groupBy("mini").agg(F.sum(width).alias("u")).where(F.col("u") > group_units)
+           .select("mini", F.lit(True).alias("hot")))
+    wanted = (kinds.join(hot, "mini", "left").withColumn("over", F.coalesce("hot", F.lit(False)))
+              .groupBy("id", "th").agg(F.collect_list(
+                  F.struct("start", "nwin", "mini", "sh", "many", "over")).alias("segs")))
     wanted = wanted.select(F.col("id").alias("wid"), F.col("th").alias("wth"), "segs")
     cut = (read.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")))
            .select("id", "th", F.explode(F.arrays_zip(F.col("segs"), cuts_udf(units)(
-               "t", F.col("segs").cast("array<struct<start:int,nwin:int,mini:bigint,query:boolean,over:boolean>>")
-           ).alias("cut"))).alias("x"))
-           .select("id", "th", "x.segs.*", "x.cut"))
+               "t", F.col("segs")).alias("cut"))).alias("x"))
+           .select("id", "th", "x.segs.*", "x.cut").drop("nwin"))
     cut = write_table(cut, "cuts")
-    id_type = docs.schema["id"].dataType
-    shape = T.StructType([T.StructField("id", id_type), T.StructField("th", T.LongType()),
-                          T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    scratch.drop("kinds")
+    shape = T.StructType([
+        T.StructField("id", docs.schema["id"].dataType), T.StructField("th", T.LongType()),
+        T.StructField("start", T.IntegerType()), T.StructField("mini", T.LongType()),
+        T.StructField("sh", T.LongType()), T.StructField("many", T.BooleanType()),
+        T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    keys = [f.name for f in shape][:6]
 
     def search(table: pa.Table) -> pa.Table:
-        query = table.column("query").to_numpy(zero_copy_only=False)
-        rows, offsets = index(table.column("cut").to_pylist(), query)
-        picked = table.select(["id", "th", "start"]).take(pa.array(rows.astype(np.int64)))
-        a = (picked.column("start").to_numpy() + offsets).astype(np.int32)
+        many = table.column("many").to_numpy()
+        rows, a, b = _runs(*index(table.column("cut").to_pylist(), many))
+        picked = table.select(keys).take(pa.array(rows.astype(np.int64)))
         return pa.Table.from_arrays(
-            [picked.column("id"), picked.column("th"), pa.array(a), pa.array(a + np.int32(1))],
-            ["id", "th", "a", "b"])
+            [*picked.columns, pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))],
+            [*keys, "a", "b"])
 
     shared = (cut.where("not over").withColumn("shard", F.pmod(F.xxhash64("mini"), F.lit(shards)))
               .groupBy("shard").applyInArrow(search, shape))
-    dealt = (cut.where("over")
-             .select("id", "th", "start", "query", F.explode(window_hashes_udf(units)("cut")).alias("w"))
-             .select("id", "th", "query", (F.col("start") + F.col("w.j")).alias("a"), "w.h1", "w.h2"))
-    often = dealt.groupBy("h1", "h2").count().where("count >= 2").select("h1", "h2")
-    by_window = (dealt.where("query").join(often, ["h1", "h2"])
-                 .select("id", "th", "a", (F.col("a") + 1).cast("int").alias("b")))
-    ranges = whole.unionByName(shared).unionByName(by_window)
-    return ranges.groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("dups"))
+    dealt = (cut.where("over").select(*keys, F.explode(window_hashes_udf(units)("cut")).alias("w"))
+             .select(*keys, "w.*"))
+    often = (dealt.groupBy("h1", "h2").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n"))
+             .where("n >= 2").select("h1", "h2"))
+    by_window = (dealt.join(often, ["h1", "h2"])
+                 .select(*keys, F.col("j").alias("a"), (F.col("j") + 1).cast("int").alias("b")))
+    hits = write_table(shared.unionByName(by_window), "hits")
+    scratch.drop("cuts")
+
+    def ranges(df: DataFrame) -> DataFrame:
+        return df.select("id", "th", (F.col("start") + F.col("a")).alias("a"),
+                         (F.col("start") + F.col("b")).alias("b"))
+
+    alone = ranges(hits.where("not many"))
+    copies = ranges(found.drop("nwin").join(hits.where("many").select("mini", "sh", "a", "b"), ["mini", "sh"]))
+    return (alone.unionByName(copies).groupBy("id", "th")
+            .agg(F.collect_set(F.struct("a", "b")).alias("dups")))
 
 
 def covered(dups: pa.Array, window: int):

@@ -1,7 +1,7 @@
 """Substring dedup of word sequences with a compressed FM-index per shard.
 
-A shard holds distinct segments that share a minimizer (see ``repeats``). Its words are
-numbered, the Burrows-Wheeler transform of all its segments is kept in a wavelet matrix of
+A shard holds distinct segments that share a minimizer, those with copies twice (see
+``repeats``). Its words are numbered, the Burrows-Wheeler transform of all its segments is kept in a wavelet matrix of
 bit vectors with sampled counts, and the documents' segments are streamed against it:
 backward search extends every window end to the left while the match still has two
 occurrences. The lengths reached are the matching statistics; those that reach the window
@@ -128,19 +128,18 @@ class FMIndex:
 
 
 def fm_index(window: int):
-    def search(segments: list, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(segments: list, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         number: dict[bytes, int] = {}
         split = [s.split() for s in segments]
+        laid = split + [split[k] for k in np.flatnonzero(many).tolist()]
         # zero ends each segment, and no pattern has it
         text = np.fromiter((number.setdefault(w, len(number) + 1) if w is not None else 0
-                            for ws in split for w in (*ws, None)), np.int64)
+                            for ws in laid for w in (*ws, None)), np.int64)
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        begin = np.concatenate(([0], np.cumsum(sizes + 1)))
-        count = np.where(query, sizes - window + 1, 0)
+        begin = np.cumsum(sizes + 1) - (sizes + 1)
+        count = sizes - window + 1
         of = np.repeat(np.arange(len(split)), count)
         offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        if not len(of):
-            return of, offset
         reached = FMIndex(text).matching_statistics(text, begin[of] + offset + window - 1, window)
         hit = reached >= window
         return of[hit], offset[hit]

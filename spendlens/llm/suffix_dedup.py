@@ -1,9 +1,11 @@
 """Suffix-array dedup of bytes with longest-previous-factor arrays.
 
-A shard holds distinct segments that share a minimizer (see ``repeats``). Its window starts
-are put into suffix order by prefix doubling; the previous and the next smaller position in
-that order give each suffix its earlier match, and a longest previous factor of at least
-the window marks the later copy, its source the first one.
+A shard holds distinct segments that share a minimizer, those with copies twice (see
+``repeats``). Its suffixes are put into order by prefix doubling, whose ranks also give the
+common prefix of any two of them. The previous and the next smaller position in suffix
+order are the earlier positions that can share the longest factor with a suffix; the longer
+of the two common prefixes is its longest previous factor. One of at least the window marks
+a later copy, and its source the first one.
 """
 
 from __future__ import annotations
@@ -53,67 +55,101 @@ def _ranks(key: np.ndarray) -> np.ndarray:
     return new
 
 
-def window_order(data: np.ndarray, window: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts in suffix order (by content, then position) and their common-prefix
-    test: True where the window equals the one before it."""
-    padded = np.concatenate((data, np.zeros(window + 8, np.uint8)))
-    n = len(data)
-    rank, depth = _ranks(_eights(padded.tobytes())[:n + window]), 8
-    while depth < window:
-        step = min(depth, window - depth)
-        pair = rank[:len(rank) - step] * np.int64(len(rank) + 1) + rank[step:]
-        rank, depth = _ranks(pair), depth + step
-    key = rank[starts]
-    order = np.argsort(key, kind="stable")
-    same = np.zeros(len(starts), bool)
-    same[1:] = key[order][1:] == key[order][:-1]
-    return starts[order], same
-
-
-def previous_factors(order: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(later, source): suffixes whose longest previous factor reaches the window, with the
-    earlier position that the nearest smaller value in suffix order gives.
-
-    The common prefix between two suffixes is the minimum over the ranks between them, so
-    only neighbours inside a run of ``same`` can reach the window; the stacks for previous
-    and next smaller positions are kept inside the runs.
+class Suffixes:
+    """Suffix order of several strings, each ending where its segment ends.
+
+    ``levels[k]`` ranks all positions by their first ``8 << k`` bytes (fewer at the end of a
+    segment, and the end sorts first); the last level ranks whole suffixes.
+    """
+
+    def __init__(self, data: np.ndarray, sizes: np.ndarray):
+        self.n = n = len(data)
+        self.rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
+        padded = np.concatenate((data, np.zeros(8, np.uint8)))
+        past = ((8 - np.minimum(self.rest, 8)) * 8).astype(np.uint64)
+        self.head = (_eights(padded.tobytes())[:n] >> past) << past
+        rank, depth = _ranks(self.head), 8
+        if not data.all():  # a zero byte is not the end
+            rank = _ranks(rank * np.int64(9) + np.minimum(self.rest, 8))
+        self.levels = [rank.astype(np.int32)]
+        longest = int(self.rest.max(initial=0))
+        while depth < longest:
+            after = np.zeros(n, np.int64)
+            after[:n - depth] = rank[depth:]
+            after[self.rest <= depth] = 0
+            finer = _ranks(rank * np.int64(n + 1) + after)
+            if finer.max() == rank.max():  # ranks that stay apart as before stay so for good
+                break
+            rank, depth = finer, depth * 2
+            self.levels.append(rank.astype(np.int32))
+
+    def order(self, starts: np.ndarray) -> np.ndarray:
+        """``starts`` by suffix, equal suffixes by position."""
+        key = self.levels[-1][starts].astype(np.int64) * np.int64(self.n + 1) + starts
+        key.sort()
+        return key % np.int64(self.n + 1)
+
+    def common_prefix(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Length of the common prefix of the suffixes at x and y, pair by pair."""
+        most = np.minimum(self.rest[x], self.rest[y])
+        whole = self.levels[-1][x] == self.levels[-1][y]
+        length = np.where(whole, most, 0)
+        for k in range(len(self.levels) - 2, -1, -1):
+            on = np.flatnonzero(length < most)
+            at = length[on]
+            same = self.levels[k][x[on] + at] == self.levels[k][y[on] + at]
+            length[on[same]] += 8 << k
+        on = np.flatnonzero(length < most)
+        at = length[on]
+        differ = self.head[x[on] + at] ^ self.head[y[on] + at]
+        for k in range(1, 8):
+            length[on] += differ >> np.uint64(64 - 8 * k) == 0
+        return np.minimum(length, most)
+
+
+def longest_previous_factors(order: np.ndarray, common: np.ndarray, least: int = 1):
+    """(length, source) along ``order``: the longest prefix of each suffix that also starts
+    at an earlier position, and that position (-1: none of at least ``least``).
+
+    ``common[i]`` is the common prefix of order[i - 1] and order[i]. The nearest smaller
+    position on either side is found by jumps over positions that are larger, with the
+    smallest common prefix on the way; all suffixes jump at once, and one whose prefix falls
+    below ``least`` stops.
     """
-    first = np.flatnonzero(~same)
-    last = np.append(first[1:], len(order))
-    later, source = [], []
-    for a, b in zip(first.tolist(), last.tolist(), strict=True):
-        if b - a < 2:
-            continue
-        at = order[a:b].tolist()
-        best = [-1] * len(at)
-        for sweep in (range(len(at)), range(len(at) - 1, -1, -1)):
-            stack: list[int] = []
-            for i in sweep:
-                while stack and at[stack[-1]] > at[i]:
-                    stack.pop()
-                if stack and at[stack[-1]] > best[i]:
-                    best[i] = at[stack[-1]]
-                stack.append(i)
-        for i, s in enumerate(best):
-            if s >= 0:
-                later.append(at[i])
-                source.append(s)
-    return np.array(later, np.int64), np.array(source, np.int64)
+    n = len(order)
+    length, source = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    flipped = np.zeros(n, np.int64)
+    flipped[1:] = common[:0:-1]
+    for at, shared, out in ((order, common, slice(None)), (order[::-1], flipped, slice(None, None, -1))):
+        to, shared = np.arange(n) - 1, shared.copy()
+        active = np.flatnonzero((to >= 0) & (shared >= least))
+        active = active[at[to[active]] > at[active]]
+        while len(active):
+            over = to[active]
+            to[active], shared[active] = to[over], np.minimum(shared[active], shared[over])
+            active = active[(to[active] >= 0) & (shared[active] >= least)]
+            active = active[at[to[active]] > at[active]]
+        good = (to >= 0) & (shared >= least)
+        better = np.flatnonzero(good & (shared > length[out]))
+        length[out][better], source[out][better] = shared[better], at[to[better]]
+    return length, source
 
 
 def lpf_index(window: int):
-    def search(segments: list, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = np.fromiter(map(len, segments), np.int64, len(segments))
-        begin = np.concatenate(([0], np.cumsum(sizes)))
-        data = np.frombuffer(b"".join(segments), np.uint8)
-        count = sizes - window + 1
-        of = np.repeat(np.arange(len(segments)), count)
-        starts = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + begin[of]
-        later, source = previous_factors(*window_order(data, window, starts))
-        hit = np.unique(np.concatenate((later, source)))
+    def search(segments: list, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        laid = segments + [segments[k] for k in np.flatnonzero(many).tolist()]
+        sizes = np.fromiter(map(len, laid), np.int64, len(laid))
+        begin = np.cumsum(sizes) - sizes
+        suffixes = Suffixes(np.frombuffer(b"".join(laid), np.uint8), sizes)
+        order = suffixes.order(np.flatnonzero(suffixes.rest >= window))
+        common = np.zeros(len(order), np.int64)
+        common[1:] = suffixes.common_prefix(order[:-1], order[1:])
+        length, source = longest_previous_factors(order, common, window)
+        later = length >= window
+        hit = np.unique(np.concatenate((order[later], source[later])))
+        hit = hit[hit < sizes[:len(segments)].sum()]  # second copies have no documents
         seg = np.searchsorted(begin, hit, "right") - 1
-        use = query[seg] if len(seg) else np.zeros(0, bool)
-        return seg[use], hit[use] - begin[seg[use]]
+        return seg, hit - begin[seg]
     return search
 
 

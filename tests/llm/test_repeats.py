@@ -70,21 +70,55 @@ def test_matching_statistics(words, limit):
         assert got[e] == best
 
 
-@given(st.lists(st.binary(min_size=20, max_size=60), min_size=1, max_size=6), st.integers(8, 20))
+@given(st.lists(st.binary(min_size=20, max_size=60), min_size=1, max_size=6), st.integers(8, 20), st.integers(0, 63))
 @settings(max_examples=60, deadline=None)
-def test_previous_factors(parts, window):
+def test_indexes_find_the_repeated_windows(parts, window, copied):
     parts = [bytes(b & 1 for b in p) for p in parts]
-    seg, off = suffix_dedup.lpf_index(window)(parts, np.ones(len(parts), bool))
+    many = np.array([copied >> i & 1 == 1 for i in range(len(parts))])
     at = {(i, j): p[j:j + window] for i, p in enumerate(parts) for j in range(len(p) - window + 1)}
-    expected = {k for k, v in at.items() if list(at.values()).count(v) > 1}
-    assert set(zip(seg.tolist(), off.tolist(), strict=True)) == expected
-
-
-def test_previous_factor_is_earlier_and_first_copy_is_kept():
-    data = np.frombuffer(b"abcdefgh" * 3 + b"zz" + b"abcdefgh", np.uint8)
-    later, source = suffix_dedup.previous_factors(*suffix_dedup.window_order(data, 8, np.arange(len(data) - 7)))
-    assert (source < later).all() and 0 not in later
-    assert all(bytes(data[a:a + 8]) == bytes(data[b:b + 8]) for a, b in zip(later, source, strict=True))
+    expected = sorted(k for k, v in at.items() if many[k[0]] or list(at.values()).count(v) > 1)
+    seg, off = suffix_dedup.lpf_index(window)(parts, many)
+    assert list(zip(seg.tolist(), off.tolist(), strict=True)) == expected
+    words = [b" ".join(b"%d" % b for b in p) for p in parts]
+    seg, off = substring_dedup.fm_index(window)(words, many)
+    assert list(zip(seg.tolist(), off.tolist(), strict=True)) == expected
+
+
+def _prefix(x, y):
+    n = 0
+    while n < min(len(x), len(y)) and x[n] == y[n]:
+        n += 1
+    return n
+
+
+@given(st.lists(st.binary(min_size=1, max_size=70), min_size=1, max_size=5), st.integers(1, 3))
+@settings(max_examples=100, deadline=None)
+def test_longest_previous_factors(parts, letters):
+    parts = [bytes(b % letters for b in p) for p in parts]
+    tails = [p[j:] for p in parts for j in range(len(p))]
+    suffixes = suffix_dedup.Suffixes(np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts]))
+    order = suffixes.order(np.arange(len(tails)))
+    assert order.tolist() == sorted(range(len(tails)), key=lambda i: (tails[i], i))
+    common = np.zeros(len(tails), np.int64)
+    common[1:] = suffixes.common_prefix(order[:-1], order[1:])
+    assert common[1:].tolist() == [_prefix(tails[a], tails[b]) for a, b in zip(order, order[1:])]
+    length, source = suffix_dedup.longest_previous_factors(order, common)
+    for i, n, s in zip(order.tolist(), length.tolist(), source.tolist(), strict=True):
+        assert n == max((_prefix(tails[i], tails[j]) for j in range(i)), default=0)
+        assert (s == -1) if n == 0 else (s < i and _prefix(tails[i], tails[s]) == n)
+
+
+def test_long_texts(spark):
+    """Texts of over 100,000 bytes: plain ones, a constant one, a periodic one, and a copy inside another."""
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"abcdefghijklmnop ", np.uint8)
+    a, b = (bytes(rng.choice(letters, 150_000)).decode() for _ in range(2))
+    rows = [(1, a, "en"), (2, b[:70_000] + a[40_000:90_000] + b[70_000:], "en"),
+            (3, "x" * 120_000, "en"), (4, "0123456789" * 12_000, "en")]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.dedup_bytes(
+        frame(spark, rows), group_bytes=1 << 20).select("row.doc_id", "kept.*").collect()}
+    assert got == {1: (150_000, 50_000, 1), 2: (200_000, 50_000, 1),
+                   3: (120_000, 120_000, 1), 4: (120_000, 120_000, 1)}
 
 
 @given(st.lists(st.integers(0, 3), min_size=12, max_size=200), st.integers(3, 8))
