@@ -45,43 +45,75 @@ def cut_bytes(raw: bytes, starts: list, ends: list) -> list:
     return [raw[a:b] for a, b in zip(starts, ends, strict=True)]
 
 
-def _ranks(key: np.ndarray) -> np.ndarray:
+def _sorted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, keys in order). Keys with room for a position beside them are sorted by value."""
+    bits = max(1, len(key) - 1).bit_length()
+    if len(key) and int(key.max()).bit_length() + bits < 64:
+        both = key.astype(np.int64) << bits | np.arange(len(key))
+        both.sort()
+        return both & ((1 << bits) - 1), both >> bits
     order = np.argsort(key)
+    return order, key[order]
+
+
+def _heads(x: np.ndarray) -> np.ndarray:
+    """True where a sorted array has a new value."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return new
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    order, in_order = _sorted(key)
     new = np.empty(len(key), np.int64)
-    step = np.ones(len(key), np.int64)
-    sorted_key = key[order]
-    step[1:] = sorted_key[1:] != sorted_key[:-1]
-    new[order] = np.cumsum(step)
+    new[order] = np.cumsum(_heads(in_order))
     return new
 
 
 class Suffixes:
-    """Suffix order of several strings, each ending where its segment ends.
+    """Suffix order of several strings, each ending where its segment ends. The strings of
+    ``many`` are laid down a second time behind the others.
 
     ``levels[k]`` ranks all positions by their first ``8 << k`` bytes (fewer at the end of a
-    segment, and the end sorts first); the last level ranks whole suffixes.
+    segment, and the end sorts first); the last level ranks whole suffixes. A rank is one
+    more than the number of smaller positions, so a position alone in its rank keeps it, and
+    only the others are sorted again. Second copies have the ranks of the first.
     """
 
-    def __init__(self, data: np.ndarray, sizes: np.ndarray):
-        self.n = n = len(data)
-        self.rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, many: np.ndarray | None = None):
+        n = len(data)
+        rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)
         padded = np.concatenate((data, np.zeros(8, np.uint8)))
-        past = ((8 - np.minimum(self.rest, 8)) * 8).astype(np.uint64)
-        self.head = (_eights(padded.tobytes())[:n] >> past) << past
-        rank, depth = _ranks(self.head), 8
+        past = ((8 - np.minimum(rest, 8)) * 8).astype(np.uint64)
+        head = (_eights(padded.tobytes())[:n] >> past) << past
+        key = head
         if not data.all():  # a zero byte is not the end
-            rank = _ranks(rank * np.int64(9) + np.minimum(self.rest, 8))
-        self.levels = [rank.astype(np.int32)]
-        longest = int(self.rest.max(initial=0))
-        while depth < longest:
-            after = np.zeros(n, np.int64)
-            after[:n - depth] = rank[depth:]
-            after[self.rest <= depth] = 0
-            finer = _ranks(rank * np.int64(n + 1) + after)
-            if finer.max() == rank.max():  # ranks that stay apart as before stay so for good
+            key = _ranks(head) * np.int64(9) + np.minimum(rest, 8)
+        order, key = _sorted(key)
+        new = _heads(key)
+        first = np.flatnonzero(new)
+        rank = np.empty(n, np.int64)
+        rank[order] = np.repeat(first + 1, np.diff(np.append(first, n)))
+        tied = np.sort(order[~(new & np.append(new[1:], True))])
+        levels, depth = [rank.astype(np.int32)], 8
+        while len(tied):
+            after = np.where(rest[tied] > depth, rank[np.minimum(tied + depth, n - 1)], 0)
+            order, key = _sorted(rank[tied] * np.int64(n + 1) + after)
+            new, group = _heads(key), key // np.int64(n + 1)
+            old = np.flatnonzero(_heads(group))
+            first = np.flatnonzero(new)
+            if len(first) == len(old):  # ranks that stay apart as before stay so for good
                 break
-            rank, depth = finer, depth * 2
-            self.levels.append(rank.astype(np.int32))
+            at = tied[order]
+            base = np.repeat(old, np.diff(np.append(old, len(at))))
+            rank[at] = group - base + np.repeat(first, np.diff(np.append(first, len(at))))
+            tied = np.sort(at[~(new & np.append(new[1:], True))])
+            levels.append(rank.astype(np.int32))
+            depth *= 2
+        again = np.repeat(np.zeros(len(sizes), bool) if many is None else many, sizes)
+        self.levels = [np.concatenate((x, x[again])) for x in levels]
+        self.head, self.rest = (np.concatenate((x, x[again])) for x in (head, rest))
+        self.n = len(self.rest)
 
     def order(self, starts: np.ndarray) -> np.ndarray:
         """``starts`` by suffix, equal suffixes by position."""
@@ -137,17 +169,18 @@ def longest_previous_factors(order: np.ndarray, common: np.ndarray, least: int =
 
 def lpf_index(window: int):
     def search(segments: list, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        laid = segments + [segments[k] for k in np.flatnonzero(many).tolist()]
-        sizes = np.fromiter(map(len, laid), np.int64, len(laid))
-        begin = np.cumsum(sizes) - sizes
-        suffixes = Suffixes(np.frombuffer(b"".join(laid), np.uint8), sizes)
+        sizes = np.fromiter(map(len, segments), np.int64, len(segments))
+        data = np.frombuffer(b"".join(segments), np.uint8)
+        suffixes = Suffixes(data, sizes, many)
         order = suffixes.order(np.flatnonzero(suffixes.rest >= window))
         common = np.zeros(len(order), np.int64)
         common[1:] = suffixes.common_prefix(order[:-1], order[1:])
         length, source = longest_previous_factors(order, common, window)
         later = length >= window
-        hit = np.unique(np.concatenate((order[later], source[later])))
-        hit = hit[hit < sizes[:len(segments)].sum()]  # second copies have no documents
+        found = np.zeros(suffixes.n, bool)
+        found[order[later]] = found[source[later]] = True
+        hit = np.flatnonzero(found[:len(data)])  # second copies have no documents
+        begin = np.cumsum(sizes) - sizes
         seg = np.searchsorted(begin, hit, "right") - 1
         return seg, hit - begin[seg]
     return search
