@@ -61,10 +61,11 @@ class Scratch:
     what was computed from them has itself been written."""
 
     def __init__(self, spark, name: str):
-        self.spark, self.path = spark, scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
+        self.spark, self.path, self.paths = spark, scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}"), {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
+        """A name may come again; ``drop`` then means the last table of that name."""
+        path = self.paths[name] = f"{self.path}/{uuid.uuid4().hex}-{name}"
         df.write.option("compression", "zstd").parquet(path)
         del df
         release_shuffles(self.spark)
@@ -72,7 +73,7 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Remove one table, once all that was computed from it has been written."""
-        self._delete(f"{self.path}/{name}")
+        self._delete(self.paths.pop(name))
 
     def remove(self) -> None:
         self._delete(self.path)

@@ -10,6 +10,8 @@ length are reported as intervals.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spendlens.llm.common import mix64, to_bytes
 from spendlens.llm.repeats import Units, covered, with_repeats
-from spendlens.llm.suffix_dedup import _ranks
+from spendlens.llm.suffix_dedup import suffix_levels
 
 GRAM = 8
 KEPT_TYPE = "struct<text:string,n_words:bigint,n_removed:bigint>"
@@ -56,6 +58,9 @@ def cut_words(raw: bytes, starts: list, ends: list) -> list:
     return [b" ".join(words[a:b]) for a, b in zip(starts, ends, strict=True)]
 
 
+_LOWER_BITS = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class Bits:
     """A bit vector with counts sampled every 64 bits."""
 
@@ -68,22 +73,21 @@ class Bits:
     def rank(self, i: np.ndarray) -> np.ndarray:
         """Ones before position i."""
         at = i >> 6
-        mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[at] + np.bitwise_count(self.words[at] & mask)
+        return self.before[at] + np.bitwise_count(self.words[at] & _LOWER_BITS[i & 63])
 
 
 class FMIndex:
     """FM-index of a sequence of small non-negative numbers, in a wavelet matrix."""
 
     def __init__(self, text: np.ndarray):
+        """``text`` is one or more segments, each with a zero at its end."""
         n = len(text)
-        rank, depth = _ranks(text), 1
-        while rank.max() < n and depth < n:
-            shifted = np.zeros(n, np.int64)
-            shifted[:n - depth] = rank[depth:]
-            rank, depth = _ranks(rank * np.int64(n + 1) + shifted), depth * 2
-        order = np.empty(n, np.int64)
-        order[rank - 1] = np.arange(n)
+        ends = np.flatnonzero(text == 0)
+        rest = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1
+        for rank in suffix_levels(text, rest, 1):
+            pass
+        # suffixes that are equal to their ends go by position, as if each end were its own symbol
+        order = np.sort(rank * np.int64(n + 1) + np.arange(n)) % np.int64(n + 1)
         level = text[order - 1]
         counts = np.bincount(text)
         self.first = np.cumsum(counts) - counts
@@ -131,11 +135,13 @@ def fm_index(window: int):
     def search(segments: list, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         number: dict[bytes, int] = {}
         split = [s.split() for s in segments]
-        laid = split + [split[k] for k in np.flatnonzero(many).tolist()]
+        for ws in split:
+            ws.append(None)
         # zero ends each segment, and no pattern has it
         text = np.fromiter((number.setdefault(w, len(number) + 1) if w is not None else 0
-                            for ws in laid for w in (*ws, None)), np.int64)
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
+                            for w in chain.from_iterable(split)), np.int64)
+        sizes = np.fromiter(map(len, split), np.int64, len(split)) - 1
+        text = np.concatenate((text, text[np.repeat(many, sizes + 1)]))
         begin = np.cumsum(sizes + 1) - (sizes + 1)
         count = sizes - window + 1
         of = np.repeat(np.arange(len(split)), count)

@@ -70,14 +70,44 @@ def _ranks(key: np.ndarray) -> np.ndarray:
     return new
 
 
+def suffix_levels(key: np.ndarray, rest: np.ndarray, depth: int):
+    """Ranks of all positions by their first ``depth`` units, whose order ``key`` has, then by
+    twice as many, and so on to whole suffixes; ``rest`` is how far each segment goes on.
+
+    A rank is one more than the number of smaller positions, so a position alone in its rank
+    keeps it, and only the others are sorted again. The array is changed in place.
+    """
+    n = len(key)
+    order, key = _sorted(key)
+    new = _heads(key)
+    first = np.flatnonzero(new)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.repeat(first + 1, np.diff(np.append(first, n)))
+    tied = np.sort(order[~(new & np.append(new[1:], True))])
+    yield rank
+    while len(tied):
+        after = np.where(rest[tied] > depth, rank[np.minimum(tied + depth, n - 1)], 0)
+        order, key = _sorted(rank[tied] * np.int64(n + 1) + after)
+        new, group = _heads(key), key // np.int64(n + 1)
+        old = np.flatnonzero(_heads(group))
+        first = np.flatnonzero(new)
+        if len(first) == len(old):  # ranks that stay apart as before stay so for good
+            return
+        at = tied[order]
+        base = np.repeat(old, np.diff(np.append(old, len(at))))
+        rank[at] = group - base + np.repeat(first, np.diff(np.append(first, len(at))))
+        tied = np.sort(at[~(new & np.append(new[1:], True))])
+        yield rank
+        depth *= 2
+
+
 class Suffixes:
     """Suffix order of several strings, each ending where its segment ends. The strings of
     ``many`` are laid down a second time behind the others.
 
     ``levels[k]`` ranks all positions by their first ``8 << k`` bytes (fewer at the end of a
-    segment, and the end sorts first); the last level ranks whole suffixes. A rank is one
-    more than the number of smaller positions, so a position alone in its rank keeps it, and
-    only the others are sorted again. Second copies have the ranks of the first.
+    segment, and the end sorts first); the last level ranks whole suffixes. Second copies have
+    the ranks of the first.
     """
 
     def __init__(self, data: np.ndarray, sizes: np.ndarray, many: np.ndarray | None = None):
@@ -89,27 +119,7 @@ class Suffixes:
         key = head
         if not data.all():  # a zero byte is not the end
             key = _ranks(head) * np.int64(9) + np.minimum(rest, 8)
-        order, key = _sorted(key)
-        new = _heads(key)
-        first = np.flatnonzero(new)
-        rank = np.empty(n, np.int64)
-        rank[order] = np.repeat(first + 1, np.diff(np.append(first, n)))
-        tied = np.sort(order[~(new & np.append(new[1:], True))])
-        levels, depth = [rank.astype(np.int32)], 8
-        while len(tied):
-            after = np.where(rest[tied] > depth, rank[np.minimum(tied + depth, n - 1)], 0)
-            order, key = _sorted(rank[tied] * np.int64(n + 1) + after)
-            new, group = _heads(key), key // np.int64(n + 1)
-            old = np.flatnonzero(_heads(group))
-            first = np.flatnonzero(new)
-            if len(first) == len(old):  # ranks that stay apart as before stay so for good
-                break
-            at = tied[order]
-            base = np.repeat(old, np.diff(np.append(old, len(at))))
-            rank[at] = group - base + np.repeat(first, np.diff(np.append(first, len(at))))
-            tied = np.sort(at[~(new & np.append(new[1:], True))])
-            levels.append(rank.astype(np.int32))
-            depth *= 2
+        levels = [rank.astype(np.int32) for rank in suffix_levels(key, rest, 8)]
         again = np.repeat(np.zeros(len(sizes), bool) if many is None else many, sizes)
         self.levels = [np.concatenate((x, x[again])) for x in levels]
         self.head, self.rest = (np.concatenate((x, x[again])) for x in (head, rest))
