@@ -143,11 +143,18 @@ def fm_index(window: int):
         sizes = np.fromiter(map(len, split), np.int64, len(split)) - 1
         text = np.concatenate((text, text[np.repeat(many, sizes + 1)]))
         begin = np.cumsum(sizes + 1) - (sizes + 1)
+        index = FMIndex(text)
+        # A match of the last end that goes back n words repeats all windows inside it ...
+        back = index.matching_statistics(text, begin + sizes - 1, int(sizes.max()))
         count = sizes - window + 1
         of = np.repeat(np.arange(len(split)), count)
         offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        reached = FMIndex(text).matching_statistics(text, begin[of] + offset + window - 1, window)
-        hit = reached >= window
+        hit = offset >= (sizes - np.minimum(back, sizes))[of]
+        # ... and the others are searched one by one.
+        rest = np.flatnonzero(~hit)
+        if len(rest):
+            hit[rest] = index.matching_statistics(
+                text, begin[of[rest]] + offset[rest] + window - 1, window) >= window
         return of[hit], offset[hit]
     return search
 
