@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.session import scratch_path
+from spendlens.session import bounded_batches, scratch_path  # noqa: F401
 
 #: The white space that separates words: space and U+0009 to U+000D.
 WS_BYTES = b" \t\n\x0b\x0c\r"
@@ -44,18 +44,6 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-BATCH_BYTES = 8 << 20
-
-
-def bounded_batches(spark) -> None:
-    """Arrow batches of at most ``BATCH_BYTES`` in this session, so that a Python worker's
-    memory does not follow the length of the texts."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key)
-    if not now.isdigit() or int(now) > BATCH_BYTES:  # a unit stands for something larger
-        spark.conf.set(key, str(BATCH_BYTES))
-
-
 class Scratch:
     """Tables of one computation below ``spark.checkpoint.dir`` that go together once
     what was computed from them has itself been written."""

@@ -67,3 +67,58 @@ def test_broadcast_and_joined_vocabulary_give_the_same_vectors(spark, monkeypatc
         return sorted((str(r["row_id"]), r["idx"], [round(v, 9) for v in r["val"]]) for r in x)
 
     assert len(held) == 5 and norm(held) == norm(joined)
+
+
+def _brute_weights(rows, vocab_rows, block):
+    import math
+    from collections import defaultdict
+    df = defaultdict(int)
+    for _, text in vocab_rows:
+        for t in T.counted_terms(text, block):
+            df[t] += 1
+    idf = {t: math.log((len(vocab_rows) + 1) / (n + 1)) + 1 for t, n in df.items() if n >= block.min_df}
+    own, q = [], defaultdict(float)
+    for i, text in rows:
+        for t, tf in T.counted_terms(text, block).items():
+            if t in idf:
+                w = (1 + math.log(tf)) * idf[t]
+                own.append((i, t, w))
+                q[i] += w * w
+    return sorted((-1 if i is None else i, t, round(w / math.sqrt(q[i]), 9)) for i, t, w in own)
+
+
+def test_weights_in_place_equal_joined_weights_with_repeated_and_null_ids(spark):
+    rows = [(1, "red pen red ink"), (2, "blue pen"), (2, "red ink"), (None, "red pen"), (None, None), (None, "blue"), (3, "")]
+    df = spark.createDataFrame(rows, "row_id bigint, text string")
+    for block in (T.WORD, T.CHAR):
+        vocab = T.fit_vocabulary(df, block)
+        held = T.held_vocabulary(vocab)
+        want = _brute_weights(rows[:3] + [(None, "red pen"), (None, "blue")], rows, block)
+        for got in (T.weigh_in_place(df, block, held), T.weigh(T.term_counts(df, block), vocab)):
+            assert sorted((-1 if r[0] is None else r[0], r[1], round(r[2], 9)) for r in got.collect()) == want
+
+
+def test_a_held_vocabulary_shuffles_no_entry(spark):
+    df = spark.createDataFrame([(1, "red pen"), (2, "blue pen")], "row_id bigint, text string")
+    plan = T.tfidf(df, T.CHAR)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_entries_leave_a_worker_in_pieces(spark):
+    texts = [f"w{i} x{i} y{i} z{i}" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, text string").coalesce(1)
+    counts = T.term_counts(df, T.CHAR)
+    assert counts.count() == sum(len(T.counted_terms(t, T.CHAR)) for t in texts)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no row carries the entries of its whole text
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_frequencies_summed_in_parts_equal_counts(spark):
+    texts = [f"pen n{i % 7} n{i % 5}" for i in range(200)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    want = {}
+    for t in texts:
+        for x in T.counted_terms(t, T.WORD):
+            want[x] = want.get(x, 0) + 1
+    assert {r["term"]: r["df"] for r in T.term_frequencies(df, T.WORD).collect()} == want
