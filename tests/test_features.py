@@ -122,3 +122,31 @@ def test_frequencies_summed_in_parts_equal_counts(spark):
         for x in T.counted_terms(t, T.WORD):
             want[x] = want.get(x, 0) + 1
     assert {r["term"]: r["df"] for r in T.term_frequencies(df, T.WORD).collect()} == want
+
+
+def test_term_stores_are_read_and_mapped_in_bounded_pieces(spark):
+    rows = [(i, f"alpha n{i % 3} beta", "alpha", "v1", float(i)) for i in range(40)] + [(None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "row_id bigint, text string, item_key string, vendor_id string, amount_log double")
+    store = FE.term_store(df)
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
+    ff = FE.fit_features(df.where("row_id is not null"))
+    by_text, by_store = ({(r["row_id"], tuple(r["idx"]), tuple(r["val"])) for r in FE.feature_arrays(ff, x, ["row_id"]).collect()}
+                         for x in (df, store))
+    assert by_text == by_store and len(by_text) == 41
+    ff.release()
+    assert ff.held is None and FE.feature_arrays(ff, store, ["row_id"]).count() == 41
+
+
+def test_frequencies_of_parts_from_texts_and_stores(spark):
+    rows = [(i, f"alpha n{i % 3}", "alpha", "v", 1.0, i % 2 == 0) for i in range(9)]
+    df = spark.createDataFrame(rows, "row_id bigint, text string, item_key string, vendor_id string, amount_log double, even boolean")
+    df = df.withColumn("all", F.lit(True))
+    want = {}
+    for _, text, item, _, _, even in rows:
+        for b, key, _ in zip(*FE._counted(text, item)):
+            e = want.setdefault((int(b), int(key)), [0, 0])
+            e[0] += 1
+            e[1] += even
+    for x in (df, FE.term_store(df)):
+        got = {(r["b"], r["key"]): r["df"] for r in FE.document_frequencies(x, ["all", "even"]).collect()}
+        assert got == want
