@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.llm.common import bounded_batches, held, list_array, to_bytes, write_table
+from spendlens.llm.common import bounded_batches, held, list_array, release, to_bytes, write_table
 
 END_ID = 1
 PIECE = "array<struct<start:bigint,length:int,sequence_id:bigint,offset:int>>"
@@ -132,6 +132,7 @@ def pieces_udf(width: int):
     """The ids of each placed piece as little-endian 32-bit numbers."""
     @F.arrow_udf("array<binary>")
     def pieces(tokens: pa.Array, placed: pa.Array) -> pa.Array:
+        release()  # the tokenizer that an earlier stage left in this worker
         flat = placed.flatten()
         starts = flat.field("start").to_numpy(zero_copy_only=False)
         ends = starts + flat.field("length").to_numpy(zero_copy_only=False)
@@ -290,6 +291,7 @@ class Layout:
 def place_udf(layout: Layout):
     @F.arrow_udf(PIECE)
     def place(start: pa.Array, length: pa.Array, rank: pa.Array) -> pa.Array:
+        release()
         s, n, r = (x.to_numpy(zero_copy_only=False) for x in (start, length, rank))
         sequence, offset, first, rest = layout.place(n, r)
         two = 1 + (rest > 0)
