@@ -97,3 +97,19 @@ def test_summary_round_trip(spark, tmp_path):
     doc = spark.read.schema(SM.SUMMARY_SCHEMA).json(str(tmp_path / "s")).first()
     assert doc["dataset"]["record_count"] == df.count()
     assert tuple(doc["hyperparameter_tuning"]) == (4.0, "None", 5)
+
+
+def test_appends_at_once_lose_no_row(spark, tmp_path):
+    """Writers of one folder leave each other's files under way alone."""
+    from concurrent.futures import ThreadPoolExecutor
+    reg, metrics = str(tmp_path / "versions"), str(tmp_path / "metrics")
+
+    def one(i):
+        TK.log_metrics(spark.createDataFrame([(f"run{i}", "accuracy", 0.5)], "run_id string, metric string, value double"),
+                       f"run{i}", metrics)
+        return TK.register_version(spark, reg, "m/y", f"run{i}", f"/models/{i}")
+    with ThreadPoolExecutor(max_workers=12) as pool:
+        got = list(pool.map(one, range(48)))
+    assert sorted(got) == list(range(1, 49))
+    assert sorted(r["version"] for r in spark.read.parquet(reg).collect()) == list(range(1, 49))
+    assert {r["run_id"] for r in spark.read.parquet(metrics).collect()} == {f"run{i}" for i in range(48)}
