@@ -61,20 +61,25 @@ class TokenIds(dict):
         text = word.decode("latin-1")
         return self._pack([t.id for t in self.model.tokenize(text if word.isascii() else text.translate(BYTE_CHARS))])
 
-    def _is_word(self, chunk: bytes) -> bool:
+    def _word(self, chunk: bytes) -> bytes | None:
+        """The lower-case letters that the normaliser makes of a chunk; None where it has others."""
         if chunk.isascii():
-            return chunk.isalpha() and chunk.islower()
+            return chunk if chunk.isalpha() and chunk.islower() else None
         text = chunk.decode("utf-8", "replace")
-        return LETTERS.fullmatch(text) is not None and unicodedata.is_normalized("NFC", text)
+        low = text if text.islower() or "\u03a3" in text else text.lower()  # a capital sigma's depends on its place
+        if LETTERS.fullmatch(low) is None or not unicodedata.is_normalized("NFC", text):
+            return None
+        return chunk if low is text else low.encode()
 
     def __missing__(self, chunk: bytes) -> bytes:
         if len(self) >= self.LIMIT:
             self.clear()
-        if self.direct and self._is_word(chunk):
-            ids = self._letters(chunk)
+        word = self._word(chunk) if self.direct else None
+        if word is not None:
+            ids = self._letters(word) if word is chunk else self[word]
         else:
             stem = chunk.rstrip(b".,;:!?*#$%&)]}|>_-\"")
-            if self.direct and stem != chunk and self._is_word(stem):
+            if self.direct and stem != chunk and self._word(stem) is not None:
                 ids = self[stem] + self[chunk[len(stem):]]
             else:
                 ids = self._whole(chunk.decode("utf-8", "replace"))
@@ -88,7 +93,7 @@ class TokenIds(dict):
         if not self.by_chunk:
             return self._whole(raw.decode("utf-8", "replace")) + self.end
         fold = self.direct and b"<|" not in raw  # special tokens are left alone
-        if fold and raw.isascii():
+        if fold and (raw.isascii() or not (b"\xcc" in raw or b"\xcd" in raw)):  # no mark composes with a letter
             raw, fold = raw.lower(), False
         chunks = raw.split()
         if fold:

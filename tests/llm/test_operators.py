@@ -1,3 +1,4 @@
+import unicodedata
 import zlib
 
 import numpy as np
@@ -178,6 +179,20 @@ def test_capitals_with_combining_marks_have_the_tokenizers_ids():
         assert ids.of(text.encode()) == np.array([*whole, 1], f"<u{ids.width}").tobytes(), text
 
 
+def test_capitals_are_folded_without_the_whole_tokenizer():
+    marks = {d.split()[1] for d in map(unicodedata.decomposition, map(chr, range(0x110000)))
+             if " " in d and d[0] != "<" and int(d.split()[0], 16) < 128}
+    assert all(0x300 <= int(m, 16) <= 0x36F for m in marks)  # a text without these is lowered at once
+    ids = packing.TokenIds(tokenizer_path())
+    whole, seen = ids._whole, []
+    ids._whole = lambda text: seen.append(text) or whole(text)
+    text = "École Ñandú éÉ Straße, ÜBER!! Élan. CAFÉ"
+    want = whole(text) + ids.end
+    assert ids.of(text.encode()) == want and not [x for x in seen if x.strip(",!.")]
+    for odd in ("E\u0301cole A\u030a \u03a3\u0391\u03a3 \u0130x \u01c5a '. -' \u212b \u0345", "\u00c9\u0301 \u1e9e\u00df <|x|> \u00c9A"):
+        assert ids.of(odd.encode()) == whole(odd) + ids.end, odd
+
+
 def test_least_squares_recovers_a_planted_packing():
     rng = np.random.default_rng(2)
     combos = packing.combinations_filling(128, np.ones(128, np.int64))
