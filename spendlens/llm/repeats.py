@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ from spendlens.llm.common import Scratch, bounded_batches, list_array, merged_ru
 _BASE = 0x9E3779B97F4A7C15 | 1
 SEGMENTS = "array<struct<start:int,nwin:int,mini:bigint,sh:bigint>>"
 RANGES = "array<struct<a:int,b:int>>"
+#: Encoded segments that one index holds at once; those of one minimizer stay together.
+PART_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -192,6 +195,21 @@ def _runs(rows: np.ndarray, offsets: np.ndarray):
     return rows[at], offsets[at], offsets[last] + 1
 
 
+def shard_parts(mini: np.ndarray, width: np.ndarray, most: int):
+    """Row numbers of a shard in parts of about ``most`` units that share no minimizer; only
+    the segments of one minimizer are never parted."""
+    order = np.argsort(mini, kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], mini[order][1:] != mini[order][:-1]))[:len(order)])
+    size = np.add.reduceat(width[order], first) if len(order) else width[:0]
+    begin, held = 0, 0
+    for at, n in zip(first.tolist(), size.tolist(), strict=True):
+        if held and held + n > most:
+            yield order[begin:at]
+            begin, held = at, 0
+        held += n
+    yield order[begin:]
+
+
 def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
                      group_units: int, scratch: Scratch) -> DataFrame:
     """(id, th, dups): per document (id and text hash) the repeated windows as ranges [a, b)
@@ -228,6 +246,7 @@ def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
            .select("id", "th", "x.segs.*", "x.cut").drop("nwin"))
     cut = write_table(cut, "cuts")
     scratch.drop("kinds")
+    part_bytes = PART_BYTES
     shape = T.StructType([
         T.StructField("id", docs.schema["id"].dataType), T.StructField("th", T.LongType()),
         T.StructField("start", T.IntegerType()), T.StructField("mini", T.LongType()),
@@ -237,7 +256,12 @@ def repeated_windows(docs: DataFrame, units: Units, index, shard_units: int,
 
     def search(table: pa.Table) -> pa.Table:
         many = table.column("many").to_numpy()
-        rows, a, b = _runs(*index(table.column("cut").to_pylist(), many))
+        width = pc.binary_length(table.column("cut")).to_numpy().astype(np.int64) * (1 + many)
+        found = []
+        for own in shard_parts(table.column("mini").to_numpy(), width, part_bytes):
+            rows, a, b = _runs(*index(table.column("cut").take(pa.array(own)).to_pylist(), many[own]))
+            found.append((own[rows.astype(np.int64)], a, b))
+        rows, a, b = (np.concatenate([x[k] for x in found]) for k in range(3))
         picked = table.select(keys).take(pa.array(rows.astype(np.int64)))
         return pa.Table.from_arrays(
             [*picked.columns, pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))],

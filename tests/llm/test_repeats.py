@@ -132,3 +132,27 @@ def test_equal_windows_share_a_minimizer_and_all_windows_are_in_a_segment(values
     grams = repeats.minimizer_grams(g, span)
     positions = {j + k for j in range(len(of)) for k in range(span) if g[j + k] == of[j]}
     assert len(grams) == len(positions)
+
+
+def test_parts_of_a_shard_share_no_minimizer():
+    rng = np.random.default_rng(8)
+    for n, kinds, most in ((0, 1, 5), (1, 1, 5), (200, 30, 100), (200, 1, 10), (500, 400, 1)):
+        mini, width = rng.integers(-kinds, kinds, n), rng.integers(1, 20, n)
+        parts = list(repeats.shard_parts(mini, width, most))
+        assert sorted(np.concatenate(parts).tolist()) == list(range(n))
+        owners = [set(mini[p].tolist()) for p in parts]
+        assert sum(map(len, owners)) == len(set(mini.tolist()))
+        assert all(width[p].sum() <= most or len(o) <= 1 for p, o in zip(parts, owners, strict=True))
+
+
+def test_a_shard_in_parts_gives_the_same_repeats(spark, monkeypatch):
+    rows = corpus()
+
+    def got():
+        out = suffix_dedup.dedup_bytes(frame(spark, rows), shard_bytes=1 << 30)
+        return sorted(((r.doc_id, r.kept.n_removed, bytes(r.kept.text)) for r in out.select("row.doc_id", "kept").collect()),
+                      key=repr)
+    whole = got()
+    assert any(n for _, n, _ in whole)
+    monkeypatch.setattr(repeats, "PART_BYTES", 1)
+    assert got() == whole
