@@ -91,3 +91,26 @@ def test_two_evaluations_of_a_query_share_a_term_store(spark, monkeypatch):
     monkeypatch.setattr(FE, "term_store", lambda df: made.append(1) or store(df))
     assert catalog.QUERIES["eval_holdout"](spark, SF_SMALL).count() == 2
     assert len(made) == 1
+
+
+def _problem(rows=400, dims=20, classes=4):
+    rng = np.random.default_rng(11)
+    y = rng.integers(0, classes, rows)
+    z = (rng.normal(size=(rows, dims)) * 0.3 + 1.5 * np.eye(classes, dims)[y]).astype(np.float32)
+    p = svm.Problems(np.arange(classes), np.full(classes, 8.0), np.full(classes, 2.0), np.zeros(classes, int))
+    return z, y, np.ones((rows, 1)), p
+
+
+def test_margins_keep_the_digits_of_their_rows():
+    z, y, w, p = _problem()
+    v = np.random.default_rng(12).normal(size=(z.shape[1], len(p.cls)))
+    kept, wide = (svm.loss_and_gradient(x, y, w, v, p) for x in (z, z.astype(np.float64)))
+    assert kept.dtype == np.float64 and np.allclose(kept, wide, rtol=1e-4, atol=1e-3 * np.abs(wide).max())
+    seen = []
+
+    class Watched(np.ndarray):  # no 64-bit copy of the rows is made
+        def __matmul__(self, other):
+            seen.append(np.result_type(self.dtype, other.dtype))
+            return np.asarray(self) @ np.asarray(other)
+    svm.loss_and_gradient(z.view(Watched), y, w, v, p)
+    assert set(seen) == {np.dtype(np.float32)}
