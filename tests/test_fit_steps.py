@@ -93,24 +93,22 @@ def test_two_evaluations_of_a_query_share_a_term_store(spark, monkeypatch):
     assert len(made) == 1
 
 
-def _problem(rows=400, dims=20, classes=4):
-    rng = np.random.default_rng(11)
-    y = rng.integers(0, classes, rows)
-    z = (rng.normal(size=(rows, dims)) * 0.3 + 1.5 * np.eye(classes, dims)[y]).astype(np.float32)
-    p = svm.Problems(np.arange(classes), np.full(classes, 8.0), np.full(classes, 2.0), np.zeros(classes, int))
-    return z, y, np.ones((rows, 1)), p
-
-
-def test_margins_keep_the_digits_of_their_rows():
-    z, y, w, p = _problem()
-    v = np.random.default_rng(12).normal(size=(z.shape[1], len(p.cls)))
-    kept, wide = (svm.loss_and_gradient(x, y, w, v, p) for x in (z, z.astype(np.float64)))
-    assert kept.dtype == np.float64 and np.allclose(kept, wide, rtol=1e-4, atol=1e-3 * np.abs(wide).max())
-    seen = []
-
-    class Watched(np.ndarray):  # no 64-bit copy of the rows is made
-        def __matmul__(self, other):
-            seen.append(np.result_type(self.dtype, other.dtype))
-            return np.asarray(self) @ np.asarray(other)
-    svm.loss_and_gradient(z.view(Watched), y, w, v, p)
-    assert set(seen) == {np.dtype(np.float32)}
+def test_row_vectors_ascend_with_every_feature_once():
+    key = np.array([-5, 2, 9, 2**62])
+    idx, val = FE._row_vector(np.array([0, 2, 0, 2]), key, np.array([3.0, 1.0, 4.0, 0.0]), "v", 0.5, 3)
+    others = {FE.feature_key(FE.BIN, b"3"): 1.0, FE.feature_key(FE.VENDOR, b"v"): 1.0, FE.feature_key(FE.AMOUNT, b""): 0.5}
+    assert (np.diff(idx) > 0).all()
+    assert dict(zip(idx.tolist(), val.tolist(), strict=True)) == {-5: 0.6, 2: 1.0, 9: 0.8, 2**62: 0.0, **others}
+    idx, val = FE._row_vector(np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0), None, 0.0, 0)
+    assert idx.tolist() == [FE.feature_key(FE.BIN, b"0")] and val.tolist() == [1.0]
+
+
+def test_the_full_fit_counts_its_terms_once(spark, monkeypatch):
+    texts = []
+    count = FE.counted_rows
+    monkeypatch.setattr(FE, "counted_rows", lambda df, keep: texts.append(1) or count(df, keep))
+    frequencies = FE.document_frequencies
+    stored = []
+    monkeypatch.setattr(FE, "document_frequencies", lambda df, parts: stored.append(FE.STORED in df.columns) or frequencies(df, parts))
+    assert catalog.QUERIES["fit_full_model"](spark, SF_SMALL).columns == ["row_id", "account_name", "predicted"]
+    assert len(texts) == 1 and stored == [True]
