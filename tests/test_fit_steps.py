@@ -1,11 +1,16 @@
 """Packed terms, vectorised n-gram keys, blocks of training rows and column groups of a fit."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
+from spendlens.functions.hashes import HashTable
 from spendlens.operators import features as FE
 from spendlens.operators import svm
 from spendlens.operators import tfidf as T
+from spendlens.operators import train as TR
 from spendlens.plans import catalog
 from spendlens.session import write_table
 
@@ -112,3 +117,90 @@ def test_the_full_fit_counts_its_terms_once(spark, monkeypatch):
     monkeypatch.setattr(FE, "document_frequencies", lambda df, parts: stored.append(FE.STORED in df.columns) or frequencies(df, parts))
     assert catalog.QUERIES["fit_full_model"](spark, SF_SMALL).columns == ["row_id", "account_name", "predicted"]
     assert len(texts) == 1 and stored == [True]
+
+
+def test_kernels_hold_few_products_at_once(monkeypatch):
+    monkeypatch.setattr(svm, "DENSE_CELLS", 0)  # every feature is a rare one
+    rng = np.random.default_rng(8)
+    rows = [(np.sort(rng.choice(4000, 2000, False)), rng.random(2000)) for _ in range(128)]
+    sample = svm.Sample.of([r[0] for r in rows], [r[1] for r in rows])
+    tracemalloc.start()
+    got = sample.kernels(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    full = np.zeros((128, 4000))
+    for i, (idx, val) in enumerate(rows):
+        full[i, idx] = val
+    assert np.allclose(got, 1 + full @ full.T, rtol=1e-5)
+    assert peak < 100e6  # some 16 M products in all, 128 MB for one array of them
+    assert svm.runs([3, 9, 1, 1, 1], 4, 2) == [(0, 1), (1, 2), (2, 4), (4, 5)] and svm.runs([], 4, 2) == []
+
+
+def test_lists_come_as_views():
+    lists = [[1, 2], [], [3]]
+    column = pa.chunked_array([pa.array(lists[:1], pa.list_(pa.int64())), pa.array(lists[1:], pa.list_(pa.int64()))])
+    assert [x.tolist() for x in TR._list_arrays(column)] == lists
+    assert TR._list_arrays(pa.chunked_array([], pa.list_(pa.int64()))) == []
+
+
+def test_hashes_are_found_as_by_bisection():
+    rng = np.random.default_rng(9)
+    for n in (0, 1, 2, 5, 100, 3000):
+        for keys in (np.unique(rng.integers(-2**63, 2**63 - 1, n)), np.arange(n) * 3):
+            asked = np.concatenate((keys, rng.integers(-2**63, 2**63 - 1, 60), [-2**63, 2**63 - 1, 0, 4]))
+            at, hit = HashTable(keys).find(asked)
+            assert hit.tolist() == np.flatnonzero(np.isin(asked, keys)).tolist()
+            assert (keys[at[hit]] == asked[hit]).all()
+
+
+def test_equal_columns_are_minimised_once():
+    rng = np.random.default_rng(10)
+    z, y = rng.normal(size=(90, 6)), rng.integers(0, 3, 90)
+    w = np.repeat([[1.0, 1.0]], 90, 0)
+    w[::7, 1] = 3.0
+    level = np.repeat([0, 1, 0, 0], 3)
+    p = svm.Problems(np.tile(np.arange(3), 4), np.repeat([0.5, 0.5, 0.5, 4.0], 3), np.ones(12), level)
+    widths = []
+
+    def evaluate(v, own):
+        widths.append(v.shape[1])
+        out = np.zeros((7, v.shape[1]))
+        for x, c, weight in zip(z, y, w, strict=True):
+            sign = np.where(own.cls == c, 1.0, -1.0)
+            slack = np.maximum(0, 1 - sign * (x @ v))
+            force = weight[own.level] * own.cost * np.where(sign > 0, own.positive, 1.0)
+            out[0] += force * slack ** 2
+            out[1:] += -2 * x[:, None] * (sign * force * slack)
+        assert np.allclose(out, svm.loss_and_gradient(z, y, w, v, own))
+        return out
+    v, gap, settled = svm.in_turn(evaluate, z.T @ z, p)
+    assert max(widths) == 9 and v.shape == (6, 12) and len(gap) == len(settled) == 12
+    alone = svm.minimise(lambda v, cols: evaluate(v, p.take(cols)), z.T @ z, p)
+    assert np.allclose(v, alone[0])
+    assert np.array_equal(v[:, :3], v[:, 6:9]) and not np.allclose(v[:, :3], v[:, 3:6])
+
+
+def test_levels_without_minorities_are_one_problem(spark, monkeypatch):
+    rows = [(f"r{i}", f"alpha t{i % 7} w{i % 3}", f"i{i}", f"v{i % 2}", float(i % 5), f"l{i % 2}" if i < 36 else "rare")
+            for i in range(39)]
+    df = spark.createDataFrame(rows, "row_id string, text string, item_key string, vendor_id string, "
+                                     "amount_log double, account_name string")
+    widths = []
+    step = svm.minimise
+    monkeypatch.setattr(svm, "minimise", lambda e, m, p, *a: widths.append(len(p.cls)) or step(e, m, p, *a))
+    configs = [{"C": c, "class_weight": None, "oversample_min_count": o} for c in (0.5, 2.0) for o in (0, 2, 3, 9)]
+    tm = TR.fit_models(df, configs)
+    assert widths == [2 * 2 * 3]  # levels 2 and 3 copy no row; 9 copies the rare ones
+    apart = [TR.fit_models(df, [c]) for c in configs]
+    for c, own in enumerate(apart):
+        assert np.allclose(tm.coefficients[:, c], own.coefficients[:, 0], atol=1e-6)
+    accuracy = TR.train_accuracy(tm).orderBy("cfg").collect()
+    for c, own in enumerate(apart):
+        (_, good, size), = TR.train_accuracy(own).collect()
+        assert (accuracy[c]["train_accuracy"], accuracy[c]["train_size"]) == (good, size)
+    assert [r["train_size"] for r in accuracy] == [39, 39, 39, 45] * 2
+    got = TR.score(tm, df, keep=["row_id"]).collect()
+    assert len(got) == 39 * 8
+    for c, own in enumerate(apart):
+        want = {r["row_id"]: r["predicted"] for r in TR.score(own, df, keep=["row_id"]).collect()}
+        assert {r["row_id"]: r["predicted"] for r in got if r["cfg"] == c} == want
