@@ -3,9 +3,11 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from spendlens.operators import features as FE
 from spendlens.operators import parts as PT
 from spendlens.operators import svm
 from spendlens.operators import train as TR
+from spendlens.plans import evaluate as EV
 
 
 def _weights(x, block):
@@ -86,3 +88,15 @@ def test_every_training_row_has_a_say_however_many_there_are(spark, monkeypatch)
     labels = TR.score(got, df, keep=["account_name"])
     for r in labels.groupBy("cfg").agg(F.avg((F.col("account_name") == F.col("predicted")).cast("double")).alias("a")).collect():
         assert abs(r["a"] - accuracy[r["cfg"]]) < 0.01
+
+
+def test_a_store_is_written_once_and_a_single_fit_makes_none(spark, monkeypatch):
+    df = _rows(spark).where("row_id is not null")
+    store = FE.term_store(df)
+    made, cuts = [], []
+    write = EV.write_table
+    monkeypatch.setattr(EV, "write_table", lambda x, name: cuts.append((name, FE.STORED in x.columns)) or write(x, name))
+    monkeypatch.setattr(FE, "term_store", lambda x: made.append(1))
+    by_store, by_text = (EV.evaluate_balanced(x).first() for x in (store, df))
+    assert by_store == by_text and not made
+    assert not any(stored for _, stored in cuts) and [name for name, _ in cuts].count("balanced") == 1
